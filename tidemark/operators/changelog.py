@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.ordered import OrderedGroups, running_count, running_min, running_sum, scan
+from tidemark.operators.ordered import running_count, running_min, running_sum, scan
 
 
 def running_total(
@@ -80,10 +80,8 @@ def leader_changelog(
     Among equal totals the smallest member leads. Amounts must not be negative:
     totals then only grow, so the leader is the best (total, member) seen so far.
     """
-    members = OrderedGroups(df, [group, member], [seq], max_rows)
-    summed = members.done(members.scan(members.rows, _sum=running_sum(F.coalesce(F.col(amount), F.lit(0)))))
-    if members.marks:
-        summed = members.settle(summed)
+    spent = running_sum(F.coalesce(F.col(amount), F.lit(0)))
+    summed = scan(df, [group, member], [seq], max_rows, True, _sum=spent)
     best = F.struct((-F.col("_sum")).alias("under"), F.col(member).alias("member"))
     led = scan(
         summed, [group], [seq], max_rows,

@@ -108,7 +108,8 @@ def window_firings(
 ) -> DataFrame:
     """What a window with allowed lateness emits: its total when it closes, and again per late row.
 
-    `tagged` comes from `late_disposition`. Rows that are too late take no part.
+    `tagged` comes from `late_disposition`; it is read more than once, so write it
+    first when it is large. Rows that are too late take no part.
     """
     kept = tagged.where(F.col("disposition") != "too_late")
     seen = scan(

@@ -142,8 +142,15 @@ def apply_multiplier(
     adjusted = F.col(price) * F.col(multiplier)
     return joined.withColumn("adjusted", adjusted).withColumn(
         "status",
-        F.when(F.col(multiplier).isNull(), "(no multiplier yet)").otherwise(
-            F.format_string("adjusted=%.2f", adjusted.cast("double"))
+        F.when(
+            F.col(multiplier).isNull(),
+            F.concat(F.lit("(no multiplier yet) "), F.col(category).cast("string")),
+        ).otherwise(
+            F.format_string(
+                "category=%s | price=%.2f * mult=%.2f = adjusted=%.2f",
+                F.col(category).cast("string"),
+                *[c.cast("double") for c in (F.col(price), F.col(multiplier), adjusted)],
+            )
         ),
     )
 

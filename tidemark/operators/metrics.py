@@ -19,6 +19,7 @@ from tidemark.operators.ordered import (
 )
 
 RESERVOIR = 1024
+TICKS_PER_ROW = 10_000
 
 
 def drop_counter(value: str, threshold: float) -> Column:
@@ -82,10 +83,13 @@ def throughput_ticks(df: DataFrame, at: str, tick: timedelta) -> DataFrame:
     """Rows per tick from the first to the last one, empty ticks as zero."""
     counts = df.groupBy(F.window(at, duration(tick)).alias("_w")).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.select(F.col("_w.start").alias("tick"), "n")
+    # first every TICKS_PER_ROW-th tick, spread over the tasks, then the ones between
     ends = counts.agg(F.min("tick").alias("a"), F.max("tick").alias("b"))
-    ticks = ends.select(F.sequence("a", "b", interval(tick)).alias("all")).select(
-        F.explode("all").alias("tick")
-    )
+    coarse = ends.select(
+        F.explode(F.sequence("a", "b", interval(tick * TICKS_PER_ROW))).alias("from"), "b"
+    ).repartition("from")
+    until = F.least(F.col("b"), F.col("from") + interval(tick * (TICKS_PER_ROW - 1)))
+    ticks = coarse.select(F.explode(F.sequence("from", until, interval(tick))).alias("tick"))
     return ticks.join(counts, "tick", "left").select("tick", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -129,13 +133,20 @@ def sustained_average(
     summed = groups.scan(groups.rows, _sum=running_sum("_dv"), _n=running_sum("_dk"))
     average = F.col("_sum").cast("double") / F.when(F.col("_n") != 0, F.col("_n"))
     level = groups.settle(summed.where("_side = 0").withColumn("average", average))
-    above = F.coalesce(F.col("average") > threshold, F.lit(False))
-    level = level.withColumn("_above", above)
+    fired = _held(groups, level, F.col("average") > threshold, "_t", hold)
+    return fired.select(*series, F.col("_t").alias(at), "average", "firing")
+
+
+def _held(
+    groups: OrderedGroups, level: DataFrame, breach: Column, at: str, hold: timedelta
+) -> DataFrame:
+    """Add `firing`: the breach has been seen at every sample for at least `hold`."""
+    level = level.withColumn("_above", F.coalesce(breach, F.lit(False)))
     edge = groups.settle(groups.scan(level, _was=previous("_above")))
     rises = F.col("_above") & ~F.coalesce(F.col("_was"), F.lit(False))
-    since = groups.done(groups.scan(edge, _since=latest(F.when(rises, F.col("_t")))))
-    fires = F.col("_above") & (F.col("_t") - F.col("_since") >= interval(hold))
-    return since.select(*series, F.col("_t").alias(at), "average", fires.alias("firing"))
+    since = groups.done(groups.scan(edge, _since=latest(F.when(rises, F.col(at)))))
+    lasted = F.col(at) - F.col("_since") >= interval(hold)
+    return since.withColumn("firing", F.coalesce(F.col("_above") & lasted, F.lit(False)))
 
 
 def range_increase(
@@ -153,7 +164,7 @@ def range_increase(
     both of its samples lie in the range.
     """
     before = scan(
-        samples.select(*series, at, tie, value), series, [at, tie], max_rows,
+        samples.select(*series, at, tie, value), series, [at, tie], max_rows, True,
         _pv=previous(value), _pt=previous(at),
     )
     gone = F.col("_pt") + interval(over)
@@ -170,7 +181,7 @@ def range_increase(
         step(F.col(at), 0, F.coalesce(F.col("_d"), F.col("_d") * 0)),
         F.when(F.col("_d").isNotNull(), step(gone, 1, -F.col("_d"))),
     )
-    summed = scan(moves, series, ["_t", "_side", tie], max_rows, increase=running_sum("_dv"))
+    summed = scan(moves, series, ["_t", "_side", tie], max_rows, True, increase=running_sum("_dv"))
     return summed.where("_side = 0").select(
         *series, F.col("_t").alias(at), tie, F.coalesce("increase", F.lit(0)).alias("increase")
     )
@@ -184,10 +195,14 @@ def increase_alert(
     value: str,
     over: timedelta,
     threshold: float,
+    hold: timedelta = timedelta(0),
     max_rows: int | None = None,
 ) -> DataFrame:
+    """Fires while the increase has been above the threshold for at least `hold`."""
     grown = range_increase(samples, series, at, tie, value, over, max_rows)
-    return grown.withColumn("firing", F.col("increase") > threshold)
+    groups = OrderedGroups(grown, series, [at, tie], max_rows)
+    fired = _held(groups, groups.rows, F.col("increase") > threshold, at, hold)
+    return fired.select(*series, at, tie, "increase", "firing")
 
 
 def gap_alert(

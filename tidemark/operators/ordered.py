@@ -210,18 +210,19 @@ class OrderedGroups:
         self._split(df, max_rows)
 
     def _split(self, df: DataFrame, max_rows: int | None) -> None:
-        cores = df.sparkSession.sparkContext.defaultParallelism
+        # finer shares than a quarter of a core's would not balance better
+        shares = 4 * max(df.sparkSession.sparkContext.defaultParallelism, 16)
         counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
         seen = counts.agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
         total, top = seen["total"] or 0, seen["top"] or 0
-        limit = max_rows or max(ROWS_PER_STRETCH, total // cores)
+        limit = max(max_rows or ROWS_PER_STRETCH, total // shares)
         pieces = math.ceil(top / limit)
         if not self.keys:
-            # one group that holds everything: always cut it, down to the cores
-            pieces = max(pieces, min(cores, total // 2))
+            # one group that holds everything: always cut it
+            pieces = max(pieces, min(8, total // 2))
             hot_keys = 1
         elif top > limit:
-            # at most total / limit keys can exceed the limit
+            # fewer than `shares` keys can exceed the limit
             hot = counts.where(F.col("n") > limit).select(*self.keys).collect()
             hot_keys = len(hot)
         if pieces < 2:
@@ -368,8 +369,13 @@ def scan(
     keys: Sequence[str],
     order: Sequence[str],
     max_rows: int | None = None,
+    settled: bool = False,
     **values: Running | Tail,
 ) -> DataFrame:
-    """One pass of running values over the groups."""
+    """One pass of running values over the groups.
+
+    `settled` writes the result if keys were split, for callers that scan it again.
+    """
     groups = OrderedGroups(df, keys, order, max_rows)
-    return groups.done(groups.scan(groups.rows, **values))
+    result = groups.done(groups.scan(groups.rows, **values))
+    return groups.settle(result) if settled else result

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SALTS = 8
 
@@ -102,10 +102,7 @@ def skew_report(df: DataFrame, keys: Sequence[str], n: int, factor: float = 5.0)
         F.max("n").alias("top_n"),
         F.max_by(F.struct(*keys), F.col("n")).alias("top_key"),
     )
-    total = loads.agg(F.sum("n").alias("total"))
-    return (
-        loads.join(F.broadcast(total))
-        .withColumn("ratio", F.col("n") * n / F.col("total"))
-        .withColumn("skewed", F.col("ratio") > factor)
-        .drop("total")
+    all_loads = F.sum("n").over(Window.partitionBy())  # over the n partition rows only
+    return loads.withColumn("ratio", F.col("n") * n / all_loads).withColumn(
+        "skewed", F.col("ratio") > factor
     )
