@@ -1 +1,119 @@
-"""Streaming forms run to their end."""
+"""Streaming forms over the events file, run until its rows are used up.
+
+Windows and timers beyond the last watermark stay open at the end of a stream,
+so the SQL of those queries stops there, too.
+"""
+
+from __future__ import annotations
+
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.scalars import money
+from tidemark.plans.inputs import EVENTS_SQL, as_doubles
+from tidemark.plans.registry import query
+from tidemark.session import prepare_streaming, scratch_path
+from tidemark.sources.streams import file_stream
+from tidemark.sources.tables import load_table, without_zone
+from tidemark.streaming import operators as s
+from tidemark.streaming.sinks import KeyedTable, append_only, run_to_end, streaming_top, upsert
+
+HOUR = timedelta(hours=1)
+
+
+def _events(spark, folder):
+    schema = load_table(spark, folder, "events").schema
+    raw = file_stream(spark, folder, schema, pattern="events.parquet")
+    return raw.select("event_id", "ts", "user_id", "event_type", money("value").alias("amount"))
+
+
+def _finished(stream, label):
+    """Run into files and read them back."""
+    spark = stream.sparkSession
+    prepare_streaming(spark)
+    path = scratch_path(spark, label)
+    schema = stream.schema
+    run_to_end(append_only(stream, f"{path}/out", f"{path}/checkpoint"))
+    return without_zone(spark.read.schema(schema).parquet(f"{path}/out"))
+
+
+@query(
+    "stream_upsert_totals",
+    f"SELECT event_type, user_id, CAST(SUM(amount) AS DOUBLE) AS total FROM {EVENTS_SQL} GROUP BY 1, 2",
+)
+def stream_upsert_totals(spark, folder):
+    """Four slices of the events as micro-batches; every batch upserts its changed keys."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "upsert")
+    events = load_table(spark, folder, "events").select("event_id", "event_type", "user_id", "value")
+    events.repartition(4, F.pmod(F.col("event_id"), F.lit(4))).write.parquet(f"{path}/in")
+    stream = file_stream(spark, f"{path}/in", events.schema, files_per_batch=1)
+    totals = stream.groupBy("event_type", "user_id").agg(F.sum(money("value")).alias("total"))
+    table = KeyedTable(f"{path}/table", ["event_type", "user_id"])
+    run_to_end(upsert(totals, table, f"{path}/checkpoint"))
+    return as_doubles(table.read(spark), "total")
+
+
+@query(
+    "stream_top_spender",
+    f"""SELECT event_type, user_id, CAST(total AS DOUBLE) AS total, rn FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY total DESC, user_id) AS rn
+        FROM (SELECT event_type, user_id, SUM(amount) AS total FROM {EVENTS_SQL} GROUP BY 1, 2)) WHERE rn <= 3""",
+)
+def stream_top_spender(spark, folder):
+    prepare_streaming(spark)
+    path = scratch_path(spark, "top")
+    totals = _events(spark, folder).groupBy(
+        F.col("event_type").alias("category"), F.col("user_id").alias("userId")
+    ).agg(F.sum("amount").alias("total"))
+    published = KeyedTable(f"{path}/top", ["category", "rn"])
+    run_to_end(
+        streaming_top(totals, KeyedTable(f"{path}/table", ["category", "userId"]), 3, f"{path}/checkpoint", published.write)
+    )
+    top = published.read(spark).select(
+        F.col("category").alias("event_type"), F.col("userId").alias("user_id"), "total", F.col("rn").cast("long").alias("rn")
+    )
+    return as_doubles(top, "total")
+
+
+@query(
+    "stream_window_totals",
+    f"""SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, CAST(SUM(amount) AS DOUBLE) AS total
+    FROM {EVENTS_SQL} GROUP BY 1, 2, 3
+    HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 2 HOURS""",
+)
+def stream_window_totals(spark, folder):
+    totals = s.windowed_totals(
+        _events(spark, folder), ["event_type"], "ts", HOUR, "amount", timedelta(hours=2)
+    )
+    return as_doubles(_finished(totals, "windows"), "total")
+
+
+@query(
+    "stream_running_revenue",
+    f"""SELECT user_id, event_id, CAST(SUM(amount) OVER (PARTITION BY user_id ORDER BY event_id
+        ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS total FROM {EVENTS_SQL}""",
+)
+def stream_running_revenue(spark, folder):
+    totals = s.running_total(_events(spark, folder), ["user_id"], "event_id", "amount")
+    return as_doubles(_finished(totals, "running"), "total")
+
+
+@query(
+    "stream_abandoned_cart",
+    """SELECT user_id, ts + INTERVAL 6 HOURS AS alert_time, 'abandoned cart' AS reason FROM (
+        SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt
+        FROM events WHERE event_type IN ('click', 'purchase'))
+    WHERE event_type = 'click' AND (nxt > ts + INTERVAL 6 HOURS OR nxt IS NULL
+        AND ts + INTERVAL 6 HOURS <= (SELECT MAX(ts) FROM events
+            WHERE event_type IN ('click', 'purchase')) - INTERVAL 1 HOUR)""",
+)
+def stream_abandoned_cart(spark, folder):
+    steps = _events(spark, folder).where(F.col("event_type").isin("click", "purchase"))
+    alerts = s.abandoned_carts(
+        s.with_watermark(steps, "ts", HOUR), "user_id", "ts", "event_id", "event_type",
+        timedelta(hours=6), cart="click",
+    )
+    return _finished(alerts, "carts")
