@@ -107,7 +107,5 @@ def require_append_only(df: DataFrame) -> DataFrame:
     """
     if "op" not in df.columns:
         return df
-    checked = F.when(F.col("op") == "+I", F.col("op")).otherwise(
-        F.raise_error(F.concat(F.lit("not an append-only table: found "), F.col("op")))
-    )
-    return df.withColumn("op", checked).drop("op", "step")
+    refused = F.raise_error(F.concat(F.lit("not an append-only table: found "), F.col("op")))
+    return df.where(F.when(F.col("op") == "+I", True).otherwise(refused.cast("boolean"))).drop("op", "step")
