@@ -130,11 +130,13 @@ def sessions(
 ) -> DataFrame:
     """Session windows `[first, last + gap)` per key with row count and sum.
 
-    The built-in session window merges all rows of a key in one task; here hot
-    keys are split and the final grouping is combined before its shuffle.
+    A row exactly one gap after the last one still belongs to the session, as
+    with the built-in session window: windows that touch are one. The built-in
+    one merges all rows of a key in one task; here hot keys are split and the
+    final grouping is combined before its shuffle.
     """
     groups = OrderedGroups(events, keys, [at, tie], max_rows)
-    silent = F.col(at) - F.col("_prev") >= interval(gap)
+    silent = F.col(at) - F.col("_prev") > interval(gap)
     step = groups.settle(groups.scan(groups.rows, _prev=previous(at)))
     first = F.col("_prev").isNull() | silent
     marked = groups.done(groups.scan(step, session_start=latest(F.when(first, F.col(at)))))

@@ -135,9 +135,9 @@ def spend_summary(spark, folder, max_rows):
     return as_doubles(seen.select("event_id", "user_id", "spend", *counts), "spend")
 
 
-def _session_sql(hours):
+def _session_sql(hours, same="<"):
     return f"""(SELECT *, SUM(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session
-        FROM (SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL {hours} HOURS
+        FROM (SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) {same} INTERVAL {hours} HOURS
                   THEN 0 ELSE 1 END AS new FROM {EVENTS_SQL}))"""
 
 
@@ -168,7 +168,7 @@ def ttl_sum(spark, folder, max_rows):
 @both(
     "session_windows",
     f"""SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 8 HOURS AS session_end, COUNT(*) AS n,
-        CAST(SUM(amount) AS DOUBLE) AS total FROM {_session_sql(8)} GROUP BY user_id, session""",
+        CAST(SUM(amount) AS DOUBLE) AS total FROM {_session_sql(8, '<=')} GROUP BY user_id, session""",
 )
 def session_windows(spark, folder, max_rows):
     found = keyed.sessions(

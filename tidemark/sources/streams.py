@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from tidemark.sources.tables import with_zone
 
@@ -75,40 +75,48 @@ class _Count(InputPartition):
         self.start, self.end = start, end
 
 
+def _ranges(start: int, end: int, size: int) -> list[_Count]:
+    return [_Count(i, min(end, i + size)) for i in range(start, end, size)]
+
+
 class NumberedReader(DataSourceReader):
-    def __init__(self, n: int):
-        self.n = n
+    def __init__(self, n: int, per_task: int):
+        self.n, self.per_task = n, per_task
 
     def partitions(self):
-        step = max(1, -(-self.n // 8))
-        return [_Count(i, min(self.n, i + step)) for i in range(0, self.n, step)]
+        return _ranges(0, self.n, self.per_task)
 
     def read(self, partition):
         return ((i,) for i in range(partition.start, partition.end))
 
 
-class NumberedStreamReader(SimpleDataSourceStreamReader):
-    """The cursor is the stream offset: a restart goes on from the checkpoint."""
+class NumberedStreamReader(DataSourceStreamReader):
+    """The cursor is the stream offset: a restart goes on from the checkpoint.
+
+    Tasks make the numbers; the driver only hands out ranges.
+    """
 
-    def __init__(self, n: int, per_batch: int):
-        self.n, self.per_batch = n, per_batch
+    def __init__(self, n: int, per_task: int):
+        self.n, self.per_task = n, per_task
 
     def initialOffset(self):
         return {"c": 0}
 
-    def read(self, start):
-        end = min(self.n, start["c"] + self.per_batch)
-        return ((i,) for i in range(start["c"], end)), {"c": end}
+    def latestOffset(self):
+        return {"c": self.n}
 
-    def readBetweenOffsets(self, start, end):
-        return ((i,) for i in range(start["c"], end["c"]))
+    def partitions(self, start, end):
+        return _ranges(start["c"], end["c"], self.per_task)
+
+    def read(self, partition):
+        return ((i,) for i in range(partition.start, partition.end))
 
     def commit(self, end):
         pass
 
 
 class NumberedSource(DataSource):
-    """`format("numbered")` with options n and perBatch: the numbers 0..n-1."""
+    """`format("numbered")` with options n and perTask: the numbers 0..n-1."""
 
     @classmethod
     def name(cls):
@@ -117,11 +125,14 @@ class NumberedSource(DataSource):
     def schema(self):
         return "value bigint"
 
+    def _size(self):
+        return int(self.options["n"]), int(self.options.get("perTask", 1_000_000))
+
     def reader(self, schema):
-        return NumberedReader(int(self.options["n"]))
+        return NumberedReader(*self._size())
 
-    def simpleStreamReader(self, schema):
-        return NumberedStreamReader(int(self.options["n"]), int(self.options.get("perBatch", 5)))
+    def streamReader(self, schema):
+        return NumberedStreamReader(*self._size())
 
 
 def register_numbered(spark: SparkSession) -> None:

@@ -120,9 +120,12 @@ def abandoned_carts(
     cart: str = "add_to_cart",
     purchase: str = "purchase",
 ) -> DataFrame:
-    """`df` must carry a watermark on `at`; alerts appear once it passes their time."""
+    """`df` must carry a watermark on `at`; alerts appear once it passes their time.
+
+    The time goes in as a plain number, so Spark does not drop late rows by itself.
+    """
     timed = df.where(F.col(action).isin(cart, purchase)).select(
-        user, at, seq, action, F.unix_micros(at).alias("_us")
+        user, seq, action, F.unix_micros(at).alias("_us")
     )
     schema = T.StructType(
         [*_fields(df, [user]), T.StructField("_us", T.LongType()), T.StructField("reason", T.StringType())]
@@ -165,7 +168,8 @@ def late_disposition(
 ) -> DataFrame:
     """Tag rows against the watermark of `df` (declare it with the bound alone).
 
-    Needs no state; the key only spreads the rows evenly.
+    Needs no state; the key only spreads the rows evenly. The time goes in as a
+    plain number, or Spark would drop the late rows before they could be tagged.
     """
     timed = df.withColumns(
         {"_us": F.unix_micros(at), "_shard": F.pmod(F.xxhash64(row_id), F.lit(shards))}
@@ -175,7 +179,7 @@ def late_disposition(
         [*_fields(timed, kept), T.StructField("_end", T.LongType()), T.StructField("disposition", T.StringType())]
     )
     processor = p.LateTagger("_us", _micros(size), _micros(lateness), kept)
-    tagged = _stateful(timed, ["_shard"], processor, schema, "EventTime")
+    tagged = _stateful(timed.select(*kept, "_shard"), ["_shard"], processor, schema, "EventTime")
     return tagged.withColumns(
         {at: F.timestamp_micros("_us"), "window_end": F.timestamp_micros("_end")}
     ).select(*df.columns, "window_end", "disposition")
