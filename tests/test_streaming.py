@@ -192,6 +192,53 @@ def test_expired_state_is_gone(feed, tmp_path):
     assert [[r["counter"] for r in rows] for rows in seen] == [[1, 2], [1, 2], [1], [3]]
 
 
+def test_expiring_sum_and_flush(spark, feed, tmp_path):
+    rows = [("u1", 500, 1.0, "a"), ("u1", 1500, 2.0, "b"), ("u1", 4500, 4.0, "c"), ("u1", 5000, 8.0, "d")]
+    schema = "userId string, ts bigint, amount double, category string"
+    source = feed(schema).add(rows[:2], rows[2:])
+    got = run(s.expiring_sum(source.stream(), ["userId"], "at", "seq", "amount", 3 * SECOND), tmp_path, name="a")
+    assert {r["seq"]: float(r["total"]) for r in got} == {1: 1, 2: 3, 3: 4, 4: 12}
+    got = run(s.batch_flush(source.stream(), ["userId"], "seq", "category"), tmp_path, name="b")
+    assert {r["seq"]: (r["size"], r["flushed"]) for r in got} == {
+        1: (1, None), 2: (2, None), 3: (3, ["a", "b", "c"]), 4: (1, None)
+    }
+
+
+def test_running_totals_by_batch(spark, feed, tmp_path):
+    source = feed(fx.ORDERS_SCHEMA).add(fx.ORDERS[:5], fx.ORDERS[5:6], fx.ORDERS[6:])
+    stream = source.stream().withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    table, rows = sinks.KeyedTable(str(tmp_path / "t"), ["category"]), []
+    writer = sinks.running_totals_by_batch(
+        stream, ["category"], "seq", "amount", table, str(tmp_path / "c"), lambda b, _: rows.extend(b.collect())
+    )
+    sinks.run_to_end(writer)
+    batch = literal_rows(spark, fx.ORDERS, fx.ORDERS_SCHEMA)
+    want = changelog.running_total(batch, ["category"], "seq", "amount").collect()
+    assert {(r["seq"], float(r["total"])) for r in rows} == {(r["seq"], r["total"]) for r in want}
+    assert {r["category"]: float(r["total"]) for r in table.read(spark).collect()} == fx.TOTALS
+
+
+def test_enrichment_on_streams(spark, feed, tmp_path):
+    source = feed("userId string").add([("u0",), ("u9",)], [("u1",)])
+    dims = spark.createDataFrame(list(fx.NAMES.items()), "userId string, name string")
+    want = {"u0": "Alice", "u9": "?", "u1": "Bob"}
+    joined = joins.lookup_or_default(source.stream(), dims, "userId", "name")
+    assert {r["userId"]: r["name"] for r in run(joined, tmp_path, name="a")} == want
+    asked = joins.async_lookup(source.stream(), "userId", fx.NAMES.get, "name")
+    assert {r["userId"]: r["name"] for r in run(asked, tmp_path, name="b")} == want
+    rows, seen = [], []
+
+    def read(session):
+        seen.append(1)
+        return dims if len(seen) == 1 else dims.withColumn("name", F.upper("name"))
+
+    writer = sinks.enrich_each_batch(
+        source.stream(), read, ["userId"], str(tmp_path / "c"), lambda b, _: rows.extend(b.collect())
+    )
+    sinks.run_to_end(writer)
+    assert {r["userId"]: r["name"] for r in rows} == {"u0": "Alice", "u9": None, "u1": "BOB"}
+
+
 @pytest.mark.parametrize("together", [True, False])
 def test_abandoned_carts(feed, tmp_path, together):
     batches = [fx.CLICKS] if together else one_each(fx.CLICKS)

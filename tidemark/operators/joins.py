@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.functions import udtf
 
 from tidemark.functions.scalars import interval
-from tidemark.operators.ordered import BROADCAST_ROWS, Running, latest, next_known, scan
+from tidemark.operators.ordered import Running, latest, next_known, scan
 from tidemark.operators.ranking import latest_per_key
 
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 
 def _with_versions(
     facts: DataFrame,
@@ -113,13 +116,17 @@ def enrich_with_hold(
     return seen.select(*clicks.columns, value.alias(tier))
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark for broadcast only after counting; a larger side is joined by shuffle.
+def broadcast_if_small(
+    df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Mark for broadcast only after measuring; a larger side is joined by shuffle.
 
-    The count stops at the limit. Adaptive execution splits hot keys in the
-    shuffled case.
+    The measuring stops at the row limit, the size is that of the rows as text.
+    Adaptive execution splits hot keys in the shuffled case.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    text = F.octet_length(F.to_json(F.struct("*")))
+    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(text.cast("long")).alias("size")).first()
+    return F.broadcast(df) if seen["n"] <= rows and (seen["size"] or 0) <= size else df
 
 
 def apply_multiplier(

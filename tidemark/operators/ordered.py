@@ -32,7 +32,7 @@ from tidemark.functions.scalars import list_tail, order_number
 from tidemark.session import write_and_read
 
 ROWS_PER_STRETCH = 1_000_000
-BROADCAST_ROWS = 100_000
+CARRIED_ROWS = 10_000  # up to here the carried values are broadcast, else shuffled
 
 
 @dataclass(frozen=True)
@@ -231,9 +231,7 @@ class OrderedGroups:
             schema = T.StructType([df.schema[k] for k in self.keys])
             names = {k: f"_hot_{k}" for k in self.keys}
             small = df.sparkSession.createDataFrame(hot, schema).withColumnsRenamed(names)
-            small = small.withColumn("_hot", F.lit(True))
-            if hot_keys <= BROADCAST_ROWS:
-                small = F.broadcast(small)
+            small = F.broadcast(small.withColumn("_hot", F.lit(True)))
             match = _all(F.col(k).eqNullSafe(F.col(n)) for k, n in names.items())
             marked = df.join(small, match, "left").drop(*names.values())
         else:
@@ -347,7 +345,7 @@ class OrderedGroups:
 
     def _join_carried(self, df: DataFrame, carried: DataFrame) -> DataFrame:
         groups = self.keys + self.marks
-        if self.bound <= BROADCAST_ROWS:
+        if self.bound <= CARRIED_ROWS:
             carried = F.broadcast(carried)
         match = _all(F.col(g).eqNullSafe(F.col(f"_to_{g}")) for g in groups)
         return df.join(carried, match, "left").drop(*[f"_to_{g}" for g in groups])

@@ -35,9 +35,20 @@ def price_bucket(price: Column | str) -> Column:
     return result.otherwise(len(PRICE_LIMITS))
 
 
-def by_price_bucket(df: DataFrame, n: int, price: str = "price") -> DataFrame:
-    """Place each row by its price bucket, modulo n."""
-    return df.withColumn("bucket", price_bucket(price)).repartitionById(n, F.col("bucket"))
+def by_price_bucket(
+    df: DataFrame, n: int, price: str = "price", spread: int = 1, row_id: Sequence[str] = ()
+) -> DataFrame:
+    """Place each row by its price bucket, modulo n.
+
+    With `spread` each bucket gets that many neighbouring partitions instead of
+    one, and a hash of the row's identity picks among them, so a bucket that
+    holds much of the data does not end up in a single task.
+    """
+    bucketed = df.withColumn("bucket", price_bucket(price))
+    if spread == 1:
+        return bucketed.repartitionById(n, F.col("bucket"))
+    place = F.pmod(F.xxhash64(*row_id), F.lit(spread)).cast("int")
+    return bucketed.repartitionById(n * spread, F.pmod("bucket", F.lit(n)) * spread + place)
 
 
 def tag_partition(df: DataFrame) -> DataFrame:

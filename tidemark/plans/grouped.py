@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import csv_line, money, two_decimals
@@ -171,8 +173,6 @@ def folded_max(spark, folder):
     GROUP BY user_id HAVING MAX(ts) > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 12 HOURS""",
 )
 def idle_total(spark, folder):
-    from datetime import timedelta
-
     now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
     kept = relational.idle_total(
         events(spark, folder), ["user_id"], "ts", "amount", now, timedelta(hours=12)
@@ -297,7 +297,12 @@ def salted_partials(spark, folder):
 )
 def price_buckets(spark, folder):
     priced = load_table(spark, folder, "orders").select("o_orderkey", (F.col("o_totalprice") / 1000).alias("price"))
-    return partitioning.by_price_bucket(priced, 4).drop("price")
+    spread = max(1, _tasks(spark) // 4)
+    return partitioning.by_price_bucket(priced, 4, spread=spread, row_id=["o_orderkey"]).drop("price")
+
+
+def _tasks(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 @query("key_shares", "SELECT user_id, COUNT(*) AS n FROM events GROUP BY user_id")
@@ -307,9 +312,10 @@ def key_shares(spark, folder):
 
 @query("skew_report")
 def skew_report(spark, folder):
-    return partitioning.skew_report(load_table(spark, folder, "events"), ["event_type"], 16)
+    return partitioning.skew_report(load_table(spark, folder, "events"), ["event_type"], _tasks(spark))
 
 
 @query("partition_report")
 def partition_report(spark, folder):
-    return partitioning.partition_report(partitioning.by_key(load_table(spark, folder, "events"), 8, "user_id"))
+    users = load_table(spark, folder, "events").select("user_id")
+    return partitioning.partition_report(partitioning.by_key(users, _tasks(spark), "user_id"))

@@ -19,10 +19,18 @@ DEFAULTS = {
 }
 
 
-def builder(app_name: str = "tidemark", **extra: str) -> SparkSession.Builder:
-    """A session builder with the settings the operators are written for."""
+def builder(app_name: str = "tidemark", cores: int | None = None, **extra: str) -> SparkSession.Builder:
+    """A session builder with the settings the operators are written for.
+
+    With the cluster's `cores`, shuffles start with eight partitions per core and
+    adaptive execution merges the small ones.
+    """
+    settings = dict(DEFAULTS)
+    if cores:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(8 * cores)
+        settings["spark.sql.shuffle.partitions"] = str(8 * cores)
     result = SparkSession.builder.appName(app_name)
-    for name, value in {**DEFAULTS, **extra}.items():
+    for name, value in {**settings, **extra}.items():
         result = result.config(name, value)
     return result
 

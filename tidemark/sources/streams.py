@@ -33,6 +33,11 @@ def table_input(spark: SparkSession, folder: str, schema: T.StructType, bounded:
     return file_stream(spark, folder, schema)
 
 
+def with_file_time(df: DataFrame, name: str = "event_time") -> DataFrame:
+    """Event time from the metadata of the source: when the row's file was written."""
+    return df.select("*", F.col("_metadata.file_modification_time").alias(name))
+
+
 STARTS = {"earliest": "earliest", "latest": "latest", "group-offsets": "earliest"}  # fixed values
 
 

@@ -103,6 +103,26 @@ def session_counter(df: DataFrame, keys, at: str, seq: str, ttl: timedelta) -> D
     return _stateful(timed, keys, p.SessionCounter("_us", seq, _micros(ttl)), schema)
 
 
+def expiring_sum(df: DataFrame, keys, at: str, seq: str, amount: str, ttl: timedelta) -> DataFrame:
+    timed = df.select(
+        *keys, seq, F.col(amount).cast(TOTAL).alias(amount), F.unix_micros(at).alias("_us")
+    )
+    schema = T.StructType([*_fields(df, [*keys, seq]), T.StructField("total", TOTAL)])
+    return _stateful(timed, keys, p.ExpiringSum("_us", seq, amount, _micros(ttl)), schema)
+
+
+def batch_flush(df: DataFrame, shard, seq: str, category: str, n: int = 3) -> DataFrame:
+    """Buffers of n events per shard; an incomplete one waits for the next micro-batch."""
+    schema = T.StructType(
+        [
+            *_fields(df, [*shard, seq]),
+            T.StructField("size", T.IntegerType()),
+            T.StructField("flushed", T.ArrayType(T.StringType())),
+        ]
+    )
+    return _stateful(df.select(*shard, seq, category), shard, p.BatchFlush(seq, category, n), schema)
+
+
 def expiring_counter(df: DataFrame, keys, seq: str, ttl: timedelta) -> DataFrame:
     """Counter on the clock: restarts once a key got no row for `ttl` of processing time."""
     schema = T.StructType([*_fields(df, [*keys, seq]), T.StructField("counter", T.LongType())])

@@ -142,6 +142,46 @@ class SessionCounter(_Keyed):
         self.session.update((last, counter))
 
 
+class ExpiringSum(_Keyed):
+    """Key columns, seq, sum that starts anew after `ttl_us` of event-time silence."""
+
+    def __init__(self, at: str, seq: str, amount: str, ttl_us: int):
+        self.at, self.seq, self.amount, self.ttl_us = at, seq, amount, ttl_us
+
+    def init(self, handle):
+        self.sum = handle.getValueState("sum", "last bigint, total decimal(38,2)")
+
+    def handleInputRows(self, key, rows, timerValues):
+        last, total = self.sum.get() if self.sum.exists() else (None, Decimal(0))
+        for row in in_order(rows, self.at, self.seq):
+            if last is not None and row[self.at] - last >= self.ttl_us:
+                total = Decimal(0)
+            total += row[self.amount] or 0
+            last = row[self.at]
+            yield self.row(*key, row[self.seq], total)
+        self.sum.update((last, total))
+
+
+class BatchFlush(_Keyed):
+    """Key columns, seq, fill of the buffer, and the buffered categories when it is full."""
+
+    def __init__(self, seq: str, category: str, n: int):
+        self.seq, self.category, self.n = seq, category, n
+
+    def init(self, handle):
+        self.buffer = handle.getListState("buffer", "category string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        items = [i[0] for i in self.buffer.get()] if self.buffer.exists() else []
+        for row in in_order(rows, self.seq):
+            items.append(row[self.category])
+            full = len(items) == self.n
+            yield self.row(*key, row[self.seq], len(items), list(items) if full else None)
+            if full:
+                items = []
+        _replace(self.buffer, [(i,) for i in items])
+
+
 class ExpiringCounter(_Keyed):
     """The same on the clock: state that was not written for `ttl_ms` is gone."""
 

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.operators.changelog import running_total
+from tidemark.operators.joins import lookup_dimension
 from tidemark.operators.ranking import latest_per_key, top_spenders
 
 
@@ -79,8 +81,11 @@ class KeyedTable:
     def writer(self, order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
         return lambda batch, batch_id: self.write(batch, batch_id, order)
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The current rows, or those before a batch."""
         bases, changes = self._versions(spark, "base"), self._versions(spark, "changes")
+        if before is not None:
+            bases, changes = [v for v in bases if v < before], [v for v in changes if v < before]
         base = bases[-1] if bases else None
         paths = [f"{self.path}/changes/v={v}" for v in changes if base is None or v > base]
         if base is not None:
@@ -137,6 +142,54 @@ def streaming_top(
     return totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(rank)
 
 
+def running_totals_by_batch(
+    stream: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    amount: str,
+    table: KeyedTable,
+    checkpoint: str,
+    publish: Callable[[DataFrame, int], None],
+) -> DataStreamWriter:
+    """A running total per row for streams with hot keys.
+
+    A stateful processor works through a key in one task. Here every micro-batch
+    goes through the batch operator, which splits hot keys, and adds the totals
+    of the earlier batches from a keyed table. `keys` must not be null. A
+    repeated batch starts from the same totals, so it publishes the same rows.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = running_total(batch, keys, seq, amount, "_own")
+        try:
+            old = table.read(spark, before=batch_id).withColumnRenamed("total", "_old")
+        except FileNotFoundError:
+            old = batch.limit(0).select(*keys, F.lit(None).cast("decimal(38,2)").alias("_old"))
+        joined = rows.join(old, list(keys), "left")
+        total = F.coalesce(F.col("_old"), F.lit(0)) + F.coalesce(F.col("_own"), F.lit(0))
+        publish(joined.withColumn("total", total).drop("_own", "_old"), batch_id)
+        added = batch.groupBy(*keys).agg(F.sum(amount).alias("_own")).join(old, list(keys), "left")
+        table.write(added.select(*keys, total.alias("total")), batch_id)
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(add)
+
+
+def enrich_each_batch(
+    stream: DataFrame,
+    read_dimension: Callable[[SparkSession], DataFrame],
+    keys: Sequence[str],
+    checkpoint: str,
+    publish: Callable[[DataFrame, int], None],
+) -> DataStreamWriter:
+    """Left join with a dimension that is read anew for every micro-batch."""
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        publish(lookup_dimension(batch, read_dimension(batch.sparkSession), keys), batch_id)
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(enrich)
+
+
 def dual_run(
     old: DataFrame, new: DataFrame, folder: str, keys: Sequence[str], new_keys: Sequence[str] | None = None
 ) -> tuple[tuple[DataStreamWriter, KeyedTable], tuple[DataStreamWriter, KeyedTable]]:
