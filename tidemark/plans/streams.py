@@ -117,3 +117,79 @@ def stream_abandoned_cart(spark, folder):
         timedelta(hours=6), cart="click",
     )
     return _finished(alerts, "carts")
+
+
+BY_USER = "OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)"
+
+
+@query(
+    "stream_changelog",
+    f"""WITH r AS (SELECT event_id, user_id, amount, SUM(amount) {BY_USER} AS total, COUNT(*) {BY_USER} AS n FROM {EVENTS_SQL})
+    SELECT event_id, user_id, CASE WHEN n = 1 THEN '+I' ELSE '+U' END AS op, 1 AS step, CAST(total AS DOUBLE) AS total FROM r
+    UNION ALL SELECT event_id, user_id, '-U', 0, CAST(total - amount AS DOUBLE) FROM r WHERE n > 1""",
+)
+def stream_changelog(spark, folder):
+    changes = s.to_changelog(_events(spark, folder), ["user_id"], "event_id", "amount")
+    return as_doubles(_finished(changes, "changes"), "total")
+
+
+@query(
+    "stream_click_history",
+    f"""SELECT event_id, user_id, COUNT(*) {BY_USER} AS "count",
+        array_to_string(list(event_type) OVER (PARTITION BY user_id ORDER BY event_id ROWS 4 PRECEDING), ',') AS last_categories
+    FROM events""",
+)
+def stream_click_history(spark, folder):
+    seen = _finished(s.click_history(_events(spark, folder), ["user_id"], "event_id", "event_type"), "history")
+    return seen.withColumn("last_categories", F.array_join("last_categories", ","))
+
+
+@query(
+    "stream_ttl_counter",
+    """SELECT event_id, user_id, ROW_NUMBER() OVER (PARTITION BY user_id, session ORDER BY ts, event_id) AS counter
+    FROM (SELECT *, SUM(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session
+        FROM (SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 12 HOURS
+            THEN 0 ELSE 1 END AS new FROM events))""",
+)
+def stream_ttl_counter(spark, folder):
+    counted = s.session_counter(_events(spark, folder), ["user_id"], "ts", "event_id", 12 * HOUR)
+    return _finished(counted, "sessions")
+
+
+@query(
+    "stream_enrich_tier",
+    """SELECT c.event_id, c.user_id, COALESCE('tier' || CAST(p.event_id % 3 AS VARCHAR), 'unknown') AS tier
+    FROM (SELECT * FROM events WHERE event_type <> 'signup') c
+    ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup') p
+    ON c.user_id = p.user_id AND c.event_id >= p.event_id""",
+)
+def stream_enrich_tier(spark, folder):
+    every = _events(spark, folder)
+    clicks = every.where(F.col("event_type") != "signup").select("event_id", "user_id")
+    profiles = every.where(F.col("event_type") == "signup").select(
+        "event_id", "user_id", F.concat(F.lit("tier"), (F.col("event_id") % 3).cast("string")).alias("tier")
+    )
+    return _finished(s.enrich_with_tier(clicks, profiles, "user_id", "event_id"), "tiers")
+
+
+@query(
+    "stream_temporal_join",
+    f"""SELECT t.event_id, t.user_id, CAST(t.amount AS DOUBLE) AS amount, CAST(r.amount AS DOUBLE) AS rate
+    FROM (SELECT * FROM {EVENTS_SQL} WHERE event_type = 'purchase') t
+    ASOF JOIN (SELECT * FROM {EVENTS_SQL} WHERE event_type = 'signup') r
+    ON t.user_id = r.user_id AND t.ts >= r.ts
+    WHERE date_trunc('millisecond', t.ts - INTERVAL 1 MICROSECOND) + INTERVAL 1 MILLISECOND <= date_trunc('millisecond',
+        (SELECT LEAST(MAX(ts) FILTER (WHERE event_type = 'purchase'), MAX(ts) FILTER (WHERE event_type = 'signup')) FROM events))
+        - INTERVAL 1 HOUR""",
+)
+def stream_temporal_join(spark, folder):
+    """The slower of the two inputs sets the watermark; later trades still wait."""
+    every = _events(spark, folder)
+    trades = s.with_watermark(every.where(F.col("event_type") == "purchase"), "ts", HOUR)
+    rates = s.with_watermark(every.where(F.col("event_type") == "signup"), "ts", HOUR)
+    joined = s.as_of(
+        trades.select("event_id", "user_id", "ts", "amount"),
+        rates.select("event_id", "user_id", "ts", F.col("amount").alias("rate")),
+        "user_id", "ts", "event_id", "rate",
+    )
+    return as_doubles(_finished(joined, "temporal").drop("ts"), "amount", "rate")
