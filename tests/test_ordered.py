@@ -107,3 +107,14 @@ def test_empty(spark):
     df = spark.createDataFrame([], "k string, ts bigint")
     assert o.scan(df, ["k"], ["ts"], n=o.running_count()).count() == 0
     assert o.scan(df, [], ["ts"], n=o.running_count()).count() == 0
+
+
+def test_profile_of_a_cheaper_table(spark):
+    rows = make_rows(tied=True)
+    df = spark.createDataFrame(rows, "k string, ts bigint, id bigint, v int")
+    for like in (df.select("k", "ts"), df.select("k"), df):
+        groups = o.OrderedGroups(df.withColumn("w", F.col("v") + 1), ["k"], ["ts", "id"], 20, like)
+        assert groups.marks
+        out = groups.done(groups.scan(groups.rows, n=o.running_count()))
+        expected = by_hand(rows, True)
+        assert {r["id"]: r["n"] for r in out.collect()} == {i: e["n"] for i, e in expected.items()}

@@ -84,7 +84,7 @@ def leader_changelog(
     summed = scan(df, [group, member], [seq], max_rows, True, _sum=spent)
     best = F.struct((-F.col("_sum")).alias("under"), F.col(member).alias("member"))
     led = scan(
-        summed, [group], [seq], max_rows,
+        summed, [group], [seq], max_rows, like=df,
         _best=running_min(best), _was=running_min(best, before=True),
     )
     changed = led.where(F.col("_was").isNull() | (F.col("_best") != F.col("_was")))

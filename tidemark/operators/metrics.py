@@ -129,7 +129,8 @@ def sustained_average(
     moves = _enter_and_leave(
         points, list(series), step(F.col(at), 0, 1), step(F.col(at) + interval(over), 1, -1)
     )
-    groups = OrderedGroups(moves, series, ["_t", "_side"], max_rows)
+    like = samples.withColumns({"_t": F.col(at), "_side": F.lit(0)})
+    groups = OrderedGroups(moves, series, ["_t", "_side"], max_rows, like)
     summed = groups.scan(groups.rows, _sum=running_sum("_dv"), _n=running_sum("_dk"))
     average = F.col("_sum").cast("double") / F.when(F.col("_n") != 0, F.col("_n"))
     level = groups.settle(summed.where("_side = 0").withColumn("average", average))
@@ -181,7 +182,10 @@ def range_increase(
         step(F.col(at), 0, F.coalesce(F.col("_d"), F.col("_d") * 0)),
         F.when(F.col("_d").isNotNull(), step(gone, 1, -F.col("_d"))),
     )
-    summed = scan(moves, series, ["_t", "_side", tie], max_rows, True, increase=running_sum("_dv"))
+    like = samples.withColumns({"_t": F.col(at), "_side": F.lit(0)})
+    summed = scan(
+        moves, series, ["_t", "_side", tie], max_rows, True, like, increase=running_sum("_dv")
+    )
     return summed.where("_side = 0").select(
         *series, F.col("_t").alias(at), tie, F.coalesce("increase", F.lit(0)).alias("increase")
     )
@@ -200,7 +204,7 @@ def increase_alert(
 ) -> DataFrame:
     """Fires while the increase has been above the threshold for at least `hold`."""
     grown = range_increase(samples, series, at, tie, value, over, max_rows)
-    groups = OrderedGroups(grown, series, [at, tie], max_rows)
+    groups = OrderedGroups(grown, series, [at, tie], max_rows, like=samples)
     fired = _held(groups, groups.rows, F.col("increase") > threshold, at, hold)
     return fired.select(*series, at, tie, "increase", "firing")
 

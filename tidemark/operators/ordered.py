@@ -201,18 +201,23 @@ class OrderedGroups:
         keys: Sequence[str],
         order: Sequence[str],
         max_rows: int | None = None,
+        like: DataFrame | None = None,
     ):
+        """`like` has about the same rows per key as `df` but costs less to read.
+
+        It is profiled in its place, with the cut points of the order columns it has.
+        """
         self.keys = list(keys)
         self.order = list(order)
         self.marks: list[str] = []
         self.rows = df
         self.bound = 0
-        self._split(df, max_rows)
+        self._split(df, df if like is None else like, max_rows)
 
-    def _split(self, df: DataFrame, max_rows: int | None) -> None:
+    def _split(self, df: DataFrame, like: DataFrame, max_rows: int | None) -> None:
         # finer shares than a quarter of a core's would not balance better
         shares = 4 * max(df.sparkSession.sparkContext.defaultParallelism, 16)
-        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
+        counts = like.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
         seen = counts.agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
         total, top = seen["total"] or 0, seen["top"] or 0
         limit = max(max_rows or ROWS_PER_STRETCH, total // shares)
@@ -228,18 +233,23 @@ class OrderedGroups:
         if pieces < 2:
             return
         if self.keys:
-            schema = T.StructType([df.schema[k] for k in self.keys])
+            schema = T.StructType([like.schema[k] for k in self.keys])
             names = {k: f"_hot_{k}" for k in self.keys}
             small = df.sparkSession.createDataFrame(hot, schema).withColumnsRenamed(names)
             small = F.broadcast(small.withColumn("_hot", F.lit(True)))
             match = _all(F.col(k).eqNullSafe(F.col(n)) for k, n in names.items())
-            marked = df.join(small, match, "left").drop(*names.values())
+
+            def marked(rows: DataFrame) -> DataFrame:
+                return rows.join(small, match, "left").drop(*names.values())
         else:
-            marked = df.withColumn("_hot", F.lit(True))
-        self.rows = self._cut(marked, pieces).drop("_hot")
+
+            def marked(rows: DataFrame) -> DataFrame:
+                return rows.withColumn("_hot", F.lit(True))
+
+        self.rows = self._cut(marked(df), marked(like), pieces).drop("_hot")
         self.bound *= hot_keys
 
-    def _cut(self, df: DataFrame, pieces: int) -> DataFrame:
+    def _cut(self, df: DataFrame, like: DataFrame, pieces: int) -> DataFrame:
         """Mark each hot row with its stretch, one mark per order column used."""
         open_rows = F.coalesce(F.col("_hot"), F.lit(False))
         open_values = 1
@@ -249,8 +259,9 @@ class OrderedGroups:
                 break
             number = F.coalesce(number, F.lit(float("-inf")))
             shares = [i / pieces for i in range(1, pieces)]
+            probed = like if name in like.columns else df
             found = (
-                df.where(open_rows)
+                probed.where(open_rows)
                 .agg(F.percentile_approx(number, shares, max(10_000, 10 * pieces)).alias("cuts"))
                 .first()["cuts"]
             )
@@ -368,12 +379,13 @@ def scan(
     order: Sequence[str],
     max_rows: int | None = None,
     settled: bool = False,
+    like: DataFrame | None = None,
     **values: Running | Tail,
 ) -> DataFrame:
     """One pass of running values over the groups.
 
     `settled` writes the result if keys were split, for callers that scan it again.
     """
-    groups = OrderedGroups(df, keys, order, max_rows)
+    groups = OrderedGroups(df, keys, order, max_rows, like)
     result = groups.done(groups.scan(groups.rows, **values))
     return groups.settle(result) if settled else result
