@@ -118,3 +118,14 @@ def test_profile_of_a_cheaper_table(spark):
         out = groups.done(groups.scan(groups.rows, n=o.running_count()))
         expected = by_hand(rows, True)
         assert {r["id"]: r["n"] for r in out.collect()} == {i: e["n"] for i, e in expected.items()}
+
+
+def test_carried_values_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(o, "CARRIED_ROWS", 0)
+    rows = make_rows(tied=True)
+    df = spark.createDataFrame(rows, "k string, ts bigint, id bigint, v int")
+    out = o.scan(df, ["k"], ["ts", "id"], 20, n=o.running_count(), tail=o.tail("v", 5))
+    expected = by_hand(rows, True)
+    assert {r["id"]: (r["n"], r["tail"]) for r in out.collect()} == {
+        i: (e["n"], e["tail"]) for i, e in expected.items()
+    }

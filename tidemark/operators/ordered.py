@@ -32,6 +32,7 @@ from tidemark.functions.scalars import list_tail, order_number
 from tidemark.session import write_and_read
 
 ROWS_PER_STRETCH = 1_000_000
+ROWS_PER_CUT = 2_000  # rows looked at per cut point
 CARRIED_ROWS = 10_000  # up to here the carried values are broadcast, else shuffled
 
 
@@ -217,41 +218,45 @@ class OrderedGroups:
     def _split(self, df: DataFrame, like: DataFrame, max_rows: int | None) -> None:
         # finer shares than a quarter of a core's would not balance better
         shares = 4 * max(df.sparkSession.sparkContext.defaultParallelism, 16)
-        counts = like.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
-        seen = counts.agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
-        total, top = seen["total"] or 0, seen["top"] or 0
+        total = like.count()
         limit = max(max_rows or ROWS_PER_STRETCH, total // shares)
-        pieces = math.ceil(top / limit)
         if not self.keys:
             # one group that holds everything: always cut it
-            pieces = max(pieces, min(8, total // 2))
-            hot_keys = 1
-        elif top > limit:
-            # fewer than `shares` keys can exceed the limit
-            hot = counts.where(F.col("n") > limit).select(*self.keys).collect()
-            hot_keys = len(hot)
-        if pieces < 2:
-            return
-        if self.keys:
-            schema = T.StructType([like.schema[k] for k in self.keys])
-            names = {k: f"_hot_{k}" for k in self.keys}
-            small = df.sparkSession.createDataFrame(hot, schema).withColumnsRenamed(names)
-            small = F.broadcast(small.withColumn("_hot", F.lit(True)))
-            match = _all(F.col(k).eqNullSafe(F.col(n)) for k, n in names.items())
+            pieces, hot_rows, hot_keys = max(math.ceil(total / limit), min(8, total // 2)), total, 1
 
             def marked(rows: DataFrame) -> DataFrame:
-                return rows.join(small, match, "left").drop(*names.values())
+                return rows.withColumn("_hot", F.lit(0))
         else:
+            hot = []
+            if total > limit:
+                # fewer than `shares` keys can exceed the limit
+                counts = like.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_rows"))
+                hot = counts.where(F.col("_rows") > limit).collect()
+            pieces = math.ceil(max((r["_rows"] for r in hot), default=0) / limit)
+            hot_rows, hot_keys = sum(r["_rows"] for r in hot), len(hot)
+            names = {k: f"_hot_{k}" for k in self.keys}
+            schema = [T.StructField(n, like.schema[k].dataType) for k, n in names.items()]
+            small = df.sparkSession.createDataFrame(
+                [(*r[:-1], i) for i, r in enumerate(hot)],
+                T.StructType([*schema, T.StructField("_hot", T.IntegerType())]),
+            )
 
             def marked(rows: DataFrame) -> DataFrame:
-                return rows.withColumn("_hot", F.lit(True))
+                match = _all(F.col(k).eqNullSafe(F.col(n)) for k, n in names.items())
+                return rows.join(F.broadcast(small), match, "left").drop(*names.values())
 
-        self.rows = self._cut(marked(df), marked(like), pieces).drop("_hot")
+        if pieces < 2:
+            return
+        share = min(1.0, ROWS_PER_CUT * pieces / max(hot_rows, 1))
+        self.rows = self._cut(marked(df), marked(like), pieces, share).drop("_hot")
         self.bound *= hot_keys
 
-    def _cut(self, df: DataFrame, like: DataFrame, pieces: int) -> DataFrame:
-        """Mark each hot row with its stretch, one mark per order column used."""
-        open_rows = F.coalesce(F.col("_hot"), F.lit(False))
+    def _cut(self, df: DataFrame, like: DataFrame, pieces: int, share: float) -> DataFrame:
+        """Mark each hot row with its stretch, one mark per order column used.
+
+        A share of the rows is enough to find cut points; all rows are marked.
+        """
+        open_rows = F.col("_hot").isNotNull()
         open_values = 1
         for name in self.order:
             number = order_number(name, df.schema[name].dataType)
@@ -260,6 +265,8 @@ class OrderedGroups:
             number = F.coalesce(number, F.lit(float("-inf")))
             shares = [i / pieces for i in range(1, pieces)]
             probed = like if name in like.columns else df
+            if share < 1:
+                probed = probed.sample(share, seed=1)
             found = (
                 probed.where(open_rows)
                 .agg(F.percentile_approx(number, shares, max(10_000, 10 * pieces)).alias("cuts"))
@@ -278,7 +285,13 @@ class OrderedGroups:
                 handleInvalid="keep",
             )
             df = to_mark.transform(df.withColumn("_number", number))
-            df = df.withColumn(mark, F.when(open_rows, F.col("_bucket").cast("int")))
+            bucket = F.col("_bucket").cast("long")
+            if not self.marks:
+                # one number for key and stretch, null for all other keys
+                number_of = F.when(open_rows, F.col("_hot") * F.lit(2**32) + bucket)
+            else:
+                number_of = F.when(open_rows, bucket).otherwise(-1)
+            df = df.withColumn(mark, number_of)
             df = df.drop("_number", "_bucket")
             self.marks.append(mark)
             self.bound += open_values * (len(splits) + 1)
@@ -311,7 +324,10 @@ class OrderedGroups:
             if self.marks:
                 boxes = list_tail(F.when(old.isNull(), own).otherwise(F.concat(old, own)), value.n)
             return F.transform(boxes, lambda b: b["v"])
-        return value.finish(value.combine(own, old) if self.marks else own)
+        if self.marks:
+            split = F.col(self.marks[0]).isNotNull()
+            own = F.when(split, value.combine(own, old)).otherwise(own)
+        return value.finish(own)
 
     def _carried(self, df: DataFrame, values: dict[str, Running | Tail]) -> DataFrame:
         """Per stretch of a hot key: what it takes over from the other stretches."""
@@ -355,11 +371,13 @@ class OrderedGroups:
         )
 
     def _join_carried(self, df: DataFrame, carried: DataFrame) -> DataFrame:
-        groups = self.keys + self.marks
+        match = _all(F.col(m) == F.col(f"_to_{m}") for m in self.marks)
         if self.bound <= CARRIED_ROWS:
             carried = F.broadcast(carried)
-        match = _all(F.col(g).eqNullSafe(F.col(f"_to_{g}")) for g in groups)
-        return df.join(carried, match, "left").drop(*[f"_to_{g}" for g in groups])
+        else:
+            # the marks say it all, but the keys spread the rows that have none
+            match = _all([match, *[F.col(k).eqNullSafe(F.col(f"_to_{k}")) for k in self.keys]])
+        return df.join(carried, match, "left").drop(*[f"_to_{g}" for g in self.keys + self.marks])
 
     def settle(self, df: DataFrame) -> DataFrame:
         """Between two scans of split groups: write the rows instead of computing them twice."""
