@@ -63,13 +63,15 @@ def partition_report(df: DataFrame) -> DataFrame:
 
 
 def salted_partials(
-    df: DataFrame, keys: Sequence[str], amount: str, row_id: Sequence[str], salts: int = SALTS
+    df: DataFrame, keys: Sequence[str], amount: str, row_id: Sequence[str] | Column, salts: int = SALTS
 ) -> DataFrame:
     """Phase one: sum and count per key and salt.
 
-    The salt is a hash of the row's identity, so a repeated task salts alike.
+    The salt is a hash of the row's identity, so a repeated task salts alike. A
+    number that is spread evenly anyway, such as a running id, can be given as it is.
     """
-    salt = F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
+    number = row_id if isinstance(row_id, Column) else F.xxhash64(*row_id)
+    salt = F.pmod(number, F.lit(salts)).cast("int")
     return df.groupBy(*keys, salt.alias("salt")).agg(
         F.sum(amount).alias("total"), F.count(F.lit(1)).alias("n")
     )

@@ -284,9 +284,15 @@ def salted_window_totals(spark, folder):
     )
 
 
-@query("salted_partials")
+@query(
+    "salted_partials",
+    f"""SELECT event_type, CAST(event_id % 8 AS INTEGER) AS salt, CAST(SUM(amount) AS DOUBLE) AS total,
+        COUNT(*) AS n FROM {EVENTS_SQL} GROUP BY 1, 2""",
+)
 def salted_partials(spark, folder):
-    parts = partitioning.salted_partials(events(spark, folder), ["event_type"], "amount", ["event_id"])
+    parts = partitioning.salted_partials(
+        events(spark, folder), ["event_type"], "amount", F.col("event_id")
+    )
     return as_doubles(parts, "total")
 
 
