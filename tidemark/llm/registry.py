@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("url_filter",)
+MODULES = ("quality_rules", "url_filter")
 
 
 def _modules():
