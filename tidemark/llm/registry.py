@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("minhash_dedup", "quality_rules", "url_filter")
+MODULES = ("decontaminate", "minhash_dedup", "quality_rules", "url_filter")
 
 
 def _modules():
