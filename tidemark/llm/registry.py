@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("decontaminate", "licenses", "minhash_dedup", "quality_rules", "url_filter")
+MODULES = ("decontaminate", "licenses", "quality_gam", "sentencepiece_viterbi", "minhash_dedup", "quality_rules", "url_filter")
 
 
 def _modules():
