@@ -9,7 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("decontaminate", "licenses", "quality_gam", "sentencepiece_viterbi", "minhash_dedup", "quality_rules", "url_filter")
+MODULES = (
+    "decontaminate",
+    "main_text",
+    "licenses",
+    "quality_gam",
+    "sentencepiece_viterbi",
+    "minhash_dedup",
+    "quality_rules",
+    "url_filter",
+)
 
 
 def _modules():
