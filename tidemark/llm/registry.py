@@ -16,6 +16,7 @@ MODULES = (
     "quality_gam",
     "sentencepiece_viterbi",
     "minhash_dedup",
+    "paragraph_dedup",
     "quality_rules",
     "url_filter",
 )
