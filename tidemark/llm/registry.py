@@ -14,6 +14,7 @@ MODULES = (
     "main_text",
     "licenses",
     "quality_gam",
+    "suffix_dedup",
     "sentencepiece_viterbi",
     "minhash_dedup",
     "paragraph_dedup",
