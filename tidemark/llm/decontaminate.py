@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from tidemark.llm.words import ALNUM, LOWER, utf8
@@ -332,9 +332,13 @@ def _without(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def remove_spans(found: DataFrame, text: str = "text") -> DataFrame:
-    """The texts without their spans, from the first byte of a span's first word to the last of its last."""
-    return found.withColumn(text, _without(F.col(text), F.col("hits.spans")))
+def remove_spans(found: DataFrame, text: str = "text", where: Column | None = None) -> DataFrame:
+    """The texts without their spans, from the first byte of a span's first word to the last of its last.
+
+    where: the rows that lose them (all by default).
+    """
+    spans = F.col("hits.spans") if where is None else F.when(where, F.col("hits.spans"))
+    return found.withColumn(text, _without(F.col(text), spans))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
