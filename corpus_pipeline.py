@@ -5,16 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tidemark
+from tidemark.llm import decontaminate, minhash_dedup, paragraph_dedup, quality_rules, sentencepiece_viterbi
 from tidemark.session import write_and_read
 
 cloudpickle.register_pickle_by_value(tidemark)
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of documents, n_chars counted anew."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the smallest id stays."""
+    return minhash_dedup.dedup(docs).select(*docs.columns)
+
+
+def repeated_paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Paragraphs that stand in an earlier document, or earlier in the same, are cut out; documents stay."""
+    return _with_text(paragraph_dedup.dedup(docs), docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The benchmark's words are cut out of documents of which they are a twentieth or more; documents stay."""
+    found = decontaminate.find_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    cut = decontaminate.remove_spans(found, where=decontaminate.contaminated())
+    return _with_text(cut, docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text that they decode to."""
+    tokens = sentencepiece_viterbi.encode_texts(docs)
+    return sentencepiece_viterbi.decode_texts(tokens).withColumn("n_tokens", F.size("tokens").cast("long"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality),
+    ("near_dedup", near_duplicates),
+    ("substring_dedup", repeated_paragraphs),
+    ("decontamination", decontaminated),
+    ("sentencepiece", encoded),
+]
 
 ORACLE_SQL = None
 
