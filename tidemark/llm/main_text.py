@@ -21,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -220,7 +219,6 @@ _CUT = StructType(
         StructField("path", StringType()),
         StructField("line", ArrayType(StringType())),
         StructField("kind", ArrayType(IntegerType())),
-        StructField("hash", _LONGS),
     ]
 )
 
@@ -243,10 +241,9 @@ def _cut(urls: pd.Series, pages: pd.Series) -> pd.DataFrame:
                 *host_and_path(url),
                 [t for t, _ in lines],
                 [k for _, k in lines],
-                [xxhash.xxh64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t, _ in lines],
             )
         )
-    return pd.DataFrame(rows, columns=["host", "path", "line", "kind", "hash"])
+    return pd.DataFrame(rows, columns=["host", "path", "line", "kind"])
 
 
 def _neighbours(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -332,9 +329,13 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", page: str =
         ),
         "lines",
     )
+    best = F.when(F.array_contains("kind", 2), 2).when(F.array_contains("kind", 3), 3).otherwise(1)
+    cut = cut.withColumns({"best": best, "hash": F.transform("line", lambda line: F.xxhash64(line))})
     compared = cut.where((F.col("host") != "") & F.col("page").isNotNull() & (F.size("hash") > 0))
     shared = shared_lines(compared.dropDuplicates(["page"]).select("page", "host", "path", "hash"))
-    best = F.when(F.array_contains("kind", 2), 2).when(F.array_contains("kind", 3), 3).otherwise(1)
+    # written, so that the planner knows its size; pages with an article keep all of its lines
+    asked = compared.where("best <> 2").select("page").distinct()
+    shared = write_and_read(shared.where(F.size("template") > 0).join(asked, "page", "left_semi"), "template")
     none = F.array().cast("array<long>")
     rows = F.arrays_zip("line", "kind", "hash")
     kept = F.filter(
@@ -343,8 +344,7 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", page: str =
         & ((r["kind"] == 2) | ~F.array_contains(F.coalesce(F.col("template"), none), r["hash"])),
     )
     return (
-        cut.withColumn("best", best)
-        .join(shared, "page", "left")
+        cut.join(shared, "page", "left")
         .select(
             F.col("page").alias(id), F.col("url").alias(url), F.array_join(F.transform(kept, lambda r: r["line"]), "\n").alias("text")
         )
