@@ -120,12 +120,30 @@ def test_profile_of_a_cheaper_table(spark):
         assert {r["id"]: r["n"] for r in out.collect()} == {i: e["n"] for i, e in expected.items()}
 
 
-def test_carried_values_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(o, "CARRIED_ROWS", 0)
-    rows = make_rows(tied=True)
-    df = spark.createDataFrame(rows, "k string, ts bigint, id bigint, v int")
-    out = o.scan(df, ["k"], ["ts", "id"], 20, n=o.running_count(), tail=o.tail("v", 5))
-    expected = by_hand(rows, True)
-    assert {r["id"]: (r["n"], r["tail"]) for r in out.collect()} == {
-        i: (e["n"], e["tail"]) for i, e in expected.items()
-    }
+@pytest.mark.parametrize("keys", [8, 32])
+@pytest.mark.parametrize("text", [False, True])
+def test_keys_one_after_another_are_cut(spark, keys, text):
+    rows = [(f"k{i // 300}", f"{i:08d}" if text else i, i) for i in range(300 * keys)]
+    df = spark.createDataFrame(rows, f"k string, at {'string' if text else 'bigint'}, id bigint")
+    groups = o.OrderedGroups(df, ["k"], ["at", "id"], 100)
+    largest = groups.rows.groupBy("k", *groups.marks).count().agg(F.max("count")).first()[0]
+    limit = max(100, 300 * keys // (4 * 16))
+    assert largest <= 2 * limit
+    out = groups.done(groups.scan(groups.rows, n=o.running_count(), last=o.previous("id"))).collect()
+    assert all((r["n"], r["last"]) == (r["id"] % 300 + 1, r["id"] - 1 if r["id"] % 300 else None) for r in out)
+
+
+def test_one_text_for_many_rows_is_cut_by_the_next_column(spark):
+    rows = [("hot", "same" if i % 3 else f"t{i:05d}", i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, at string, id bigint")
+    groups = o.OrderedGroups(df, ["k"], ["at", "id"], 50)
+    assert len(groups.marks) == 2
+    out = groups.done(groups.scan(groups.rows, n=o.running_count())).collect()
+    want = {i: n for n, (_, _, i) in enumerate(sorted(rows, key=lambda r: (r[1], r[2])), 1)}
+    assert {r["id"]: r["n"] for r in out} == want
+
+
+def test_an_order_without_cut_points_is_refused(spark):
+    df = spark.range(500).selectExpr("1 AS k", "array(id) AS at")
+    with pytest.raises(TypeError, match="cut points"):
+        o.OrderedGroups(df, ["k"], ["at"], 50)

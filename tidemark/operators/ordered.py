@@ -6,7 +6,7 @@ whose share is too large is cut into consecutive stretches of its order:
 
 1. the keys are counted (combined before the shuffle) and the few that exceed
    the limit are marked;
-2. quantiles of the order column give cut points for the marked rows. Values
+2. quantiles of the order column within each marked key give cut points. Values
    that fill a stretch by themselves are cut again by the next order column;
 3. the rows are windowed by key and stretch in one shuffle;
 4. each stretch is reduced to one summary row, a window over these few rows
@@ -33,7 +33,7 @@ from tidemark.session import write_and_read
 
 ROWS_PER_STRETCH = 1_000_000
 ROWS_PER_CUT = 2_000  # rows looked at per cut point
-CARRIED_ROWS = 10_000  # up to here the carried values are broadcast, else shuffled
+GRID = 1000  # least number of quantiles that are looked at per hot key
 
 
 @dataclass(frozen=True)
@@ -212,7 +212,6 @@ class OrderedGroups:
         self.order = list(order)
         self.marks: list[str] = []
         self.rows = df
-        self.bound = 0
         self._split(df, df if like is None else like, max_rows)
 
     def _split(self, df: DataFrame, like: DataFrame, max_rows: int | None) -> None:
@@ -222,23 +221,25 @@ class OrderedGroups:
         limit = max(max_rows or ROWS_PER_STRETCH, total // shares)
         if not self.keys:
             # one group that holds everything: always cut it
-            pieces, hot_rows, hot_keys = max(math.ceil(total / limit), min(8, total // 2)), total, 1
+            pieces, hot_rows = max(math.ceil(total / limit), min(8, total // 2)), total
 
             def marked(rows: DataFrame) -> DataFrame:
-                return rows.withColumn("_hot", F.lit(0))
+                return rows.withColumns({"_hot": F.lit(0), "_pieces": F.lit(pieces)})
         else:
             hot = []
             if total > limit:
                 # fewer than `shares` keys can exceed the limit
                 counts = like.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_rows"))
                 hot = counts.where(F.col("_rows") > limit).collect()
-            pieces = math.ceil(max((r["_rows"] for r in hot), default=0) / limit)
-            hot_rows, hot_keys = sum(r["_rows"] for r in hot), len(hot)
+            pieces = sum(math.ceil(r["_rows"] / limit) for r in hot)
+            hot_rows = sum(r["_rows"] for r in hot)
             names = {k: f"_hot_{k}" for k in self.keys}
             schema = [T.StructField(n, like.schema[k].dataType) for k, n in names.items()]
             small = df.sparkSession.createDataFrame(
-                [(*r[:-1], i) for i, r in enumerate(hot)],
-                T.StructType([*schema, T.StructField("_hot", T.IntegerType())]),
+                [(*r[:-1], i, math.ceil(r[-1] / limit)) for i, r in enumerate(hot)],
+                T.StructType(
+                    [*schema, T.StructField("_hot", T.IntegerType()), T.StructField("_pieces", T.IntegerType())]
+                ),
             )
 
             def marked(rows: DataFrame) -> DataFrame:
@@ -248,59 +249,81 @@ class OrderedGroups:
         if pieces < 2:
             return
         share = min(1.0, ROWS_PER_CUT * pieces / max(hot_rows, 1))
-        self.rows = self._cut(marked(df), marked(like), pieces, share).drop("_hot")
-        self.bound *= hot_keys
+        grid = max(GRID, pieces)
+        self.rows = self._cut(marked(df), marked(like), share, grid).drop("_hot", "_pieces")
 
-    def _cut(self, df: DataFrame, like: DataFrame, pieces: int, share: float) -> DataFrame:
+    def _cut(self, df: DataFrame, like: DataFrame, share: float, grid: int) -> DataFrame:
         """Mark each hot row with its stretch, one mark per order column used.
 
-        A share of the rows is enough to find cut points; all rows are marked.
+        Every hot key gives its own cut points, and all keys are cut at all of them:
+        keys that follow one another in the order are then cut as well as keys that lie
+        over each other. A share of the rows is enough to find them; all rows are marked.
         """
         open_rows = F.col("_hot").isNotNull()
-        open_values = 1
         for name in self.order:
-            number = order_number(name, df.schema[name].dataType)
-            if number is None:
-                break
-            number = F.coalesce(number, F.lit(float("-inf")))
-            shares = [i / pieces for i in range(1, pieces)]
+            kind = df.schema[name].dataType
+            value = order_number(name, kind)
+            if value is not None:
+                value = F.coalesce(value, F.lit(float("-inf")))
+            elif isinstance(kind, T.StringType):
+                value = F.coalesce(F.col(name), F.lit(""))
+            else:
+                raise TypeError(f"rows of a large group cannot be cut by {name}: {kind.simpleString()} has no cut points")
             probed = like if name in like.columns else df
             if share < 1:
                 probed = probed.sample(share, seed=1)
-            found = (
-                probed.where(open_rows)
-                .agg(F.percentile_approx(number, shares, max(10_000, 10 * pieces)).alias("cuts"))
-                .first()["cuts"]
-            )
-            cuts = sorted(x for x in found or [] if math.isfinite(x))
-            repeated = {a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < 2**53}
-            splits = sorted(set(cuts) | {math.nextafter(x, math.inf) for x in repeated})
-            if not splits:
+            found = self._cut_points(probed.where(open_rows), value, isinstance(kind, T.StringType), grid)
+            cuts = sorted({x for own in found for x in own})
+            repeated = {a for own in found for a, b in zip(own, own[1:]) if a == b}
+            if isinstance(kind, T.StringType):
+                places = [value >= c for c in cuts] + [value > c for c in sorted(repeated)]
+                bucket = reduce(lambda a, b: a + b, [c.cast("long") for c in places], F.lit(0).cast("long"))
+                split = bool(cuts)
+            else:
+                repeated = {x for x in repeated if abs(x) < 2**53}
+                splits = sorted({*cuts, *(math.nextafter(x, math.inf) for x in repeated)})
+                split = bool(splits)
+            if not split:
                 break
-            mark = f"_stretch{len(self.marks)}"
-            to_mark = Bucketizer(
-                splits=[-math.inf, *splits, math.inf],
-                inputCol="_number",
-                outputCol="_bucket",
-                handleInvalid="keep",
-            )
-            df = to_mark.transform(df.withColumn("_number", number))
-            bucket = F.col("_bucket").cast("long")
+            if not isinstance(kind, T.StringType):
+                to_mark = Bucketizer(
+                    splits=[-math.inf, *splits, math.inf],
+                    inputCol="_number",
+                    outputCol="_bucket",
+                    handleInvalid="keep",
+                )
+                df = to_mark.transform(df.withColumn("_number", value))
+                bucket = F.col("_bucket").cast("long")
             if not self.marks:
                 # one number for key and stretch, null for all other keys
                 number_of = F.when(open_rows, F.col("_hot") * F.lit(2**32) + bucket)
             else:
                 number_of = F.when(open_rows, bucket).otherwise(-1)
-            df = df.withColumn(mark, number_of)
-            df = df.drop("_number", "_bucket")
+            mark = f"_stretch{len(self.marks)}"
+            df = df.withColumn(mark, number_of).drop("_number", "_bucket")
             self.marks.append(mark)
-            self.bound += open_values * (len(splits) + 1)
-            open_values = len(repeated)
             if not repeated:
                 break
-            open_rows = open_rows & number.isin(sorted(repeated))
+            open_rows = open_rows & value.isin(sorted(repeated))
         return df
 
+    def _cut_points(self, hot: DataFrame, value: Column, text: bool, grid: int) -> list[list]:
+        """The quantiles of each hot key: one less than its pieces."""
+        if text:
+            found = hot.groupBy("_hot", "_pieces").agg(F.sort_array(F.collect_list(value)).alias("every"))
+        else:
+            shares = [i / grid for i in range(1, grid)]
+            found = hot.groupBy("_hot", "_pieces").agg(F.percentile_approx(value, shares, 10 * grid).alias("every"))
+        n, k = F.size("every"), F.col("_pieces")
+        picked = F.transform(
+            F.filter(F.sequence(F.lit(0), k - 1), lambda i: i > 0),
+            lambda i: F.get("every", F.least(F.floor(i * n / k).cast("int"), n - 1)),
+        )
+        return [
+            sorted(x for x in r["cuts"] if x is not None and (text or math.isfinite(x)))
+            for r in found.select(picked.alias("cuts")).collect()
+        ]
+
     def scan(self, df: DataFrame, **values: Running | Tail) -> DataFrame:
         """Add one column per running value."""
         spread = _Windows(self.keys + self.marks, self.order)
@@ -372,12 +395,8 @@ class OrderedGroups:
 
     def _join_carried(self, df: DataFrame, carried: DataFrame) -> DataFrame:
         match = _all(F.col(m) == F.col(f"_to_{m}") for m in self.marks)
-        if self.bound <= CARRIED_ROWS:
-            carried = F.broadcast(carried)
-        else:
-            # the marks say it all, but the keys spread the rows that have none
-            match = _all([match, *[F.col(k).eqNullSafe(F.col(f"_to_{k}")) for k in self.keys]])
-        return df.join(carried, match, "left").drop(*[f"_to_{g}" for g in self.keys + self.marks])
+        # a row for each stretch of a hot key
+        return df.join(F.broadcast(carried), match, "left").drop(*[f"_to_{g}" for g in self.keys + self.marks])
 
     def settle(self, df: DataFrame) -> DataFrame:
         """Between two scans of split groups: write the rows instead of computing them twice."""
