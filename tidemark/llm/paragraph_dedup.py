@@ -8,10 +8,17 @@ first paragraph, by document and place, stays.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tidemark.llm.graph import components
 from tidemark.llm.minhash_dedup import Shape, links, signer
+from tidemark.llm.words import SPACED, Hasher, chunks, find_words, mix, utf8, windows
 from tidemark.session import write_and_read
 
 NAME = "op8_paragraph_dedup"
@@ -26,51 +33,132 @@ COORDINATES = 160
 
 
 def tuned(threshold: int = THRESHOLD, miss: float = MISS, coordinates: int = COORDINATES) -> Shape:
-    """The longest bands, and the fewest of them, that miss no more than `miss` with so many coordinates."""
+    """The longest bands, and the fewest of them, that miss no more than half of `miss` with so many coordinates."""
     t = threshold / 100
-    screen = next(k for k in range(1, 1000) if (1 - t) ** k <= miss / 2)
     for rows in range(coordinates, 0, -1):
         for bands in range(1, coordinates // rows + 1):
             if (1 - t**rows) ** bands <= miss / 2:
-                return Shape(threshold, bands, rows, screen=screen)
+                return Shape(threshold, bands, rows)
     raise ValueError("too few coordinates for that recall")
 
 
+def screening(threshold: int = THRESHOLD, miss: float = MISS) -> int:
+    """Single coordinates of which a pair of that similarity shares one, but for half of `miss`."""
+    return next(k for k in range(1, 1000) if (1 - threshold / 100) ** k <= miss / 2)
+
+
+_SCREENED = StructType(
+    [
+        StructField("n", LongType()),
+        StructField("key_a", LongType()),
+        StructField("key_b", LongType()),
+        StructField("single", ArrayType(LongType())),
+    ]
+)
+
+
+def _circulant64(x: np.ndarray, k: int) -> np.ndarray:
+    """Coordinate k of scattered 64-bit shingles: its least value tells the shingle itself."""
+    x = (x + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x * np.uint64(0xCA5A826395121157)
+
+
+def screener(shingle: int, screen: int):
+    """A column function: size, key and `screen` single coordinates of each text's shingle set.
+
+    The texts of a chunk are worked on together: one sort brings each text's shingles
+    in order, 44 bits of each, which keep the sets of one text apart.
+    """
+
+    @F.pandas_udf(_SCREENED)
+    def screened(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        hasher = Hasher()
+        none = np.zeros(0, np.int64)
+        for batch in texts:
+            rows = []
+            data, offsets = utf8(pa.array(batch, pa.large_string()))
+            for a, b in chunks(offsets):
+                part, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                words = find_words(part, bounds, SPACED)
+                runs, at = windows(words, hasher.ranges(part, words.starts, words.ends), shingle)
+                out = [(0, 0, 0, none)] * (b - a)
+                if len(runs):
+                    every = np.sort(words.text[at].astype(np.uint64) << np.uint64(44) | runs >> np.uint64(20))
+                    every = every[np.r_[True, every[1:] != every[:-1]]]
+                    text = (every >> np.uint64(44)).astype(np.int64)
+                    starts = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+                    sizes = np.diff(np.r_[starts, len(every)])
+                    with np.errstate(over="ignore"):
+                        shingles = mix(every & np.uint64((1 << 44) - 1))
+                        key_a = np.add.reduceat(shingles, starts).view(np.int64)
+                        key_b = np.bitwise_xor.reduceat(mix(shingles + np.uint64(1)), starts).view(np.int64)
+                        single = np.stack(
+                            [
+                                mix(np.minimum.reduceat(_circulant64(shingles, k), starts) + np.uint64(k))
+                                for k in range(screen)
+                            ],
+                            axis=1,
+                        ).view(np.int64)
+                    for k, place in enumerate(text[starts].tolist()):
+                        out[place] = (int(sizes[k]), int(key_a[k]), int(key_b[k]), single[k])
+                rows += out
+            yield pd.DataFrame(rows, columns=_SCREENED.names)
+
+    return screened
+
+
 def paragraphs(docs: DataFrame, id: str, text: str, min_words: int) -> DataFrame:
-    """Numbered paragraphs: uid, id, place (the line's number, from 0) and text."""
+    """Paragraphs: doc, place (the line's number, from 0) and text."""
     lines = docs.where(F.col(id).isNotNull()).select(
         F.col(id).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("place", "text")
     )
-    # so many words have at least so many characters between and in them
+    # so many words have at least so many characters in and between them
     long = lines.where(F.length("text") >= 2 * min_words - 1)
     words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    return long.where(words >= min_words).withColumn("uid", F.monotonically_increasing_id())
+    return long.where(words >= min_words)
 
 
 def repeats(
     docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, shape: Shape | None = None
 ) -> DataFrame:
-    """Paragraphs that go: id, and the numbers of the lines that are not the first of their component."""
+    """Paragraphs that go: doc, and the numbers of the lines that are not the first of their component.
+
+    All paragraphs are numbered and screened; only those that share a single coordinate
+    with one of another text are signed, banded and compared.
+    """
     shape = shape or tuned()
-    units = write_and_read(paragraphs(docs, id, text, min_words), "paragraphs")
-    texts = units.select(F.col("uid").alias("id"), "text")
+    if min_words < shape.shingle:
+        raise ValueError("a paragraph needs the words of a shingle")
+    lines = paragraphs(docs, id, text, min_words)
+    screened = screener(shape.shingle, screening(shape.threshold))("text")
     marks = write_and_read(
-        units.select(F.col("uid").alias("id"), "doc", "place", signer(shape)("text").alias("s")).select(
-            "id", "doc", "place", "s.*"
-        ),
-        "signatures",
+        lines.select("doc", "place", screened.alias("s"))
+        .select("doc", "place", "s.*")
+        .withColumn("id", F.monotonically_increasing_id()),
+        "paragraphs",
     )
     same = write_and_read(
         marks.groupBy("key_a", "key_b").agg(F.min("id").alias("rep"), F.min(F.struct("doc", "place")).alias("first")),
         "sets",
     )
-    nodes = marks.drop("doc", "place").join(same.select(F.col("rep").alias("id")), "id", "left_semi")
-    named = components(links(nodes, texts, shape)).withColumnRenamed("node", "rep")
-    placed = write_and_read(
-        same.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "named"
+    nodes = marks.join(same.select(F.col("rep").alias("id")), "id", "left_semi")
+    single = nodes.select("id", F.explode("single").alias("single"))
+    often = single.groupBy("single").agg(F.count("*").alias("c")).where("c > 1").select("single")
+    met = write_and_read(single.join(often, "single").select("id").distinct(), "met")
+    placed = marks.select("id", "doc", "place").join(met, "id", "left_semi")
+    texts = write_and_read(
+        lines.join(placed, ["doc", "place"]).dropDuplicates(["id"]).select("id", "text"), "texts"
+    )
+    signed = write_and_read(texts.select("id", signer(shape)("text").alias("s")).select("id", "s.*"), "signatures")
+    named = components(links(signed, texts, shape)).withColumnRenamed("node", "rep")
+    classes = write_and_read(
+        same.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "classes"
     )
-    firsts = placed.groupBy("component").agg(F.min("first").alias("stays"))
-    sets = placed.join(firsts, "component").select("key_a", "key_b", "stays")
+    firsts = classes.groupBy("component").agg(F.min("first").alias("stays"))
+    sets = classes.join(firsts, "component").select("key_a", "key_b", "stays")
     return (
         marks.join(sets, ["key_a", "key_b"])
         .where((F.col("doc") != F.col("stays.doc")) | (F.col("place") != F.col("stays.place")))
