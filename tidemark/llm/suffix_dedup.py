@@ -37,7 +37,7 @@ SQL = None
 LENGTH = 100
 GRAM = 24
 SPAN = LENGTH - GRAM + 1  # anchors to choose from
-COLLECTION = 100_000
+COLLECTION = 50_000
 
 _U = np.uint64
 _REGION = pa.struct(
@@ -167,12 +167,11 @@ def repeated_columns(strings: list[bytes], off: np.ndarray, size: np.ndarray, or
     column per place from SPAN - 1 bytes before the anchor up to the anchor.
     """
     m, width = len(strings), SPAN - 1 + LENGTH
-    cells = np.zeros((width, m), np.uint8)
-    flat = np.frombuffer(b"".join(strings), np.uint8)
-    lengths = size + LENGTH - 1
-    row = np.repeat(np.arange(m), lengths)
-    inside = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    cells[inside + np.repeat(SPAN - 1 - off, lengths), row] = flat
+    padded = b"".join(
+        [bytes(x) + s + bytes(width - x - len(s)) for x, s in zip((SPAN - 1 - off).tolist(), strings, strict=True)]
+    )
+    cells = np.ascontiguousarray(np.frombuffer(padded, np.uint8).reshape(m, width).T)
+    del padded
     out = np.zeros((m, SPAN), bool)
     rank = np.arange(m)  # the sorted order of the suffixes from the present column on
     common = np.full(m + 1, width, np.int32)  # bytes each shares with the one before it
@@ -300,9 +299,8 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", collection:
     known = docs.where(F.col(id).isNotNull() & (F.octet_length(text) >= LENGTH)).select(
         F.col(id).cast("long").alias("doc"), F.col(text).alias("text")
     )
-    every = write_and_read(
-        known.select("doc", F.explode(_regions("text")).alias("r")).select("doc", "r.*"), "regions"
-    )
+    # read twice: all regions would be most of the space that the job takes
+    every = known.select("doc", F.explode(_regions("text")).alias("r")).select("doc", "r.*")
     often = every.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
     met = write_and_read(every.join(often, "anchor"), "met")
     one = write_and_read(met.groupBy(*_KEY).agg(F.min(F.struct("doc", "start")).alias("at")), "firsts")
