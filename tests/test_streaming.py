@@ -450,3 +450,38 @@ def test_database_merge_text():
         "MERGE INTO t1 t USING t1_staging s ON t.k = s.k WHEN MATCHED THEN UPDATE SET v = s.v"
         " WHEN NOT MATCHED THEN INSERT (k, v) VALUES (s.k, s.v)"
     )
+
+
+STREAMS = ("running_revenue", "changelog", "click_history", "ttl_counter", "enrich_tier", "temporal_join", "abandoned_cart", "window_totals")
+
+
+@pytest.fixture(scope="module")
+def parts(spark, data_dir, tmp_path_factory):
+    """The events in four parts that overlap in time, each in random order."""
+    import duckdb
+
+    folder = tmp_path_factory.mktemp("parts")
+    (folder / "events.parquet").mkdir()
+    con = duckdb.connect()
+    for k in range(4):
+        # hours of disorder between neighbouring parts
+        con.execute(
+            f"""COPY (SELECT e.* FROM '{data_dir}/events.parquet' e, (SELECT MIN(ts) AS a, MAX(ts) AS b FROM '{data_dir}/events.parquet') t
+            WHERE LEAST(3, GREATEST(0, FLOOR(4 * EPOCH(e.ts + ((hash(event_id) % 8)::BIGINT - 4) * INTERVAL 1 HOUR - t.a) / (EPOCH(t.b - t.a) + 1)))) = {k}
+            ORDER BY hash(event_id)) TO '{folder}/events.parquet/part-{k}.parquet' (FORMAT parquet)"""
+        )
+        os.utime(folder / "events.parquet" / f"part-{k}.parquet", (1_000_000 + k, 1_000_000 + k))
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_parts_in_several_batches(spark, parts, monkeypatch, name):
+    import __spark_entry__ as registry
+    from tests.oracle import differences
+    from tidemark.plans import streams
+
+    monkeypatch.setattr(streams, "FILES_PER_BATCH", 1)
+    folder, con = parts
+    name = f"stream_{name}"
+    assert differences(registry.queries()[name](spark, folder), con, registry.oracle_sql()[name]) is None

@@ -1,14 +1,16 @@
-"""Streaming forms over the events file, run until its rows are used up.
+"""Streaming forms over the events table, run until its rows are used up.
 
-Windows and timers beyond the last watermark stay open at the end of a stream,
-so the SQL of those queries stops there, too.
+A bounded stream ends with a far-future row (`_finished`), as the end of the input
+would end it: windows close, timers fire, and rows that wait for their order are given
+out. Its own results stay open for ever.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.scalars import money
 from tidemark.plans.inputs import EVENTS_SQL, as_doubles
@@ -19,23 +21,48 @@ from tidemark.sources.tables import load_table, without_zone
 from tidemark.streaming import operators as s
 from tidemark.streaming.sinks import KeyedTable, append_only, run_to_end, streaming_top, upsert
 
-HOUR = timedelta(hours=1)
+HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 
+#: a trigger takes so many files of the table
+FILES_PER_BATCH = 4
+#: time that no row of the table comes later than; event_id and ts tell its order
+BOUND = DAY
+END = datetime(2999, 1, 1, tzinfo=timezone.utc)
+NOBODY = -1
 
-def _events(spark, folder):
-    schema = load_table(spark, folder, "events").schema
-    raw = file_stream(spark, folder, schema, pattern="events.parquet")
+
+def _select(raw: DataFrame) -> DataFrame:
     return raw.select("event_id", "ts", "user_id", "event_type", money("value").alias("amount"))
 
 
-def _finished(stream, label):
-    """Run into files and read them back."""
-    spark = stream.sparkSession
+def _events(spark, folder) -> DataFrame:
+    """The table as a stream, be it one file or a folder of parts."""
+    schema = load_table(spark, folder, "events").schema
+    # as a pattern, the path may be a file, too
+    return _select(file_stream(spark, f"{folder}/{{events.parquet}}", schema, files_per_batch=FILES_PER_BATCH))
+
+
+def _finished(spark, folder, build: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """Run into files to the end of the table, then past it, and read the files back."""
     prepare_streaming(spark)
     path = scratch_path(spark, label)
-    schema = stream.schema
-    run_to_end(append_only(stream, f"{path}/out", f"{path}/checkpoint"))
-    return without_zone(spark.read.schema(schema).parquet(f"{path}/out"))
+    events = _events(spark, folder)
+    last = spark.createDataFrame(
+        [(NOBODY, END, NOBODY, kind) for kind in ("purchase", "signup")],
+        "event_id bigint, ts timestamp, user_id bigint, event_type string",
+    ).withColumn("amount", money(F.lit(0)))
+    last.limit(0).write.parquet(f"{path}/end")
+    stream = build(events.unionByName(spark.readStream.schema(last.schema).parquet(f"{path}/end")))
+    for ended in (False, True):
+        if ended:
+            last.write.mode("append").parquet(f"{path}/end")
+        run_to_end(append_only(stream, f"{path}/out", f"{path}/checkpoint"))
+    rows = without_zone(spark.read.schema(stream.schema).parquet(f"{path}/out"))
+    return rows.where(F.col("user_id") != NOBODY) if "user_id" in rows.columns else rows
+
+
+def _timed(df: DataFrame) -> DataFrame:
+    return s.with_watermark(df, "ts", BOUND)
 
 
 @query(
@@ -43,13 +70,10 @@ def _finished(stream, label):
     f"SELECT event_type, user_id, CAST(SUM(amount) AS DOUBLE) AS total FROM {EVENTS_SQL} GROUP BY 1, 2",
 )
 def stream_upsert_totals(spark, folder):
-    """Four slices of the events as micro-batches; every batch upserts its changed keys."""
+    """Every micro-batch of the table upserts its changed keys."""
     prepare_streaming(spark)
     path = scratch_path(spark, "upsert")
-    events = load_table(spark, folder, "events").select("event_id", "event_type", "user_id", "value")
-    events.repartition(4, F.pmod(F.col("event_id"), F.lit(4))).write.parquet(f"{path}/in")
-    stream = file_stream(spark, f"{path}/in", events.schema, files_per_batch=1)
-    totals = stream.groupBy("event_type", "user_id").agg(F.sum(money("value")).alias("total"))
+    totals = _events(spark, folder).groupBy("event_type", "user_id").agg(F.sum("amount").alias("total"))
     table = KeyedTable(f"{path}/table", ["event_type", "user_id"])
     run_to_end(upsert(totals, table, f"{path}/checkpoint"))
     return as_doubles(table.read(spark), "total")
@@ -81,14 +105,13 @@ def stream_top_spender(spark, folder):
     "stream_window_totals",
     f"""SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
         time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, CAST(SUM(amount) AS DOUBLE) AS total
-    FROM {EVENTS_SQL} GROUP BY 1, 2, 3
-    HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 2 HOURS""",
+    FROM {EVENTS_SQL} GROUP BY 1, 2, 3""",
 )
 def stream_window_totals(spark, folder):
-    totals = s.windowed_totals(
-        _events(spark, folder), ["event_type"], "ts", HOUR, "amount", timedelta(hours=2)
-    )
-    return as_doubles(_finished(totals, "windows"), "total")
+    def build(events):
+        return s.windowed_totals(events, ["event_type"], "ts", HOUR, "amount", BOUND)
+
+    return as_doubles(_finished(spark, folder, build, "windows"), "total")
 
 
 @query(
@@ -97,8 +120,10 @@ def stream_window_totals(spark, folder):
         ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS total FROM {EVENTS_SQL}""",
 )
 def stream_running_revenue(spark, folder):
-    totals = s.running_total(_events(spark, folder), ["user_id"], "event_id", "amount")
-    return as_doubles(_finished(totals, "running"), "total")
+    def build(events):
+        return s.running_total(_timed(events), ["user_id"], "event_id", "amount", at="ts")
+
+    return as_doubles(_finished(spark, folder, build, "running"), "total")
 
 
 @query(
@@ -106,17 +131,16 @@ def stream_running_revenue(spark, folder):
     """SELECT user_id, ts + INTERVAL 6 HOURS AS alert_time, 'abandoned cart' AS reason FROM (
         SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt
         FROM events WHERE event_type IN ('click', 'purchase'))
-    WHERE event_type = 'click' AND (nxt > ts + INTERVAL 6 HOURS OR nxt IS NULL
-        AND ts + INTERVAL 6 HOURS <= (SELECT MAX(ts) FROM events
-            WHERE event_type IN ('click', 'purchase')) - INTERVAL 1 HOUR)""",
+    WHERE event_type = 'click' AND (nxt > ts + INTERVAL 6 HOURS OR nxt IS NULL)""",
 )
 def stream_abandoned_cart(spark, folder):
-    steps = _events(spark, folder).where(F.col("event_type").isin("click", "purchase"))
-    alerts = s.abandoned_carts(
-        s.with_watermark(steps, "ts", HOUR), "user_id", "ts", "event_id", "event_type",
-        timedelta(hours=6), cart="click",
-    )
-    return _finished(alerts, "carts")
+    def build(events):
+        steps = events.where(F.col("event_type").isin("click", "purchase"))
+        return s.abandoned_carts(
+            _timed(steps), "user_id", "ts", "event_id", "event_type", timedelta(hours=6), cart="click"
+        )
+
+    return _finished(spark, folder, build, "carts")
 
 
 BY_USER = "OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)"
@@ -129,8 +153,10 @@ BY_USER = "OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING
     UNION ALL SELECT event_id, user_id, '-U', 0, CAST(total - amount AS DOUBLE) FROM r WHERE n > 1""",
 )
 def stream_changelog(spark, folder):
-    changes = s.to_changelog(_events(spark, folder), ["user_id"], "event_id", "amount")
-    return as_doubles(_finished(changes, "changes"), "total")
+    def build(events):
+        return s.to_changelog(_timed(events), ["user_id"], "event_id", "amount", at="ts")
+
+    return as_doubles(_finished(spark, folder, build, "changes"), "total")
 
 
 @query(
@@ -140,7 +166,10 @@ def stream_changelog(spark, folder):
     FROM events""",
 )
 def stream_click_history(spark, folder):
-    seen = _finished(s.click_history(_events(spark, folder), ["user_id"], "event_id", "event_type"), "history")
+    def build(events):
+        return s.click_history(_timed(events), ["user_id"], "event_id", "event_type", at="ts")
+
+    seen = _finished(spark, folder, build, "history")
     return seen.withColumn("last_categories", F.array_join("last_categories", ","))
 
 
@@ -152,8 +181,10 @@ def stream_click_history(spark, folder):
             THEN 0 ELSE 1 END AS new FROM events))""",
 )
 def stream_ttl_counter(spark, folder):
-    counted = s.session_counter(_events(spark, folder), ["user_id"], "ts", "event_id", 12 * HOUR)
-    return _finished(counted, "sessions")
+    def build(events):
+        return s.session_counter(_timed(events), ["user_id"], "ts", "event_id", 12 * HOUR, hold=True)
+
+    return _finished(spark, folder, build, "sessions")
 
 
 @query(
@@ -164,12 +195,13 @@ def stream_ttl_counter(spark, folder):
     ON c.user_id = p.user_id AND c.event_id >= p.event_id""",
 )
 def stream_enrich_tier(spark, folder):
-    every = _events(spark, folder)
-    clicks = every.where(F.col("event_type") != "signup").select("event_id", "user_id")
-    profiles = every.where(F.col("event_type") == "signup").select(
-        "event_id", "user_id", F.concat(F.lit("tier"), (F.col("event_id") % 3).cast("string")).alias("tier")
-    )
-    return _finished(s.enrich_with_tier(clicks, profiles, "user_id", "event_id"), "tiers")
+    def build(events):
+        clicks = events.where(F.col("event_type") != "signup").select("event_id", "user_id", "ts")
+        tier = F.concat(F.lit("tier"), (F.col("event_id") % 3).cast("string")).alias("tier")
+        profiles = events.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts", tier)
+        return s.enrich_with_tier(_timed(clicks), _timed(profiles), "user_id", "event_id", at="ts")
+
+    return _finished(spark, folder, build, "tiers")
 
 
 @query(
@@ -177,19 +209,18 @@ def stream_enrich_tier(spark, folder):
     f"""SELECT t.event_id, t.user_id, CAST(t.amount AS DOUBLE) AS amount, CAST(r.amount AS DOUBLE) AS rate
     FROM (SELECT * FROM {EVENTS_SQL} WHERE event_type = 'purchase') t
     ASOF JOIN (SELECT * FROM {EVENTS_SQL} WHERE event_type = 'signup') r
-    ON t.user_id = r.user_id AND t.ts >= r.ts
-    WHERE date_trunc('millisecond', t.ts - INTERVAL 1 MICROSECOND) + INTERVAL 1 MILLISECOND <= date_trunc('millisecond',
-        (SELECT LEAST(MAX(ts) FILTER (WHERE event_type = 'purchase'), MAX(ts) FILTER (WHERE event_type = 'signup')) FROM events))
-        - INTERVAL 1 HOUR""",
+    ON t.user_id = r.user_id AND t.ts >= r.ts""",
 )
 def stream_temporal_join(spark, folder):
-    """The slower of the two inputs sets the watermark; later trades still wait."""
-    every = _events(spark, folder)
-    trades = s.with_watermark(every.where(F.col("event_type") == "purchase"), "ts", HOUR)
-    rates = s.with_watermark(every.where(F.col("event_type") == "signup"), "ts", HOUR)
-    joined = s.as_of(
-        trades.select("event_id", "user_id", "ts", "amount"),
-        rates.select("event_id", "user_id", "ts", F.col("amount").alias("rate")),
-        "user_id", "ts", "event_id", "rate",
-    )
-    return as_doubles(_finished(joined, "temporal").drop("ts"), "amount", "rate")
+    """The slower of the two inputs sets the watermark."""
+
+    def build(events):
+        trades = _timed(events.where(F.col("event_type") == "purchase"))
+        rates = _timed(events.where(F.col("event_type") == "signup"))
+        return s.as_of(
+            trades.select("event_id", "user_id", "ts", "amount"),
+            rates.select("event_id", "user_id", "ts", F.col("amount").alias("rate")),
+            "user_id", "ts", "event_id", "rate",
+        )
+
+    return as_doubles(_finished(spark, folder, build, "temporal").drop("ts"), "amount", "rate")

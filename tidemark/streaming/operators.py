@@ -11,7 +11,13 @@ from tidemark.functions.scalars import duration
 from tidemark.session import prepare_streaming
 from tidemark.streaming import processors as p
 
-TOTAL = T.DecimalType(38, 2)
+
+def _total(df: DataFrame, amount: str) -> T.DataType:
+    """The type of a column's sums, as in bounded tables: exact at the column's own scale, doubles for doubles."""
+    kind = df.schema[amount].dataType
+    if isinstance(kind, T.DecimalType):
+        return T.DecimalType(38, kind.scale)
+    return T.DecimalType(38, 0) if isinstance(kind, T.IntegralType) else T.DoubleType()
 
 
 def _micros(length: timedelta) -> int:
@@ -29,8 +35,14 @@ def _stateful(
     schema: T.StructType,
     time_mode: str = "None",
     initial=None,
+    at: str | None = None,
 ) -> DataFrame:
+    """`at`: a time column with a watermark; rows are then handed over in its order."""
     prepare_streaming(df.sparkSession)
+    if at is not None:
+        df = df.withColumn("_held_us", F.unix_micros(at)).drop(at)
+        fields = [(f.name, f.dataType.simpleString()) for f in df.schema if f.name not in keys]
+        processor, time_mode = p.InTimeOrder(processor, "_held_us", fields), "EventTime"
     processor.row = Row(*schema.names)
     return df.groupBy(*keys).transformWithState(
         statefulProcessor=processor,
@@ -51,30 +63,43 @@ def watermark_policy(spark, slowest: bool = True) -> None:
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min" if slowest else "max")
 
 
-def running_total(df: DataFrame, keys, seq: str, amount: str, initial: DataFrame | None = None) -> DataFrame:
-    """One row per input row. `initial` seeds the totals: key columns and `total`."""
-    exact = df.withColumn(amount, F.col(amount).cast(TOTAL)).select(*keys, seq, amount)
-    schema = T.StructType([*_fields(df, [*keys, seq]), T.StructField("total", TOTAL)])
+def running_total(
+    df: DataFrame, keys, seq: str, amount: str, initial: DataFrame | None = None, at: str | None = None
+) -> DataFrame:
+    """One row per input row. `initial` seeds the totals: key columns and `total`.
+
+    Here and below: with `at`, a column with a watermark, the rows of a key are taken in
+    its order over all micro-batches; without, in the order of `seq` within each.
+    """
+    kind = _total(df, amount)
+    schema = T.StructType([*_fields(df, [*keys, seq]), T.StructField("total", kind)])
     seed = None
     if initial is not None:
-        seed = initial.select(*keys, F.col("total").cast(TOTAL).alias("total")).groupBy(*keys)
-    return _stateful(exact, keys, p.RunningTotals(seq, amount), schema, initial=seed)
+        seed = initial.select(*keys, F.col("total").cast(kind).alias("total")).groupBy(*keys)
+    rows = df.select(*keys, seq, F.col(amount).cast(kind).alias(amount), *_held(at))
+    processor = p.RunningTotals(seq, amount, kind.simpleString())
+    return _stateful(rows, keys, processor, schema, initial=seed, at=at)
+
+
+def _held(at: str | None) -> list[str]:
+    return [] if at is None else [at]
 
 
-def to_changelog(df: DataFrame, keys, seq: str, amount: str) -> DataFrame:
-    exact = df.withColumn(amount, F.col(amount).cast(TOTAL)).select(*keys, seq, amount)
+def to_changelog(df: DataFrame, keys, seq: str, amount: str, at: str | None = None) -> DataFrame:
+    kind = _total(df, amount)
     schema = T.StructType(
         [
             *_fields(df, [*keys, seq]),
             T.StructField("op", T.StringType()),
             T.StructField("step", T.IntegerType()),
-            T.StructField("total", TOTAL),
+            T.StructField("total", kind),
         ]
     )
-    return _stateful(exact, keys, p.ChangelogTotals(seq, amount), schema)
+    rows = df.select(*keys, seq, F.col(amount).cast(kind).alias(amount), *_held(at))
+    return _stateful(rows, keys, p.ChangelogTotals(seq, amount, kind.simpleString()), schema, at=at)
 
 
-def click_history(df: DataFrame, keys, seq: str, category: str, n: int = 5) -> DataFrame:
+def click_history(df: DataFrame, keys, seq: str, category: str, n: int = 5, at: str | None = None) -> DataFrame:
     schema = T.StructType(
         [
             *_fields(df, [*keys, seq]),
@@ -82,37 +107,48 @@ def click_history(df: DataFrame, keys, seq: str, category: str, n: int = 5) -> D
             T.StructField("last_categories", T.ArrayType(T.StringType())),
         ]
     )
-    return _stateful(df.select(*keys, seq, category), keys, p.ClickHistory(seq, category, n), schema)
+    rows = df.select(*keys, seq, category, *_held(at))
+    return _stateful(rows, keys, p.ClickHistory(seq, category, n), schema, at=at)
 
 
-def spend_summary(df: DataFrame, keys, seq: str, category: str, amount: str) -> DataFrame:
-    exact = df.withColumn(amount, F.col(amount).cast(TOTAL)).select(*keys, seq, category, amount)
+def spend_summary(df: DataFrame, keys, seq: str, category: str, amount: str, at: str | None = None) -> DataFrame:
+    kind = _total(df, amount)
+    rows = df.select(*keys, seq, category, F.col(amount).cast(kind).alias(amount), *_held(at))
     schema = T.StructType(
         [
             *_fields(df, [*keys, seq]),
-            T.StructField("spend", TOTAL),
+            T.StructField("spend", kind),
             T.StructField("counts", T.MapType(T.StringType(), T.LongType())),
         ]
     )
-    return _stateful(exact, keys, p.SpendSummary(seq, category, amount), schema)
+    return _stateful(rows, keys, p.SpendSummary(seq, category, amount, kind.simpleString()), schema, at=at)
 
 
-def session_counter(df: DataFrame, keys, at: str, seq: str, ttl: timedelta) -> DataFrame:
-    timed = df.select(*keys, seq, F.unix_micros(at).alias("_us"))
+def session_counter(df: DataFrame, keys, at: str, seq: str, ttl: timedelta, hold: bool = False) -> DataFrame:
+    """`hold`: take the rows in the order of `at` over all micro-batches; it then needs a watermark."""
+    timed = df.select(*keys, seq, F.unix_micros(at).alias("_us"), *_held(at if hold else None))
     schema = T.StructType([*_fields(df, [*keys, seq]), T.StructField("counter", T.LongType())])
-    return _stateful(timed, keys, p.SessionCounter("_us", seq, _micros(ttl)), schema)
+    return _stateful(timed, keys, p.SessionCounter("_us", seq, _micros(ttl)), schema, at=at if hold else None)
 
 
-def expiring_sum(df: DataFrame, keys, at: str, seq: str, amount: str, ttl: timedelta) -> DataFrame:
+def expiring_sum(
+    df: DataFrame, keys, at: str, seq: str, amount: str, ttl: timedelta, hold: bool = False
+) -> DataFrame:
+    kind = _total(df, amount)
     timed = df.select(
-        *keys, seq, F.col(amount).cast(TOTAL).alias(amount), F.unix_micros(at).alias("_us")
+        *keys,
+        seq,
+        F.col(amount).cast(kind).alias(amount),
+        F.unix_micros(at).alias("_us"),
+        *_held(at if hold else None),
     )
-    schema = T.StructType([*_fields(df, [*keys, seq]), T.StructField("total", TOTAL)])
-    return _stateful(timed, keys, p.ExpiringSum("_us", seq, amount, _micros(ttl)), schema)
+    schema = T.StructType([*_fields(df, [*keys, seq]), T.StructField("total", kind)])
+    processor = p.ExpiringSum("_us", seq, amount, _micros(ttl), kind.simpleString())
+    return _stateful(timed, keys, processor, schema, at=at if hold else None)
 
 
-def batch_flush(df: DataFrame, shard, seq: str, category: str, n: int = 3) -> DataFrame:
-    """Buffers of n events per shard; an incomplete one waits for the next micro-batch."""
+def batch_flush(df: DataFrame, shard, seq: str, category: str, n: int = 3, at: str | None = None) -> DataFrame:
+    """Buffers of n events per shard; an incomplete one waits for the next rows."""
     schema = T.StructType(
         [
             *_fields(df, [*shard, seq]),
@@ -120,7 +156,8 @@ def batch_flush(df: DataFrame, shard, seq: str, category: str, n: int = 3) -> Da
             T.StructField("flushed", T.ArrayType(T.StringType())),
         ]
     )
-    return _stateful(df.select(*shard, seq, category), shard, p.BatchFlush(seq, category, n), schema)
+    rows = df.select(*shard, seq, category, *_held(at))
+    return _stateful(rows, shard, p.BatchFlush(seq, category, n), schema, at=at)
 
 
 def expiring_counter(df: DataFrame, keys, seq: str, ttl: timedelta) -> DataFrame:
@@ -156,13 +193,21 @@ def abandoned_carts(
 
 
 def enrich_with_tier(
-    clicks: DataFrame, profiles: DataFrame, user: str, seq: str, tier: str = "tier", default: str = "unknown"
+    clicks: DataFrame,
+    profiles: DataFrame,
+    user: str,
+    seq: str,
+    tier: str = "tier",
+    default: str = "unknown",
+    at: str | None = None,
 ) -> DataFrame:
+    """`at`: a time column of both inputs, each with a watermark."""
     left = clicks.withColumns({"_side": F.lit(1), tier: F.lit(None).cast("string")})
-    right = profiles.select(user, seq, F.col(tier).cast("string"), F.lit(0).alias("_side"))
+    right = profiles.select(user, seq, F.col(tier).cast("string"), F.lit(0).alias("_side"), *_held(at))
+    kept = [c for c in clicks.columns if c != at]
     both = left.unionByName(right, allowMissingColumns=True)
-    schema = T.StructType([*_fields(clicks, clicks.columns), T.StructField(tier, T.StringType())])
-    return _stateful(both, [user], p.LatestValue(seq, tier, default, clicks.columns), schema)
+    schema = T.StructType([*_fields(clicks, kept), T.StructField(tier, T.StringType())])
+    return _stateful(both, [user], p.LatestValue(seq, tier, default, kept, user), schema, at=at)
 
 
 def as_of(
@@ -184,22 +229,20 @@ def as_of(
 
 
 def late_disposition(
-    df: DataFrame, at: str, size: timedelta, lateness: timedelta, row_id: str, shards: int = 64
+    df: DataFrame, at: str, size: timedelta, lateness: timedelta, row_id: str
 ) -> DataFrame:
     """Tag rows against the watermark of `df` (declare it with the bound alone).
 
-    Needs no state; the key only spreads the rows evenly. The time goes in as a
-    plain number, or Spark would drop the late rows before they could be tagged.
+    Needs no state; the row's own id is the key, so rows spread over all tasks. The time
+    goes in as a plain number, or Spark would drop the late rows before they could be tagged.
     """
-    timed = df.withColumns(
-        {"_us": F.unix_micros(at), "_shard": F.pmod(F.xxhash64(row_id), F.lit(shards))}
-    )
+    timed = df.withColumns({"_us": F.unix_micros(at), "_key": F.col(row_id)})
     kept = [c for c in df.columns if c != at] + ["_us"]
     schema = T.StructType(
         [*_fields(timed, kept), T.StructField("_end", T.LongType()), T.StructField("disposition", T.StringType())]
     )
     processor = p.LateTagger("_us", _micros(size), _micros(lateness), kept)
-    tagged = _stateful(timed.select(*kept, "_shard"), ["_shard"], processor, schema, "EventTime")
+    tagged = _stateful(timed.select(*kept, "_key"), ["_key"], processor, schema, "EventTime")
     return tagged.withColumns(
         {at: F.timestamp_micros("_us"), "window_end": F.timestamp_micros("_end")}
     ).select(*df.columns, "window_end", "disposition")

@@ -1,9 +1,11 @@
 """Per-key logic that needs state beyond the built-in streaming aggregations.
 
 Times reach the processors as epoch microseconds, so the time zone of a worker
-plays no part. A micro-batch hands over a key's rows in no particular order;
-they are sorted per key, which holds one key's part of one micro-batch. Bound
-the micro-batches (files or offsets per trigger) to bound that.
+plays no part. A micro-batch hands over a key's rows in no particular order.
+`InTimeOrder` holds them in state until the watermark has passed them, so a
+processor sees a key's rows in order across micro-batches too, and at a time only
+those between two watermarks. Without it rows are in order within a micro-batch
+alone.
 """
 
 from __future__ import annotations
@@ -26,29 +28,99 @@ class _Keyed(StatefulProcessor):
     """`row` makes output rows; whoever applies the processor sets it to the output columns."""
 
     row = Row()
+    kind = "double"
+
+    def _zero(self):
+        return 0.0 if self.kind == "double" else Decimal(0)
 
     def close(self) -> None:
         pass
 
 
+class _OneTimer:
+    """A single timer per key, at the earliest time asked for."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.handle = handle
+        self.next = handle.getValueState("next_timer", "at bigint")
+
+    def at(self, micros: int) -> None:
+        wanted = -(-micros // MILLI)
+        if self.next.exists():
+            (now,) = self.next.get()
+            if now <= wanted:
+                return
+            self.handle.deleteTimer(now)
+        self.next.update((wanted,))
+        self.handle.registerTimer(wanted)
+
+    def fired(self) -> None:
+        self.next.clear()
+
+
+class InTimeOrder(_Keyed):
+    """Hands a processor the rows of a key in event-time order.
+
+    Rows wait in state until the watermark has passed their time. A row that comes
+    later than that is handed over with the next watermark, after rows it should have
+    preceded.
+    """
+
+    def __init__(self, inner: _Keyed, at: str, fields: Sequence[tuple[str, str]]):
+        self.inner, self.time = inner, at
+        self.names = [name for name, _ in fields]
+        self.schema = ", ".join(f"`{name}` {kind}" for name, kind in fields)
+
+    def init(self, handle):
+        self.waiting = handle.getListState("waiting_rows", self.schema)
+        self.timer = _OneTimer(handle)
+        self.inner.row = self.row
+        self.inner.init(handle)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.inner.handleInitialState(key, initialState, timerValues)
+
+    def handleInputRows(self, key, rows, timerValues):
+        fresh = [tuple(r[n] for n in self.names) for r in rows]
+        if fresh:
+            at = self.names.index(self.time)
+            self.waiting.appendList(fresh)
+            self.timer.at(min(r[at] for r in fresh))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.timer.fired()
+        upto = timerValues.getCurrentWatermarkInMs() * MILLI
+        at = self.names.index(self.time)
+        every = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        make = Row(*self.names)
+        due = [make(*r) for r in every if r[at] <= upto]
+        later = [r for r in every if r[at] > upto]
+        _replace(self.waiting, later)
+        if later:
+            self.timer.at(min(r[at] for r in later))
+        if due:
+            yield from self.inner.handleInputRows(key, iter(due), timerValues)
+
+
 class RunningTotals(_Keyed):
     """One row per input row: key columns, seq, total so far."""
 
-    def __init__(self, seq: str, amount: str):
-        self.seq, self.amount = seq, amount
+    def __init__(self, seq: str, amount: str, kind: str = "decimal(38,2)"):
+        self.seq, self.amount, self.kind = seq, amount, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "total decimal(38,2)")
+        self.total = handle.getValueState("total", f"total {self.kind}")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.total.update((Decimal(initialState["total"]),))
+        self.total.update((initialState["total"],))
 
     def _steps(self, rows):
         old = self.total.get()[0] if self.total.exists() else None
         new = old
         for row in in_order(rows, self.seq):
             amount = row[self.amount]
-            new = old if amount is None else (old or Decimal(0)) + amount
+            new = old if amount is None else (old or 0) + amount
             yield row, old, new
             old = new
         if new is not None:
@@ -102,15 +174,15 @@ class ClickHistory(_Keyed):
 class SpendSummary(_Keyed):
     """Key columns, seq, spend so far, count per category so far."""
 
-    def __init__(self, seq: str, category: str, amount: str):
-        self.seq, self.category, self.amount = seq, category, amount
+    def __init__(self, seq: str, category: str, amount: str, kind: str = "decimal(38,2)"):
+        self.seq, self.category, self.amount, self.kind = seq, category, amount, kind
 
     def init(self, handle):
-        self.spend = handle.getValueState("spend", "spend decimal(38,2)")
+        self.spend = handle.getValueState("spend", f"spend {self.kind}")
         self.counts = handle.getMapState("counts", "category string", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        spend = self.spend.get()[0] if self.spend.exists() else Decimal(0)
+        spend = self.spend.get()[0] if self.spend.exists() else self._zero()
         counts = {k[0]: v[0] for k, v in self.counts.iterator()} if self.counts.exists() else {}
         touched = set()
         for row in in_order(rows, self.seq):
@@ -145,17 +217,17 @@ class SessionCounter(_Keyed):
 class ExpiringSum(_Keyed):
     """Key columns, seq, sum that starts anew after `ttl_us` of event-time silence."""
 
-    def __init__(self, at: str, seq: str, amount: str, ttl_us: int):
-        self.at, self.seq, self.amount, self.ttl_us = at, seq, amount, ttl_us
+    def __init__(self, at: str, seq: str, amount: str, ttl_us: int, kind: str = "decimal(38,2)"):
+        self.at, self.seq, self.amount, self.ttl_us, self.kind = at, seq, amount, ttl_us, kind
 
     def init(self, handle):
-        self.sum = handle.getValueState("sum", "last bigint, total decimal(38,2)")
+        self.sum = handle.getValueState("sum", f"last bigint, total {self.kind}")
 
     def handleInputRows(self, key, rows, timerValues):
-        last, total = self.sum.get() if self.sum.exists() else (None, Decimal(0))
+        last, total = self.sum.get() if self.sum.exists() else (None, self._zero())
         for row in in_order(rows, self.at, self.seq):
             if last is not None and row[self.at] - last >= self.ttl_us:
-                total = Decimal(0)
+                total = self._zero()
             total += row[self.amount] or 0
             last = row[self.at]
             yield self.row(*key, row[self.seq], total)
@@ -248,8 +320,9 @@ class AbandonedCart(_Keyed):
 class LatestValue(_Keyed):
     """Facts with the value that arrived last before them; side 0 rows carry values."""
 
-    def __init__(self, seq: str, value: str, default: str, kept: Sequence[str]):
-        self.seq, self.value, self.default, self.kept = seq, value, default, list(kept)
+    def __init__(self, seq: str, value: str, default: str, kept: Sequence[str], key: str):
+        self.seq, self.value, self.default = seq, value, default
+        self.kept, self.key = list(kept), key
 
     def init(self, handle):
         self.latest = handle.getValueState("latest", "value string")
@@ -260,7 +333,8 @@ class LatestValue(_Keyed):
             if row["_side"] == 0:
                 value = row[self.value]
             else:
-                yield self.row(*[row[c] for c in self.kept], self.default if value is None else value)
+                own = [key[0] if c == self.key else row[c] for c in self.kept]
+                yield self.row(*own, self.default if value is None else value)
         if value is not None:
             self.latest.update((value,))
 
@@ -283,28 +357,33 @@ class AsOfVersion(_Keyed):
         self.handle = handle
         self.facts = handle.getListState("facts", self.fact_schema)
         self.versions = handle.getListState("versions", self.version_schema)
+        self.timer = _OneTimer(handle)
 
     def handleInputRows(self, key, rows, timerValues):
-        timers, facts, versions = set(), [], []
+        first, facts, versions = None, [], []
         for row in rows:
             if row["_side"] == 0:
                 versions.append((row[self.at], row[self.tie], row[self.value]))
             else:
                 facts.append(tuple(row[n] for n in self.names))
-                timers.add(-(-row[self.at] // MILLI))
+                first = row[self.at] if first is None else min(first, row[self.at])
         if versions:
             self.versions.appendList(versions)
         if facts:
             self.facts.appendList(facts)
-        for timer in timers:
-            self.handle.registerTimer(timer)
+        if first is not None:
+            self.timer.at(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.timer.fired()
         upto = timerValues.getCurrentWatermarkInMs() * MILLI
         at = self.names.index(self.at)
         waiting = [tuple(f) for f in self.facts.get()] if self.facts.exists() else []
         due = sorted((f for f in waiting if f[at] <= upto), key=lambda f: f[at])
+        later = [f for f in waiting if f[at] > upto]
+        if later:
+            self.timer.at(min(f[at] for f in later))
         if not due:
             return
         versions = sorted(tuple(v) for v in self.versions.get()) if self.versions.exists() else []
@@ -315,7 +394,7 @@ class AsOfVersion(_Keyed):
                 i += 1
             if found is not None:
                 yield self.row(*fact, found[2])
-        _replace(self.facts, [f for f in waiting if f[at] > upto])
+        _replace(self.facts, later)
         old = [v for v in versions if v[0] <= upto]
         _replace(self.versions, old[-1:] + [v for v in versions if v[0] > upto])
 
