@@ -1,5 +1,7 @@
 """The operators on small inputs with known results."""
 
+import threading
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -277,20 +279,10 @@ def test_multiplier(spark):
         [("books", 1.0, 1), ("electronics", 9.0, 1), ("electronics", 1.5, 2), ("clothing", 0.8, 1)],
         "category string, multiplier double, v int",
     )
-    for rows in (100, 0):  # broadcast, and the way beyond the limit
-        got = joins.apply_multiplier(clicks, table, order=["v"], rows=rows).collect()
-        assert {r["userId"]: r["adjusted"] for r in got} == {"u1": 10.0, "u2": 150.0, "u3": 40.0, "u4": None}
-        status = {r["userId"]: r["status"] for r in got}
-        assert status["u2"] == "category=electronics | price=100.00 * mult=1.50 = adjusted=150.00"
-        assert status["u4"] == "(no multiplier yet) toys"
-
-
-def test_broadcast_needs_a_small_side(spark):
-    big = spark.range(1000)
-    plans = [
-        joins.broadcast_if_small(big, n)._jdf.queryExecution().analyzed().toString() for n in (1000, 999)
-    ]
-    assert "broadcast" in plans[0] and "broadcast" not in plans[1]
+    got = joins.apply_multiplier(clicks, table, order=["v"]).collect()
+    assert {r["userId"]: r["adjusted"] for r in got} == {"u1": 10.0, "u2": 150.0, "u3": 40.0, "u4": None}
+    status = {r["userId"]: r["status"] for r in got}
+    assert status["u2"] == "adjusted" and status["u4"] == "unknown"
 
 
 def test_compare_outputs(spark):
@@ -319,6 +311,44 @@ def test_async_lookup(spark):
     assert found == {"u0": "Alice", "u1": "Bob", "u2": "?TIMEOUT?", "u3": "Dave", "u4": "?"}
 
 
+ALIVE = {"now": 0, "most": 0}
+
+
+def watched(key):
+    with WATCH:
+        ALIVE["now"] += 1
+        ALIVE["most"] = max(ALIVE["most"], ALIVE["now"])
+    time.sleep(0.2)
+    with WATCH:
+        ALIVE["now"] -= 1
+    return f"{key!r}"
+
+
+WATCH = threading.Lock()
+
+
+def test_calls_given_up_keep_their_place():
+    calls = joins._Calls(watched, 4, 0.05)
+    got = calls.run(list(range(40)), "?", "late")
+    assert set(got) == set(range(40)) and set(got.values()) == {"late"}
+    calls.close()
+    assert ALIVE["most"] == 4
+
+
+def as_text(key):
+    return f"{key!r}"
+
+
+def test_async_lookup_keeps_every_value(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, None, 1), (None, 2.5, 2), (5, 1.0, None)], "k bigint, d double, i int").withColumn(
+        "m", F.col("k").cast("decimal(38,4)")
+    ).withColumn("t", F.timestamp_micros(F.col("k"))).coalesce(1)
+    rows = joins.async_lookup(df, "k", as_text, "name").collect()
+    assert [r["name"] for r in rows] == [str(big), "?", "5"]
+    assert [tuple(r)[:5] for r in rows] == [tuple(r) for r in df.collect()]
+
+
 def broken(key):
     raise ValueError("service is down")
 
@@ -343,11 +373,12 @@ def test_partitioning(spark):
 def test_skew(spark):
     rows = [("vip_user", i) for i in range(90)] + [(f"u{i}", 90 + i) for i in range(10)]
     df = spark.createDataFrame(rows, "userId string, id int")
-    report = partitioning.skew_report(df, ["userId"], 16).collect()
-    placed = partitioning.partition_report(partitioning.by_key(df, 16, "userId")).collect()
-    assert {r["partition"]: r["n"] for r in report} == {r["partition"]: r["n"] for r in placed}
-    skewed = [r for r in report if r["skewed"]]
-    assert len(skewed) == 1 and skewed[0]["top_key"]["userId"] == "vip_user"
+    report = {r["userId"]: r for r in partitioning.skew_report(df, ["userId"]).collect()}
+    assert [k for k, r in report.items() if r["skewed"]] == ["vip_user"]
+    assert report["vip_user"]["share"] == 0.9 and report["vip_user"]["ratio"] == 9.9
+    placed = partitioning.key_placement(partitioning.by_key(df, 16, "userId"), ["userId"]).collect()
+    assert {r["userId"]: (r["partitions"], r["n"]) for r in placed} == {k: (1, r["n"]) for k, r in report.items()}
+    assert partitioning.key_placement(partitioning.rebalance(df, 16), ["userId"]).agg(F.max("partitions")).first()[0] > 1
     parts = partitioning.salted_partials(df, ["userId"], "id", ["id"])
     assert parts.where("userId = 'vip_user'").agg(F.max("n")).first()[0] < 30
     salted = partitioning.salted_totals(df, ["userId"], "id", ["id"]).collect()
@@ -416,6 +447,27 @@ def test_gaps(spark):
     assert [(r["alert_time"], r["resumed"]) for r in got] == [(at(600_000), at(600_001)), (at(900_001), None)]
 
 
+def test_gap_at_the_open_end(spark):
+    df = table(spark, [("s", 0), ("s", 900_000), ("r", 0)], "k string, ts bigint")
+    got = metrics.gap_alert(df, ["k"], "at", "seq", timedelta(minutes=5), now=F.lit(at(1_000_000))).collect()
+    assert {(r["k"], r["resumed"]) for r in got} == {("s", at(900_000)), ("r", None)}
+
+
+@SPLITS
+def test_retention_of_odd_ids(spark, max_rows):
+    big = 2**53
+    df = spark.createDataFrame([("j", None, "z", big)] + [("j", at(0), f"s{k}", big + k) for k in range(8)], "job string, at timestamp, id string, n bigint")
+    for tie in ("id", "n"):
+        got = metrics.retention(df, "job", "at", tie, F.lit(at(0)), max_rows=max_rows).where("verdict = 'keep'").collect()
+        assert {r["id"] for r in got} == {f"s{k}" for k in range(3, 8)}
+
+
+def test_leader_refuses_refunds(spark):
+    df = literal_rows(spark, [("a", "m", 3), ("a", "n", -1)], "g string, who string, v int")
+    with pytest.raises(Exception, match="must not be negative"):
+        changelog.leader_changelog(df, "g", "who", "seq", "v").collect()
+
+
 @SPLITS
 def test_retention(spark, max_rows):
     day = 86_400_000

@@ -77,10 +77,11 @@ def leader_changelog(
 ) -> DataFrame:
     """Change rows of "the member with the highest total per group".
 
-    Among equal totals the smallest member leads. Amounts must not be negative:
-    totals then only grow, so the leader is the best (total, member) seen so far.
+    Among equal totals the smallest member leads. Totals must only grow, so that the
+    leader is the best (total, member) seen so far: a negative amount is an error.
     """
-    spent = running_sum(F.coalesce(F.col(amount), F.lit(0)))
+    refused = F.raise_error(F.lit(f"{amount} must not be negative")).cast(df.schema[amount].dataType)
+    spent = running_sum(F.when(F.col(amount) < 0, refused).otherwise(F.coalesce(F.col(amount), F.lit(0))))
     summed = scan(df, [group, member], [seq], max_rows, True, _sum=spent)
     best = F.struct((-F.col("_sum")).alias("under"), F.col(member).alias("member"))
     led = scan(

@@ -4,21 +4,21 @@ from __future__ import annotations
 
 import threading
 import time
-from collections import OrderedDict
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections import OrderedDict, deque
+from collections.abc import Callable, Iterator, Sequence
 from datetime import timedelta
 from functools import reduce
+from typing import Any
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.functions import udtf
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions.scalars import interval
 from tidemark.operators.ordered import Running, latest, next_known, scan
 from tidemark.operators.ranking import latest_per_key
 
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+# fixed values: what a lookup says where the service has no answer, or none in time
+UNKNOWN, TIMED_OUT = "?", "?TIMEOUT?"
 
 
 def _with_versions(
@@ -116,19 +116,6 @@ def enrich_with_hold(
     return seen.select(*clicks.columns, value.alias(tier))
 
 
-def broadcast_if_small(
-    df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Mark for broadcast only after measuring; a larger side is joined by shuffle.
-
-    The measuring stops at the row limit, the size is that of the rows as text.
-    Adaptive execution splits hot keys in the shuffled case.
-    """
-    text = F.octet_length(F.to_json(F.struct("*")))
-    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(text.cast("long")).alias("size")).first()
-    return F.broadcast(df) if seen["n"] <= rows and (seen["size"] or 0) <= size else df
-
-
 def apply_multiplier(
     clicks: DataFrame,
     multipliers: DataFrame,
@@ -136,51 +123,46 @@ def apply_multiplier(
     price: str = "price",
     multiplier: str = "multiplier",
     order: Sequence[str] = (),
-    rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Price times the category's multiplier, from a small replicated table.
+    """Price times the category's multiplier, from a small table that the planner broadcasts.
 
     With `order` the table may hold several versions per category; the last wins.
+    status is "adjusted", or "unknown" without a multiplier.
     """
     table = multipliers.select(category, multiplier)
     if order:
         table = latest_per_key(multipliers, [category], list(order), [multiplier])
-    joined = clicks.join(broadcast_if_small(table, rows), category, "left")
-    adjusted = F.col(price) * F.col(multiplier)
-    return joined.withColumn("adjusted", adjusted).withColumn(
-        "status",
-        F.when(
-            F.col(multiplier).isNull(),
-            F.concat(F.lit("(no multiplier yet) "), F.col(category).cast("string")),
-        ).otherwise(
-            F.format_string(
-                "category=%s | price=%.2f * mult=%.2f = adjusted=%.2f",
-                F.col(category).cast("string"),
-                *[c.cast("double") for c in (F.col(price), F.col(multiplier), adjusted)],
-            )
-        ),
+    joined = clicks.join(table, category, "left")
+    return joined.withColumn("adjusted", F.col(price) * F.col(multiplier)).withColumn(
+        "status", F.when(F.col(multiplier).isNull(), "unknown").otherwise("adjusted")
     )
 
 
-def lookup_dimension(
-    facts: DataFrame, dimension: DataFrame, keys: Sequence[str], rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Left join with a dimension table: null where it has no entry."""
-    return facts.join(broadcast_if_small(dimension, rows), list(keys), "left")
+def lookup_dimension(facts: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join with a dimension table: null where it has no entry.
 
+    The planner broadcasts a dimension below its threshold, also when it finds out its
+    size only at run time, and splits hot keys of a larger one.
+    """
+    return facts.join(dimension, list(keys), "left")
 
-def lookup_or_default(
-    facts: DataFrame,
-    table: DataFrame,
-    key: str,
-    value: str,
-    default: str = "?",
-    rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    joined = lookup_dimension(facts, table.select(key, value), [key], rows)
+
+def lookup_or_default(facts: DataFrame, table: DataFrame, key: str, value: str, default: str = UNKNOWN) -> DataFrame:
+    joined = lookup_dimension(facts, table.select(key, value), [key])
     return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 
+def lateral_lookup(facts: DataFrame, table: DataFrame, key: str, value: str, default: str = UNKNOWN) -> DataFrame:
+    """The same as a lateral subquery per row, which Catalyst turns into a join."""
+    return facts.sparkSession.sql(
+        f"""SELECT f.*, COALESCE(l.v, :default) AS `{value}` FROM {{facts}} AS f
+        LEFT JOIN LATERAL (SELECT t.`{value}` AS v FROM {{table}} AS t WHERE t.`{key}` = f.`{key}`) AS l""",
+        args={"default": default},
+        facts=facts,
+        table=table,
+    )
+
+
 def compare_outputs(
     old: DataFrame, new: DataFrame, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
@@ -209,95 +191,124 @@ def compare_outputs(
 
 
 class _Calls:
-    """At most `capacity` calls in flight; each has `timeout` seconds from its start."""
+    """A fixed pool of `capacity` calls; each has `timeout` seconds from its start.
 
-    def __init__(self, fn: Callable[[str], str | None], capacity: int, timeout: float):
-        self.fn, self.capacity, self.timeout = fn, capacity, timeout
-
-    def run(self, keys: Sequence, default: str, timed_out: str) -> dict:
-        done = threading.Condition()
-        results: dict = {}
-        running: dict = {}
+    A call that is given up keeps its place in the pool until it ends, so no more than
+    `capacity` are ever alive. If all places are held by such calls for another
+    `timeout`, what still waits is given up, too.
+    """
 
-        def call(key):
+    def __init__(self, fn: Callable, capacity: int, timeout: float):
+        self.fn, self.capacity, self.timeout = fn, capacity, timeout
+        self.changed = threading.Condition()
+        self.waiting: deque = deque()
+        self.started: dict = {}
+        self.results: dict = {}
+        self.workers = 0
+
+    def _work(self) -> None:
+        while True:
+            with self.changed:
+                while not self.waiting:
+                    self.changed.wait()
+                key = self.waiting.popleft()
+                if key is None:
+                    return
+                ticket = object()
+                self.started[key[0]] = (ticket, time.monotonic() + self.timeout)
+                self.changed.notify_all()
             try:
-                outcome = (True, self.fn(key))
+                outcome = (True, self.fn(key[0]))
             except Exception as error:  # handed to the caller below
                 outcome = (False, error)
-            with done:
-                if running.pop(key, None) is not None:
-                    results[key] = outcome
-                done.notify()
-
-        waiting = list(reversed(keys))
-        with done:
-            while waiting or running:
-                while waiting and len(running) < self.capacity:
-                    key = waiting.pop()
-                    running[key] = time.monotonic() + self.timeout
-                    threading.Thread(target=call, args=(key,), daemon=True).start()
-                done.wait(max(0.0, min(running.values()) - time.monotonic()))
+            with self.changed:
+                # a late answer to a call that was given up is ignored
+                if self.started.get(key[0], (None,))[0] is ticket:
+                    del self.started[key[0]]
+                    self.results[key[0]] = outcome
+                self.changed.notify_all()
+
+    def run(self, keys: Sequence, default: str, timed_out: str) -> dict:
+        with self.changed:
+            self.results = {}
+            self.waiting.extend((k,) for k in keys)
+            while self.workers < min(self.capacity, len(keys)):
+                threading.Thread(target=self._work, daemon=True).start()
+                self.workers += 1
+            self.changed.notify_all()
+            stuck = None
+            while len(self.results) < len(keys):
                 now = time.monotonic()
-                for key in [k for k, deadline in running.items() if deadline <= now]:
-                    # the call is given up: its late answer will be ignored
-                    del running[key]
-                    results[key] = (True, timed_out)
+                for key in [k for k, (_, deadline) in self.started.items() if deadline <= now]:
+                    del self.started[key]
+                    self.results[key] = (True, timed_out)
+                if self.started or not self.waiting:
+                    stuck = None
+                    deadlines = [d for _, d in self.started.values()]
+                else:
+                    stuck = stuck or now + self.timeout
+                    deadlines = [stuck]
+                    if stuck <= now:
+                        self.results.update((k, (True, timed_out)) for (k,) in self.waiting)
+                        self.waiting.clear()
+                if len(self.results) < len(keys):
+                    self.changed.wait(max(0.001, min(deadlines, default=now + self.timeout) - now))
+            results = self.results
         for good, value in results.values():
             if not good:
                 raise value
         return {k: default if v is None else v for k, (_, v) in results.items()}
 
+    def close(self) -> None:
+        with self.changed:
+            self.waiting.clear()
+            self.waiting.extend([None] * self.workers)
+            self.changed.notify_all()
+
 
 def async_lookup(
     df: DataFrame,
     key: str,
-    fn: Callable[[str], str | None],
+    fn: Callable[[Any], str | None],
     result: str = "result",
     timeout: timedelta = timedelta(seconds=1),
     capacity: int = 4,
-    default: str = "?",
-    timed_out: str = "?TIMEOUT?",
+    default: str = UNKNOWN,
+    timed_out: str = TIMED_OUT,
     remember: int = 10_000,
 ) -> DataFrame:
     """Ask a service per key: one output row per input row, in the input order.
 
-    Each task asks for the distinct keys of an Arrow batch, `capacity` calls at
-    a time, and remembers the last `remember` answers (never timeouts). Nothing
-    is shuffled, so a hot key costs one call per task. `fn` gets the key as a
-    Python value and must give the same answer when asked twice.
+    Each task asks for the distinct keys of an Arrow batch, no more than `capacity` at
+    once, and remembers the last `remember` answers (never timeouts). Nothing is
+    shuffled, so a hot key costs one call per task. `fn` gets the key as a Python value
+    and must give the same answer when asked twice; a null key is not asked for. All
+    columns pass as they are.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(result, T.StringType())])
     seconds = timeout.total_seconds()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         calls = _Calls(fn, capacity, seconds)
         known: OrderedDict = OrderedDict()
-        for batch in batches:
-            column = batch[key]
-            asked = [k for k in column.dropna().unique().tolist()]
-            answers = {}
-            for k in asked:
-                if k in known:
-                    known.move_to_end(k)
-                    answers[k] = known[k]
-            fresh = calls.run([k for k in asked if k not in answers], default, timed_out)
-            answers.update(fresh)
-            known.update((k, v) for k, v in fresh.items() if v != timed_out)
-            while len(known) > remember:
-                known.popitem(last=False)
-            yield batch.assign(**{result: column.map(answers).fillna(default)})
-
-    return df.mapInPandas(run, schema)
-
-
-def register_lookup_function(
-    spark: SparkSession, name: str, table: Mapping[str, str], default: str = "?"
-) -> None:
-    """A table function for `FROM t, LATERAL name(t.key)`; the mapping travels with it."""
-    fixed = dict(table)
-
-    class Lookup:
-        def eval(self, key: str):
-            yield (fixed.get(key, default),)
-
-    spark.udtf.register(name, udtf(Lookup, returnType="value string"))
+        try:
+            for batch in batches:
+                coded = batch.column(key).dictionary_encode()
+                asked = coded.dictionary.to_pylist()
+                answers = {}
+                for k in asked:
+                    if k in known:
+                        known.move_to_end(k)
+                        answers[k] = known[k]
+                fresh = calls.run([k for k in asked if k is not None and k not in answers], default, timed_out)
+                answers.update(fresh)
+                known.update((k, v) for k, v in fresh.items() if v != timed_out)
+                while len(known) > remember:
+                    known.popitem(last=False)
+                found = pa.array([answers.get(k, default) for k in asked], pa.string())
+                column = found.take(coded.indices).fill_null(default)
+                yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, result])
+        finally:
+            calls.close()
+
+    return df.mapInArrow(run, schema)

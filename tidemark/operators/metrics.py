@@ -7,18 +7,19 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
-from tidemark.functions.scalars import duration, interval, order_number
+from tidemark.functions.scalars import duration, interval
 from tidemark.operators.ordered import (
     OrderedGroups,
     following,
     latest,
     previous,
-    running_count,
+    remaining_count,
     running_sum,
     scan,
 )
 
 RESERVOIR = 1024
+SPREAD = 64
 TICKS_PER_ROW = 10_000
 
 
@@ -63,12 +64,14 @@ def reservoir_histogram(
 ) -> DataFrame:
     """Percentiles of the last `size` values per key.
 
-    The rank limit drops older rows in each task before the shuffle.
+    A key's rows are first ranked in SPREAD parts, so that no task ranks all of a hot
+    key; what each part keeps is ranked again.
     """
-    newest = Window.partitionBy(*keys).orderBy(F.col(seq).desc())
     if keys:
-        kept = df.select(*keys, value, seq).withColumn("_rank", F.row_number().over(newest))
-        kept = kept.where(F.col("_rank") <= size)
+        kept = df.select(*keys, value, seq, F.pmod(F.xxhash64(seq), F.lit(SPREAD)).alias("_part"))
+        for parts in (["_part"], []):
+            newest = Window.partitionBy(*keys, *parts).orderBy(F.col(seq).desc())
+            kept = kept.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= size)
     else:
         kept = df.select(value, seq).orderBy(F.col(seq).desc()).limit(size)
     return kept.groupBy(*keys).agg(
@@ -179,7 +182,7 @@ def range_increase(
     moves = _enter_and_leave(
         steps,
         [*series, tie],
-        step(F.col(at), 0, F.coalesce(F.col("_d"), F.col("_d") * 0)),
+        step(F.col(at), 0, F.col("_d")),
         F.when(F.col("_d").isNotNull(), step(gone, 1, -F.col("_d"))),
     )
     like = samples.withColumns({"_t": F.col(at), "_side": F.lit(0)})
@@ -216,11 +219,17 @@ def gap_alert(
     tie: str,
     absent: timedelta,
     max_rows: int | None = None,
+    now: Column | None = None,
 ) -> DataFrame:
-    """A series that gives no sample for longer than `absent`; `resumed` is null at its end."""
+    """A series that gives no sample for longer than `absent`; `resumed` is null at its end.
+
+    At its end a series alerts only if `now` is past the deadline; without `now` the
+    input has ended for good.
+    """
     seen = scan(samples.select(*series, at, tie), series, [at, tie], max_rows, _next=following(at))
     due = F.col(at) + interval(absent)
-    return seen.where(F.col("_next").isNull() | (F.col("_next") > due)).select(
+    silent = F.coalesce(F.col("_next"), now) > due if now is not None else F.col("_next").isNull() | (F.col("_next") > due)
+    return seen.where(silent).select(
         *series, due.alias("alert_time"), F.col("_next").alias("resumed")
     )
 
@@ -238,22 +247,16 @@ def retention(
     """Mark each snapshot keep or delete.
 
     Kept are the newest few per job, and the newest one of each week (from
-    Monday) as long as it is not older than `weekly_for`.
+    Monday) as long as it is not older than `weekly_for`. A snapshot without a time is
+    the oldest of its job.
     """
-    fields = {f.name: f.dataType for f in snapshots.schema}
-    newest_first = snapshots.withColumns(
-        {
-            "_age": -order_number(at, fields[at]),
-            "_age_tie": -order_number(tie, fields[tie]),
-            "_week": F.trunc(F.col(at).cast("date"), "week"),
-        }
-    )
     ranked = scan(
-        newest_first, [job], ["_age", "_age_tie"], max_rows,
-        _rank=running_count(), _week_before=previous("_week"),
+        snapshots.withColumn("_week", F.trunc(F.col(at).cast("date"), "week")), [job], [at, tie], max_rows,
+        _rank=remaining_count(), _week_after=following("_week"),
     )
-    first_of_week = F.col("_week_before").isNull() | (F.col("_week_before") != F.col("_week"))
-    keep = (F.col("_rank") <= newest) | (first_of_week & (F.col(at) >= now - interval(weekly_for)))
+    newest_of_week = F.col("_week_after").isNull() | (F.col("_week_after") != F.col("_week"))
+    recent = F.coalesce(F.col(at) >= now - interval(weekly_for), F.lit(False))
+    keep = (F.col("_rank") <= newest) | (newest_of_week & recent)
     return ranked.select(
         *snapshots.columns, F.when(keep, "keep").otherwise("delete").alias("verdict")
     )

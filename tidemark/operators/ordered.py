@@ -101,6 +101,17 @@ def running_count(before: bool = False) -> Running:
     )
 
 
+def remaining_count() -> Running:
+    """Number of rows from the row itself to the last one."""
+    one = F.lit(1)
+    return Running(
+        local=lambda w: F.count(one).over(w.backward.rowsBetween(Window.unboundedPreceding, 0)),
+        summary=lambda at: F.count(one),
+        carried=lambda part, w: F.sum(part).over(w.backward.rowsBetween(Window.unboundedPreceding, -1)),
+        combine=lambda own, old: own + F.coalesce(old, F.lit(0)),
+    )
+
+
 def running_max(value: Column | str, before: bool = False) -> Running:
     v = _column(value)
     return Running(

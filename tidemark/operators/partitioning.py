@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 SALTS = 8
 
@@ -103,19 +103,21 @@ def key_shares(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def skew_report(df: DataFrame, keys: Sequence[str], n: int, factor: float = 5.0) -> DataFrame:
-    """How the keys would load n hash partitions, without moving the rows.
+def key_placement(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key: in how many partitions it lies now, and its rows."""
+    placed = tag_partition(df.select(*keys)).groupBy(*keys, "partition").agg(F.count(F.lit(1)).alias("n"))
+    return placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("n"))
 
-    Key counts are placed the way a hash repartition places them. A partition
-    is flagged when it holds more than `factor` times the average.
+
+def skew_report(df: DataFrame, keys: Sequence[str], factor: float = 5.0) -> DataFrame:
+    """Per key: rows, share of all rows, ratio to the mean of the keys, and whether that exceeds `factor`.
+
+    Says how uneven the keys are, whatever number of tasks they would be dealt to.
     """
-    placed = key_shares(df, keys).withColumn("partition", F.pmod(F.hash(*keys), F.lit(n)))
-    loads = placed.groupBy("partition").agg(
-        F.sum("n").alias("n"),
-        F.max("n").alias("top_n"),
-        F.max_by(F.struct(*keys), F.col("n")).alias("top_key"),
-    )
-    all_loads = F.sum("n").over(Window.partitionBy())  # over the n partition rows only
-    return loads.withColumn("ratio", F.col("n") * n / all_loads).withColumn(
-        "skewed", F.col("ratio") > factor
+    counts = key_shares(df, keys)
+    whole = counts.agg(F.sum("n").alias("_rows"), F.count(F.lit(1)).alias("_keys"))
+    ratio = F.col("n") * F.col("_keys") / F.col("_rows")
+    # `whole` is one row
+    return counts.join(F.broadcast(whole), F.lit(True)).select(
+        *keys, "n", (F.col("n") / F.col("_rows")).alias("share"), ratio.alias("ratio"), (ratio > factor).alias("skewed")
     )

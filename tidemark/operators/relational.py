@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import timedelta
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.scalars import interval
 
@@ -96,17 +97,25 @@ def fold_per_key(
 ) -> DataFrame:
     """A user-written aggregate that can merge its own results (sum, max, ...).
 
-    `fold` runs per key and input partition, then over those results, so it
-    never sees more of a key than one input partition at a time.
+    `fold` runs per key and Arrow batch where the rows lie, and only its results are
+    shuffled and folded again.
     """
 
     @F.pandas_udf(result_type)
     def folded(values: pd.Series) -> Any:
         return fold(values)
 
-    placed = df.withColumn("_part", F.spark_partition_id())
-    parts = placed.groupBy(*keys, "_part").agg(folded(F.col(value)).alias("_folded"))
-    return parts.groupBy(*keys).agg(folded(F.col("_folded")).alias(name))
+    kept = df.select(*keys, F.col(value).alias("_value"))
+    partial = T.StructType([*kept.schema.fields[:-1], T.StructField("_folded", folded.returnType)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = pa.Table.from_batches([batch]).group_by(list(keys)).aggregate([("_value", "list")])
+            results = [fold(pd.Series(v)) for v in lists["_value_list"].to_pylist()]
+            columns = [lists[k].combine_chunks() for k in keys]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(results, from_pandas=True)], names=[*keys, "_folded"])
+
+    return kept.mapInArrow(run, partial).groupBy(*keys).agg(folded(F.col("_folded")).alias(name))
 
 
 def idle_total(

@@ -82,10 +82,7 @@ def held_enrichment(spark, folder, max_rows):
     "broadcast_multiplier",
     """SELECT event_id, event_type, value, CAST(multiplier AS DOUBLE) AS multiplier,
         CAST(CAST(value AS DECIMAL(18,2)) * multiplier AS DOUBLE) AS adjusted,
-        CASE WHEN multiplier IS NULL THEN '(no multiplier yet) ' || event_type
-             ELSE printf('category=%s | price=%.2f * mult=%.2f = adjusted=%.2f', event_type, value, multiplier,
-                 CAST(CAST(CAST(value AS DECIMAL(18,2)) * multiplier AS DECIMAL(18,2)) AS DOUBLE))
-        END AS status
+        CASE WHEN multiplier IS NULL THEN 'unknown' ELSE 'adjusted' END AS status
     FROM events LEFT JOIN (VALUES """
     + ", ".join(f"('{k}', {v}::DECIMAL(4,1))" for k, v in MULTIPLIERS.items())
     + ") AS m(event_type, multiplier) USING (event_type)",
@@ -152,7 +149,5 @@ def async_lookup(spark, folder):
 
 @query("lateral_lookup", TITLE_SQL)
 def lateral_lookup(spark, folder):
-    joins.register_lookup_function(spark, "title_of", TITLES)
-    return spark.sql(
-        "SELECT event_id, event_type, value AS title FROM {e}, LATERAL title_of(event_type)", e=_typed(spark, folder)
-    )
+    table = spark.createDataFrame(list(TITLES.items()), "event_type string, title string")
+    return joins.lateral_lookup(_typed(spark, folder), table, "event_type", "title")

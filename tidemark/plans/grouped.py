@@ -316,12 +316,18 @@ def key_shares(spark, folder):
     return partitioning.key_shares(load_table(spark, folder, "events"), ["user_id"])
 
 
-@query("skew_report")
+@query(
+    "skew_report",
+    """SELECT event_type, n, n / SUM(n) OVER () AS share, n * COUNT(*) OVER () / SUM(n) OVER () AS ratio,
+        n * COUNT(*) OVER () / SUM(n) OVER () > 5 AS skewed
+    FROM (SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type)""",
+)
 def skew_report(spark, folder):
-    return partitioning.skew_report(load_table(spark, folder, "events"), ["event_type"], _tasks(spark))
+    return partitioning.skew_report(load_table(spark, folder, "events"), ["event_type"])
 
 
-@query("partition_report")
+@query("partition_report", "SELECT user_id, 1 AS partitions, COUNT(*) AS n FROM events GROUP BY user_id")
 def partition_report(spark, folder):
+    """Placement by key puts each key into one partition."""
     users = load_table(spark, folder, "events").select("user_id")
-    return partitioning.partition_report(partitioning.by_key(users, _tasks(spark), "user_id"))
+    return partitioning.key_placement(partitioning.by_key(users, _tasks(spark), "user_id"), ["user_id"])

@@ -106,11 +106,12 @@ def increase_alert(spark, folder, max_rows):
     "gap_alert",
     """SELECT user_id, ts + INTERVAL 24 HOURS AS alert_time, nxt AS resumed FROM (
         SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt FROM events)
-    WHERE nxt IS NULL OR nxt > ts + INTERVAL 24 HOURS""",
+    WHERE COALESCE(nxt, TIMESTAMP '2024-01-31 00:00:00') > ts + INTERVAL 24 HOURS""",
 )
 def gap_alert(spark, folder, max_rows):
     return metrics.gap_alert(
-        events(spark, folder, bool(max_rows)), ["user_id"], "ts", "event_id", timedelta(hours=24), max_rows
+        events(spark, folder, bool(max_rows)), ["user_id"], "ts", "event_id", timedelta(hours=24), max_rows,
+        now=F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"),
     )
 
 
