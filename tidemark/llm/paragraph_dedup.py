@@ -149,9 +149,8 @@ def repeats(
     often = single.groupBy("single").agg(F.count("*").alias("c")).where("c > 1").select("single")
     met = write_and_read(single.join(often, "single").select("id").distinct(), "met")
     placed = marks.select("id", "doc", "place").join(met, "id", "left_semi")
-    texts = write_and_read(
-        lines.join(placed, ["doc", "place"]).dropDuplicates(["id"]).select("id", "text"), "texts"
-    )
+    # a row that repeats a document gives its paragraphs the same ids once more
+    texts = write_and_read(lines.join(placed, ["doc", "place"]).select("id", "text"), "texts")
     signed = write_and_read(texts.select("id", signer(shape)("text").alias("s")).select("id", "s.*"), "signatures")
     named = components(links(signed, texts, shape)).withColumnRenamed("node", "rep")
     classes = write_and_read(
