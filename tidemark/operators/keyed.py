@@ -51,8 +51,15 @@ def spend_summary(
     """Per event: the user's spend so far and how often each category occurred (`counts`, a map).
 
     Each output row carries every category of its user, so the result is rows
-    times categories by definition; the counts are one running count each.
+    times categories by definition; the counts are one running count each. Without
+    `categories` their values are looked up first; a value that is not among the given
+    ones is an error.
     """
+    if categories is not None:
+        strange = F.raise_error(F.concat(F.lit("not a declared category: "), F.col(category).cast("string")))
+        known = F.col(category).isNull() | F.col(category).isin(list(categories))
+        kind = events.schema[category].dataType
+        events = events.withColumn(category, F.when(known, F.col(category)).otherwise(strange.cast(kind)))
     names = list(categories) if categories is not None else distinct_values(events, category)
     counters = {
         f"_count{i}": running_sum(F.when(F.col(category) == name, 1).otherwise(0))

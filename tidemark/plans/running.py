@@ -129,7 +129,7 @@ BY_USER = "OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING
 )
 def spend_summary(spark, folder, max_rows):
     seen = keyed.spend_summary(
-        events(spark, folder, bool(max_rows)), "user_id", "event_id", "event_type", "amount", max_rows=max_rows
+        events(spark, folder, bool(max_rows)), "user_id", "event_id", "event_type", "amount", TYPES, max_rows
     )
     counts = [F.try_element_at("counts", F.lit(t)).alias(f"n_{t}") for t in TYPES]
     return as_doubles(seen.select("event_id", "user_id", "spend", *counts), "spend")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.scalars import money
 from tidemark.plans.inputs import EVENTS_SQL, as_doubles
 from tidemark.plans.registry import query
+from tidemark.plans.running import TYPES, _session_sql
 from tidemark.session import prepare_streaming, scratch_path
 from tidemark.sources.streams import file_stream
 from tidemark.sources.tables import load_table, without_zone
@@ -224,3 +225,70 @@ def stream_temporal_join(spark, folder):
         )
 
     return as_doubles(_finished(spark, folder, build, "temporal").drop("ts"), "amount", "rate")
+
+
+@query(
+    "stream_spend_summary",
+    f"""SELECT event_id, user_id, CAST(SUM(amount) {BY_USER} AS DOUBLE) AS spend, """
+    + ", ".join(f"NULLIF(COUNT(*) FILTER (WHERE event_type = '{t}') {BY_USER}, 0) AS n_{t}" for t in TYPES)
+    + f" FROM {EVENTS_SQL}",
+)
+def stream_spend_summary(spark, folder):
+    def build(events):
+        return s.spend_summary(_timed(events), ["user_id"], "event_id", "event_type", "amount", at="ts")
+
+    seen = _finished(spark, folder, build, "spend")
+    counts = [F.try_element_at("counts", F.lit(t)).alias(f"n_{t}") for t in TYPES]
+    return as_doubles(seen.select("event_id", "user_id", "spend", *counts), "spend")
+
+
+@query(
+    "stream_ttl_sum",
+    f"""SELECT event_id, user_id,
+        CAST(SUM(amount) OVER (PARTITION BY user_id, session ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS total
+    FROM {_session_sql(12)}""",
+)
+def stream_ttl_sum(spark, folder):
+    def build(events):
+        return s.expiring_sum(_timed(events), ["user_id"], "ts", "event_id", "amount", 12 * HOUR, hold=True)
+
+    return as_doubles(_finished(spark, folder, build, "sums"), "total")
+
+
+@query(
+    "stream_batch_flush",
+    """SELECT event_id, user_id, size, CASE WHEN size = 3 THEN items END AS flushed FROM (
+        SELECT *, CAST((rn - 1) % 3 + 1 AS INTEGER) AS size,
+            array_to_string(list(event_type) OVER (PARTITION BY user_id ORDER BY event_id ROWS 2 PRECEDING), ',') AS items
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events))""",
+)
+def stream_batch_flush(spark, folder):
+    def build(events):
+        return s.batch_flush(_timed(events), ["user_id"], "event_id", "event_type", 3, at="ts")
+
+    seen = _finished(spark, folder, build, "flush")
+    return seen.withColumn("flushed", F.array_join("flushed", ","))
+
+
+@query(
+    "stream_session_windows",
+    f"""SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 8 HOURS AS session_end, COUNT(*) AS n,
+        CAST(SUM(amount) AS DOUBLE) AS total FROM {_session_sql(8, '<=')} GROUP BY user_id, session""",
+)
+def stream_session_windows(spark, folder):
+    def build(events):
+        return s.sessions(events, ["user_id"], "ts", timedelta(hours=8), "amount", BOUND)
+
+    return as_doubles(_finished(spark, folder, build, "stream-sessions"), "total")
+
+
+@query(
+    "stream_salted_windows",
+    f"""SELECT event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+        CAST(SUM(amount) AS DOUBLE) AS total FROM {EVENTS_SQL} GROUP BY 1, 2, 3""",
+)
+def stream_salted_windows(spark, folder):
+    def build(events):
+        return s.salted_window_totals(events, ["event_type"], "ts", DAY, "amount", "event_id", BOUND)
+
+    return as_doubles(_finished(spark, folder, build, "salted"), "total")
