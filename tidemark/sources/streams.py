@@ -68,8 +68,13 @@ def topic_stream(spark: SparkSession, options: Mapping[str, str], avro_schema: s
 
 
 def decode_topic(raw: DataFrame, decode) -> DataFrame:
-    """Records of a topic table (value, timestamp) as columns plus `event_time`."""
-    body = F.expr("substring(value, 6)")
+    """Records of a topic table (value, timestamp) as columns plus `event_time`.
+
+    A record that does not begin with the frame's zero byte is an error.
+    """
+    framed = F.expr("substring(value, 1, 1) = X'00' AND octet_length(value) >= 5")
+    refused = F.raise_error(F.lit("not a registry-framed record")).cast("binary")
+    body = F.when(F.col("value").isNull() | framed, F.expr("substring(value, 6)")).otherwise(refused)
     rows = raw.select(decode(body).alias("_r"), F.col("timestamp").alias("event_time"))
     return rows.select("_r.*", "event_time").withWatermark("event_time", "5 seconds")
 

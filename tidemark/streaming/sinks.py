@@ -160,6 +160,13 @@ def running_totals_by_batch(
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # it is profiled, summed and given out
+        try:
+            totals(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def totals(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = running_total(batch, keys, seq, amount, "_own")
         try:
