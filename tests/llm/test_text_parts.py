@@ -70,6 +70,17 @@ def test_page_structure():
     assert main_text.page_lines("<article>x</article><article><p>y &am &#65;")[-1] == ("y &am A", 2)
 
 
+@pytest.mark.parametrize("name", ["ad", "ad-0", "newsletter-signup", "site-header", "post_comments", "cookieBanner", "main-nav", "header-2"])
+def test_parts_left_out_by_name(name):
+    page = f'<body class="x"><div id="{name}"><p>Out</p></div><div class="post-header with-sidebar">In</div></body>'
+    assert [t for t, kind in main_text.page_lines(page) if kind] == ["In"]
+
+
+@pytest.mark.parametrize("name", ["address", "has-sidebar", "content", "post-header", "formal", "adventure", "no-ads", "entry-header"])
+def test_parts_kept_by_name(name):
+    assert main_text.page_lines(f"<div class='a {name}'>In</div>") == [("In", 1)]
+
+
 def test_common_lines_are_longest():
     rng = random.Random(4)
     for _ in range(300):

@@ -49,17 +49,30 @@ ROLES = {
     "menubar", "toolbar", "tooltip", "status",
 }
 
-_NAMES = (
-    "nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|bottom|sidebar|side|aside|rail|ads?|advert|adverts"
-    "|advertisement|advertising|banner|promo|promotion|sponsor|sponsored|cookies?|consent|gdpr|notice|notices|notification|alert"
-    "|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|comments?"
-    "|commentlist|replies|reply|disqus|respond|widgets?|search|pagination|pager|toolbar|skip|legal|copyright|form"
-)
-_OUT_NAME = re.compile(
-    rf"(?:(?:site|page|main|top|left|right|global|user|reader|web|cookie|primary|secondary|post)[-_])?(?:{_NAMES})"
-    r"(?:[-_](?:\d+|bar|box|area|list|section|container|wrapper|wrap|inner|block|panel|links?|menu|slot|unit|banner|notice|form|top|bottom|left|right))*",
-    re.I,
+#: words that begin or end the class or id of a part left out
+NAMES = set(
+    "nav navbar navigation menu menus breadcrumb breadcrumbs masthead topbar footer sidebar ad ads advert adverts"
+    " advertisement advertisements advertising banner promo promotion promotions sponsor sponsored cookie cookies consent"
+    " gdpr notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup login"
+    " share sharing social related recommended comment comments commentlist replies disqus respond widget widgets search"
+    " pagination pager toolbar copyright form forms".split()
 )
+#: a header of these is the page's and not the article's
+_PAGE = {"site", "page", "main", "top", "global"}
+#: names with these words tell what a wrapper has beside its content
+_BESIDE = {"with", "has", "no", "without"}
+
+
+def _named_out(name: str) -> bool:
+    words = [w for w in re.split(r"[-_]+|(?<=[a-z])(?=[A-Z])", name) if w]
+    words = [w.lower() for w in words if not w.isdigit()]
+    if not words or _BESIDE & set(words):
+        return False
+    if "header" in words:
+        return words[0] == "header" or words[0] in _PAGE and words[1:] == ["header"]
+    return words[0] in NAMES or words[-1] in NAMES
+
+
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>"""
     r"""|<([a-zA-Z][^\s/>]*)([^>]*)>""",
@@ -83,8 +96,9 @@ def _is_out(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     if found.get("role", "").lower() in ROLES:
         return True
-    names = f"{found.get('class', '')} {found.get('id', '')}".split()
-    return any(_OUT_NAME.fullmatch(n) for n in names)
+    if tag in ("html", "body", "main"):
+        return False
+    return any(map(_named_out, f"{found.get('class', '')} {found.get('id', '')}".split()))
 
 
 def page_lines(page: str | None) -> list[tuple[str, int]]:
