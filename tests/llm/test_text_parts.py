@@ -256,6 +256,9 @@ def test_round_trip(spark, data_dir, edges, documents):
     assert len(back) == len(EDGES) and all(r["text"] == r["back"] for r in back)
     assert all((r["tokens"] is None) == (r["text"] is None) for r in back)
     assert sentencepiece_viterbi.encode_texts(edges.where("false")).count() == 0
+    both = sentencepiece_viterbi.code_texts(edges.selectExpr("*", "1 AS tokens")).collect()
+    key = lambda r: (r["doc_id"] or 0, r["text"] or "", r["tokens"] or [])
+    assert sorted(map(key, both)) == sorted(map(key, back))
 
 
 def test_marks_and_rare_characters_come_back(pieces):

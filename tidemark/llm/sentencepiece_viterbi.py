@@ -19,6 +19,7 @@ import importlib.util
 import math
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,7 +87,7 @@ class Viterbi:
 
     def __init__(self, pieces: Pieces) -> None:
         self.pieces = pieces
-        self.memory: dict[str, np.ndarray] = {}
+        self.memory: dict[str, bytes] = {}  # ids as 32-bit numbers
         self.kept = 0
 
     def _walk(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
@@ -139,9 +140,8 @@ class Viterbi:
             new = every
             self.kept = sum(map(len, new))
         for word, ids in self._walk(sorted(new)):
-            self.memory[word] = np.array(ids, np.int32)
-        none = np.zeros(0, np.int32)
-        return [np.concatenate([self.memory[w] for w in words]) if words else none for words in cut]
+            self.memory[word] = array("i", ids).tobytes()
+        return [np.frombuffer(b"".join([self.memory[w] for w in words]), np.int32) for words in cut]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids."""
@@ -152,16 +152,25 @@ class Viterbi:
 def _chunks(texts: pa.Array, limit: int = 1 << 21) -> Iterator[list[str | None]]:
     """Texts in lists of about `limit` characters."""
     part, size = [], 0
-    for text in texts.to_pylist():
-        part.append(text)
-        size += len(text or "")
-        if size >= limit:
-            yield part
-            part, size = [], 0
+    for at in range(0, len(texts), 100):
+        for text in texts.slice(at, 100).to_pylist():
+            part.append(text)
+            size += len(text or "")
+            if size >= limit:
+                yield part
+                part, size = [], 0
     if part:
         yield part
 
 
+def _id_lists(coded: list[np.ndarray], texts: list[str | None]) -> pa.Array:
+    """Lists of ids, null for a null text."""
+    values = np.concatenate(coded) if coded else np.zeros(0, np.int32)
+    ends = np.cumsum([0, *map(len, coded)])
+    null = pa.array([t is None for t in texts], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()), mask=null)
+
+
 def encoder(path: str):
     """A column function: ids of each text (null for a null text)."""
 
@@ -169,14 +178,39 @@ def encoder(path: str):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         viterbi = Viterbi(Pieces(path))
         for texts in batches:
-            out = []
-            for part in _chunks(texts):
-                out += [None if t is None else ids for t, ids in zip(part, viterbi.encode(part), strict=True)]
-            yield pa.array(out, pa.list_(pa.int32()))
+            parts = [_id_lists(viterbi.encode(part), part) for part in _chunks(texts)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return encode
 
 
+_CODED = StructType([StructField("tokens", ArrayType(IntegerType())), StructField("text", StringType())])
+
+
+def coder(path: str):
+    """A column function: ids of each text and the text they decode to, by one worker (null for null)."""
+
+    @F.arrow_udf(_CODED)
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        viterbi = Viterbi(Pieces(path))
+        for texts in batches:
+            ids, back = [], []
+            for part in _chunks(texts):
+                coded = viterbi.encode(part)
+                ids.append(_id_lists(coded, part))
+                decoded = [None if t is None else viterbi.decode(c) for t, c in zip(part, coded, strict=True)]
+                back.append(pa.array(decoded, pa.string()))
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.concat_arrays(ids) if ids else pa.array([], pa.list_(pa.int32())),
+                    pa.concat_arrays(back) if back else pa.array([], pa.string()),
+                ],
+                names=["tokens", "text"],
+            )
+
+    return code
+
+
 def decoder(path: str):
     """A column function: the text of each list of ids (null for null)."""
 
@@ -238,6 +272,15 @@ def encode_texts(docs: DataFrame, text: str = "text", into: str = "tokens", path
     return docs.withColumn(into, encoder(path or model_path())(F.col(text)))
 
 
+def code_texts(docs: DataFrame, text: str = "text", into: str = "tokens", path: str | None = None) -> DataFrame:
+    """`docs` with the ids of each text in `into`, and the text that these decode to in place of it."""
+    columns = [c for c in docs.columns if c != into]
+    coded = docs.select(*columns, coder(path or model_path())(F.col(text)).alias(into))
+    return coded.select(*[F.col(f"{into}.text").alias(c) if c == text else c for c in columns], f"{into}.tokens").withColumnRenamed(
+        "tokens", into
+    )
+
+
 def decode_texts(docs: DataFrame, tokens: str = "tokens", into: str = "text", path: str | None = None) -> DataFrame:
     """`docs` with the text of each list of ids in `into`."""
     return docs.withColumn(into, decoder(path or model_path())(F.col(tokens)))
