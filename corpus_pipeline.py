@@ -45,8 +45,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text that they decode to."""
-    tokens = sentencepiece_viterbi.encode_texts(docs)
-    return sentencepiece_viterbi.decode_texts(tokens).withColumn("n_tokens", F.size("tokens").cast("long"))
+    return sentencepiece_viterbi.code_texts(docs).withColumn("n_tokens", F.size("tokens").cast("long"))
 
 
 STAGES: list[tuple[str, Stage]] = [
