@@ -43,7 +43,7 @@ _WORD = re.compile(" *[^ ]+| +")
 #: the file in the folder of public vocabularies; the path is a parameter of all functions here
 MODEL = "piece_bpe_32k.model"
 #: characters of encoded words that a task keeps between batches
-REMEMBERED = 4_000_000
+REMEMBERED = 1_000_000
 
 
 def model_path(name: str = MODEL) -> str:
