@@ -121,6 +121,49 @@ def test_paragraph_edges(spark, edges):
     assert paragraph_dedup.dedup(edges.where("false")).count() == 0
 
 
+def _held_earlier(rows, size=51):
+    """Documents that hold `size` words in a row which a document before them holds as well."""
+    first, held = {}, set()
+    for doc, text in sorted(rows):
+        words = SPACED.findall(text or "")
+        for k in range(len(words) - size + 1):
+            if first.setdefault(tuple(words[k : k + size]), doc) != doc:
+                held.add(doc)
+    return held
+
+
+def test_no_passage_of_an_earlier_document_is_left(spark, data_dir):
+    rows = [(r["doc_id"], r["text"]) for r in paragraph_dedup.query(spark, data_dir).collect()]
+    assert not _held_earlier(rows)
+
+
+def test_passages_go_wherever_lines_break(spark):
+    def own(doc, n=60):
+        return [f"{doc}_{k}" for k in range(n)]
+
+    said = [f"p{k}" for k in range(60)]
+    p = " ".join(said)
+    texts = {
+        1: " ".join(own(1)) + " " + p + " " + " ".join(own("one")),
+        2: " ".join(own(2, 90)) + " " + p + " " + " ".join(own("two", 90)),  # in a longer line
+        3: "head\n" + "\n".join(" ".join(said[k : k + 7]) for k in range(0, 60, 7)) + "\ntail",  # over short lines
+        4: "x " + " ".join(said[:25]) + "\n" + " ".join(said[25:]) + " y",  # broken elsewhere
+        5: p.replace("p59", "q") + " " + " ".join(own(5, 50)),  # 59 words
+        6: " ".join(said[:50]) + " " + " ".join(own(6, 90)),  # 50 words stay
+        7: " ".join(own(7, 40) + own("seven", 40)),
+        # without p the words beside it are those of 7
+        8: " ".join(own(7, 40)) + "\n" + p + "\n" + " ".join(own("seven", 40)),
+    }
+    docs = spark.createDataFrame([*texts.items(), (None, p)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in paragraph_dedup.dedup(docs).collect()}
+    got = {k: r["text"] for k, r in rows.items() if k}
+    assert not _held_earlier(got.items()) and rows[None]["text"] == p
+    assert got[1] == texts[1] and got[6] == texts[6] and got[7] == texts[7]
+    assert got[2] == " ".join(own(2, 90) + own("two", 90)) and rows[2]["n_removed"] == 1
+    assert got[3] == "head\ntail" and got[4] == "x y" and got[5] == "q " + " ".join(own(5, 50))
+    assert got[8] == ""
+
+
 def test_tuned_bands():
     shape = paragraph_dedup.tuned()
     assert (1 - 0.8**shape.rows) ** shape.bands + 0.2 ** paragraph_dedup.screening() <= 1e-6

@@ -4,6 +4,9 @@ Paragraphs are the lines of a text with at least MIN_WORDS words. Bands are tune
 recall, paragraphs that meet in a band are compared exactly (Jaccard similarity of
 their shingle sets, or edit distance of words), and of each connected component the
 first paragraph, by document and place, stays.
+
+What is left is searched for passages of PASSAGE words that a document with a smaller
+id has, too, within longer lines, over short ones or broken elsewhere (`passages`).
 """
 
 from __future__ import annotations
@@ -16,8 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from tidemark.llm import passages
 from tidemark.llm.graph import components
 from tidemark.llm.minhash_dedup import Shape, links, signer
+from tidemark.llm.passages import PASSAGE
 from tidemark.llm.words import SPACED, Hasher, chunks, find_words, mix, utf8, windows
 from tidemark.session import write_and_read
 
@@ -167,12 +172,18 @@ def repeats(
 
 
 def dedup(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, shape: Shape | None = None
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    min_words: int = MIN_WORDS,
+    shape: Shape | None = None,
+    passage: int = PASSAGE,
 ) -> DataFrame:
-    """`docs` with the repeated paragraphs taken out of their texts, and with n_paragraphs
-    (lines of any length) and n_removed.
+    """`docs` with the repeated paragraphs and passages taken out of their texts, and with n_paragraphs
+    (lines of any length) and n_removed (whole lines, and stretches of passages in what they left).
 
-    Only whole lines go; what stays is joined as it was. A null or empty text stays; rows
+    First whole lines go and what stays is joined as it was; then passages of `passage`
+    words that a document with a smaller id still has. A null or empty text stays; rows
     without an id are neither compared nor changed; rows that repeat an id are one
     document and changed alike. Columns named as the two new ones are replaced.
     """
@@ -180,16 +191,24 @@ def dedup(
     docs = docs.drop("n_paragraphs", "n_removed")
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda line, k: ~F.array_contains("_gone", k))
-    joined = docs.join(gone.select(F.col("doc").alias("_doc"), F.col("gone").alias("_gone")), F.col(id) == F.col("_doc"), "left")
+    left = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    gone = gone.select(F.col("doc").alias("_doc"), F.col("gone").alias("_gone"))
+    joined = docs.join(gone, F.col(id) == F.col("_doc"), "left")
+    texts = docs.select(id, text).join(gone, F.col(id) == F.col("_doc"), "left").select(F.col(id).alias("doc"), left.alias("text"))
+    # so many words have at least so many characters in and between them
+    long = texts.where(F.col("doc").isNotNull() & (F.length("text") >= 2 * passage - 1))
+    rounds = passages.repeated(write_and_read(long, "left"), passage)
+    if rounds is None:
+        joined = joined.withColumn("_cut", F.lit(None).cast("struct<text: string, n: bigint>"))
+    else:
+        rounds = rounds.select(F.col("doc").alias("_changed"), F.col("rounds").alias("_rounds"))
+        joined = joined.join(rounds, F.col(id) == F.col("_changed"), "left").withColumn(
+            "_cut", passages.cutter(passage)(F.when(F.col("_rounds").isNotNull(), left), F.col("_rounds"))
+        )
     return joined.select(
-        *[
-            F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text)
-            if c == text
-            else F.col(c)
-            for c in docs.columns
-        ],
+        *[F.coalesce("_cut.text", left).alias(text) if c == text else F.col(c) for c in docs.columns],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_paragraphs"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        (F.coalesce(F.size("_gone"), F.lit(0)) + F.coalesce("_cut.n", F.lit(0))).cast("long").alias("n_removed"),
     )
 
 
