@@ -485,3 +485,29 @@ def test_parts_in_several_batches(spark, parts, monkeypatch, name):
     folder, con = parts
     name = f"stream_{name}"
     assert differences(registry.queries()[name](spark, folder), con, registry.oracle_sql()[name]) is None
+
+
+@pytest.fixture(scope="module")
+def dealt(data_dir, tmp_path_factory):
+    """The events dealt by hash to twelve parts (three batches) that all span the days; the first four are written at one time."""
+    import duckdb
+
+    folder = tmp_path_factory.mktemp("dealt")
+    (folder / "events.parquet").mkdir()
+    con = duckdb.connect()
+    for k in range(12):
+        part = folder / "events.parquet" / f"part-{k}.parquet"
+        con.execute(f"COPY (SELECT * FROM '{data_dir}/events.parquet' WHERE hash(event_id) % 12 = {k}) TO '{part}' (FORMAT parquet)")
+        os.utime(part, (1_000_000 + max(k, 3), 1_000_000 + max(k, 3)))
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("name", ["window_totals", "session_windows", "salted_windows", "running_revenue", "changelog", "ttl_counter"])
+def test_parts_dealt_by_hash(spark, dealt, name):
+    import __spark_entry__ as registry
+    from tests.oracle import differences
+
+    folder, con = dealt
+    name = f"stream_{name}"
+    assert differences(registry.queries()[name](spark, folder), con, registry.oracle_sql()[name]) is None

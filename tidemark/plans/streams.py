@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.scalars import money
 from tidemark.plans.inputs import EVENTS_SQL, as_doubles
@@ -18,7 +18,7 @@ from tidemark.plans.registry import query
 from tidemark.plans.running import TYPES, _session_sql
 from tidemark.session import prepare_streaming, scratch_path
 from tidemark.sources.streams import file_stream
-from tidemark.sources.tables import load_table, without_zone
+from tidemark.sources.tables import load_table, with_zone, without_zone
 from tidemark.streaming import operators as s
 from tidemark.streaming.sinks import KeyedTable, append_only, run_to_end, streaming_top, upsert
 
@@ -26,7 +26,7 @@ HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 
 #: a trigger takes so many files of the table
 FILES_PER_BATCH = 4
-#: time that no row of the table comes later than; event_id and ts tell its order
+#: the least time that a row may come late; `_bound` finds what the table needs. event_id and ts tell its order
 BOUND = DAY
 END = datetime(2999, 1, 1, tzinfo=timezone.utc)
 NOBODY = -1
@@ -43,7 +43,25 @@ def _events(spark, folder) -> DataFrame:
     return _select(file_stream(spark, f"{folder}/{{events.parquet}}", schema, files_per_batch=FILES_PER_BATCH))
 
 
-def _finished(spark, folder, build: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+def _bound(spark, folder) -> timedelta:
+    """How far a file's first row is behind the last of the files that may be read before it: those not
+    written later. A table whose files all span its time needs all of that."""
+    rows = with_zone(
+        spark.read.parquet(f"{folder}/events.parquet").select(
+            "ts", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("written")
+        )
+    ).select("file", "written", F.unix_micros("ts").alias("us"))
+    files = rows.groupBy("file", "written").agg(F.min("us").alias("first"), F.max("us").alias("last"))
+    # a row for each file; of files written at the same time either may be read first
+    times = files.groupBy("written").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.count("*").alias("n"))
+    before = Window.orderBy("written").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.greatest(F.max("last").over(before), F.when(F.col("n") > 1, F.col("last")))
+    late = times.select((ahead - F.col("first")).alias("late")).agg(F.max("late")).first()[0]
+    # rows at the watermark are late, too, and it is kept in milliseconds
+    return BOUND if late is None else max(BOUND, timedelta(microseconds=late) + timedelta(seconds=1))
+
+
+def _finished(spark, folder, build: Callable[[DataFrame, timedelta], DataFrame], label: str) -> DataFrame:
     """Run into files to the end of the table, then past it, and read the files back."""
     prepare_streaming(spark)
     path = scratch_path(spark, label)
@@ -53,7 +71,8 @@ def _finished(spark, folder, build: Callable[[DataFrame], DataFrame], label: str
         "event_id bigint, ts timestamp, user_id bigint, event_type string",
     ).withColumn("amount", money(F.lit(0)))
     last.limit(0).write.parquet(f"{path}/end")
-    stream = build(events.unionByName(spark.readStream.schema(last.schema).parquet(f"{path}/end")))
+    ended_by = spark.readStream.schema(last.schema).parquet(f"{path}/end")
+    stream = build(events.unionByName(ended_by), _bound(spark, folder))
     for ended in (False, True):
         if ended:
             last.write.mode("append").parquet(f"{path}/end")
@@ -62,8 +81,8 @@ def _finished(spark, folder, build: Callable[[DataFrame], DataFrame], label: str
     return rows.where(F.col("user_id") != NOBODY) if "user_id" in rows.columns else rows
 
 
-def _timed(df: DataFrame) -> DataFrame:
-    return s.with_watermark(df, "ts", BOUND)
+def _timed(df: DataFrame, bound: timedelta) -> DataFrame:
+    return s.with_watermark(df, "ts", bound)
 
 
 @query(
@@ -109,8 +128,8 @@ def stream_top_spender(spark, folder):
     FROM {EVENTS_SQL} GROUP BY 1, 2, 3""",
 )
 def stream_window_totals(spark, folder):
-    def build(events):
-        return s.windowed_totals(events, ["event_type"], "ts", HOUR, "amount", BOUND)
+    def build(events, bound):
+        return s.windowed_totals(events, ["event_type"], "ts", HOUR, "amount", bound)
 
     return as_doubles(_finished(spark, folder, build, "windows"), "total")
 
@@ -121,8 +140,8 @@ def stream_window_totals(spark, folder):
         ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS total FROM {EVENTS_SQL}""",
 )
 def stream_running_revenue(spark, folder):
-    def build(events):
-        return s.running_total(_timed(events), ["user_id"], "event_id", "amount", at="ts")
+    def build(events, bound):
+        return s.running_total(_timed(events, bound), ["user_id"], "event_id", "amount", at="ts")
 
     return as_doubles(_finished(spark, folder, build, "running"), "total")
 
@@ -135,10 +154,10 @@ def stream_running_revenue(spark, folder):
     WHERE event_type = 'click' AND (nxt > ts + INTERVAL 6 HOURS OR nxt IS NULL)""",
 )
 def stream_abandoned_cart(spark, folder):
-    def build(events):
+    def build(events, bound):
         steps = events.where(F.col("event_type").isin("click", "purchase"))
         return s.abandoned_carts(
-            _timed(steps), "user_id", "ts", "event_id", "event_type", timedelta(hours=6), cart="click"
+            _timed(steps, bound), "user_id", "ts", "event_id", "event_type", timedelta(hours=6), cart="click"
         )
 
     return _finished(spark, folder, build, "carts")
@@ -154,8 +173,8 @@ BY_USER = "OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING
     UNION ALL SELECT event_id, user_id, '-U', 0, CAST(total - amount AS DOUBLE) FROM r WHERE n > 1""",
 )
 def stream_changelog(spark, folder):
-    def build(events):
-        return s.to_changelog(_timed(events), ["user_id"], "event_id", "amount", at="ts")
+    def build(events, bound):
+        return s.to_changelog(_timed(events, bound), ["user_id"], "event_id", "amount", at="ts")
 
     return as_doubles(_finished(spark, folder, build, "changes"), "total")
 
@@ -167,8 +186,8 @@ def stream_changelog(spark, folder):
     FROM events""",
 )
 def stream_click_history(spark, folder):
-    def build(events):
-        return s.click_history(_timed(events), ["user_id"], "event_id", "event_type", at="ts")
+    def build(events, bound):
+        return s.click_history(_timed(events, bound), ["user_id"], "event_id", "event_type", at="ts")
 
     seen = _finished(spark, folder, build, "history")
     return seen.withColumn("last_categories", F.array_join("last_categories", ","))
@@ -182,8 +201,8 @@ def stream_click_history(spark, folder):
             THEN 0 ELSE 1 END AS new FROM events))""",
 )
 def stream_ttl_counter(spark, folder):
-    def build(events):
-        return s.session_counter(_timed(events), ["user_id"], "ts", "event_id", 12 * HOUR, hold=True)
+    def build(events, bound):
+        return s.session_counter(_timed(events, bound), ["user_id"], "ts", "event_id", 12 * HOUR, hold=True)
 
     return _finished(spark, folder, build, "sessions")
 
@@ -196,11 +215,11 @@ def stream_ttl_counter(spark, folder):
     ON c.user_id = p.user_id AND c.event_id >= p.event_id""",
 )
 def stream_enrich_tier(spark, folder):
-    def build(events):
+    def build(events, bound):
         clicks = events.where(F.col("event_type") != "signup").select("event_id", "user_id", "ts")
         tier = F.concat(F.lit("tier"), (F.col("event_id") % 3).cast("string")).alias("tier")
         profiles = events.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts", tier)
-        return s.enrich_with_tier(_timed(clicks), _timed(profiles), "user_id", "event_id", at="ts")
+        return s.enrich_with_tier(_timed(clicks, bound), _timed(profiles, bound), "user_id", "event_id", at="ts")
 
     return _finished(spark, folder, build, "tiers")
 
@@ -215,9 +234,9 @@ def stream_enrich_tier(spark, folder):
 def stream_temporal_join(spark, folder):
     """The slower of the two inputs sets the watermark."""
 
-    def build(events):
-        trades = _timed(events.where(F.col("event_type") == "purchase"))
-        rates = _timed(events.where(F.col("event_type") == "signup"))
+    def build(events, bound):
+        trades = _timed(events.where(F.col("event_type") == "purchase"), bound)
+        rates = _timed(events.where(F.col("event_type") == "signup"), bound)
         return s.as_of(
             trades.select("event_id", "user_id", "ts", "amount"),
             rates.select("event_id", "user_id", "ts", F.col("amount").alias("rate")),
@@ -234,8 +253,8 @@ def stream_temporal_join(spark, folder):
     + f" FROM {EVENTS_SQL}",
 )
 def stream_spend_summary(spark, folder):
-    def build(events):
-        return s.spend_summary(_timed(events), ["user_id"], "event_id", "event_type", "amount", at="ts")
+    def build(events, bound):
+        return s.spend_summary(_timed(events, bound), ["user_id"], "event_id", "event_type", "amount", at="ts")
 
     seen = _finished(spark, folder, build, "spend")
     counts = [F.try_element_at("counts", F.lit(t)).alias(f"n_{t}") for t in TYPES]
@@ -249,8 +268,8 @@ def stream_spend_summary(spark, folder):
     FROM {_session_sql(12)}""",
 )
 def stream_ttl_sum(spark, folder):
-    def build(events):
-        return s.expiring_sum(_timed(events), ["user_id"], "ts", "event_id", "amount", 12 * HOUR, hold=True)
+    def build(events, bound):
+        return s.expiring_sum(_timed(events, bound), ["user_id"], "ts", "event_id", "amount", 12 * HOUR, hold=True)
 
     return as_doubles(_finished(spark, folder, build, "sums"), "total")
 
@@ -263,8 +282,8 @@ def stream_ttl_sum(spark, folder):
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events))""",
 )
 def stream_batch_flush(spark, folder):
-    def build(events):
-        return s.batch_flush(_timed(events), ["user_id"], "event_id", "event_type", 3, at="ts")
+    def build(events, bound):
+        return s.batch_flush(_timed(events, bound), ["user_id"], "event_id", "event_type", 3, at="ts")
 
     seen = _finished(spark, folder, build, "flush")
     return seen.withColumn("flushed", F.array_join("flushed", ","))
@@ -276,8 +295,8 @@ def stream_batch_flush(spark, folder):
         CAST(SUM(amount) AS DOUBLE) AS total FROM {_session_sql(8, '<=')} GROUP BY user_id, session""",
 )
 def stream_session_windows(spark, folder):
-    def build(events):
-        return s.sessions(events, ["user_id"], "ts", timedelta(hours=8), "amount", BOUND)
+    def build(events, bound):
+        return s.sessions(events, ["user_id"], "ts", timedelta(hours=8), "amount", bound)
 
     return as_doubles(_finished(spark, folder, build, "stream-sessions"), "total")
 
@@ -288,7 +307,7 @@ def stream_session_windows(spark, folder):
         CAST(SUM(amount) AS DOUBLE) AS total FROM {EVENTS_SQL} GROUP BY 1, 2, 3""",
 )
 def stream_salted_windows(spark, folder):
-    def build(events):
-        return s.salted_window_totals(events, ["event_type"], "ts", DAY, "amount", "event_id", BOUND)
+    def build(events, bound):
+        return s.salted_window_totals(events, ["event_type"], "ts", DAY, "amount", "event_id", bound)
 
     return as_doubles(_finished(spark, folder, build, "salted"), "total")
