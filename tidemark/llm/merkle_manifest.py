@@ -19,12 +19,13 @@ Leaves are dealt into leaf partitions, aligned runs of LEAVES positions of one t
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.llm.places import numbered
 from tidemark.session import write_and_read
 
 NAME = "op12_merkle_manifest"
@@ -54,29 +55,6 @@ def leaf(fields: Sequence[Column]) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-def numbered(rows: DataFrame, tree: str, order: Sequence[str], label: str) -> DataFrame:
-    """`rows` with _pos, the place (from 0) among the rows of the same tree, and _n, their number.
-
-    Sorted over all tasks and numbered inside each: a tree may fill many partitions. What
-    each starts at comes from a row for each tree and partition.
-    """
-    ranked = write_and_read(rows.orderBy(tree, *order).withColumn("_m", F.monotonically_increasing_id()), label)
-    ranked = ranked.withColumn("_part", F.shiftright("_m", 33))
-    parts = ranked.groupBy(F.col(tree).alias("_t"), F.col("_part").alias("_p")).agg(
-        F.count("*").alias("_rows"), F.min("_m").alias("_first")
-    )
-    before = Window.partitionBy("_t").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumns(
-        {
-            "_start": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
-            "_n": F.sum("_rows").over(Window.partitionBy("_t")),
-        }
-    )
-    parts = write_and_read(parts, f"{label}-starts")
-    met = ranked.join(parts, F.col(tree).eqNullSafe(F.col("_t")) & (F.col("_part") == F.col("_p")))
-    return met.select(*rows.columns, (F.col("_m") - F.col("_first") + F.col("_start")).alias("_pos"), "_n")
-
-
 def _levels(n: int) -> int:
     """Levels above the leaves of a tree of n leaves."""
     return max(0, int(n) - 1).bit_length()
@@ -246,7 +224,7 @@ def fold(leaf_digest: str, path: list[tuple[int, str | None]]) -> str:
 def _expand(trees: int, shown: str, kept: Sequence[str]):
     """The proofs of one leaf partition from its leaves and the digests it lacked."""
 
-    def expanded(key, leaves: pd.DataFrame, fetched: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    def expanded(key, leaves: pd.DataFrame, fetched: pd.DataFrame) -> pd.DataFrame:
         leaves = leaves.sort_values("_pos")
         tree, n, first = int(leaves["_tree"].iloc[0]), int(leaves["_n"].iloc[0]), int(leaves["_pos"].iloc[0])
         lacking = {(r["_tree"], r["_level"], r["_pos"]): r["_digest"] for r in fetched["_lacking"].iloc[0]}

@@ -20,6 +20,7 @@ MODULES = (
     "paragraph_dedup",
     "quality_rules",
     "url_filter",
+    "source_mix",
     "merkle_manifest",
 )
 
