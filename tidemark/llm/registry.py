@@ -22,6 +22,7 @@ MODULES = (
     "url_filter",
     "source_mix",
     "merkle_manifest",
+    "conversation_trie",
 )
 
 
