@@ -32,7 +32,7 @@ NAME = "op11_source_mix"
 #: words of a block
 BLOCK = 16
 #: words of a shard, about
-SHARD = 1 << 22
+SHARD = 1 << 18
 SEED = "mix"
 #: fixed values: the contract's weights by place of the source, share of all words, and cap of a source
 WEIGHTS = (3, 1, 2)
