@@ -43,7 +43,7 @@ _WORD = re.compile(" *[^ ]+| +")
 #: the file in the folder of public vocabularies; the path is a parameter of all functions here
 MODEL = "piece_bpe_32k.model"
 #: characters of encoded words that a task keeps between batches
-REMEMBERED = 1_000_000
+REMEMBERED = 4_000_000
 
 
 def model_path(name: str = MODEL) -> str:
@@ -76,7 +76,18 @@ class Pieces:
                 self.ids[piece] = i
                 self.raw[i] = piece.encode()
         self.byte_score = -2 * math.log(n + 1)
-        self.longest = max(map(len, self.ids))
+        #: the pieces read from their ends: by character what goes on, id (-1: no piece) and score
+        self.backward: dict = {}
+        for piece, i in self.ids.items():
+            level, steps = self.backward, piece[::-1]
+            for k, character in enumerate(steps):
+                further, known, gain = level.get(character, (None, -1, 0.0))
+                if k + 1 < len(steps):
+                    further = {} if further is None else further
+                    level[character] = (further, known, gain)
+                    level = further
+                else:
+                    level[character] = (further, i, self.score[i])
 
     def bytes_for(self, character: str) -> list[int]:
         return [self.byte_ids[b] for b in character.encode()]
@@ -94,10 +105,10 @@ class Viterbi:
         """Words in order, each with its best ids.
 
         best[k], where[k]: score of the best path to place k, and the start and id (-1: bytes)
-        of its last piece. Ties go to the longer last piece.
+        of its last piece. Ties go to the longer last piece. The pieces that end at a place
+        are found backwards from it, in a trie, as far as any piece goes on.
         """
-        pieces, score = self.pieces.ids.get, self.pieces.score
-        longest, byte_score = self.pieces.longest, self.pieces.byte_score
+        backward, byte_score = self.pieces.backward, self.pieces.byte_score
         best, where = [0.0], [(0, -1)]
         before = ""
         for word in words:
@@ -106,11 +117,16 @@ class Viterbi:
             del best[shared + 1 :], where[shared + 1 :]
             for end in range(shared + 1, n + 1):
                 top, last = -math.inf, (end - 1, -1)
-                for start in range(max(0, end - longest), end):
-                    piece = pieces(word[start:end])
-                    if piece is not None:
-                        value = best[start] + score[piece]
-                        if value > top:
+                level, start = backward, end
+                while level is not None and start:
+                    start -= 1
+                    step = level.get(word[start])
+                    if step is None:
+                        break
+                    level, piece, gain = step
+                    if piece >= 0:
+                        value = best[start] + gain
+                        if value >= top:
                             top, last = value, (start, piece)
                 spelled = best[end - 1] + len(word[end - 1].encode()) * byte_score
                 if spelled > top:
