@@ -1,7 +1,7 @@
 import random
 
 from tests.llm.plain import EDGES, word_counts
-from tidemark.llm import quality_rules
+from tidemark.llm import quality_gam, quality_rules
 
 
 def test_counts_agree_with_plain_ones(spark, data_dir, documents):
@@ -46,3 +46,9 @@ def test_small_groups_are_judged_together(spark):
 
 def test_chi_squared():
     assert abs(quality_rules.chi2_quantile(0.95, 6) - 12.5916) < 1e-3
+
+
+def test_classifier_after_rules(spark, data_dir):
+    """Queries run in any order in one session: a used column function travels with no other."""
+    quality_rules.query(spark, data_dir).count()
+    assert quality_gam.query(spark, data_dir).count() > 0

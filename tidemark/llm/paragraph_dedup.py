@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
@@ -23,7 +22,7 @@ from tidemark.llm import passages
 from tidemark.llm.graph import components
 from tidemark.llm.minhash_dedup import Shape, links, signer
 from tidemark.llm.passages import PASSAGE
-from tidemark.llm.words import SPACED, Hasher, chunks, find_words, mix, utf8, windows
+from tidemark.llm.words import SPACED, Hasher, chunks, find_words, lists, mix, released, utf8, windows
 from tidemark.session import write_and_read
 
 NAME = "op8_paragraph_dedup"
@@ -78,13 +77,13 @@ def screener(shingle: int, screen: int):
     in order, 44 bits of each, which keep the sets of one text apart.
     """
 
-    @F.pandas_udf(_SCREENED)
-    def screened(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_SCREENED)
+    def screened(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = Hasher()
         none = np.zeros(0, np.int64)
-        for batch in texts:
+        for texts in released(batches):
             rows = []
-            data, offsets = utf8(pa.array(batch, pa.large_string()))
+            data, offsets = utf8(texts)
             for a, b in chunks(offsets):
                 part, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 words = find_words(part, bounds, SPACED)
@@ -110,7 +109,10 @@ def screener(shingle: int, screen: int):
                     for k, place in enumerate(text[starts].tolist()):
                         out[place] = (int(sizes[k]), int(key_a[k]), int(key_b[k]), single[k])
                 rows += out
-            yield pd.DataFrame(rows, columns=_SCREENED.names)
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.StructArray.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns[:3]] + [lists(list(columns[3]))], names=_SCREENED.names
+            )
 
     return screened
 

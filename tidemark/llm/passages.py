@@ -14,13 +14,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tidemark.llm.suffix_dedup import _sliding_least
-from tidemark.llm.words import SPACED, Hasher, chunks, find_words, utf8, windows
+from tidemark.llm.words import SPACED, Hasher, chunks, find_words, lists, released, utf8, windows
 from tidemark.session import write_and_read
 
 #: words of a passage
@@ -64,12 +63,11 @@ def _passages(texts: pa.Array, hasher: Hasher, size: int) -> Iterator[tuple]:
 def grouper(size: int):
     """A column function: the groups of each text's passages."""
 
-    @F.pandas_udf(_LONGS)
-    def groups(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(_LONGS)
+    def groups(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = Hasher()
-        for batch in texts:
-            found = _passages(pa.array(batch, pa.large_string()), hasher, size)
-            yield pd.Series([np.unique(own) for *_, own, _ in found], dtype=object)
+        for texts in released(batches):
+            yield lists([np.unique(own) for *_, own, _ in _passages(texts, hasher, size)])
 
     return groups
 
@@ -77,15 +75,16 @@ def grouper(size: int):
 def holder(size: int):
     """A column function: group and hash of each text's passages that are in the given groups."""
 
-    @F.pandas_udf(_HELD)
-    def held(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_HELD)
+    def held(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         hasher = Hasher()
-        for texts, asked in batches:
-            rows = []
-            for (*_, runs, groups, _), wanted in zip(_passages(pa.array(texts, pa.large_string()), hasher, size), asked, strict=True):
-                inside = np.isin(groups, wanted)
-                rows.append((groups[inside], runs[inside]))
-            yield pd.DataFrame(rows, columns=_HELD.names)
+        for texts, asked in released(batches):
+            groups, runs = [], []
+            for (*_, every, own, _), wanted in zip(_passages(texts, hasher, size), asked, strict=True):
+                inside = np.isin(own, wanted.values.to_numpy())
+                groups.append(own[inside])
+                runs.append(every[inside])
+            yield pa.StructArray.from_arrays([lists(groups), lists(runs)], names=_HELD.names)
 
     return held
 
@@ -110,25 +109,26 @@ def without(raw: bytes, starts: np.ndarray, ends: np.ndarray, gone: np.ndarray)
 def cutter(size: int):
     """A column function: a text without its passages of those hashes, round after round, and how many pieces went."""
 
-    @F.pandas_udf(_LEFT)
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_LEFT)
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         hasher = Hasher()
-        for texts, rounds in batches:
-            rows = []
+        for texts, rounds in released(batches):
+            out, counts = [], []
             for text, every in zip(texts, rounds, strict=True):
-                pieces = 0
-                for runs in [] if text is None or every is None else every:
-                    one = _passages(pa.array([text], pa.large_string()), hasher, size)
+                pieces, now = 0, text.as_py() if every.is_valid else None
+                for runs in every.values if now is not None else []:
+                    one = _passages(pa.array([now], pa.large_string()), hasher, size)
                     raw, starts, ends, own, _, at = next(one)
-                    hit = at[np.isin(own, runs)]
+                    hit = at[np.isin(own, runs.values.to_numpy())]
                     step = np.zeros(len(starts) + 1, np.int64)
                     step[hit] += 1
                     step[hit + size] -= 1
                     gone = np.cumsum(step[:-1]) > 0
                     pieces += int((np.diff(np.r_[False, gone].astype(np.int8)) == 1).sum())
-                    text = without(raw, starts, ends, gone).decode()
-                rows.append((text, pieces))
-            yield pd.DataFrame(rows, columns=_LEFT.names)
+                    now = without(raw, starts, ends, gone).decode()
+                out.append(now)
+                counts.append(pieces)
+            yield pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(counts, pa.int64())], names=_LEFT.names)
 
     return cut
 

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from tidemark.llm import quality_rules
-from tidemark.llm.words import SPACED, Hasher, chunks, find_words, mix, utf8
+from tidemark.llm.counts import COUNTS, counts_of, per_text
+from tidemark.llm.words import SPACED, Hasher, chunks, find_words, mix, released, utf8
 from tidemark.session import write_and_read
 
 NAME = "op4_quality_gam"
@@ -58,7 +58,7 @@ def text_features(texts: pa.Array, hasher: Hasher) -> np.ndarray:
     out = [np.zeros((0, len(FEATURES)))]
     for a, b in chunks(offsets):
         part, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-        count = dict(zip(quality_rules.COUNTS, quality_rules._counts(part, bounds, hasher), strict=True))
+        count = dict(zip(COUNTS, counts_of(part, bounds, hasher), strict=True))
         words = find_words(part, bounds, SPACED)
         hashes = hasher.ranges(part, words.starts, words.ends)
         with np.errstate(over="ignore"):
@@ -67,7 +67,6 @@ def text_features(texts: pa.Array, hasher: Hasher) -> np.ndarray:
         distinct = np.bincount(words.text[first], minlength=b - a)
         n, chars = np.maximum(count["n_words"], 1), np.maximum(count["word_chars"], 1)
         lines = np.maximum(count["n_lines"], 1)
-        per = quality_rules._per_text
         out.append(
             np.stack(
                 [
@@ -78,10 +77,10 @@ def text_features(texts: pa.Array, hasher: Hasher) -> np.ndarray:
                     count["n_repeat_words"] / n,
                     count["n_upper"] / chars,
                     distinct / n,
-                    per(_DIGIT[part], bounds) / chars,
-                    per(_MARK[part], bounds) / chars,
+                    per_text(_DIGIT[part], bounds) / chars,
+                    per_text(_MARK[part], bounds) / chars,
                     np.log1p(count["n_chars_all"] / lines),
-                    per(part >= 0xC0, bounds) / chars,
+                    per_text(part >= 0xC0, bounds) / chars,
                 ],
                 axis=1,
             )
@@ -89,11 +88,13 @@ def text_features(texts: pa.Array, hasher: Hasher) -> np.ndarray:
     return np.concatenate(out)
 
 
-@F.pandas_udf(ArrayType(DoubleType()))
-def features(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(ArrayType(DoubleType()))
+def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     hasher = Hasher()
-    for batch in texts:
-        yield pd.Series(list(text_features(pa.array(batch, pa.large_string()), hasher)), dtype=object)
+    for texts in released(batches):
+        found = text_features(texts, hasher)
+        bounds = pa.array(np.arange(0, found.size + 1, len(FEATURES)), pa.int32())
+        yield pa.ListArray.from_arrays(bounds, pa.array(found.ravel()))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

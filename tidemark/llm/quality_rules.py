@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.words import SPACED, Hasher, chunks, find_words, mix, utf8, windows
+from tidemark.llm.counts import COUNTS, counts_of
+from tidemark.llm.words import Hasher, chunks, released, utf8
 from tidemark.session import write_and_read
 
 NAME = "op9_quality_rules"
 SQL = None
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_chars_all")
 BASE = COUNTS[:5]
 
 #: the least rows for which a language and source has an estimate of its own
@@ -44,70 +44,20 @@ BINS = 256
 FLOORS = (0.35, 0.08, 0.03, 0.15, 0.15, 0.06)
 P = len(FLOORS)
 
-_SYMBOL = np.zeros(256, bool)
-_SYMBOL[list(b"#*$%&|<>")] = True
-_UPPER = np.zeros(256, bool)
-_UPPER[65:91] = True
-
-
-def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    return np.diff(np.r_[0, np.cumsum(flags, dtype=np.int64)][offsets])
-
-
-def _counts(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> np.ndarray:
-    n = len(offsets) - 1
-    words = find_words(data, offsets, SPACED)
-    out = np.zeros((len(COUNTS), n), np.int64)
-    out[0] = words.counts
-    code_point = (data & 0xC0) != 0x80
-    out[1] = _per_text(SPACED[data] & code_point, offsets)
-    out[2] = _per_text(_SYMBOL[data], offsets)
-    out[6] = _per_text(_UPPER[data], offsets)
-    out[7] = _per_text(code_point, offsets)
-
-    # lines: between line feeds and the ends of texts
-    feeds = np.flatnonzero(data == 10)
-    starts = np.sort(np.r_[offsets[:-1], feeds + 1])
-    ends = np.sort(np.r_[feeds, offsets[1:]])
-    text = np.repeat(np.arange(n), _per_text(data == 10, offsets) + 1)
-    worded = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, starts)
-    starts, ends, text = starts[worded], ends[worded], text[worded]
-    out[5] = np.bincount(text, minlength=n)
-    with np.errstate(over="ignore"):
-        keys = mix(hasher.ranges(data, starts, ends) + mix(text.astype(np.uint64)))
-    _, first = np.unique(keys, return_index=True)
-    out[3] = out[5] - np.bincount(text[first], minlength=n)
-
-    hashes = hasher.ranges(data, words.starts, words.ends)
-    runs, at = windows(words, hashes, 3)
-    with np.errstate(over="ignore"):
-        runs = mix(runs + mix(words.text[at].astype(np.uint64)))
-    order = np.argsort(runs, kind="stable")
-    same = runs[order][1:] == runs[order][:-1]
-    again = np.zeros(len(runs), bool)
-    again[order[1:][same]] = True
-    again[order[:-1][same]] = True
-    covered = np.zeros(len(words.starts), bool)
-    for k in range(3):
-        covered[at[again] + k] = True
-    out[4] = np.diff(np.r_[0, np.cumsum(covered)][words.bounds])
-    return out
-
-
 def count_texts(texts: pa.Array, hasher: Hasher) -> np.ndarray:
     """COUNTS (rows) of every text (columns); a null text counts as empty."""
     data, offsets = utf8(texts)
     parts = [
-        _counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher) for a, b in chunks(offsets)
+        counts_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher) for a, b in chunks(offsets)
     ]
     return np.concatenate(parts, axis=1) if parts else np.zeros((len(COUNTS), 0), np.int64)
 
 
-@F.pandas_udf(StructType([StructField(c, LongType()) for c in COUNTS]))
-def text_counts(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+@F.arrow_udf(StructType([StructField(c, LongType()) for c in COUNTS]))
+def text_counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     hasher = Hasher()
-    for batch in texts:
-        yield pd.DataFrame(dict(zip(COUNTS, count_texts(pa.array(batch, pa.large_string()), hasher), strict=True)))
+    for texts in released(batches):
+        yield pa.StructArray.from_arrays([pa.array(row) for row in count_texts(texts, hasher)], names=list(COUNTS))
 
 
 def features(counts: Column) -> list[Column]:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 
 _U = np.uint64
 
@@ -35,6 +35,23 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def released(batches: Iterator) -> Iterator:
+    """The batches; memory that Arrow has no more use for goes back to the system after each."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def lists(parts: list[np.ndarray]) -> pa.Array:
+    """Lists of 64-bit numbers, one for each part."""
+    ends = np.cumsum([0, *map(len, parts)])
+    values = np.concatenate([np.zeros(0, np.int64), *[p.view(np.int64) for p in parts]])
+    if ends[-1] >= 1 << 31:
+        raise ValueError("too many numbers for one batch")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, one after another, and the offsets of each."""
     if isinstance(texts, pa.ChunkedArray):
