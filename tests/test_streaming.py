@@ -8,7 +8,10 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from tests import fixtures as fx
+from tests.oracle import differences
+from tidemark import plans
 from tidemark.functions.scalars import from_epoch_millis
 from tidemark.operators import changelog, joins, keyed
 from tidemark.operators.joins import compare_outputs
@@ -452,7 +455,7 @@ def test_database_merge_text():
     )
 
 
-STREAMS = ("running_revenue", "changelog", "click_history", "ttl_counter", "enrich_tier", "temporal_join", "abandoned_cart", "window_totals")
+STREAMS = sorted(name for name in registry.queries() if name.startswith("stream_"))
 
 
 @pytest.fixture(scope="module")
@@ -477,13 +480,8 @@ def parts(spark, data_dir, tmp_path_factory):
 
 @pytest.mark.parametrize("name", STREAMS)
 def test_parts_in_several_batches(spark, parts, monkeypatch, name):
-    import __spark_entry__ as registry
-    from tests.oracle import differences
-    from tidemark.plans import streams
-
-    monkeypatch.setattr(streams, "FILES_PER_BATCH", 1)
+    monkeypatch.setattr(plans.streams, "FILES_PER_BATCH", 1)
     folder, con = parts
-    name = f"stream_{name}"
     assert differences(registry.queries()[name](spark, folder), con, registry.oracle_sql()[name]) is None
 
 
@@ -503,11 +501,7 @@ def dealt(data_dir, tmp_path_factory):
     return str(folder), con
 
 
-@pytest.mark.parametrize("name", ["window_totals", "session_windows", "salted_windows", "running_revenue", "changelog", "ttl_counter"])
+@pytest.mark.parametrize("name", STREAMS)
 def test_parts_dealt_by_hash(spark, dealt, name):
-    import __spark_entry__ as registry
-    from tests.oracle import differences
-
     folder, con = dealt
-    name = f"stream_{name}"
     assert differences(registry.queries()[name](spark, folder), con, registry.oracle_sql()[name]) is None

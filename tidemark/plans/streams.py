@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.scalars import money
+from tidemark.operators.ordered import running_max, scan
 from tidemark.plans.inputs import EVENTS_SQL, as_doubles
 from tidemark.plans.registry import query
 from tidemark.plans.running import TYPES, _session_sql
@@ -24,8 +25,9 @@ from tidemark.streaming.sinks import KeyedTable, append_only, run_to_end, stream
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 
-#: a trigger takes so many files of the table
+#: a trigger takes so many files of the table, and more where it would take more than MOST_BATCHES triggers
 FILES_PER_BATCH = 4
+MOST_BATCHES = 100
 #: the least time that a row may come late; `_bound` finds what the table needs. event_id and ts tell its order
 BOUND = DAY
 END = datetime(2999, 1, 1, tzinfo=timezone.utc)
@@ -38,9 +40,10 @@ def _select(raw: DataFrame) -> DataFrame:
 
 def _events(spark, folder) -> DataFrame:
     """The table as a stream, be it one file or a folder of parts."""
-    schema = load_table(spark, folder, "events").schema
+    table = load_table(spark, folder, "events")
+    schema, per_batch = table.schema, max(FILES_PER_BATCH, -(-len(table.inputFiles()) // MOST_BATCHES))
     # as a pattern, the path may be a file, too
-    return _select(file_stream(spark, f"{folder}/{{events.parquet}}", schema, files_per_batch=FILES_PER_BATCH))
+    return _select(file_stream(spark, f"{folder}/{{events.parquet}}", schema, files_per_batch=per_batch))
 
 
 def _bound(spark, folder) -> timedelta:
@@ -54,9 +57,9 @@ def _bound(spark, folder) -> timedelta:
     files = rows.groupBy("file", "written").agg(F.min("us").alias("first"), F.max("us").alias("last"))
     # a row for each file; of files written at the same time either may be read first
     times = files.groupBy("written").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.count("*").alias("n"))
-    before = Window.orderBy("written").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.greatest(F.max("last").over(before), F.when(F.col("n") > 1, F.col("last")))
-    late = times.select((ahead - F.col("first")).alias("late")).agg(F.max("late")).first()[0]
+    seen = scan(times, [], ["written"], like=times, before=running_max("last", before=True))
+    ahead = F.greatest(F.col("before"), F.when(F.col("n") > 1, F.col("last")))
+    late = seen.select((ahead - F.col("first")).alias("late")).agg(F.max("late")).first()[0]
     # rows at the watermark are late, too, and it is kept in milliseconds
     return BOUND if late is None else max(BOUND, timedelta(microseconds=late) + timedelta(seconds=1))
 

@@ -37,9 +37,11 @@ def _stateful(
     initial=None,
     at: str | None = None,
 ) -> DataFrame:
-    """`at`: a time column with a watermark; rows are then handed over in its order."""
+    """`at`: a time column with a watermark; rows are then handed over in its order, and those without a time
+    left out, as windows leave them out."""
     prepare_streaming(df.sparkSession)
     if at is not None:
+        df = df.where(F.col(at).isNotNull())
         df = df.withColumn("_held_us", F.unix_micros(at)).drop(at)
         fields = [(f.name, f.dataType.simpleString()) for f in df.schema if f.name not in keys]
         processor, time_mode = p.InTimeOrder(processor, "_held_us", fields), "EventTime"
@@ -177,18 +179,14 @@ def abandoned_carts(
     cart: str = "add_to_cart",
     purchase: str = "purchase",
 ) -> DataFrame:
-    """`df` must carry a watermark on `at`; alerts appear once it passes their time.
-
-    The time goes in as a plain number, so Spark does not drop late rows by itself.
-    """
-    timed = df.where(F.col(action).isin(cart, purchase)).select(
-        user, seq, action, F.unix_micros(at).alias("_us")
-    )
+    """`df` must carry a watermark on `at`; alerts appear once it passes their time. Steps are taken in the
+    order of `at` over all micro-batches; a step without a time is left out."""
+    timed = df.where(F.col(action).isin(cart, purchase)).select(user, seq, action, at, F.unix_micros(at).alias("_us"))
     schema = T.StructType(
         [*_fields(df, [user]), T.StructField("_us", T.LongType()), T.StructField("reason", T.StringType())]
     )
     processor = p.AbandonedCart("_us", seq, action, _micros(timeout), cart, purchase)
-    alerts = _stateful(timed, [user], processor, schema, "EventTime")
+    alerts = _stateful(timed, [user], processor, schema, at=at)
     return alerts.select(user, F.timestamp_micros("_us").alias("alert_time"), "reason")
 
 
@@ -213,18 +211,16 @@ def enrich_with_tier(
 def as_of(
     facts: DataFrame, versions: DataFrame, key: str, at: str, tie: str, value: str
 ) -> DataFrame:
-    """Both inputs must carry a watermark on `at`. Facts without a version are dropped."""
+    """Both inputs must carry a watermark on `at`. Facts without a version, or without a time, are dropped."""
     kept = [c for c in facts.columns if c != at]
     left = facts.withColumns({"_us": F.unix_micros(at), "_side": F.lit(1)})
     right = versions.select(key, at, tie, value, F.unix_micros(at).alias("_us"), F.lit(0).alias("_side"))
     both = left.unionByName(right, allowMissingColumns=True)
     fact_fields = _fields(facts, kept) + [T.StructField("_us", T.LongType())]
     found = T.StructField(value, versions.schema[value].dataType)
-    processor = p.AsOfVersion(
-        "_us", tie, [(f.name, f.dataType.simpleString()) for f in fact_fields],
-        found.dataType.simpleString(), value,
-    )
-    joined = _stateful(both, [key], processor, T.StructType([*fact_fields, found]), "EventTime")
+    names = [None if f.name == key else f.name for f in fact_fields]
+    processor = p.AsOfVersion("_us", tie, names, found.dataType.simpleString(), value)
+    joined = _stateful(both, [key], processor, T.StructType([*fact_fields, found]), at=at)
     return joined.withColumn(at, F.timestamp_micros("_us")).select(*facts.columns, value)
 
 
@@ -236,7 +232,7 @@ def late_disposition(
     Needs no state; the row's own id is the key, so rows spread over all tasks. The time
     goes in as a plain number, or Spark would drop the late rows before they could be tagged.
     """
-    timed = df.withColumns({"_us": F.unix_micros(at), "_key": F.col(row_id)})
+    timed = df.where(F.col(at).isNotNull()).withColumns({"_us": F.unix_micros(at), "_key": F.col(row_id)})
     kept = [c for c in df.columns if c != at] + ["_us"]
     schema = T.StructType(
         [*_fields(timed, kept), T.StructField("_end", T.LongType()), T.StructField("disposition", T.StringType())]

@@ -36,6 +36,14 @@ class _Keyed(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def passed(self, key, upto: int) -> Iterator[Row]:
+        """In time order: all rows up to a time (us) have been handed over."""
+        return iter(())
+
+    def wake_at(self) -> int | None:
+        """In time order: the time (us) that `passed` must be told of."""
+        return None
+
 
 class _OneTimer:
     """A single timer per key, at the earliest time asked for."""
@@ -61,18 +69,23 @@ class _OneTimer:
 class InTimeOrder(_Keyed):
     """Hands a processor the rows of a key in event-time order.
 
-    Rows wait in state until the watermark has passed their time. A row that comes
-    later than that is handed over with the next watermark, after rows it should have
-    preceded.
+    Rows wait in state until the watermark has passed their time, in buckets of `width_us`:
+    a batch touches the buckets of its own rows, a watermark those that it passes, and they
+    are handed over one after another. A row that comes later than the watermark is handed
+    over with the next one, after rows it should have preceded.
+
+    A processor may have something to say when time passes (`passed`) and ask to be told of
+    a time (`wake_at`).
     """
 
-    def __init__(self, inner: _Keyed, at: str, fields: Sequence[tuple[str, str]]):
-        self.inner, self.time = inner, at
+    def __init__(self, inner: _Keyed, at: str, fields: Sequence[tuple[str, str]], width_us: int = 3_600_000_000):
+        self.inner, self.time, self.width_us = inner, at, width_us
         self.names = [name for name, _ in fields]
-        self.schema = ", ".join(f"`{name}` {kind}" for name, kind in fields)
+        self.schema = ", ".join(f"`{name}`: {kind}" for name, kind in fields)
 
     def init(self, handle):
-        self.waiting = handle.getListState("waiting_rows", self.schema)
+        self.waiting = handle.getMapState("waiting_rows", "bucket bigint", f"held array<struct<{self.schema}>>")
+        self.buckets = handle.getValueState("waiting_buckets", "buckets array<bigint>")
         self.timer = _OneTimer(handle)
         self.inner.row = self.row
         self.inner.init(handle)
@@ -80,27 +93,53 @@ class InTimeOrder(_Keyed):
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self.inner.handleInitialState(key, initialState, timerValues)
 
+    def _known(self) -> list[int]:
+        return list(self.buckets.get()[0]) if self.buckets.exists() else []
+
+    def _held(self, bucket: int) -> list[tuple]:
+        return [tuple(r) for r in self.waiting.getValue((bucket,))[0]]
+
     def handleInputRows(self, key, rows, timerValues):
-        fresh = [tuple(r[n] for n in self.names) for r in rows]
+        at = self.names.index(self.time)
+        fresh: dict[int, list[tuple]] = {}
+        for row in rows:
+            values = tuple(row[n] for n in self.names)
+            fresh.setdefault(values[at] // self.width_us, []).append(values)
         if fresh:
-            at = self.names.index(self.time)
-            self.waiting.appendList(fresh)
-            self.timer.at(min(r[at] for r in fresh))
+            known = self._known()
+            for bucket, held in fresh.items():
+                self.waiting.updateValue((bucket,), ((self._held(bucket) if bucket in known else []) + held,))
+            self.buckets.update((sorted({*known, *fresh}),))
+            self.timer.at(min(r[at] for r in fresh[min(fresh)]))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.timer.fired()
         upto = timerValues.getCurrentWatermarkInMs() * MILLI
-        at = self.names.index(self.time)
-        every = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        make = Row(*self.names)
-        due = [make(*r) for r in every if r[at] <= upto]
-        later = [r for r in every if r[at] > upto]
-        _replace(self.waiting, later)
-        if later:
-            self.timer.at(min(r[at] for r in later))
-        if due:
-            yield from self.inner.handleInputRows(key, iter(due), timerValues)
+        at, make = self.names.index(self.time), Row(*self.names)
+        left = self._known()
+        while left and left[0] * self.width_us <= upto:
+            held = self._held(left[0])
+            due = [make(*r) for r in held if r[at] <= upto]
+            later = [r for r in held if r[at] > upto]
+            if due:
+                yield from self.inner.handleInputRows(key, iter(due), timerValues)
+            if later:
+                self.waiting.updateValue((left[0],), (later,))
+                self.timer.at(min(r[at] for r in later))
+                break
+            self.waiting.removeKey((left.pop(0),))
+        else:
+            if left:
+                self.timer.at(left[0] * self.width_us)
+        if left:
+            self.buckets.update((left,))
+        else:
+            self.buckets.clear()
+        yield from self.inner.passed(key, upto)
+        wanted = self.inner.wake_at()
+        if wanted is not None:
+            self.timer.at(wanted)
 
 
 class RunningTotals(_Keyed):
@@ -272,49 +311,39 @@ class ExpiringCounter(_Keyed):
 
 
 class AbandonedCart(_Keyed):
-    """Key columns, deadline (us), reason, for carts without a next step by their deadline."""
+    """Key columns, deadline (us), reason, for carts without a next step by their deadline. Needs rows in time order."""
 
     def __init__(self, at: str, seq: str, action: str, timeout_us: int, cart: str, purchase: str):
         self.at, self.seq, self.action = at, seq, action
         self.timeout_us, self.cart, self.purchase = timeout_us, cart, purchase
 
     def init(self, handle):
-        self.handle = handle
         self.deadline = handle.getValueState("deadline", "deadline bigint")
 
-    @staticmethod
-    def _timer(deadline: int) -> int:
-        return -(-deadline // MILLI)
+    def wake_at(self) -> int | None:
+        return self.deadline.get()[0] if self.deadline.exists() else None
 
-    def _alert(self, key, deadline):
-        return self.row(*key, deadline, "abandoned cart")
+    def _set(self, pending: int | None) -> None:
+        if pending is None:
+            self.deadline.clear()
+        else:
+            self.deadline.update((pending,))
 
     def handleInputRows(self, key, rows, timerValues):
-        before = self.deadline.get()[0] if self.deadline.exists() else None
-        pending = before
+        pending = self.wake_at()
         for row in in_order(rows, self.at, self.seq):
             if row[self.action] not in (self.cart, self.purchase):
                 continue
             if pending is not None and row[self.at] > pending:
-                # timers fire after the rows of a batch: this one came first in event time
-                yield self._alert(key, pending)
+                yield self.row(*key, pending, "abandoned cart")
             pending = row[self.at] + self.timeout_us if row[self.action] == self.cart else None
-        if pending == before:
-            return
-        if before is not None:
-            self.handle.deleteTimer(self._timer(before))
-        if pending is None:
-            self.deadline.clear()
-        else:
-            self.deadline.update((pending,))
-            self.handle.registerTimer(self._timer(pending))
+        self._set(pending)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.deadline.exists():
-            (pending,) = self.deadline.get()
-            if self._timer(pending) <= expiredTimerInfo.getExpiryTimeInMs():
-                self.deadline.clear()
-                yield self._alert(key, pending)
+    def passed(self, key, upto):
+        pending = self.wake_at()
+        if pending is not None and pending <= upto:
+            self._set(None)
+            yield self.row(*key, pending, "abandoned cart")
 
 
 class LatestValue(_Keyed):
@@ -340,63 +369,34 @@ class LatestValue(_Keyed):
 
 
 class AsOfVersion(_Keyed):
-    """Facts with the version valid at their event time.
+    """Facts with the version valid at their event time; side 0 rows are versions. Needs rows in time order.
 
-    A fact waits until the watermark has passed its time, so versions that come
-    late but before the watermark count. A version is dropped once a newer one
-    lies before the watermark.
+    Of all versions only the last one before the rows at hand is kept.
     """
 
-    def __init__(self, at: str, tie: str, fact_fields: Sequence[tuple[str, str]], value_type: str, value: str):
-        self.at, self.tie, self.value = at, tie, value
-        self.names = [name for name, _ in fact_fields]
-        self.fact_schema = ", ".join(f"{name} {kind}" for name, kind in fact_fields)
-        self.version_schema = f"at bigint, tie bigint, value {value_type}"
+    def __init__(self, at: str, tie: str, names: Sequence[str], value_type: str, value: str):
+        self.at, self.tie, self.names = at, tie, list(names)
+        self.value, self.value_type = value, value_type
 
     def init(self, handle):
-        self.handle = handle
-        self.facts = handle.getListState("facts", self.fact_schema)
-        self.versions = handle.getListState("versions", self.version_schema)
-        self.timer = _OneTimer(handle)
+        self.version = handle.getValueState("version", f"value {self.value_type}")
 
     def handleInputRows(self, key, rows, timerValues):
-        first, facts, versions = None, [], []
-        for row in rows:
-            if row["_side"] == 0:
-                versions.append((row[self.at], row[self.tie], row[self.value]))
-            else:
-                facts.append(tuple(row[n] for n in self.names))
-                first = row[self.at] if first is None else min(first, row[self.at])
-        if versions:
-            self.versions.appendList(versions)
-        if facts:
-            self.facts.appendList(facts)
-        if first is not None:
-            self.timer.at(first)
-        return iter(())
+        known = self.version.exists()
+        value = self.version.get()[0] if known else None
+        new = False
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.timer.fired()
-        upto = timerValues.getCurrentWatermarkInMs() * MILLI
-        at = self.names.index(self.at)
-        waiting = [tuple(f) for f in self.facts.get()] if self.facts.exists() else []
-        due = sorted((f for f in waiting if f[at] <= upto), key=lambda f: f[at])
-        later = [f for f in waiting if f[at] > upto]
-        if later:
-            self.timer.at(min(f[at] for f in later))
-        if not due:
-            return
-        versions = sorted(tuple(v) for v in self.versions.get()) if self.versions.exists() else []
-        found, i = None, 0
-        for fact in due:
-            while i < len(versions) and versions[i][0] <= fact[at]:
-                found = versions[i]
-                i += 1
-            if found is not None:
-                yield self.row(*fact, found[2])
-        _replace(self.facts, later)
-        old = [v for v in versions if v[0] <= upto]
-        _replace(self.versions, old[-1:] + [v for v in versions if v[0] > upto])
+        def place(row):
+            tie = row[self.tie]
+            return row[self.at], row["_side"], tie is not None, 0 if tie is None else tie
+
+        for row in sorted(rows, key=place):
+            if row["_side"] == 0:
+                value, known, new = row[self.value], True, True
+            elif known:
+                yield self.row(*[key[0] if n is None else row[n] for n in self.names], value)
+        if new:
+            self.version.update((value,))
 
 
 def _replace(state: Any, items: list[tuple]) -> None:
