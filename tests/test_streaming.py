@@ -129,6 +129,75 @@ def test_late_disposition(feed, tmp_path):
     assert tags == {i: {9: "late_update", 11: "too_late"}.get(i, "on_time") for i in range(1, 14)}
 
 
+def late_windows(fed, **options):
+    """Of a feed whose rows arrive a second after one another."""
+    stream = fed.stream().withColumn("arrival", F.timestamp_seconds("seq"))
+    return s.windows_with_lateness(
+        stream, ["category"], "at", 5 * SECOND, "price", "seq", "arrival", SECOND, disorder=timedelta(0), bound=2 * SECOND, shards=3, **options
+    )
+
+
+def fired(rows):
+    return sorted((r["category"], r["window_end"], r["seq"], r["total"], r["firing"]) for r in rows if r["category"] != "none")
+
+
+LATE_FIRED = [
+    ("books", at(5000), 8, 55, "fire"), ("books", at(5000), 9, 58, "update"), ("books", at(5000), 11, 99, "too_late"),
+    ("books", at(10000), 10, 11, "fire"), ("books", at(15000), 13, 20, "fire"),
+    ("electronics", at(5000), 5, 100, "fire"), ("electronics", at(10000), 12, 1100, "fire"),
+]
+#: one to pass all windows, one to pass its arrival
+CLOSING = [("end", "none", 0.0, 60_000)] + [("end", "none", 0.0, 60_000)] * 3
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_late_windows(feed, tmp_path, together):
+    """Fires on time, again for the late row, and gives the too late one out aside, however the rows are batched."""
+    source = feed(fx.LATE_SCHEMA)
+    batches = [[*fx.LATE, *CLOSING]] if together else one_each([*fx.LATE, *CLOSING])
+    got = fired(run(late_windows(source.add(*batches), lateness=2 * SECOND), tmp_path))
+    assert [r for r in got if r[4] != "fire"] == [r for r in LATE_FIRED if r[4] != "fire"]
+    assert {(c, e): t for c, e, _, t, f in got if f == "fire"} == {(c, e): t for c, e, _, t, f in LATE_FIRED if f == "fire"}
+
+
+def test_late_windows_go_on_after_a_stop(feed, tmp_path):
+    """The state of a stopped stream goes on: open and fired windows, event time and waiting rows."""
+    source = feed(fx.LATE_SCHEMA)
+    rows = [*fx.LATE, *CLOSING]
+    got = []
+    for part in (rows[:8], rows[8:10], rows[10:]):
+        source.add(part)
+        got += run(late_windows(source, lateness=2 * SECOND), tmp_path)
+    assert fired(got) == fired(run(late_windows(source, lateness=2 * SECOND), tmp_path, name="whole"))
+    assert [r[3] for r in fired(got) if r[:2] == ("books", at(5000))] == [55, 58, 99]
+
+
+def test_idle_source(feed, tmp_path):
+    """A source that says nothing holds event time, until it has been silent for too long; coming back it is late."""
+    source = feed(fx.LATE_SCHEMA)
+    # seconds of arrival: a and b begin, b falls silent after the second one
+    rows = [("a", "x", 1.0, 1000), ("b", "x", 2.0, 1000), *[("a", "x", 10.0, 1000 * k) for k in range(8, 20)], ("b", "x", 4.0, 2000)]
+    rows += [("a", "none", 0.0, 90_000)] * 12
+    stream = late_windows(source.add(rows[:9], rows[9:]), lateness=timedelta(0), source="userId", idle=5 * SECOND)
+    got = {(r[1], r[4]): (r[2], r[3]) for r in fired(run(stream, tmp_path))}
+    assert got[at(5000), "fire"] == (2, 3)
+    # b was heard last in second 2, so event time moves on in second 8, and b's row of second 15 is too late
+    assert got[at(5000), "too_late"] == (15, 4)
+    held = late_windows(source, lateness=timedelta(0), source="userId", idle=1000 * SECOND)
+    assert [(r[2], r[3], r[4]) for r in fired(run(held, tmp_path, name="held")) if r[1] == at(5000)] == []
+
+
+def test_rows_without_a_time_are_left_out(spark, feed, tmp_path):
+    source = feed("user string, amount double, ts bigint")
+    rows = [("u", 1.0, 1000), ("u", 2.0, None), ("u", 4.0, 2000), ("z", 0.0, 90_000)]
+    timed = s.with_watermark(source.add(rows[:2], rows[2:]).stream(), "at", SECOND)
+    got = run(s.running_total(timed, ["user"], "seq", "amount", at="at"), tmp_path)
+    assert [(r["seq"], r["total"]) for r in got if r["user"] == "u"] == [(1, 1.0), (3, 5.0)]
+    carts = timed.withColumn("action", F.lit("add_to_cart"))
+    alerts = run(s.abandoned_carts(carts, "user", "at", "seq", "action", 5 * SECOND), tmp_path, name="carts")
+    assert [(r["user"], r["alert_time"]) for r in alerts] == [("u", at(7000))]
+
+
 def test_salted_windows(feed, tmp_path):
     source = feed(fx.ORDERS_SCHEMA).add(*one_each(fx.ORDERS), [("end", "u0", "none", 0.0, 90_000)])
     totals = s.salted_window_totals(source.stream(), ["category"], "at", 5 * SECOND, "amount", "seq")

@@ -31,6 +31,7 @@ MOST_BATCHES = 100
 #: the least time that a row may come late; `_bound` finds what the table needs. event_id and ts tell its order
 BOUND = DAY
 END = datetime(2999, 1, 1, tzinfo=timezone.utc)
+AFTER_END = datetime(3009, 1, 1, tzinfo=timezone.utc)
 NOBODY = -1
 
 
@@ -64,13 +65,15 @@ def _bound(spark, folder) -> timedelta:
     return BOUND if late is None else max(BOUND, timedelta(microseconds=late) + timedelta(seconds=1))
 
 
-def _finished(spark, folder, build: Callable[[DataFrame, timedelta], DataFrame], label: str) -> DataFrame:
+def _finished(
+    spark, folder, build: Callable[[DataFrame, timedelta], DataFrame], label: str, ends: tuple[datetime, ...] = (END,)
+) -> DataFrame:
     """Run into files to the end of the table, then past it, and read the files back."""
     prepare_streaming(spark)
     path = scratch_path(spark, label)
     events = _events(spark, folder)
     last = spark.createDataFrame(
-        [(NOBODY, END, NOBODY, kind) for kind in ("purchase", "signup")],
+        [(NOBODY, end, NOBODY, kind) for end in ends for kind in ("purchase", "signup")],
         "event_id bigint, ts timestamp, user_id bigint, event_type string",
     ).withColumn("amount", money(F.lit(0)))
     last.limit(0).write.parquet(f"{path}/end")
@@ -314,3 +317,56 @@ def stream_salted_windows(spark, folder):
         return s.salted_window_totals(events, ["event_type"], "ts", DAY, "amount", "event_id", bound)
 
     return as_doubles(_finished(spark, folder, build, "salted"), "total")
+
+
+def _late_windows(spark, folder, label: str, **options) -> DataFrame:
+    """Events that arrive up to eight hours after their time; event time moves by the minute of arrival."""
+
+    def build(events, bound):
+        minutes = F.floor(F.unix_micros("ts") / 60_000_000) + F.pmod(F.col("event_id") * 7919, F.lit(480))
+        arriving = events.withColumn("arrival", F.timestamp_micros(minutes * 60_000_000))
+        arriving = arriving.withColumn("source", F.pmod("user_id", F.lit(4)))
+        return s.windows_with_lateness(
+            arriving, ["event_type"], "ts", HOUR, "amount", "event_id", "arrival", timedelta(minutes=1),
+            disorder=bound + 8 * HOUR, bound=HOUR, lateness=2 * HOUR, **options,
+        )
+
+    fired = _finished(spark, folder, build, label, ends=(END, AFTER_END)).where(F.col("event_id") != NOBODY)
+    return as_doubles(fired, "total")
+
+
+ARRIVING_SQL = f"""(SELECT *, epoch_us(ts) // 60000000 + (event_id * 7919) % 480 AS arrival, user_id % 4 AS source,
+    time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end FROM {EVENTS_SQL})"""
+
+
+def _late_windows_sql(low: str) -> str:
+    """`low`: by tick of arrival, the event time that its sources stand at (columns arrival, low)."""
+    return f"""WITH e AS {ARRIVING_SQL}, low AS ({low}),
+    marks AS (SELECT arrival, MAX(low) OVER (ORDER BY arrival) - INTERVAL 1 HOUR - INTERVAL 1 MILLISECOND AS watermark FROM low),
+    tagged AS (SELECT e.*, CASE WHEN watermark >= window_end - INTERVAL 1 MILLISECOND + INTERVAL 2 HOURS THEN 'too_late'
+        WHEN watermark >= window_end - INTERVAL 1 MILLISECOND THEN 'update' ELSE 'fire' END AS firing
+        FROM e ASOF LEFT JOIN marks m ON e.arrival > m.arrival),
+    k AS (SELECT *, SUM(amount) OVER w AS total, LEAD(firing) OVER w AS nxt FROM tagged WHERE firing <> 'too_late'
+        WINDOW w AS (PARTITION BY event_type, window_end ORDER BY arrival, event_id))
+    SELECT event_type, event_id, window_end, CAST(total AS DOUBLE) AS total, firing FROM k
+    WHERE firing = 'update' OR nxt IS NULL OR nxt = 'update'
+    UNION ALL SELECT event_type, event_id, window_end, CAST(amount AS DOUBLE), firing FROM tagged WHERE firing = 'too_late'"""
+
+
+@query("stream_late_windows", _late_windows_sql("SELECT arrival, MAX(ts) AS low FROM e GROUP BY arrival"))
+def stream_late_windows(spark, folder):
+    return _late_windows(spark, folder, "late-windows")
+
+
+@query(
+    "stream_idle_sources",
+    _late_windows_sql(
+        """SELECT t.arrival, MIN(seen) FILTER (WHERE t.arrival - m.arrival <= 240) AS low
+        FROM (SELECT DISTINCT e.arrival, s.source FROM e, (SELECT DISTINCT source FROM e) s) t
+        ASOF JOIN (SELECT source, arrival, MAX(MAX(ts)) OVER (PARTITION BY source ORDER BY arrival) AS seen FROM e GROUP BY source, arrival) m
+        ON t.source = m.source AND t.arrival >= m.arrival GROUP BY t.arrival"""
+    ),
+)
+def stream_idle_sources(spark, folder):
+    """Four sources; one that was silent for four hours does not hold the others up."""
+    return _late_windows(spark, folder, "idle-sources", source="source", idle=4 * HOUR)

@@ -267,6 +267,70 @@ def windowed_totals(
     )
 
 
+def windows_with_lateness(
+    df: DataFrame,
+    keys,
+    at: str,
+    size: timedelta,
+    amount: str,
+    seq: str,
+    arrival: str,
+    tick: timedelta,
+    disorder: timedelta,
+    bound: timedelta = timedelta(0),
+    lateness: timedelta = timedelta(0),
+    source: str | None = None,
+    idle: timedelta | None = None,
+    shards: int = 8,
+) -> DataFrame:
+    """Tumbling totals that fire once event time has passed a window, again for every row that comes at most
+    `lateness` after that, and rows that come later still, all from one state: key columns, `seq`, window_end, total, firing
+    (`fire`, `update`, or `too_late`: the side output, with the row's own amount).
+
+    Event time is what the rows tell, in order of their `arrival` (a timestamp, by ticks): the latest `at` of a
+    source in the ticks before, the least over the sources, less `bound`. A source that was silent for more than
+    `idle` does not hold the others up; when it comes back, event time stays where it is. Sources not heard of yet
+    hold nothing up.
+
+    `disorder` is how far rows of the stream come behind in arrival: results do not depend on the micro-batches,
+    nor on the number of shards. The progress of a tick is a row for each source, combined before the shuffle and
+    given to every shard, so all see event time move in the same order; rows go to shards by key and window, so a
+    hot key is spread over its windows. Rows without an arrival or event time are left out.
+    """
+    kind = _total(df, amount)
+    timed = with_watermark(df.where(F.col(at).isNotNull() & F.col(arrival).isNotNull()), arrival, disorder)
+    names = F.coalesce(F.col(source).cast("string"), F.lit("")) if source else F.lit("")
+    shard = F.pmod(F.xxhash64(*keys, "_end"), F.lit(shards)).cast("int").alias("_shard")
+
+    def begin(column: str, length: timedelta):
+        us = F.unix_micros(column)
+        return us - F.pmod(us, F.lit(_micros(length)))
+
+    facts = timed.select(
+        *keys, seq, F.col(amount).cast(kind).alias(amount), (begin(at, size) + _micros(size)).alias("_end"),
+        begin(arrival, tick).alias("_tick"),
+    )
+    # before the tick's marks
+    facts = facts.withColumn("_due", F.timestamp_micros(F.col("_tick") + _micros(tick) - 1000))
+    facts = facts.select("*", shard, F.lit(0).alias("_side"))
+    marks = timed.groupBy(F.window(arrival, duration(tick)).alias("_w"), names.alias("_source")).agg(F.max(F.unix_micros(at)).alias("_seen"))
+    marks = marks.select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"), "_source", "_seen",
+        F.unix_micros("_w.start").alias("_tick"), F.col("_w.end").alias("_due"), F.lit(1).alias("_side"),
+    )
+    both = facts.unionByName(marks, allowMissingColumns=True)
+    fields = _fields(df, [*keys, seq])
+    schema = T.StructType(
+        [*fields, T.StructField("_end", T.LongType()), T.StructField("total", kind), T.StructField("firing", T.StringType())]
+    )
+    *key_fields, seq_field = [(f.name, f.dataType.simpleString()) for f in fields]
+    processor = p.LateWindows(
+        key_fields, seq_field, amount, kind.simpleString(), _micros(bound), _micros(lateness), None if idle is None else _micros(idle)
+    )
+    fired = _stateful(both, ["_shard"], processor, schema, at="_due")
+    return fired.select(*keys, seq, F.timestamp_micros("_end").alias("window_end"), "total", "firing")
+
+
 def sessions(
     df: DataFrame, keys, at: str, gap: timedelta, amount: str, bound: timedelta = timedelta(0)
 ) -> DataFrame:

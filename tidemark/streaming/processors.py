@@ -18,6 +18,7 @@ from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 MILLI = 1000  # microseconds
+HANDED = 10_000  # rows of whole buckets that are handed over at a time
 
 
 def in_order(rows: Iterator[Row], *columns: str) -> list[Row]:
@@ -70,15 +71,15 @@ class InTimeOrder(_Keyed):
     """Hands a processor the rows of a key in event-time order.
 
     Rows wait in state until the watermark has passed their time, in buckets of `width_us`:
-    a batch touches the buckets of its own rows, a watermark those that it passes, and they
-    are handed over one after another. A row that comes later than the watermark is handed
+    a batch touches the buckets of its own rows, a watermark those that it passes. They are
+    handed over in order, about HANDED rows at a time. A row that comes later than the watermark is handed
     over with the next one, after rows it should have preceded.
 
     A processor may have something to say when time passes (`passed`) and ask to be told of
     a time (`wake_at`).
     """
 
-    def __init__(self, inner: _Keyed, at: str, fields: Sequence[tuple[str, str]], width_us: int = 3_600_000_000):
+    def __init__(self, inner: _Keyed, at: str, fields: Sequence[tuple[str, str]], width_us: int = 6 * 3_600_000_000):
         self.inner, self.time, self.width_us = inner, at, width_us
         self.names = [name for name, _ in fields]
         self.schema = ", ".join(f"`{name}`: {kind}" for name, kind in fields)
@@ -117,13 +118,14 @@ class InTimeOrder(_Keyed):
         self.timer.fired()
         upto = timerValues.getCurrentWatermarkInMs() * MILLI
         at, make = self.names.index(self.time), Row(*self.names)
-        left = self._known()
+        left, due = self._known(), []
         while left and left[0] * self.width_us <= upto:
             held = self._held(left[0])
-            due = [make(*r) for r in held if r[at] <= upto]
+            due += [make(*r) for r in held if r[at] <= upto]
             later = [r for r in held if r[at] > upto]
-            if due:
+            if len(due) >= HANDED:
                 yield from self.inner.handleInputRows(key, iter(due), timerValues)
+                due = []
             if later:
                 self.waiting.updateValue((left[0],), (later,))
                 self.timer.at(min(r[at] for r in later))
@@ -132,6 +134,8 @@ class InTimeOrder(_Keyed):
         else:
             if left:
                 self.timer.at(left[0] * self.width_us)
+        if due:
+            yield from self.inner.handleInputRows(key, iter(due), timerValues)
         if left:
             self.buckets.update((left,))
         else:
@@ -428,3 +432,113 @@ class LateTagger(_Keyed):
             else:
                 tag = "on_time"
             yield self.row(*[row[c] for c in self.columns], end, tag)
+
+
+class LateWindows(_Keyed):
+    """Windows that fire when event time has passed them, again for each late row, and refuse rows that are later still.
+
+    Keyed by shard; rows come in order of their arrival tick. Side 0 rows are facts (window end, key, seq, amount),
+    side 1 rows tell every shard alike how far a source had got by the end of a tick. Event time is the least of the
+    sources that are not idle, less the bound, and never goes back. So all shards see the same event time at the same
+    tick, and a row is judged by what had arrived in earlier ticks.
+
+    Open windows lie in state by their end, and stay for the lateness. Gives key columns, seq, window end (us), total,
+    firing: `fire` (seq of the last row on time), `update` (of the late row), or `too_late` (its own amount).
+    """
+
+    def __init__(
+        self, keys: Sequence[tuple[str, str]], seq: tuple[str, str], amount: str, kind: str,
+        bound_us: int, lateness_us: int, idle_us: int | None,
+    ):
+        self.keys, self.types = [k for k, _ in keys], [t for _, t in keys]
+        self.seq, self.seq_type = seq
+        self.amount, self.kind = amount, kind
+        self.bound_us, self.lateness_us, self.idle_us = bound_us, lateness_us, idle_us
+
+    def init(self, handle):
+        self.sources = handle.getMapState("sources", "source string", "seen bigint, tick bigint")
+        self.event_time = handle.getValueState("event_time", "at bigint")
+        keys = "".join(f"k{i}: {t}, " for i, t in enumerate(self.types))
+        self.windows = handle.getMapState(
+            "windows", "ends bigint", f"open array<struct<{keys}total: {self.kind}, seq: {self.seq_type}, fired: boolean>>"
+        )
+        self.ends = handle.getValueState("ends", "ends array<bigint>")
+
+    def _open(self, end: int) -> dict[tuple, list]:
+        """Of the windows with this end, by key: total, seq of the last row on time, has it fired?"""
+        if end not in self.cache:
+            n, held = len(self.keys), []
+            if end in self.known:
+                held = [tuple(r) for r in self.windows.getValue((end,))[0]]
+            self.cache[end] = {r[:n]: list(r[n:]) for r in held}
+        return self.cache[end]
+
+    def _passed(self, end: int, later: int = 0) -> bool:
+        return self.now is not None and self.now >= end - MILLI + later
+
+    def _advance(self, tick: int) -> Iterator[Row]:
+        active = [seen for seen, last in self.progress.values() if self.idle_us is None or tick - last <= self.idle_us]
+        now = min(active) - self.bound_us - MILLI
+        if self.now is not None and now <= self.now:
+            return
+        self.now = now
+        for end in sorted(self.known | self.cache.keys()):
+            if not self._passed(end):
+                break
+            for key, window in self._open(end).items():
+                if not window[2]:
+                    window[2] = True
+                    if window[1] is not None:
+                        yield self.row(*key, window[1], end, window[0], "fire")
+            if self._passed(end, self.lateness_us):
+                self.cache[end] = {}
+
+    def _fact(self, row) -> Iterator[Row]:
+        end, key, amount = row["_end"], tuple(row[k] for k in self.keys), row[self.amount]
+        if self._passed(end, self.lateness_us):
+            yield self.row(*key, row[self.seq], end, amount, "too_late")
+            return
+        window = self._open(end).setdefault(key, [None, None, False])
+        if amount is not None:
+            window[0] = amount if window[0] is None else window[0] + amount
+        if self._passed(end):
+            window[2] = True
+            yield self.row(*key, row[self.seq], end, window[0], "update")
+        else:
+            window[1] = row[self.seq]
+
+    def handleInputRows(self, key, rows, timerValues):
+        self.cache: dict[int, dict[tuple, list]] = {}
+        self.known = set(self.ends.get()[0]) if self.ends.exists() else set()
+        self.now = self.event_time.get()[0] if self.event_time.exists() else None
+        self.progress = {k[0]: tuple(v) for k, v in self.sources.iterator()} if self.sources.exists() else {}
+        marked = None
+        for row in sorted(rows, key=lambda r: (r["_tick"], r["_side"], 0 if r["_side"] else r[self.seq])):
+            if marked is not None and marked != row["_tick"]:
+                yield from self._advance(marked)
+                marked = None
+            if row["_side"]:
+                marked, source = row["_tick"], row["_source"]
+                seen = max(row["_seen"], self.progress.get(source, (row["_seen"],))[0])
+                self.progress[source] = (seen, marked)
+                self.sources.updateValue((source,), self.progress[source])
+            else:
+                yield from self._fact(row)
+        if marked is not None:
+            yield from self._advance(marked)
+        self._keep()
+
+    def _keep(self) -> None:
+        for end, found in self.cache.items():
+            if found:
+                self.windows.updateValue((end,), ([(*k, *w) for k, w in found.items()],))
+                self.known.add(end)
+            elif end in self.known:
+                self.windows.removeKey((end,))
+                self.known.discard(end)
+        if self.known:
+            self.ends.update((sorted(self.known),))
+        else:
+            self.ends.clear()
+        if self.now is not None:
+            self.event_time.update((self.now,))
