@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+#: while a step is written: its shuffle files go once it is there, and Python gets its rows in small batches
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the actions inside, put back after them."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def write_and_read(df: DataFrame, label: str = "step") -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them back.
 
@@ -67,5 +89,6 @@ def write_and_read(df: DataFrame, label: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with settings(spark, WRITING):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
