@@ -35,6 +35,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from tidemark.llm.words import released
+
 NAME = "op6_sentencepiece_viterbi"
 SQL = None
 
@@ -43,7 +45,7 @@ _WORD = re.compile(" *[^ ]+| +")
 #: the file in the folder of public vocabularies; the path is a parameter of all functions here
 MODEL = "piece_bpe_32k.model"
 #: characters of encoded words that a task keeps between batches
-REMEMBERED = 4_000_000
+REMEMBERED = 1_000_000
 
 
 def model_path(name: str = MODEL) -> str:
@@ -193,7 +195,7 @@ def encoder(path: str):
     @F.arrow_udf(ArrayType(IntegerType()))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         viterbi = Viterbi(Pieces(path))
-        for texts in batches:
+        for texts in released(batches):
             parts = [_id_lists(viterbi.encode(part), part) for part in _chunks(texts)]
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
@@ -209,7 +211,7 @@ def coder(path: str):
     @F.arrow_udf(_CODED)
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         viterbi = Viterbi(Pieces(path))
-        for texts in batches:
+        for texts in released(batches):
             ids, back = [], []
             for part in _chunks(texts):
                 coded = viterbi.encode(part)
@@ -260,7 +262,7 @@ def digester(path: str):
         viterbi = Viterbi(Pieces(path))
         is_byte = np.zeros(len(viterbi.pieces.raw), bool)
         is_byte[viterbi.pieces.byte_ids] = True
-        for texts in batches:
+        for texts in released(batches):
             rows = []
             for part in _chunks(texts):
                 for text, ids in zip(part, viterbi.encode(part), strict=True):

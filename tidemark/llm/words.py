@@ -8,6 +8,7 @@ Arrow batch stays bounded whatever the batch holds; one text is never split.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,12 +36,20 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def give_back() -> None:
+    """Memory that nothing uses any more goes back to the system, as far as the C library can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def released(batches: Iterator) -> Iterator:
-    """The batches; memory that Arrow has no more use for goes back to the system after each."""
+    """The batches; what each has left unused is given back after it, as workers live on from stage to stage."""
     for batch in batches:
         yield batch
         del batch
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def lists(parts: list[np.ndarray]) -> pa.Array:
