@@ -11,7 +11,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import changelog, keyed
+from tidemark.operators import changelog, keyed, leaders
 from tidemark.plans.inputs import EVENTS_SQL, as_doubles, events, with_hot_key
 from tidemark.plans.registry import query
 
@@ -103,6 +103,36 @@ def top_spender_changelog(spark, folder, max_rows):
     return as_doubles(changes, "total")
 
 
+REFUNDED_SQL = """(SELECT event_id, event_type, user_id,
+    CAST(CASE WHEN event_id % 3 = 0 THEN -value ELSE value END AS DECIMAL(18,2)) AS amount FROM events)"""
+
+
+@both(
+    "leader_with_refunds",
+    f"""WITH s AS (SELECT *, SUM(amount) OVER w AS total, LEAD(event_id) OVER w AS until FROM {REFUNDED_SQL}
+            WINDOW w AS (PARTITION BY event_type, user_id ORDER BY event_id)),
+        l AS (SELECT a.event_id, a.event_type, b.user_id, b.total FROM s a
+              JOIN s b ON a.event_type = b.event_type AND b.event_id <= a.event_id AND (b.until IS NULL OR a.event_id < b.until)
+              QUALIFY ROW_NUMBER() OVER (PARTITION BY a.event_type, a.event_id ORDER BY b.total DESC, b.user_id) = 1),
+        p AS (SELECT *, LAG(total) OVER w AS was_total, LAG(user_id) OVER w AS was_user FROM l
+              WINDOW w AS (PARTITION BY event_type ORDER BY event_id))
+    SELECT event_id, event_type, CASE WHEN was_total IS NULL THEN '+I' ELSE '+U' END AS op, 1 AS step,
+        user_id, CAST(total AS DOUBLE) AS total FROM p
+    WHERE was_total IS NULL OR total <> was_total OR user_id <> was_user
+    UNION ALL
+    SELECT event_id, event_type, '-U', 0, was_user, CAST(was_total AS DOUBLE) FROM p
+    WHERE was_total IS NOT NULL AND (total <> was_total OR user_id <> was_user)""",
+)
+def leader_with_refunds(spark, folder, max_rows):
+    """Every third event takes its amount back from its user."""
+    refund = F.when(F.col("event_id") % 3 == 0, -F.col("amount")).otherwise(F.col("amount"))
+    rows = events(spark, folder, bool(max_rows)).withColumn("amount", refund.cast("decimal(18,2)"))
+    changes = leaders.leader_changes(
+        rows, "event_type", "user_id", "event_id", "amount", max_rows, **({"stretch": 37} if max_rows else {})
+    )
+    return as_doubles(changes, "total")
+
+
 @both(
     "click_history",
     """SELECT event_id, user_id, COUNT(*) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS "count",
