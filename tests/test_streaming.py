@@ -1,8 +1,10 @@
 """Streaming forms against known results and against the batch forms."""
 
 import os
+import random
 import time
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pyarrow.parquet as pq
 import pytest
@@ -160,6 +162,30 @@ def test_late_windows(feed, tmp_path, together):
     assert {(c, e): t for c, e, _, t, f in got if f == "fire"} == {(c, e): t for c, e, _, t, f in LATE_FIRED if f == "fire"}
 
 
+def test_ranked_members(spark, feed, tmp_path):
+    """Places after every batch, with members that fall out of a list and others that come up; only changes go out."""
+    source = feed("category string, user string, amount decimal(10,2)")
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", "a", None]), rng.choice([None, *"klmnopqr"]), rng.choice([None, *range(-9, 12)])) for _ in range(60)]
+    rows = [(c, u, None if n is None else Decimal(n)) for c, u, n in rows]
+    totals, places = {}, {}
+    for first in range(0, 60, 20):
+        part = rows[first : first + 20]
+        source.add(part)
+        for c, u, n in part:
+            totals[c, u] = totals.get((c, u), 0) + (n or 0)
+        seen = run(s.ranked(source.stream(), "category", "user", "amount", 3, shards=2), tmp_path)
+        for r in seen:
+            assert places.get((r["category"], r["rn"])) != (r["user"], r["total"])
+            assert r["op"] == ("+U" if (r["category"], r["rn"]) in places else "+I")
+            places[r["category"], r["rn"]] = (r["user"], r["total"])
+        want = {}
+        for c in {c for c, _ in totals}:
+            own = sorted((-n, u is not None, u) for (g, u), n in totals.items() if g == c)
+            want |= {(c, k): (u, -n) for k, (n, _, u) in enumerate(own[:3], 1)}
+        assert places == want
+
+
 def test_late_windows_go_on_after_a_stop(feed, tmp_path):
     """The state of a stopped stream goes on: open and fired windows, event time and waiting rows."""
     source = feed(fx.LATE_SCHEMA)

@@ -21,7 +21,7 @@ from tidemark.session import prepare_streaming, scratch_path
 from tidemark.sources.streams import file_stream
 from tidemark.sources.tables import load_table, with_zone, without_zone
 from tidemark.streaming import operators as s
-from tidemark.streaming.sinks import KeyedTable, append_only, run_to_end, streaming_top, upsert
+from tidemark.streaming.sinks import KeyedTable, append_only, publish_places, run_to_end, streaming_top, upsert
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 
@@ -370,3 +370,21 @@ def stream_late_windows(spark, folder):
 def stream_idle_sources(spark, folder):
     """Four sources; one that was silent for four hours does not hold the others up."""
     return _late_windows(spark, folder, "idle-sources", source="source", idle=4 * HOUR)
+
+
+@query(
+    "stream_ranked_spenders",
+    """SELECT event_type, rn, user_id, CAST(total AS DOUBLE) AS total FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY total DESC, user_id) AS rn FROM (
+            SELECT event_type, user_id, SUM(CAST(CASE WHEN event_id % 3 = 0 THEN -value ELSE value END AS DECIMAL(18,2))) AS total
+            FROM events GROUP BY 1, 2)) WHERE rn <= 3""",
+)
+def stream_ranked_spenders(spark, folder):
+    """Top three per type from lists in state, with refunds: every third event takes its amount back."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "ranked")
+    refund = F.when(F.col("event_id") % 3 == 0, -F.col("amount")).otherwise(F.col("amount")).cast("decimal(18,2)")
+    places = s.ranked(_events(spark, folder).withColumn("amount", refund), "event_type", "user_id", "amount", 3)
+    table = KeyedTable(f"{path}/places", ["event_type", "rn"])
+    run_to_end(publish_places(places, table, f"{path}/checkpoint"))
+    return as_doubles(table.read(spark), "total")

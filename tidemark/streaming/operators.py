@@ -331,6 +331,27 @@ def windows_with_lateness(
     return fired.select(*keys, seq, F.timestamp_micros("_end").alias("window_end"), "total", "firing")
 
 
+def ranked(df: DataFrame, group: str, member: str, amount: str, n: int, shards: int = 8) -> DataFrame:
+    """The n members with the highest totals per group, as changes of places: group, rn, member, total, op (+I, +U).
+
+    Amounts may be negative. Totals and a list of the n best are kept by group and shard of its members; only lists
+    that change go on, and are merged per group. So the work of a batch follows its changed members, and a hot group
+    is spread over its shards. A later row for a place replaces the earlier one: upsert by group and rn.
+    """
+    kind = _total(df, amount)
+    fields = _fields(df, [group, member])
+    listed = T.ArrayType(T.StructType([T.StructField("total", kind), T.StructField("member", fields[1].dataType)]))
+    shard = F.pmod(F.xxhash64(member), F.lit(shards)).cast("int").alias("_shard")
+    rows = df.select(group, member, F.col(amount).cast(kind).alias(amount), shard)
+    names = fields[1].dataType.simpleString()
+    first = T.StructType([fields[0], T.StructField("_shard", T.IntegerType()), T.StructField("_top", listed)])
+    lists = _stateful(rows, [group, "_shard"], p.RankedShard((member, names), amount, kind.simpleString(), n), first)
+    places = T.StructType(
+        [fields[0], T.StructField("rn", T.LongType()), fields[1], T.StructField("total", kind), T.StructField("op", T.StringType())]
+    )
+    return _stateful(lists, [group], p.MergedRanks(names, kind.simpleString(), n), places)
+
+
 def sessions(
     df: DataFrame, keys, at: str, gap: timedelta, amount: str, bound: timedelta = timedelta(0)
 ) -> DataFrame:

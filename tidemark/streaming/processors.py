@@ -10,6 +10,7 @@ alone.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 from decimal import Decimal
 from typing import Any
@@ -542,3 +543,67 @@ class LateWindows(_Keyed):
             self.ends.clear()
         if self.now is not None:
             self.event_time.update((self.now,))
+
+
+def _place(total, member) -> tuple:
+    """Sorts by falling total, then by member, null first."""
+    return -total, member is not None, member
+
+
+class RankedShard(_Keyed):
+    """Totals of the members of one shard of a group, and the list of the n best, given out when it changes.
+
+    A member that rises enters the list by itself. Only where a listed member falls below what was the last place of
+    a full list may one that is not listed come up; then the totals of this shard are gone through.
+    """
+
+    def __init__(self, member: tuple[str, str], amount: str, kind: str, n: int):
+        self.member, self.member_type = member
+        self.amount, self.kind, self.n = amount, kind, n
+
+    def init(self, handle):
+        self.totals = handle.getMapState("totals", f"member {self.member_type}", f"total {self.kind}")
+        self.top = handle.getValueState("top", f"top array<struct<total: {self.kind}, member: {self.member_type}>>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        added: dict = {}
+        for row in rows:
+            added[row[self.member]] = added.get(row[self.member], self._zero()) + (row[self.amount] or 0)
+        before = [tuple(x) for x in self.top.get()[0]] if self.top.exists() else []
+        listed = {member: total for total, member in before}
+        for member, amount in added.items():
+            if self.totals.containsKey((member,)):
+                amount += self.totals.getValue((member,))[0]
+            self.totals.updateValue((member,), (amount,))
+            listed[member] = amount
+        top = heapq.nsmallest(self.n, ((t, m) for m, t in listed.items()), key=lambda x: _place(*x))
+        if len(before) == self.n and _place(*top[-1]) > _place(*before[-1]):
+            every = ((v[0], k[0]) for k, v in self.totals.iterator())
+            top = heapq.nsmallest(self.n, every, key=lambda x: _place(*x))
+        if top != before:
+            self.top.update((top,))
+            yield self.row(*key, [Row(total=total, member=member) for total, member in top])
+
+
+class MergedRanks(_Keyed):
+    """The n best of a group from the lists of its shards: a row for every place that changes."""
+
+    def __init__(self, member_type: str, kind: str, n: int):
+        self.list_type = f"array<struct<total: {kind}, member: {member_type}>>"
+        self.n = n
+
+    def init(self, handle):
+        self.shards = handle.getMapState("shards", "shard int", f"top {self.list_type}")
+        self.published = handle.getValueState("published", f"top {self.list_type}")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for row in rows:
+            self.shards.updateValue((row["_shard"],), ([(x["total"], x["member"]) for x in row["_top"]],))
+        every = (tuple(x) for _, value in self.shards.iterator() for x in value[0])
+        top = heapq.nsmallest(self.n, every, key=lambda x: _place(*x))
+        before = [tuple(x) for x in self.published.get()[0]] if self.published.exists() else []
+        for rank, (total, member) in enumerate(top):
+            known = rank < len(before)
+            if not known or before[rank] != (total, member):
+                yield self.row(*key, rank + 1, member, total, "+U" if known else "+I")
+        self.published.update((top,))

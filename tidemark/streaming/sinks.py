@@ -142,6 +142,15 @@ def streaming_top(
     return totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(rank)
 
 
+def publish_places(places: DataFrame, table: KeyedTable, checkpoint: str) -> DataStreamWriter:
+    """Changed places of a ranking into a table by group and place: a batch writes no more than what changed."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.write(batch.drop("op"), batch_id)
+
+    return places.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+
+
 def running_totals_by_batch(
     stream: DataFrame,
     keys: Sequence[str],
