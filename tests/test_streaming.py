@@ -6,6 +6,7 @@ import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tidemark.sources import streams
 from tidemark.sources.generators import datagen, order_fields, paced_datagen
 from tidemark.sources.tables import literal_rows
 from tidemark.streaming import operators as s
-from tidemark.streaming import sinks, state
+from tidemark.streaming import sinks, staged, state
 
 SECOND = timedelta(seconds=1)
 
@@ -162,6 +163,67 @@ def test_late_windows(feed, tmp_path, together):
     assert {(c, e): t for c, e, _, t, f in got if f == "fire"} == {(c, e): t for c, e, _, t, f in LATE_FIRED if f == "fire"}
 
 
+def test_staged_sink_commits_once(spark, feed, tmp_path):
+    """A batch that ends between stage and commit, or after its manifest but before the checkpoint, appears once."""
+    source, table = feed("name string"), str(tmp_path / "table")
+    source.add([("a",), ("b",)], [("c",)])
+    schema = source.stream().schema
+    stopped = tmp_path / "stopped"
+
+    class Crashing(staged.StagedWriter):
+        def commit(self, messages, batchId):
+            if batchId == 1 and not stopped.exists():
+                stopped.touch()
+                raise RuntimeError("lost before the commit")
+            super().commit(messages, batchId)
+            if batchId == 1 and not (tmp_path / "late").exists():
+                (tmp_path / "late").touch()
+                raise RuntimeError("lost after the commit")
+
+        def abort(self, messages, batchId):
+            pass  # a lost driver takes nothing back
+
+    class Source(staged.StagedSource):
+        @classmethod
+        def name(cls):
+            return "crashing"
+
+        def streamWriter(self, schema, overwrite):
+            return Crashing(self.options["path"], "stream")
+
+    spark.dataSource.register(Source)
+
+    def attempt():
+        writer = source.stream().writeStream.format("crashing").option("path", table)
+        sinks.run_to_end(writer.option("checkpointLocation", str(tmp_path / "checkpoint")))
+
+    def names():
+        return sorted(r["name"] for r in staged.read_committed(spark, table, schema).collect())
+
+    assert names() == []
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            attempt()
+        assert names() == (["a", "b", "c"] if (tmp_path / "late").exists() else ["a", "b"])
+    source.add([("d",)])
+    attempt()
+    assert names() == ["a", "b", "c", "d"]
+
+
+def test_staged_commit_and_abort(tmp_path):
+    rows = [pa.RecordBatch.from_pydict({"x": [1, 2]}), pa.RecordBatch.from_pydict({"x": [3]})]
+    writer = staged.StagedWriter(str(tmp_path), "q")
+    first, again, failed = (writer.write(iter(rows)) for _ in range(3))
+    assert staged.committed_files(str(tmp_path)) == [] and writer.write(iter([])).files == []
+    writer.commit([first, None, staged.Staged([])], 0)
+    writer.commit([first], 0)  # the same once more
+    writer.commit([again], 0)  # a repeated run
+    writer.abort([failed, None], 1)
+    assert staged.committed_files(str(tmp_path)) == [f"{tmp_path}/{first.files[0]}"]
+    assert len(os.listdir(tmp_path / "_staged")) == 1
+    assert pq.read_table(f"{tmp_path}/{first.files[0]}")["x"].to_pylist() == [1, 2, 3]
+
+
 def test_ranked_members(spark, feed, tmp_path):
     """Places after every batch, with members that fall out of a list and others that come up; only changes go out."""
     source = feed("category string, user string, amount decimal(10,2)")

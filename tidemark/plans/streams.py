@@ -21,6 +21,7 @@ from tidemark.session import prepare_streaming, scratch_path
 from tidemark.sources.streams import file_stream
 from tidemark.sources.tables import load_table, with_zone, without_zone
 from tidemark.streaming import operators as s
+from tidemark.streaming import staged
 from tidemark.streaming.sinks import KeyedTable, append_only, publish_places, run_to_end, streaming_top, upsert
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
@@ -388,3 +389,12 @@ def stream_ranked_spenders(spark, folder):
     table = KeyedTable(f"{path}/places", ["event_type", "rn"])
     run_to_end(publish_places(places, table, f"{path}/checkpoint"))
     return as_doubles(table.read(spark), "total")
+
+
+@query("stream_staged_rows", f"SELECT event_id, user_id, event_type, CAST(amount AS DOUBLE) AS amount FROM {EVENTS_SQL}")
+def stream_staged_rows(spark, folder):
+    """Every row once through the sink with stage and commit."""
+    path = scratch_path(spark, "staged")
+    rows = _events(spark, folder).drop("ts")
+    run_to_end(staged.staged_files(rows, f"{path}/table", f"{path}/checkpoint"))
+    return as_doubles(staged.read_committed(spark, f"{path}/table", rows.schema), "amount")
