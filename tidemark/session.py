@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,14 +81,48 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def write_and_read(df: DataFrame, label: str = "step") -> DataFrame:
+#: lists of the written tables' paths, the innermost scope last
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def written_tables() -> Iterator[list[str]]:
+    """The paths of the tables that `write_and_read` writes inside."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Empty written tables that nothing reads any more: their files go, by Spark's own overwrite."""
+    for path in paths:
+        spark.createDataFrame([], "gone int").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def settled(build: Callable[[], DataFrame | None], label: str = "step") -> DataFrame | None:
+    """The written rows of `build()`; the tables that it wrote on its way are emptied once they are there."""
+    with written_tables() as paths:
+        df = build()
+    out = None if df is None else write_and_read(df, label)
+    if paths:
+        discard(SparkSession.active(), paths)
+    return out
+
+
+def write_and_read(df: DataFrame, label: str = "step", small: bool = False) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them back.
 
     The written files outlive lost executors and keep column pruning for the
-    readers. Whoever owns the shared folder clears it after the job.
+    readers. Whoever owns the shared folder clears it after the job. `small`
+    tables are not worth emptying before that.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _SCOPES and not small:
+        _SCOPES[-1].append(path)
     with settings(spark, WRITING):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
