@@ -22,7 +22,7 @@ def components(edges: DataFrame) -> DataFrame:
     the longest path. Each round's edges are written to the shared folder.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = write_and_read(edges, "edges")
+    edges = write_and_read(edges, "edges", small=True)
     before = _state(edges)
     while True:
         # large star: the larger neighbours of a node go to its smallest neighbour
@@ -33,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
         wide = wide.distinct()
         least = wide.groupBy("a").agg(F.min("b").alias("m"))
         low = wide.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = write_and_read(low.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        edges = write_and_read(low.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges", small=True)
         after = _state(edges)
         if after == before:
             break

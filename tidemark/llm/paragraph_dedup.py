@@ -23,7 +23,7 @@ from tidemark.llm.graph import components
 from tidemark.llm.minhash_dedup import Shape, links, signer
 from tidemark.llm.passages import PASSAGE
 from tidemark.llm.words import SPACED, Hasher, chunks, find_words, lists, mix, released, utf8, windows
-from tidemark.session import write_and_read
+from tidemark.session import settled, write_and_read
 
 NAME = "op8_paragraph_dedup"
 SQL = None
@@ -158,11 +158,13 @@ def repeats(
     placed = marks.select("id", "doc", "place").join(met, "id", "left_semi")
     # a row that repeats a document gives its paragraphs the same ids once more
     texts = write_and_read(lines.join(placed, ["doc", "place"]).select("id", "text"), "texts")
-    signed = write_and_read(texts.select("id", signer(shape)("text").alias("s")).select("id", "s.*"), "signatures")
-    named = components(links(signed, texts, shape)).withColumnRenamed("node", "rep")
-    classes = write_and_read(
-        same.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "classes"
-    )
+
+    def classes() -> DataFrame:
+        signed = write_and_read(texts.select("id", signer(shape)("text").alias("s")).select("id", "s.*"), "signatures")
+        named = components(links(signed, texts, shape)).withColumnRenamed("node", "rep")
+        return same.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    classes = settled(classes, "classes")
     firsts = classes.groupBy("component").agg(F.min("first").alias("stays"))
     sets = classes.join(firsts, "component").select("key_a", "key_b", "stays")
     return (
@@ -189,7 +191,7 @@ def dedup(
     without an id are neither compared nor changed; rows that repeat an id are one
     document and changed alike. Columns named as the two new ones are replaced.
     """
-    gone = write_and_read(repeats(docs, id, text, min_words, shape), "gone")
+    gone = settled(lambda: repeats(docs, id, text, min_words, shape), "gone")
     docs = docs.drop("n_paragraphs", "n_removed")
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda line, k: ~F.array_contains("_gone", k))
@@ -199,7 +201,7 @@ def dedup(
     texts = docs.select(id, text).join(gone, F.col(id) == F.col("_doc"), "left").select(F.col(id).alias("doc"), left.alias("text"))
     # so many words have at least so many characters in and between them
     long = texts.where(F.col("doc").isNotNull() & (F.length("text") >= 2 * passage - 1))
-    rounds = passages.repeated(write_and_read(long, "left"), passage)
+    rounds = settled(lambda: passages.repeated(write_and_read(long, "left"), passage), "rounds")
     if rounds is None:
         joined = joined.withColumn("_cut", F.lit(None).cast("struct<text: string, n: bigint>"))
     else:

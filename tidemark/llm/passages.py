@@ -20,7 +20,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from tidemark.llm.suffix_dedup import _sliding_least
 from tidemark.llm.words import SPACED, Hasher, chunks, find_words, lists, released, utf8, windows
-from tidemark.session import write_and_read
+from tidemark.session import settled, write_and_read
 
 #: words of a passage
 PASSAGE = 51
@@ -133,6 +133,14 @@ def cutter(size: int):
     return cut
 
 
+def _found(asked: DataFrame, size: int) -> DataFrame:
+    """Per document the hashes of the passages that a document with a smaller id has; `asked`: the groups to look at."""
+    held = asked.select("doc", holder(size)("text", "asked").alias("h"))
+    every = write_and_read(held.select("doc", F.inline(F.arrays_zip("h.group", "h.run"))), "passages")
+    first = every.groupBy("group", "run").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a < z")
+    return every.join(first, ["group", "run"]).where("doc > a").groupBy("doc").agg(F.collect_set("run").alias("runs"))
+
+
 def repeated(texts: DataFrame, size: int = PASSAGE) -> DataFrame | None:
     """Per document (column doc) the hashes of the passages to cut, an array for each round; None if nothing goes.
 
@@ -148,16 +156,7 @@ def repeated(texts: DataFrame, size: int = PASSAGE) -> DataFrame | None:
             met = met.join(new, "group", "left_semi")
             left = applied(texts, rounds, size)
         asked = groups.join(met, "group", "left_semi").groupBy("doc").agg(F.collect_set("group").alias("asked"))
-        every = write_and_read(
-            left.join(asked, "doc")
-            .select("doc", holder(size)("text", "asked").alias("h"))
-            .select("doc", F.inline(F.arrays_zip("h.group", "h.run"))),
-            "passages",
-        )
-        first = every.groupBy("group", "run").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a < z")
-        found = write_and_read(
-            every.join(first, ["group", "run"]).where("doc > a").groupBy("doc").agg(F.collect_set("run").alias("runs")), "found"
-        )
+        found = settled(lambda: _found(left.join(asked, "doc"), size), "found")
         if found.isEmpty():
             return rounds
         if rounds is None:
