@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark import cloudpickle
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tidemark
 from tidemark.llm import decontaminate, minhash_dedup, paragraph_dedup, quality_rules, sentencepiece_viterbi
-from tidemark.session import write_and_read
+from tidemark.session import discard, write_and_read, written_tables
 
 cloudpickle.register_pickle_by_value(tidemark)
 
@@ -59,6 +60,28 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
+#: tables that the stage before wrote on its way
+_LEFT: list[str] = []
+
+
+def _after_the_other(stage: Stage) -> Stage:
+    """A stage begins when the rows of the one before are written: what that wrote on its way is emptied first."""
+
+    @functools.wraps(stage)
+    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _LEFT)
+        _LEFT.clear()
+        with written_tables() as paths:
+            out = stage(spark, docs, sf_dir)
+        _LEFT.extend(paths)
+        return out
+
+    return begun
+
+
+STAGES = [(name, _after_the_other(stage)) for name, stage in STAGES]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
