@@ -465,6 +465,134 @@ def test_held_join(feed, tmp_path):
     assert got == {"u1": "a", "u2": None}
 
 
+HELD = [
+    ("u1", 1000, None), ("u1", 2500, "a"), ("u1", 3000, None), ("u2", 1000, None), ("u2", 3001, "b"),
+    ("u3", 5000, None), ("u1", 2600, "c"), ("u4", None, None), (None, 4000, None), (None, 4500, "n"),
+    ("u5", 1000, None), ("u5", 1500, None), ("u5", 3400, "d"),
+]
+
+
+def test_strict_join_gives_a_row_per_click(spark, feed, tmp_path):
+    """One file per micro-batch, and a restart while clicks wait; the same as the bounded form."""
+    schema = "userId string, ts bigint, tier string"
+    source = feed(schema).add(*one_each(HELD[:5]))
+
+    def joined():
+        rows = s.with_watermark(source.stream(), "at", 3 * SECOND)
+        clicks = rows.where("tier IS NULL").select("userId", "seq", "at")
+        profiles = rows.where("tier IS NOT NULL").select("userId", "seq", "at", "tier")
+        return s.enrich_with_hold(clicks, profiles, "userId", "at", "seq", 2 * SECOND)
+
+    got = run(joined(), tmp_path)
+    source.add(*one_each(HELD[5:]), [("end", 99_000, None), ("end", 99_000, "x")])
+    got += [r for r in run(joined(), tmp_path) if r["userId"] != "end"]
+    batch = literal_rows(spark, HELD, schema).where("ts IS NOT NULL").withColumn("at", from_epoch_millis("ts"))
+    want = joins.enrich_with_hold(
+        batch.where("tier IS NULL").select("userId", "seq", "at"),
+        batch.where("tier IS NOT NULL").select("userId", "seq", "at", "tier"),
+        "userId", "at", "seq", 2 * SECOND,
+    ).collect()
+    tiers = {(r["userId"], r["seq"]): r["tier"] for r in got}
+    assert len(got) == len(want) == len(tiers)
+    assert tiers == {(r["userId"], r["seq"]): r["tier"] for r in want}
+    # a row without a user is a key like others; u5's first click is given up, its second one is not
+    assert tiers[None, 9] == "n" and tiers["u5", 11] == "unknown" and tiers["u5", 12] == "d" and tiers["u3", 6] == "unknown"
+
+
+def test_every_shard_sees_a_change_at_the_same_time(spark, feed, tmp_path):
+    schema = "country string, ts bigint, name string, fact boolean"
+    changes = [("de", 1000, "Germany", False), ("de", 3000, None, False), ("de", 5000, "Deutschland", False), (None, 1, "x", False)]
+    facts = [("de", t, None, True) for t in range(500, 6500, 250)] + [("fr", 2000, None, True), (None, 2000, None, True)]
+    rng = random.Random(5)
+    rows = changes + facts
+    rng.shuffle(rows)
+    source = feed(schema).add(*[rows[i : i + 7] for i in range(0, len(rows), 7)])
+    source.add([("end", 99_000, "e", False), ("end", 99_000, None, True)])
+    timed = s.with_watermark(source.stream(), "at", 10 * SECOND)
+    got = run(
+        s.refreshed_dimension(
+            timed.where("fact").select("country", "seq", "at"), timed.where("NOT fact").select("country", "seq", "at", "name"),
+            "country", "at", "seq", "name", shards=5,
+        ),
+        tmp_path,
+    )
+    got = [r for r in got if r["country"] != "end"]
+    assert len(got) == len(facts)
+    for row in got:
+        ms = round((row["at"] - at(0)).total_seconds() * 1000)
+        name = None if ms < 1000 or 3000 <= ms < 5000 else "Germany" if ms < 3000 else "Deutschland"
+        assert row["name"] == (name if row["country"] == "de" else None)
+
+
+def test_clock_windows_close_by_themselves(feed, tmp_path):
+    source = feed(fx.ORDERS_SCHEMA).add(fx.ORDERS[:6])
+    windows = s.clock_windows(source.stream(), ["category"], 2 * SECOND, "amount")
+    rows, writer = _kept(windows, tmp_path, "append", "run")
+    query = writer.trigger(processingTime="200 milliseconds").start()
+    try:
+        for n in (6, 12):  # the second file comes only after the first window was given out
+            until = time.monotonic() + 60
+            while sum(r["n"] for r in rows) < n and time.monotonic() < until:
+                time.sleep(0.2)
+            if n == 6:
+                source.add(fx.ORDERS[6:])
+    finally:
+        query.stop()
+    assert sum(r["n"] for r in rows) == 12 and len({r["window_end"] for r in rows}) >= 2
+    assert all(r["window_end"] - r["window_start"] == 2 * SECOND for r in rows)
+    totals = {}
+    for r in rows:
+        totals[r["category"]] = totals.get(r["category"], 0) + float(r["total"])
+    assert totals == fx.TOTALS
+
+
+def test_state_moves_to_a_version_with_a_field_more(spark, feed, tmp_path):
+    first = feed(fx.ORDERS_SCHEMA, "first").add(fx.ORDERS[:4], fx.ORDERS[4:8])
+    run(s.click_history(first.stream(), ["userId"], "seq", "category", n=3), tmp_path, name="old")
+    left = state.carried(spark, str(tmp_path / "old"), ["userId"], {"count": "value", "last": "list"})
+    held = {r["userId"]: (r["count"], r["last"]) for r in left.collect()}
+    for user, (count, last) in held.items():
+        mine = [o for o in fx.ORDERS[:8] if user in o]
+        assert count == len(mine) and len(last) == min(3, count)
+    second = feed(fx.ORDERS_SCHEMA, "second")
+    second.n = 8
+    second.add(fx.ORDERS[8:] + fx.ORDERS[:1])
+    moved = run(s.moved_history(second.stream(), ["userId"], "seq", "category", left, n=3), tmp_path, name="new")
+    whole = feed(fx.ORDERS_SCHEMA, "whole").add(fx.ORDERS + fx.ORDERS[:1])
+    want = run(s.click_history(whole.stream(), ["userId"], "seq", "category", n=3), tmp_path, name="whole-run")
+    want = {r["seq"]: (r["count"], r["last_categories"]) for r in want if r["seq"] > 8}
+    assert {r["seq"]: (r["count"], r["last_categories"]) for r in moved} == want
+    assert all(r["moved"] == held.get(r["userId"], (0,))[0] for r in moved)
+
+
+def test_summary_goes_on_from_its_state(spark, feed, tmp_path):
+    first = feed(fx.ORDERS_SCHEMA, "first").add(fx.ORDERS[:8])
+    run(s.spend_summary(first.stream(), ["userId"], "seq", "category", "amount"), tmp_path, name="old")
+    left = state.carried(spark, str(tmp_path / "old"), ["userId"], {"spend": "value", "counts": "map"})
+    second = feed(fx.ORDERS_SCHEMA, "second")
+    second.n = 8
+    second.add(fx.ORDERS[8:])
+    got = run(s.spend_summary(second.stream(), ["userId"], "seq", "category", "amount", initial=left), tmp_path, name="new")
+    whole = feed(fx.ORDERS_SCHEMA, "whole").add(fx.ORDERS)
+    want = run(s.spend_summary(whole.stream(), ["userId"], "seq", "category", "amount"), tmp_path, name="whole-run")
+    assert sorted((r["seq"], r["spend"], sorted(r["counts"].items())) for r in got) == sorted(
+        (r["seq"], r["spend"], sorted(r["counts"].items())) for r in want if r["seq"] > 8
+    )
+
+
+def test_readers_move_when_both_versions_agree(spark, tmp_path):
+    old, new = (sinks.KeyedTable(str(tmp_path / side), ["k"]) for side in ("old", "new"))
+    for batch, (a, b) in enumerate([(1, 1), (2, 3), (4, 4), (5, 5), (6, 9)]):
+        old.write(spark.createDataFrame([("x", a)], "k string, v int"), batch)
+        new.write(spark.createDataFrame([("x", b)], "k string, v int"), batch)
+    cut = lambda: sinks.CutOver(str(tmp_path / "cut"), old, new, ["v"], needed=2)
+    assert cut().check(spark, 0) and not cut().moved()
+    assert not cut().check(spark, 1) and cut().check(spark, 2) and not cut().moved()
+    assert cut().read(spark).first()["v"] == 6
+    assert cut().check(spark, 3) and cut().moved()  # the second in a row
+    assert not cut().check(spark, 4) and cut().read(spark).first()["v"] == 9
+
+
 def test_upsert_and_restart(spark, feed, tmp_path):
     source = feed(fx.ORDERS_SCHEMA).add(*[fx.ORDERS[i : i + 2] for i in (0, 2, 4)])
     totals = source.stream().groupBy("category").agg(F.sum("amount").alias("total"))

@@ -19,10 +19,12 @@ from tidemark.plans.registry import query
 from tidemark.plans.running import TYPES, _session_sql
 from tidemark.session import prepare_streaming, scratch_path
 from tidemark.sources.streams import file_stream
-from tidemark.sources.tables import load_table, with_zone, without_zone
+from tidemark.sources.tables import event_table, load_table, with_zone, without_zone
 from tidemark.streaming import operators as s
-from tidemark.streaming import staged
-from tidemark.streaming.sinks import KeyedTable, append_only, publish_places, run_to_end, streaming_top, upsert
+from tidemark.streaming import staged, state
+from tidemark.streaming.sinks import (
+    CutOver, KeyedTable, append_only, csv_files, dual_run, publish_places, run_on_clock, run_to_end, streaming_top, upsert,
+)
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 
@@ -67,14 +69,15 @@ def _bound(spark, folder) -> timedelta:
 
 
 def _finished(
-    spark, folder, build: Callable[[DataFrame, timedelta], DataFrame], label: str, ends: tuple[datetime, ...] = (END,)
+    spark, folder, build: Callable[[DataFrame, timedelta], DataFrame], label: str, ends: tuple[datetime, ...] = (END,),
+    kinds: tuple[str, ...] = ("purchase", "signup"),
 ) -> DataFrame:
     """Run into files to the end of the table, then past it, and read the files back."""
     prepare_streaming(spark)
     path = scratch_path(spark, label)
     events = _events(spark, folder)
     last = spark.createDataFrame(
-        [(NOBODY, end, NOBODY, kind) for end in ends for kind in ("purchase", "signup")],
+        [(NOBODY, end, NOBODY, kind) for end in ends for kind in kinds],
         "event_id bigint, ts timestamp, user_id bigint, event_type string",
     ).withColumn("amount", money(F.lit(0)))
     last.limit(0).write.parquet(f"{path}/end")
@@ -398,3 +401,196 @@ def stream_staged_rows(spark, folder):
     rows = _events(spark, folder).drop("ts")
     run_to_end(staged.staged_files(rows, f"{path}/table", f"{path}/checkpoint"))
     return as_doubles(staged.read_committed(spark, f"{path}/table", rows.schema), "amount")
+
+
+@query(
+    "stream_held_enrichment",
+    f"""SELECT c.event_id, c.user_id,
+        COALESCE(CAST(p.amount AS VARCHAR), CASE WHEN n.ts <= c.ts + INTERVAL 12 HOURS THEN CAST(n.amount AS VARCHAR) END, 'unknown') AS tier
+    FROM (SELECT * FROM events WHERE event_type = 'click') c
+    ASOF LEFT JOIN (SELECT * FROM {EVENTS_SQL} WHERE event_type = 'signup') p ON c.user_id = p.user_id AND c.ts >= p.ts
+    ASOF LEFT JOIN (SELECT * FROM {EVENTS_SQL} WHERE event_type = 'signup') n ON c.user_id = n.user_id AND c.ts < n.ts""",
+)
+def stream_held_enrichment(spark, folder):
+    """A row per click: clicks before a user's first signup wait up to twelve hours for it."""
+
+    def build(events, bound):
+        clicks = events.where(F.col("event_type") == "click").select("event_id", "user_id", "ts")
+        tier = F.col("amount").cast("string").alias("tier")
+        profiles = events.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts", tier)
+        return s.enrich_with_hold(_timed(clicks, bound), _timed(profiles, bound), "user_id", "ts", "event_id", 12 * HOUR)
+
+    return _finished(spark, folder, build, "held", kinds=("click", "signup")).drop("ts")
+
+
+@query(
+    "stream_refreshed_dimension",
+    f"""SELECT f.event_id, f.user_id, f.team, CAST(d.rate AS DOUBLE) AS rate
+    FROM (SELECT *, user_id % 10 AS team FROM {EVENTS_SQL} WHERE event_type <> 'signup') f
+    ASOF LEFT JOIN (SELECT user_id % 10 AS team, ts, CASE WHEN event_id % 5 > 0 THEN amount END AS rate FROM {EVENTS_SQL}
+        WHERE event_type = 'signup' QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id % 10, ts ORDER BY event_id DESC) = 1) d
+    ON f.team = d.team AND f.ts >= d.ts""",
+)
+def stream_refreshed_dimension(spark, folder):
+    """Every signup sets the rate of its team, and each fifth one takes it away; all shards see it at the same time."""
+
+    def build(events, bound):
+        events = events.withColumn("team", F.col("user_id") % 10)
+        facts = events.where(F.col("event_type") != "signup").select("event_id", "user_id", "team", "ts")
+        rate = F.when(F.col("event_id") % 5 > 0, F.col("amount")).alias("rate")
+        changes = events.where(F.col("event_type") == "signup").select("team", "ts", "event_id", rate)
+        return s.refreshed_dimension(_timed(facts, bound), _timed(changes, bound), "team", "ts", "event_id", "rate")
+
+    return as_doubles(_finished(spark, folder, build, "dimension").drop("ts"), "rate")
+
+
+@query(
+    "stream_clock_windows",
+    f"SELECT event_type, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS total FROM {EVENTS_SQL} GROUP BY 1",
+)
+def stream_clock_windows(spark, folder):
+    """Windows of a second on the clock. Their bounds differ from run to run, so the rows are summed over them."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "clock")
+    rows = load_table(spark, folder, "events").count()
+    windows = s.clock_windows(_events(spark, folder), ["event_type"], timedelta(seconds=1), "amount")
+    spark.createDataFrame([], windows.schema).write.parquet(f"{path}/out")
+
+    def given_out():
+        return spark.read.schema(windows.schema).parquet(f"{path}/out")
+
+    def done():
+        return given_out().agg(F.sum("n")).first()[0] == (rows or None)
+
+    run_on_clock(append_only(windows, f"{path}/out", f"{path}/checkpoint"), done)
+    summed = given_out().groupBy("event_type").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    return as_doubles(summed, "total")
+
+
+def _middle(spark, folder) -> int:
+    return (load_table(spark, folder, "events").agg(F.max("event_id")).first()[0] or 0) // 2
+
+
+def _in_two(spark, folder, path: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A stream over the events up to the middle event_id, and a call that lets the others follow."""
+    rows = with_zone(_select(load_table(spark, folder, "events")))
+    middle = _middle(spark, folder)
+    rows.where(F.col("event_id") <= middle).write.parquet(f"{path}/in")
+
+    def follow():
+        rows.where(F.col("event_id") > middle).write.mode("append").parquet(f"{path}/in")
+
+    return file_stream(spark, f"{path}/in", rows.schema), follow
+
+
+@query(
+    "stream_resumed_totals",
+    f"""SELECT user_id, event_id, CAST(SUM(amount) OVER (PARTITION BY user_id ORDER BY event_id
+        ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS total FROM {EVENTS_SQL}""",
+)
+def stream_resumed_totals(spark, folder):
+    """Stopped after the first half of the events; the second run goes on from the checkpoint."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "resumed")
+    events, follow = _in_two(spark, folder, path)
+    totals = s.running_total(events, ["user_id"], "event_id", "amount")
+    run_to_end(append_only(totals, f"{path}/out", f"{path}/checkpoint"))
+    follow()
+    run_to_end(append_only(totals, f"{path}/out", f"{path}/checkpoint"))
+    return as_doubles(spark.read.schema(totals.schema).parquet(f"{path}/out"), "total")
+
+
+@query(
+    "stream_state_table",
+    f"SELECT user_id, CAST(SUM(amount) AS DOUBLE) AS total FROM {EVENTS_SQL} GROUP BY 1",
+)
+def stream_state_table(spark, folder):
+    """The state of a stopped stream, read as a table."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "state")
+    totals = s.running_total(_events(spark, folder), ["user_id"], "event_id", "amount")
+    run_to_end(append_only(totals, f"{path}/out", f"{path}/checkpoint"))
+    return as_doubles(state.carried(spark, f"{path}/checkpoint", ["user_id"], {"total": "value"}), "total")
+
+
+@query(
+    "stream_state_changes",
+    f"""SELECT * FROM (SELECT user_id, CAST(SUM(amount) FILTER (WHERE first) AS DOUBLE) AS old, CAST(SUM(amount) AS DOUBLE) AS new,
+        CASE WHEN bool_or(first) THEN '+U' ELSE '+I' END AS op
+    FROM (SELECT *, event_id <= (SELECT MAX(event_id) // 2 FROM events) AS first FROM {EVENTS_SQL}) GROUP BY user_id)
+    WHERE old IS DISTINCT FROM new""",
+)
+def stream_state_changes(spark, folder):
+    """What the second half of the events, taken as one batch, changed in the totals."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "changed")
+    events, follow = _in_two(spark, folder, path)
+    totals = s.running_total(events, ["user_id"], "event_id", "amount")
+    run_to_end(append_only(totals, f"{path}/out", f"{path}/checkpoint"))
+    follow()
+    run_to_end(append_only(totals, f"{path}/out", f"{path}/checkpoint"))
+    return as_doubles(state.state_changes(spark, f"{path}/checkpoint", ["user_id"], "total", 0, 1), "old", "new")
+
+
+@query(
+    "stream_moved_history",
+    f"""SELECT event_id, user_id, "count", last_categories, moved FROM (
+        SELECT *, COUNT(*) {BY_USER} AS "count", COUNT(*) FILTER (WHERE NOT late) OVER (PARTITION BY user_id) AS moved,
+            array_to_string(list(event_type) OVER (PARTITION BY user_id ORDER BY event_id ROWS 4 PRECEDING), ',') AS last_categories
+        FROM (SELECT *, event_id > (SELECT MAX(event_id) // 2 FROM events) AS late FROM events)) WHERE late""",
+)
+def stream_moved_history(spark, folder):
+    """The first half of the events under one version of the state; the second version, which has a field more, goes on
+    from what the first one left."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "moved")
+    events, follow = _in_two(spark, folder, path)
+    first = s.click_history(events, ["user_id"], "event_id", "event_type")
+    run_to_end(append_only(first, f"{path}/old", f"{path}/old-checkpoint"))
+    left = state.carried(spark, f"{path}/old-checkpoint", ["user_id"], {"count": "value", "last": "list"})
+    left.write.parquet(f"{path}/left")
+    follow()
+    later = events.where(F.col("event_id") > _middle(spark, folder))  # the old stream has seen the others
+    second = s.moved_history(later, ["user_id"], "event_id", "event_type", spark.read.parquet(f"{path}/left"))
+    run_to_end(append_only(second, f"{path}/new", f"{path}/new-checkpoint"))
+    seen = spark.read.schema(second.schema).parquet(f"{path}/new")
+    return seen.withColumn("last_categories", F.array_join("last_categories", ","))
+
+
+@query(
+    "stream_cut_over",
+    f"SELECT event_type, user_id, CAST(SUM(amount) AS DOUBLE) AS total FROM {EVENTS_SQL} GROUP BY 1, 2",
+)
+def stream_cut_over(spark, folder):
+    """Two versions of the totals side by side; readers follow the pointer, which moves when the two agree."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "cut")
+    events = _events(spark, folder)
+    old = events.groupBy("event_type", "user_id").agg(F.sum("amount").alias("total"))
+    cents = F.sum((F.col("amount") * 100).cast("long"))
+    new = events.groupBy("event_type", "user_id").agg((cents / F.lit(100)).cast("decimal(28,2)").alias("total"))
+    (old_run, old_table), (new_run, new_table) = dual_run(old, new, path, ["event_type", "user_id"])
+    batches = [run_to_end(run).lastProgress for run in (old_run, new_run)]
+    readers = CutOver(f"{path}/cut", old_table, new_table, ["total"], needed=1)
+    readers.check(spark, min(p["batchId"] for p in batches))
+    return as_doubles(readers.read(spark), "total")
+
+
+@query("stream_csv_rows", f"SELECT event_id, user_id, event_type, CAST(amount AS DOUBLE) AS amount FROM {EVENTS_SQL}")
+def stream_csv_rows(spark, folder):
+    """Every row once in CSV files that roll after so many rows."""
+    path = scratch_path(spark, "csv")
+    rows = _events(spark, folder).drop("ts")
+    run_to_end(csv_files(rows, f"{path}/out", f"{path}/checkpoint", rows_per_file=1_000_000))
+    return as_doubles(spark.read.schema(rows.schema).csv(f"{path}/out"), "amount")
+
+
+@query(
+    "event_time_bridge",
+    "SELECT event_id, user_id, event_type, date_trunc('millisecond', ts) AS event_time FROM events",
+)
+def event_time_bridge(spark, folder):
+    """Records with epoch milliseconds as a named table with an event time, read by SQL."""
+    rows = with_zone(load_table(spark, folder, "events")).withColumn("millis", F.unix_millis("ts"))
+    event_table(rows.drop("ts"), "event_time_bridge", "millis")
+    return without_zone(spark.sql("SELECT event_id, user_id, event_type, event_time FROM event_time_bridge"))

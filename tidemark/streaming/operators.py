@@ -101,20 +101,48 @@ def to_changelog(df: DataFrame, keys, seq: str, amount: str, at: str | None = No
     return _stateful(rows, keys, p.ChangelogTotals(seq, amount, kind.simpleString()), schema, at=at)
 
 
-def click_history(df: DataFrame, keys, seq: str, category: str, n: int = 5, at: str | None = None) -> DataFrame:
+def click_history(
+    df: DataFrame, keys, seq: str, category: str, n: int = 5, at: str | None = None, initial: DataFrame | None = None
+) -> DataFrame:
+    """`initial` seeds the state: key columns, `count`, and `last`, an array of the last categories."""
+    return _history(df, keys, seq, category, at, initial, p.ClickHistory(seq, category, n))
+
+
+def moved_history(
+    df: DataFrame, keys, seq: str, category: str, initial: DataFrame, n: int = 5, at: str | None = None
+) -> DataFrame:
+    """The next version of `click_history`, whose state and rows have one field more: `moved`, the count that a key
+    came over with. `initial` is what the version before had, as `state.carried` reads it."""
+    moved = T.StructField("moved", T.LongType())
+    return _history(df, keys, seq, category, at, initial, p.MovedHistory(seq, category, n), moved)
+
+
+def _history(df: DataFrame, keys, seq, category, at, initial, processor, *more: T.StructField) -> DataFrame:
     schema = T.StructType(
         [
             *_fields(df, [*keys, seq]),
             T.StructField("count", T.LongType()),
             T.StructField("last_categories", T.ArrayType(T.StringType())),
+            *more,
         ]
     )
+    seed = None
+    if initial is not None:
+        last = F.col("last").cast("array<string>").alias("last")
+        seed = initial.select(*keys, F.col("count").cast("long").alias("count"), last).groupBy(*keys)
     rows = df.select(*keys, seq, category, *_held(at))
-    return _stateful(rows, keys, p.ClickHistory(seq, category, n), schema, at=at)
+    return _stateful(rows, keys, processor, schema, initial=seed, at=at)
 
 
-def spend_summary(df: DataFrame, keys, seq: str, category: str, amount: str, at: str | None = None) -> DataFrame:
+def spend_summary(
+    df: DataFrame, keys, seq: str, category: str, amount: str, at: str | None = None, initial: DataFrame | None = None
+) -> DataFrame:
+    """`initial` seeds the state: key columns, `spend`, and `counts`, a map of categories to counts."""
     kind = _total(df, amount)
+    seed = None
+    if initial is not None:
+        counts = F.col("counts").cast("map<string,bigint>").alias("counts")
+        seed = initial.select(*keys, F.col("spend").cast(kind).alias("spend"), counts).groupBy(*keys)
     rows = df.select(*keys, seq, category, F.col(amount).cast(kind).alias(amount), *_held(at))
     schema = T.StructType(
         [
@@ -123,7 +151,8 @@ def spend_summary(df: DataFrame, keys, seq: str, category: str, amount: str, at:
             T.StructField("counts", T.MapType(T.StringType(), T.LongType())),
         ]
     )
-    return _stateful(rows, keys, p.SpendSummary(seq, category, amount, kind.simpleString()), schema, at=at)
+    processor = p.SpendSummary(seq, category, amount, kind.simpleString())
+    return _stateful(rows, keys, processor, schema, initial=seed, at=at)
 
 
 def session_counter(df: DataFrame, keys, at: str, seq: str, ttl: timedelta, hold: bool = False) -> DataFrame:
@@ -224,6 +253,87 @@ def as_of(
     return joined.withColumn(at, F.timestamp_micros("_us")).select(*facts.columns, value)
 
 
+def enrich_with_hold(
+    clicks: DataFrame,
+    profiles: DataFrame,
+    user: str,
+    at: str,
+    tie: str,
+    hold: timedelta,
+    tier: str = "tier",
+    default: str = "unknown",
+) -> DataFrame:
+    """Strict join, a row per click: without an earlier profile a click waits up to `hold` for the next one.
+
+    Both inputs must carry a watermark on `at`. Clicks without a time are left out.
+    """
+    kept = [c for c in clicks.columns if c != at]
+    left = clicks.withColumns({"_us": F.unix_micros(at), "_side": F.lit(1)})
+    value = F.col(tier).cast("string").alias(tier)
+    right = profiles.select(user, at, tie, value, F.unix_micros(at).alias("_us"), F.lit(0).alias("_side"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    fields = [*_fields(clicks, kept), T.StructField("_us", T.LongType())]
+    types = [(f.name, f.dataType.simpleString()) for f in fields]
+    processor = p.HeldFacts("_us", tie, types, user, _micros(hold), tier, default)
+    schema = T.StructType([*fields, T.StructField(tier, T.StringType())])
+    joined = _stateful(both, [user], processor, schema, at=at)
+    return joined.withColumn(at, F.timestamp_micros("_us")).select(*clicks.columns, tier)
+
+
+def refreshed_dimension(
+    facts: DataFrame, changes: DataFrame, key: str, at: str, tie: str, value: str, shards: int = 8
+) -> DataFrame:
+    """Each fact with the value of a small dimension as it stood at its time, null where it had none.
+
+    Facts are dealt to shards by all of their columns, so a hot key is spread. Every change (key, at, tie, value; a null
+    value takes the key out) goes to every shard, and all apply the changes in the same order of time. A shard holds
+    the whole dimension: for lookup tables; join a large one by key (`as_of`). Both inputs must carry a watermark on
+    `at`; rows without a time, and changes without a key, are left out. The state hangs on `shards`: keep it when a
+    stream goes on.
+    """
+    kept = [c for c in facts.columns if c != at]
+    dealt = F.pmod(F.xxhash64(*kept), F.lit(shards)).cast("int").alias("_shard")
+    left = facts.select("*", F.unix_micros(at).alias("_us"), F.lit(1).alias("_side"), dealt)
+    right = changes.where(F.col(key).isNotNull()).select(
+        key, at, tie, value, F.unix_micros(at).alias("_us"), F.lit(0).alias("_side"),
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"),
+    )
+    both = left.unionByName(right, allowMissingColumns=True)
+    fields = [*_fields(facts, kept), T.StructField("_us", T.LongType())]
+    found = changes.schema[value]
+    processor = p.ReplicatedDimension(
+        "_us", tie, [f.name for f in fields], (key, facts.schema[key].dataType.simpleString()),
+        (value, found.dataType.simpleString()),
+    )
+    schema = T.StructType([*fields, T.StructField(value, found.dataType)])
+    joined = _stateful(both, ["_shard"], processor, schema, at=at)
+    return joined.withColumn(at, F.timestamp_micros("_us")).select(*facts.columns, value)
+
+
+def clock_windows(df: DataFrame, keys, size: timedelta, amount: str) -> DataFrame:
+    """Windows on the clock: key columns, window_start, window_end, n and total of the rows that were taken in it.
+
+    A window is given out by a timer once the clock has passed its end, also when no more rows come. Which window a
+    row falls in depends on when its batch runs. Needs a processing-time trigger; see `sinks.run_on_clock`.
+    """
+    kind = _total(df, amount)
+    schema = T.StructType(
+        [
+            *_fields(df, keys),
+            T.StructField("_end", T.LongType()),
+            T.StructField("n", T.LongType()),
+            T.StructField("total", kind),
+        ]
+    )
+    processor = p.ClockWindows(amount, max(1, _micros(size) // 1000), kind.simpleString())
+    rows = df.select(*keys, F.col(amount).cast(kind).alias(amount))
+    closed = _stateful(rows, keys, processor, schema, "ProcessingTime")
+    end = F.timestamp_micros("_end")
+    return closed.select(
+        *keys, (end - F.expr(f"INTERVAL {_micros(size)} MICROSECONDS")).alias("window_start"), end.alias("window_end"), "n", "total"
+    )
+
+
 def late_disposition(
     df: DataFrame, at: str, size: timedelta, lateness: timedelta, row_id: str
 ) -> DataFrame:

@@ -204,17 +204,41 @@ class ClickHistory(_Keyed):
         self.count = handle.getValueState("count", "count bigint")
         self.last = handle.getListState("last", "category string")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.count.update((initialState["count"],))
+        _replace(self.last, [(c,) for c in initialState["last"] or []])
+
+    def more(self) -> tuple:
+        """Columns that a later version of the state adds."""
+        return ()
+
     def handleInputRows(self, key, rows, timerValues):
+        more = self.more()
         count = self.count.get()[0] if self.count.exists() else 0
         last = [item[0] for item in self.last.get()] if self.last.exists() else []
         for row in in_order(rows, self.seq):
             count += 1
             last = [*last, row[self.category]][-self.n :]
-            yield self.row(*key, row[self.seq], count, last)
+            yield self.row(*key, row[self.seq], count, last, *more)
         self.count.update((count,))
         self.last.put([(c,) for c in last])
 
 
+class MovedHistory(ClickHistory):
+    """The next version of that state, with a field more: the count at the move, which is 0 for a key that is new."""
+
+    def init(self, handle):
+        super().init(handle)
+        self.moved = handle.getValueState("moved", "count bigint")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        super().handleInitialState(key, initialState, timerValues)
+        self.moved.update((initialState["count"],))
+
+    def more(self) -> tuple:
+        return self.moved.get() if self.moved.exists() else (0,)
+
+
 class SpendSummary(_Keyed):
     """Key columns, seq, spend so far, count per category so far."""
 
@@ -225,6 +249,12 @@ class SpendSummary(_Keyed):
         self.spend = handle.getValueState("spend", f"spend {self.kind}")
         self.counts = handle.getMapState("counts", "category string", "n bigint")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        if initialState["spend"] is not None:
+            self.spend.update((initialState["spend"],))
+        for category, n in dict(initialState["counts"] or ()).items():  # a map comes as pairs
+            self.counts.updateValue((category,), (n,))
+
     def handleInputRows(self, key, rows, timerValues):
         spend = self.spend.get()[0] if self.spend.exists() else self._zero()
         counts = {k[0]: v[0] for k, v in self.counts.iterator()} if self.counts.exists() else {}
@@ -404,6 +434,164 @@ class AsOfVersion(_Keyed):
             self.version.update((value,))
 
 
+def _by_time(rows: Iterator[Row], at: str, tie: str) -> list[Row]:
+    """In order of their time; side 0 rows first, then by `tie`, null first."""
+    return sorted(rows, key=lambda r: (r[at], r["_side"], r[tie] is not None, 0 if r[tie] is None else r[tie]))
+
+
+class HeldFacts(_Keyed):
+    """Facts with the last version before them; side 0 rows are versions. Needs rows in time order.
+
+    Facts that have no version yet wait for the first one, each for `hold_us`, and then go with the default: one row
+    per fact. They lie in state in buckets of an eighth of that time, so at most ten buckets of a key are alive.
+    """
+
+    def __init__(
+        self, at: str, tie: str, fields: Sequence[tuple[str, str]], key: str, hold_us: int, value: str, default: str
+    ):
+        self.at, self.tie, self.key = at, tie, key
+        self.names = [n for n, _ in fields]
+        self.own = [n for n in self.names if n != key]
+        self.schema = ", ".join(f"`{n}`: {kind}" for n, kind in fields if n != key)
+        self.hold_us, self.value, self.default = hold_us, value, default
+        self.width_us = max(1, hold_us // 8)
+
+    def init(self, handle):
+        self.version = handle.getValueState("version", "value string")
+        self.waiting = handle.getMapState("held_facts", "bucket bigint", f"held array<struct<{self.schema}>>")
+        self.buckets = handle.getValueState("held_buckets", "buckets array<bigint>, first bigint")
+
+    def _out(self, key, held: tuple, value: str | None) -> Row:
+        row = dict(zip(self.own, held, strict=True)) | {self.key: key[0]}
+        return self.row(*[row[n] for n in self.names], self.default if value is None else value)
+
+    def _buckets(self) -> list[int]:
+        return list(self.buckets.get()[0]) if self.buckets.exists() else []
+
+    def _release(self, key, upto: int | None, value: str | None = None, since: int | None = None) -> Iterator[Row]:
+        """Waiting facts with a time up to `upto` (None: all) go, with `value` where their time is `since` or later."""
+        at, left = self.own.index(self.at), self._buckets()
+        first = None
+        while left and (upto is None or left[0] * self.width_us <= upto):
+            held = [tuple(r) for r in self.waiting.getValue((left[0],))[0]]
+            for fact in held:
+                if upto is None or fact[at] <= upto:
+                    yield self._out(key, fact, value if since is None or fact[at] >= since else None)
+            later = [] if upto is None else [fact for fact in held if fact[at] > upto]
+            if later:
+                self.waiting.updateValue((left[0],), (later,))
+                first = min(fact[at] for fact in later)
+                break
+            self.waiting.removeKey((left.pop(0),))
+        if left:
+            self.buckets.update((left, left[0] * self.width_us if first is None else first))
+        else:
+            self.buckets.clear()
+
+    def _hold(self, facts: list[tuple]) -> None:
+        at, fresh = self.own.index(self.at), {}
+        for fact in facts:
+            fresh.setdefault(fact[at] // self.width_us, []).append(fact)
+        known = self._buckets()
+        first = min([fact[at] for fact in facts] + ([self.buckets.get()[1]] if known else []))
+        for bucket, held in fresh.items():
+            before = [tuple(r) for r in self.waiting.getValue((bucket,))[0]] if bucket in known else []
+            self.waiting.updateValue((bucket,), (before + held,))
+        self.buckets.update((sorted({*known, *fresh}), first))
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self.version.exists()
+        value = self.version.get()[0] if known else None
+        new, early = False, []
+        for row in _by_time(rows, self.at, self.tie):
+            if row["_side"] == 0:
+                if not known:
+                    if early:
+                        self._hold(early)
+                        early = []
+                    yield from self._release(key, None, row[self.value], row[self.at] - self.hold_us)
+                value, known, new = row[self.value], True, True
+            elif known:
+                yield self._out(key, tuple(row[n] for n in self.own), value)
+            else:
+                early.append(tuple(row[n] for n in self.own))
+        if early:
+            self._hold(early)
+        if new:
+            self.version.update((value,))
+
+    def passed(self, key, upto):
+        if self.buckets.exists():
+            yield from self._release(key, upto - self.hold_us)
+
+    def wake_at(self) -> int | None:
+        return self.buckets.get()[1] + self.hold_us if self.buckets.exists() else None
+
+
+class ReplicatedDimension(_Keyed):
+    """Facts of one shard with the dimension as it stood at their time. Needs rows in time order.
+
+    Every shard gets all changes (side 0), so all of them hold the same rows at the same time. A change without a
+    value takes the key out.
+    """
+
+    def __init__(self, at: str, tie: str, names: Sequence[str], key: tuple[str, str], value: tuple[str, str]):
+        self.at, self.tie, self.names = at, tie, list(names)
+        self.key, self.key_type = key
+        self.value, self.value_type = value
+
+    def init(self, handle):
+        self.dimension = handle.getMapState("dimension", f"k {self.key_type}", f"value {self.value_type}")
+
+    def handleInputRows(self, key, rows, timerValues):
+        seen: dict = {}
+        changed = set()
+        for row in _by_time(rows, self.at, self.tie):
+            k = row[self.key]
+            if row["_side"] == 0:
+                seen[k] = row[self.value]
+                changed.add(k)
+                continue
+            if k is not None and k not in seen:
+                seen[k] = self.dimension.getValue((k,))[0] if self.dimension.containsKey((k,)) else None
+            yield self.row(*[row[n] for n in self.names], None if k is None else seen[k])
+        for k in changed:
+            if seen[k] is not None:
+                self.dimension.updateValue((k,), (seen[k],))
+            elif self.dimension.containsKey((k,)):
+                self.dimension.removeKey((k,))
+
+
+class ClockWindows(_Keyed):
+    """Key columns, window end (us), rows and total, by the clock: a row belongs to the window in which its batch runs,
+    and the window is given out when the clock has passed its end."""
+
+    def __init__(self, amount: str, size_ms: int, kind: str = "decimal(38,2)"):
+        self.amount, self.size_ms, self.kind = amount, size_ms, kind
+
+    def init(self, handle):
+        self.handle = handle
+        self.windows = handle.getMapState("windows", "ends bigint", f"n bigint, total {self.kind}")
+
+    def handleInputRows(self, key, rows, timerValues):
+        now = timerValues.getCurrentProcessingTimeInMs()
+        end = now - now % self.size_ms + self.size_ms
+        n, total = self.windows.getValue((end,)) if self.windows.containsKey((end,)) else (0, None)
+        for row in rows:
+            n, amount = n + 1, row[self.amount]
+            if amount is not None:
+                total = amount if total is None else total + amount
+        self.windows.updateValue((end,), (n, total))
+        self.handle.registerTimer(end)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        if self.windows.containsKey((end,)):
+            yield self.row(*key, end * MILLI, *self.windows.getValue((end,)))
+            self.windows.removeKey((end,))
+
+
 def _replace(state: Any, items: list[tuple]) -> None:
     if items:
         state.put(items)

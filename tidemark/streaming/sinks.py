@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.changelog import running_total
-from tidemark.operators.joins import lookup_dimension
+from tidemark.operators.joins import compare_outputs, lookup_dimension
 from tidemark.operators.ranking import latest_per_key, top_spenders
+from tidemark.streaming.staged import place_once, read_placed
 
 
 def print_rows(stream: DataFrame, label: str, mode: str = "append") -> DataStreamWriter:
@@ -220,6 +223,43 @@ def dual_run(
     return sides[0], sides[1]
 
 
+class CutOver:
+    """Readers follow a pointer that moves from the old table to the new one when both have agreed for some batches.
+
+    `check` compares the two tables as they stood after a batch and notes the verdict; once the last `needed` batches
+    in a row agree, the pointer is placed, in one step and for good. A reader asks for the pointer once, so all its
+    rows are from one table. Verdicts and pointer are small files beside the tables: both survive a restart, and a
+    batch that is checked again keeps its first verdict. Batches are compared by number, so both streams must cut
+    their input alike.
+    """
+
+    def __init__(self, folder: str, old: KeyedTable, new: KeyedTable, values: Sequence[str], needed: int = 3):
+        self.folder, self.old, self.new = folder.rstrip("/"), old, new
+        self.values, self.needed = list(values), needed
+
+    def _verdict(self, batch: int) -> bool | None:
+        found = read_placed(f"{self.folder}/check-{batch:010d}.json")
+        return None if found is None else json.loads(found)["same"]
+
+    def check(self, spark: SparkSession, batch: int) -> bool:
+        """Whether the tables agree after this batch."""
+        same = self._verdict(batch)
+        if same is None:
+            old, new = self.old.read(spark, before=batch + 1), self.new.read(spark, before=batch + 1)
+            same = compare_outputs(old, new, self.old.keys, self.values).where("difference <> 'same'").isEmpty()
+            place_once(f"{self.folder}/check-{batch:010d}.json", json.dumps({"same": same}))
+        first = batch - self.needed + 1
+        if first >= 0 and all(self._verdict(b) for b in range(first, batch + 1)):
+            place_once(f"{self.folder}/pointer.json", json.dumps({"after": batch}))
+        return same
+
+    def moved(self) -> bool:
+        return read_placed(f"{self.folder}/pointer.json") is not None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return (self.new if self.moved() else self.old).read(spark)
+
+
 def merge_statement(table: str, staging: str, keys: Sequence[str], columns: Sequence[str]) -> str:
     """Standard SQL MERGE from a staging table, by key."""
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
@@ -262,3 +302,17 @@ def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def run_on_clock(writer: DataStreamWriter, done: Callable[[], bool], every: str = "1 second", limit: float = 600) -> None:
+    """Run with a trigger on the clock until `done()`, then stop; windows on the clock have no end of their own."""
+    query = writer.trigger(processingTime=every).start()
+    try:
+        until = time.monotonic() + limit
+        while not done():
+            if time.monotonic() > until:
+                raise TimeoutError(f"not done after {limit} seconds")
+            if query.awaitTermination(1):
+                raise RuntimeError("the stream ended by itself")
+    finally:
+        query.stop()

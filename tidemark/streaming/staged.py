@@ -32,6 +32,30 @@ def _store(path: str):
     return system, inside.rstrip("/")
 
 
+def read_placed(path: str) -> str | None:
+    """A small file's text, if it is there."""
+    from pyarrow import fs
+
+    system, inside = _store(path)
+    if system.get_file_info(inside).type == fs.FileType.NotFound:
+        return None
+    with system.open_input_stream(inside) as known:
+        return known.read().decode()
+
+
+def place_once(path: str, text: str) -> None:
+    """A small file that appears whole, in one step; one that is there stays."""
+    if read_placed(path) is not None:
+        return
+    system, inside = _store(path)
+    folder = inside.rsplit("/", 1)[0]
+    system.create_dir(folder, recursive=True)
+    hidden = f"{folder}/.{uuid.uuid4().hex}"
+    with system.open_output_stream(hidden) as out:
+        out.write(text.encode())
+    system.move(hidden, inside)
+
+
 @dataclass
 class Staged(WriterCommitMessage):
     files: list[str]
@@ -75,21 +99,14 @@ class StagedWriter(DataSourceStreamArrowWriter):
 
     def commit(self, messages, batchId: int) -> None:
         """In the driver: may be called again for a batch, with the same messages or those of a repeated run."""
-        from pyarrow import fs
-
-        system, root = _store(self.path)
-        place = f"{root}/{self.manifest(batchId)}"
+        place = f"{self.path.rstrip('/')}/{self.manifest(batchId)}"
         files = sorted(name for message in messages if message for name in message.files)
-        if system.get_file_info(place).type != fs.FileType.NotFound:
-            with system.open_input_stream(place) as known:
-                seen = set(json.loads(known.read())["files"])
+        known = read_placed(place)
+        if known is not None:
+            seen = set(json.loads(known)["files"])
             self._drop([Staged([name for name in files if name not in seen])])
             return
-        system.create_dir(f"{root}/_committed", recursive=True)
-        hidden = f"{root}/_committed/.{uuid.uuid4().hex}"
-        with system.open_output_stream(hidden) as out:
-            out.write(json.dumps({"files": files}).encode())
-        system.move(hidden, place)
+        place_once(place, json.dumps({"files": files}))
 
     def abort(self, messages, batchId: int) -> None:
         """What the tasks of a failed batch had staged goes; None stands for tasks that did not report."""
