@@ -1,7 +1,8 @@
 """License scans: phrases that stand word for word, and an exact set-similarity join with license notices.
 
-DataFrame functions only. The join finds every text block (line) that contains at
-least `threshold` of a template's distinct words. Template words are ordered by
+DataFrame functions only. The join finds every text block that contains at least
+`threshold` of a template's distinct words. A block is a line with the LINES - 1 lines
+after it, as notices are wrapped. Template words are ordered by
 their frequency in the whole corpus, rarest first:
 
 * prefix: a block that holds the threshold of a template of n words holds one of its
@@ -34,6 +35,8 @@ TEMPLATES = {
 }
 #: hundredths of a template's distinct words that a block must hold
 THRESHOLD = 80
+#: lines of a block
+LINES = 3
 
 _SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
 
@@ -95,14 +98,14 @@ def matches(
 ) -> DataFrame:
     """A row (id, block, label, containment) for every block and template that meet the threshold.
 
-    block is the line's number in the text, from 0.
+    block is the number of its first line in the text, from 0; a text of fewer than LINES lines is one block.
     """
-    sets = {t: sorted(set(t.split())) for t in templates}
-    vocabulary = sorted({w for words in sets.values() for w in words})
+    distinct = {t: sorted(set(t.split())) for t in templates}
+    vocabulary = sorted({w for words in distinct.values() for w in words})
     order = template_order(docs, text, vocabulary)
     rows, prefix = [], set()
     for template, label in templates.items():
-        words = sorted(sets[template], key=order.get)
+        words = sorted(distinct[template], key=order.get)
         need = -(-threshold * len(words) // 100)
         for place, word in enumerate(words[: len(words) - need + 1], 1):
             rows.append((word, order[word], place, label, words, need))
@@ -118,11 +121,13 @@ def matches(
     possible = docs.select(F.col(id).alias("_id"), low.alias("_low"), split_words(low).alias("_words")).where(
         F.exists("_words", lambda w: w.isin(sorted(prefix)))
     )
-    blocks = possible.select("_id", F.posexplode(F.split("_low", "\n")).alias("_block", "_line")).select(
-        "_id",
-        "_block",
-        F.array_distinct(F.filter(split_words(F.col("_line")), lambda w: w.isin(vocabulary))).alias("_set"),
+    # the words of each line once, then those of the lines of each block
+    lines = F.transform(
+        F.split("_low", "\n"), lambda line: F.array_distinct(F.filter(split_words(line), lambda w: w.isin(vocabulary)))
     )
+    firsts = F.sequence(F.lit(1), F.greatest(F.size("_lines") - LINES + 1, F.lit(1)))
+    sets = F.transform(firsts, lambda first: F.array_distinct(F.flatten(F.slice("_lines", first, LINES))))
+    blocks = possible.select("_id", lines.alias("_lines")).select("_id", F.posexplode(sets).alias("_block", "_set"))
     m = F.size("_set")
     met = (
         blocks.where(m >= fewest)
@@ -201,9 +206,11 @@ base AS (
   SELECT *, list_concat({", ".join(f"p{k}" for k in range(len(PHRASES)))}) AS every,
     list_filter([{", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, label in enumerate(PHRASES.values()))}],
       lambda x: x IS NOT NULL) AS found FROM places),
+cut AS (SELECT doc_id, string_split({_LOW}, chr(10)) AS l FROM documents),
 lines AS (
-  SELECT doc_id, list_distinct(regexp_extract_all(line, '{_WORD}')) AS s
-  FROM (SELECT doc_id, unnest(string_split({_LOW}, chr(10))) AS line FROM documents)),
+  SELECT doc_id, list_distinct(regexp_extract_all(block, '{_WORD}')) AS s
+  FROM (SELECT doc_id, unnest(list_transform(range(1, greatest(len(l) - {LINES} + 1, 1) + 1),
+    lambda i: array_to_string(l[i:i + {LINES} - 1], chr(10)))) AS block FROM cut)),
 met AS (
   SELECT doc_id, label, len(list_intersect(s, t)) / len(t) AS share
   FROM lines, (VALUES {_TEMPLATES}) AS v(label, t)
