@@ -237,12 +237,17 @@ _CUT = StructType(
 )
 
 
-def template_lines(mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
-    """My lines (hashes) that are template by comparison with one other page: none if all are shared."""
+#: hundredths of a page's characters in shared lines, from which on it is a near copy of the other page
+NEAR = 80
+
+
+def template_lines(mine: np.ndarray, theirs: np.ndarray, chars: np.ndarray) -> np.ndarray | None:
+    """My lines (hashes) that are template by comparison with one other page; None if mine is a near copy of it,
+    which tells nothing of a template. `chars`: the characters of my lines."""
     if not len(mine) or not len(theirs):
         return mine[:0]
     shared = common_lines(mine, theirs)
-    return mine[:0] if shared.all() else mine[shared]
+    return None if 100 * chars[shared].sum() >= NEAR * chars.sum() else mine[shared]
 
 
 @F.pandas_udf(_CUT)
@@ -263,27 +268,40 @@ def _cut(urls: pd.Series, pages: pd.Series) -> pd.DataFrame:
 def _neighbours(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Template lines of the pages of a sorted stream, each by the page before and the one after it.
 
-    The first and the last page of the stream (edge 1, 2; 3: the only one) keep their lines.
+    A near copy of the page before is set against the last page that was not one. The first and the last page of
+    the stream (edge 1, 2; 3: the only one) keep their lines.
     """
-    held, number = None, 0
+    none = np.zeros(0, np.int64)
+    held, other, number = None, None, 0
 
     def row(page, found, edge):
-        return (page.page, page.host, page.path, edge, page.hash if edge else None, found)
+        own = (page.hash, page.chars) if edge else (None, None)
+        return (page.page, page.host, page.path, edge, *own, found)
 
     def batch(rows):
-        return pd.DataFrame(rows, columns=["page", "host", "path", "edge", "hash", "found"])
+        return pd.DataFrame(rows, columns=["page", "host", "path", "edge", "hash", "chars", "found"])
+
+    def by(page, neighbour):
+        return None if neighbour is None else template_lines(page.hash, neighbour.hash, page.chars)
 
     for frame in pages:
         rows = []
         for page in frame.itertuples(index=False):
-            found = np.zeros(0, np.int64)
+            found = none
             if held is not None:
                 before, so_far = held
                 if before.host == page.host:
-                    found = template_lines(page.hash, before.hash)
-                    so_far = np.r_[so_far, template_lines(before.hash, page.hash)]
+                    found = by(page, before)
+                    if found is None:
+                        found = by(page, other)
+                    else:
+                        other = before
+                    after = by(before, page)
+                    so_far = so_far if after is None else np.r_[so_far, after]
+                else:
+                    other = None
                 rows.append(row(before, so_far, int(number == 1)))
-            held = (page, found)
+            held = (page, none if found is None else found)
             number += 1
         if rows:
             yield batch(rows)
@@ -291,23 +309,20 @@ def _neighbours(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch([row(*held, 3 if number == 1 else 2)])
 
 
-_SPREAD = "page long, host string, path string, edge int, hash array<long>, found array<long>"
+_SPREAD = "page long, host string, path string, edge int, hash array<long>, chars array<int>, found array<long>"
 
 
 @F.pandas_udf(_LONGS)
-def _met(mine: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
-    none = np.zeros(0, np.int64)
-    return pd.Series(
-        [
-            np.concatenate([none if y is None else template_lines(x, y) for y in (b, a)])
-            for x, b, a in zip(mine, before, after, strict=True)
-        ],
-        dtype=object,
-    )
+def _met(mine: pd.Series, chars: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
+    rows = []
+    for x, n, *sides in zip(mine, chars, before, after, strict=True):
+        found = [template_lines(x, y, n) for y in sides if y is not None]
+        rows.append(np.concatenate([np.zeros(0, np.int64), *[f for f in found if f is not None]]))
+    return pd.Series(rows, dtype=object)
 
 
 def shared_lines(cut: DataFrame) -> DataFrame:
-    """Per page: the hashes of its template lines. `cut` has page, host, path and hash."""
+    """Per page: the hashes of its template lines. `cut` has page, host, path, hash and chars."""
     spread = write_and_read(
         cut.repartitionByRange("host", "path", "page")
         .sortWithinPartitions("host", "path", "page")
@@ -322,7 +337,7 @@ def shared_lines(cut: DataFrame) -> DataFrame:
             "before": F.when(F.col("edge") != 2, F.lag("hash").over(at)),
             "after": F.when(F.col("edge") != 1, F.lead("hash").over(at)),
         }
-    ).select("page", _met("hash", "before", "after").alias("found"))
+    ).select("page", _met("hash", "chars", "before", "after").alias("found"))
     every = spread.select("page", "found").union(met)
     return every.groupBy("page").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("template"))
 
@@ -332,7 +347,8 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", page: str =
 
     A page with an article element (that is not in a part left out) gives that element's
     lines, else one with a main element what is in it, else all lines; of the last two
-    without the lines that are template. Null and empty pages have an empty text. A page
+    without the lines that are template: those that stand, in order, in a neighbour that is no near copy (NEAR).
+    Null and empty pages have an empty text. A page
     without a host, or the only one of its host, has no neighbours. Rows that repeat an
     id share what is deleted; rows without an id lose no template line. Other columns do
     not matter. Lines are written to the shared folder.
@@ -344,9 +360,9 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", page: str =
         "lines",
     )
     best = F.when(F.array_contains("kind", 2), 2).when(F.array_contains("kind", 3), 3).otherwise(1)
-    cut = cut.withColumns({"best": best, "hash": F.transform("line", lambda line: F.xxhash64(line))})
+    cut = cut.withColumns({"best": best, "hash": F.transform("line", lambda line: F.xxhash64(line)), "chars": F.transform("line", lambda line: F.length(line))})
     compared = cut.where((F.col("host") != "") & F.col("page").isNotNull() & (F.size("hash") > 0))
-    shared = shared_lines(compared.dropDuplicates(["page"]).select("page", "host", "path", "hash"))
+    shared = shared_lines(compared.dropDuplicates(["page"]).select("page", "host", "path", "hash", "chars"))
     # written, so that the planner knows its size; pages with an article keep all of its lines
     asked = compared.where("best <> 2").select("page").distinct()
     shared = write_and_read(shared.where(F.size("template") > 0).join(asked, "page", "left_semi"), "template")
