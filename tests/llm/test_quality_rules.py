@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from tests.llm.plain import EDGES, word_counts
 from tidemark.llm import quality_gam, quality_rules
 
@@ -20,7 +22,7 @@ def test_edges_and_clashing_columns(spark, edges):
     assert len(rows) == len(EDGES)
     counts = {(r["doc_id"], r["text"]): tuple(r[c] for c in quality_rules.BASE) for r in rows}
     assert all(counts[i, t] == word_counts(t) for i, t in EDGES)
-    assert all(r["kept"] == (not r["base_failed"]) for r in rows)  # too few rows for an estimate
+    assert all(r["kept"] == (not r["base_failed"]) for r in rows)  # few rows that differ: wide scatter
     assert quality_rules.judge(edges.where("false")).count() == 0
 
 
@@ -41,7 +43,48 @@ def test_small_groups_are_judged_together(spark):
     )
     names = {(r[0], r[1]): r[2] for r in quality_rules.group_names(rows, 4).collect()}
     assert names["en", "a"] == "one/len/sa" and names["en", "b"] == names["en", None] == "lang/len"
-    assert names["de", "a"] is None and names[None, None] is None
+    assert names["de", "a"] == names[None, None] == "every"
+
+
+def test_outlier_of_a_small_table_goes(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("aeioubcd") for _ in range(rng.randrange(2, 9)))
+    plain = [(k, " ".join(word() for _ in range(rng.randrange(60, 400)))) for k in range(150)]
+    rows = [(i, t, "en", "s") for i, t in [*plain, (1000, " ".join(f"w{k}####" for k in range(100)))]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert all(r["kept"] == (i < 1000) and r["distance"] is not None for i, r in got.items())
+    few = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs.where("doc_id < 3")).collect()}
+    assert few == {0: True, 1: True, 2: True}
+
+
+def _plain_determinant(x, steps=30, starts=60):
+    """FAST-MCD on all rows in memory: the log determinant of the best of many random starts."""
+    rng, n = np.random.default_rng(2), len(x)
+    h, best = int(np.ceil(quality_rules.SHARE * n)), np.inf
+    for _ in range(starts):
+        part = x[rng.choice(n, 2 * x.shape[1], replace=False)]
+        for _ in range(steps):
+            centre, scatter = part.mean(axis=0), np.cov(part.T, bias=True) + np.eye(x.shape[1]) * 1e-9
+            d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(scatter), x - centre)
+            part = x[np.argsort(d)[:h]]
+        best = min(best, np.linalg.slogdet(np.cov(part.T, bias=True))[1])
+    return best
+
+
+def test_estimate_is_near_the_least_determinant(spark):
+    """A correlated group with a fifth of its rows off to one side, against many random starts in memory."""
+    rng = np.random.default_rng(7)
+    p = quality_rules.P
+    mix = rng.normal(size=(p, p))
+    x = np.vstack([rng.normal(size=(800, p)) @ mix * 3, rng.normal(size=(200, p)) * 0.5 + 40])
+    rows = spark.createDataFrame([("g", r.tolist()) for r in x], "_group string, _x array<double>")
+    found = quality_rules.estimates(rows).first()
+    precision = quality_rules._symmetric(np.array(found["_precision"]))
+    d = np.einsum("ij,jk,ik->i", x - found["_centre"], precision, x - found["_centre"])
+    near = np.argsort(d)[: int(np.ceil(quality_rules.SHARE * len(x)))]
+    assert near.max() < 800  # none of the rows that are off
+    assert np.linalg.slogdet(np.cov(x[near].T, bias=True))[1] < _plain_determinant(x) + 0.1
 
 
 def test_chi_squared():

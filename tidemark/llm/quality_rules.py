@@ -2,7 +2,8 @@
 
 Every text gets counts (`text_counts`) and a transformed statistic vector. Per
 language and source, the minimum-covariance-determinant estimate of centre and
-scatter is found by concentration steps over all rows; a document whose
+scatter is found by concentration steps over all rows: some from each of several
+starts, then more from the one whose determinant is the smallest. A document whose
 Mahalanobis distance is beyond the cutoff is rejected, as is one that fails the
 base rules.
 
@@ -36,12 +37,15 @@ BASE = COUNTS[:5]
 MIN_ROWS = 200
 #: share of a group's rows that the estimate is made from
 SHARE = 0.75
-STEPS = 5
+#: concentration steps from every start, then from the best one
+START_STEPS, STEPS = 2, 4
 #: quantile of the distance beyond which a document is rejected
 QUANTILE = 1 - 1e-9
 BINS = 256
 #: least standard deviation of each feature, so that constant features do not reject
 FLOORS = (0.35, 0.08, 0.03, 0.15, 0.15, 0.06)
+#: the standard deviations that are taken for what an estimate from fewer than the least rows lacks
+PRIOR = (1.5, 0.5, 0.1, 0.3, 0.3, 0.15)
 P = len(FLOORS)
 
 def count_texts(texts: pa.Array, hasher: Hasher) -> np.ndarray:
@@ -108,37 +112,69 @@ def _distance(x: list[Column]) -> Column:
     return total
 
 
-_ESTIMATE = "_group string, _centre array<double>, _precision array<double>"
+_ESTIMATE = "_group string, _start int, _det double, _centre array<double>, _precision array<double>"
 
 
-def _concentrate(bins: pd.DataFrame) -> pd.DataFrame:
-    """Centre and inverse scatter of the nearest SHARE of one group, from its at most BINS sums."""
-    bins = bins.sort_values("_bin")
-    count = bins["_n"].to_numpy()
-    upto = int(np.searchsorted(np.cumsum(count), SHARE * count.sum())) + 1
-    sums = np.array(bins["_sums"].tolist())[:upto].sum(axis=0)
-    n = count[:upto].sum()
-    centre = sums[:P] / n
-    scatter = np.zeros((P, P))
+def _symmetric(sums: np.ndarray) -> np.ndarray:
+    out = np.zeros((P, P))
     for k, (i, j) in enumerate(PAIRS):
-        scatter[i, j] = scatter[j, i] = sums[P + k] / n - centre[i] * centre[j]
-    share = min(n / count.sum(), 1.0)
-    if share < 1:  # makes the scatter of the central rows that of all rows, were they normal
-        scatter *= share / chi2_below(chi2_quantile(share, P), P + 2)
-    precision = np.linalg.inv(scatter + np.diag(np.square(FLOORS)))
+        out[i, j] = out[j, i] = sums[k]
+    return out
+
+
+def _estimate(group, start, centre: np.ndarray, scatter: np.ndarray) -> pd.DataFrame:
+    scatter = scatter + np.diag(np.square(FLOORS))
+    precision = np.linalg.inv(scatter)
     return pd.DataFrame(
         {
-            "_group": [bins["_group"].iloc[0]],
+            "_group": [group],
+            "_start": [start],
+            "_det": [float(np.linalg.slogdet(scatter)[1])],
             "_centre": [centre.tolist()],
             "_precision": [[precision[i, j] for i, j in PAIRS]],
         }
     )
 
 
-def estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
-    """The estimate of each group of `vectors` (_group, _x array of P doubles).
-
-    Each step's estimates, a row per group, are written and read again: their size is
+def _starts(rows: pd.DataFrame) -> pd.DataFrame:
+    """The starts of each group, about its medians: the quartiles alone, these with the correlations of the scores'
+    hyperbolic tangents, and with those of their directions."""
+    found = []
+    for row in rows.itertuples(index=False):
+        centre, spread = np.array(row.centre), np.array(row.spread)
+        shapes = [np.eye(P)]
+        for sums in (row.tanh, row.sign):
+            shape = _symmetric(np.array(sums)) / row.n + np.eye(P) * 1e-6
+            shapes.append(shape / np.sqrt(np.outer(np.diag(shape), np.diag(shape))))
+        found += [_estimate(row.group, k, centre, shape * np.outer(spread, spread)) for k, shape in enumerate(shapes)]
+    return pd.concat(found)
+
+
+def _concentrate(min_rows: int):
+    def concentrated(bins: pd.DataFrame) -> pd.DataFrame:
+        """Centre and inverse scatter of the nearest SHARE of one group, from its at most BINS sums."""
+        bins = bins.sort_values("_bin")
+        count = bins["_n"].to_numpy()
+        total = count.sum()
+        upto = int(np.searchsorted(np.cumsum(count), SHARE * total)) + 1
+        sums = np.array(bins["_sums"].tolist())[:upto].sum(axis=0)
+        n = count[:upto].sum()
+        centre = sums[:P] / n
+        scatter = _symmetric(sums[P:] / n) - np.outer(centre, centre)
+        share = min(n / total, 1.0)
+        if share < 1:  # makes the scatter of the central rows that of all rows, were they normal
+            scatter *= share / chi2_below(chi2_quantile(share, P), P + 2)
+        if total < min_rows:
+            scatter = (total * scatter + (min_rows - total) * np.diag(np.square(PRIOR))) / min_rows
+        return _estimate(bins["_group"].iloc[0], bins["_start"].iloc[0], centre, scatter)
+
+    return concentrated
+
+
+def estimates(vectors: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    """The estimate of each group of `vectors` (_group, _x array of P doubles): _group, _centre, _precision.
+
+    Each step's estimates, a few rows per group, are written and read again: their size is
     then known to the planner, which broadcasts them while they are small.
     """
     x = [F.col("_x")[i] for i in range(P)]
@@ -147,25 +183,40 @@ def estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
         *[F.percentile_approx(x[i], cuts, F.lit(1000)).alias(f"_q{i}") for i in range(P)]
     )
     spread = [F.greatest((F.col(f"_q{i}")[2] - F.col(f"_q{i}")[0]) / 1.349, F.lit(FLOORS[i])) for i in range(P)]
-    found = quartiles.select(
-        "_group",
-        F.array(*[F.col(f"_q{i}")[1] for i in range(P)]).alias("_centre"),
-        F.array(*[1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i, j in PAIRS]).alias("_precision"),
+    scales = quartiles.select(
+        F.col("_group").alias("group"),
+        F.array(*[F.col(f"_q{i}")[1] for i in range(P)]).alias("centre"),
+        F.array(*spread).alias("spread"),
+    )
+    scales = write_and_read(scales, "scales")
+    z = [(x[i] - F.col("centre")[i]) / F.col("spread")[i] for i in range(P)]
+    scored = vectors.join(scales, F.col("_group") == F.col("group")).select("group", "centre", "spread", F.array(*z).alias("z"))
+    scored = scored.withColumn("length", F.sqrt(F.aggregate("z", F.lit(0.0), lambda a, v: a + v * v)))
+    scored = scored.withColumn("u", F.transform("z", lambda v: F.when(F.col("length") > 0, v / F.col("length")).otherwise(F.lit(0.0))))
+    scored = scored.withColumn("t", F.transform("z", F.tanh))
+    products = {name: F.array(*[F.sum(F.col(c)[i] * F.col(c)[j]) for i, j in PAIRS]) for name, c in (("tanh", "t"), ("sign", "u"))}
+    shapes = scored.groupBy("group").agg(
+        F.count("*").alias("n"), F.any_value("centre").alias("centre"), F.any_value("spread").alias("spread"),
+        *[v.alias(k) for k, v in products.items()],
     )
+    found = shapes.groupBy("group").applyInPandas(_starts, _ESTIMATE)
     sums = [F.sum(v) for v in x] + [F.sum(x[i] * x[j]) for i, j in PAIRS]
-    for _ in range(steps):
+    for step in range(START_STEPS + STEPS):
         binned = (
             vectors.join(write_and_read(found, "estimates"), "_group")
-            .groupBy("_group", _bin(_distance(x)).alias("_bin"))
+            .groupBy("_group", "_start", _bin(_distance(x)).alias("_bin"))
             .agg(F.count("*").alias("_n"), F.array(*sums).alias("_sums"))
         )
-        found = binned.groupBy("_group").applyInPandas(_concentrate, _ESTIMATE)
-    return write_and_read(found, "estimates")
+        found = binned.groupBy("_group", "_start").applyInPandas(_concentrate(min_rows), _ESTIMATE)
+        if step == START_STEPS - 1:
+            best = F.min(F.struct("_det", "_start", "_centre", "_precision")).alias("_best")
+            found = found.groupBy("_group").agg(best).select("_group", "_best.*")
+    return write_and_read(found.select("_group", "_centre", "_precision"), "estimates")
 
 
 def group_names(rows: DataFrame, min_rows: int) -> DataFrame:
     """The group of each _lang and _source of `rows`: the two themselves; where these have
-    too few rows, what is left of the language; then what is left of all; else null."""
+    too few rows, what is left of the language; then what is left of all; else `every`, all rows of the table."""
     sizes = write_and_read(rows.groupBy("_lang", "_source").agg(F.count("*").alias("_n")), "sizes")
     rare = F.col("_n") < min_rows
     left = F.sum(F.when(rare, F.col("_n"))).over(Window.partitionBy("_lang"))
@@ -178,6 +229,7 @@ def group_names(rows: DataFrame, min_rows: int) -> DataFrame:
         F.when(~rare, F.concat_ws("/", F.lit("one"), lang, source))
         .when(~few, F.concat_ws("/", F.lit("lang"), lang))
         .when(F.col("_rest") >= min_rows, F.lit("all"))
+        .otherwise(F.lit("every"))
     )
     # `rest` is one row
     return named.join(F.broadcast(rest), F.lit(True)).select("_lang", "_source", group.alias("_group"))
@@ -193,13 +245,14 @@ def judge(
     carry: Sequence[str] | None = None,
 ) -> DataFrame:
     """The `carry` columns of `docs` (all by default) with the COUNTS, base_failed,
-    distance (null: no estimate) and kept.
+    distance (null: the base rules failed) and kept.
 
     A null or empty text has no words and fails the base rules. Null languages and
     sources are groups like others. Texts that fail the base rules take no part in
     the estimates. Groups below `min_rows` are judged with the rest of their
-    language, then of all; a rest that is still smaller is judged by the base rules
-    alone. Rows that repeat are judged alike; columns of `docs` named as a new one
+    language, then of all; a rest that is still smaller is judged by the estimate of
+    all rows of the table. Where these are fewer than `min_rows` as well, what is
+    missing counts as rows that scatter by PRIOR. Rows that repeat are judged alike; columns of `docs` named as a new one
     are replaced. The counted rows are written to the shared folder and read again,
     so texts are counted once and never shuffled.
     """
@@ -216,10 +269,13 @@ def judge(
     rows = write_and_read(marked.withColumn("_failed", (n < 50) | (100 * repeated > 50 * n)), "counts")
 
     sound = rows.where(~F.col("_failed")).select("_lang", "_source", F.array(*features(F.col("_counts"))).alias("_x"))
-    names = write_and_read(group_names(sound, min_rows).where(F.col("_group").isNotNull()), "groups")
+    names = write_and_read(group_names(sound, min_rows), "groups")
     at = F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s"))
     renamed = names.select(F.col("_lang").alias("_l"), F.col("_source").alias("_s"), "_group")
-    found = estimates(sound.join(renamed, at).select("_group", "_x"))
+    vectors = sound.join(renamed.where("_group <> 'every'"), at).select("_group", "_x")
+    if not names.where("_group = 'every'").isEmpty():
+        vectors = vectors.union(sound.select(F.lit("every"), "_x"))
+    found = estimates(vectors, min_rows)
     table = write_and_read(renamed.join(found, "_group").drop("_group"), "table")
     near = F.coalesce(F.col("_distance"), F.lit(0.0)) <= chi2_quantile(quantile, P)
     return (
