@@ -26,6 +26,9 @@ def test_license_edges(spark, edges):
         (31, "xcc by, cc byx. \u212acc by GENERAL public   License"),
         (32, "no\nLicensed under CC BY-NC 4.0."),
         (33, "permission is hereby granted free of charge to any person obtaining a copy"),
+        (34, '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance'),
+        (35, "x\nRedistribution and use in source\nand binary forms, with or without\nmodification, are permitted\ny"),
+        (36, "Permission is hereby granted, free of charge,\n\n\nto any person obtaining a copy of this software"),
     ]
     docs = edges.select("doc_id", "text", "n").unionByName(
         spark.createDataFrame(texts, "doc_id long, text string"), allowMissingColumns=True
@@ -42,6 +45,7 @@ def test_license_edges(spark, edges):
         assert (row["first_word"], row["last_word"]) == ((min(every), max(every)) if every else (None, None))
         assert row["base_labels"] == ",".join(sorted(licenses.PHRASES[p] for p in places if places[p]))
     assert got[32]["labels"] == "cc-by,cc-by-nc" and got[33]["labels"] == "mit" and 0.8 <= got[33]["score"] < 1
+    assert [got[k]["labels"] for k in (34, 35, 36)] == ["apache-2.0", "bsd", ""]  # wrapped ones; too far apart
     assert licenses.scan(edges.where("false")).count() == 0
 
 
@@ -110,6 +114,20 @@ def test_template_lines_go_and_copies_stay(spark):
     assert main_text.extract(pages.where("false")).count() == 0
 
 
+def test_near_copies_keep_their_text(spark):
+    body = "".join(f"<p>Paragraph {k} of the one article that both pages have.</p>" for k in range(10))
+    menu = "<div>Home and all the rest of it</div>"
+    page = lambda date: f"{menu}{body}<p>Date {date}</p>"
+    other = menu + "".join(f"<p>Another text, sentence {k}, of another page.</p>" for k in range(8))
+    rows = [(1, "http://h.org/a", page(1)), (2, "http://h.org/b", page(2)), (3, "http://h.org/c", page(3)), (4, "http://h.org/d", other)]
+    rows += [(11, "http://g.org/a", page(1)), (12, "http://g.org/b", page(2))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    text = {r["page_id"]: r["text"].split("\n") for r in main_text.extract(pages).collect()}
+    assert all(len(text[k]) == 12 for k in (11, 12))  # no other page to tell the menu by
+    assert len(text[3]) == 11 and text[3][-1] == "Date 3" and len(text[4]) == 8
+    assert all(len(text[k]) >= 11 and text[k][-1] == f"Date {k}" for k in (1, 2))
+
+
 def test_pages_give_their_article(spark, data_dir):
     got = {r["page_id"]: r for r in main_text.query(spark, data_dir).collect()}
     import html
