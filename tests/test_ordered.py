@@ -1,5 +1,6 @@
 """Running values with and without split keys, against a plain loop."""
 
+import math
 import random
 
 import pytest
@@ -53,7 +54,11 @@ def by_hand(rows, keyed):
 @pytest.mark.parametrize("keyed", [True, False])
 @pytest.mark.parametrize("max_rows", [None, 200, 23, 3])
 @pytest.mark.parametrize("tied", [True, False])
-def test_scan(spark, keyed, max_rows, tied):
+@pytest.mark.parametrize("sent", [o.BROADCAST_VALUES, 0])
+def test_scan(spark, monkeypatch, keyed, max_rows, tied, sent):
+    if not sent and max_rows not in (23, 3):
+        pytest.skip("nothing is carried, or the same as with smaller stretches")
+    monkeypatch.setattr(o, "BROADCAST_VALUES", sent)
     rows = make_rows(tied=tied)
     df = spark.createDataFrame(rows, "k string, ts bigint, id bigint, v int").repartition(5)
     groups = o.OrderedGroups(df, ["k"] if keyed else [], ["ts", "id"], max_rows)
@@ -133,6 +138,39 @@ def test_keys_one_after_another_are_cut(spark, keys, text):
     assert all((r["n"], r["last"]) == (r["id"] % 300 + 1, r["id"] - 1 if r["id"] % 300 else None) for r in out)
 
 
+@pytest.mark.parametrize("text", [False, True])
+def test_keys_are_cut_at_their_own_points_only(spark, text):
+    """32 keys over one another: stretches grow with the rows, not with keys times cuts."""
+    rows = [(f"k{i % 32}", f"{i // 64:08d}" if text else i // 64, i) for i in range(32 * 300)]
+    df = spark.createDataFrame(rows, f"k string, at {'string' if text else 'bigint'}, id bigint")
+    groups = o.OrderedGroups(df, ["k"], ["at", "id"], 50)
+    limit = max(50, len(rows) // (4 * 16))
+    pieces = 32 * math.ceil(300 / limit)
+    stretches = groups.rows.select("k", *groups.marks).distinct().count()
+    assert pieces <= stretches <= groups.stretches <= 2 * pieces
+    largest = groups.rows.groupBy("k", *groups.marks).count().agg(F.max("count")).first()[0]
+    assert largest <= 2 * limit
+    out = groups.done(groups.scan(groups.rows, n=o.running_count())).collect()
+    assert all(r["n"] == r["id"] // 32 + 1 for r in out)
+
+
+def test_several_values_that_fill_stretches(spark):
+    """Each is cut by the next column at its own points, and the sums of pieces stay in proportion."""
+    rows = [("hot", i % 3, i) for i in range(1800)] + [("other", 5, i) for i in range(1800, 2400)]
+    df = spark.createDataFrame(rows, "k string, at bigint, id bigint")
+    groups = o.OrderedGroups(df, ["k"], ["at", "id"], 100)
+    assert len(groups.marks) == 2
+    sizes = [r["count"] for r in groups.rows.groupBy("k", *groups.marks).count().collect()]
+    assert max(sizes) <= 200 and len(sizes) <= 2 * 24
+    out = groups.done(groups.scan(groups.rows, n=o.running_count(), prev=o.previous("id"))).collect()
+    place, before = {}, {}
+    for key in ("hot", "other"):
+        own = sorted((at, i) for k, at, i in rows if k == key)
+        place |= {i: n for n, (_, i) in enumerate(own, 1)}
+        before |= {i: (own[n - 1][1] if n else None) for n, (_, i) in enumerate(own)}
+    assert {r["id"]: (r["n"], r["prev"]) for r in out} == {i: (place[i], before[i]) for i in place}
+
+
 def test_one_text_for_many_rows_is_cut_by_the_next_column(spark):
     rows = [("hot", "same" if i % 3 else f"t{i:05d}", i) for i in range(900)]
     df = spark.createDataFrame(rows, "k string, at string, id bigint")

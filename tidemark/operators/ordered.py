@@ -6,8 +6,8 @@ whose share is too large is cut into consecutive stretches of its order:
 
 1. the keys are counted (combined before the shuffle) and the few that exceed
    the limit are marked;
-2. quantiles of the order column within each marked key give cut points. Values
-   that fill a stretch by themselves are cut again by the next order column;
+2. quantiles of the order column within each marked key give its own cut points.
+   Values that fill a stretch by themselves are cut again by the next order column;
 3. the rows are windowed by key and stretch in one shuffle;
 4. each stretch is reduced to one summary row, a window over these few rows
    yields what every stretch takes over from the ones before (or after) it,
@@ -21,11 +21,11 @@ the rows; `settle` writes intermediate results where reading twice is dear.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.scalars import list_tail, order_number
@@ -34,6 +34,7 @@ from tidemark.session import write_and_read
 ROWS_PER_STRETCH = 1_000_000
 ROWS_PER_CUT = 2_000  # rows looked at per cut point
 GRID = 1000  # least number of quantiles that are looked at per hot key
+BROADCAST_VALUES = 500_000  # most values of stretches that are sent to every task
 
 
 @dataclass(frozen=True)
@@ -199,6 +200,26 @@ def tail(value: Column | str, n: int) -> Tail:
     return Tail(_column(value), n)
 
 
+def _splits(own: list, text: bool) -> tuple[list, dict]:
+    """Where to cut a key, and the values that fill stretches by themselves with the cuts that fell on them.
+
+    Such a value is cut off on both sides: the next larger text or number is a cut, too.
+    Numbers that doubles do not tell apart are left.
+    """
+    filled = {x: n for x, n in sorted(Counter(own).items()) if n > 1 and (text or abs(x) < 2**53)}
+    after = [x + "\0" if text else math.nextafter(x, math.inf) for x in filled]
+    return sorted({*own, *after}), filled
+
+
+def _ranked(df: DataFrame, name: str, points: str, most: int) -> DataFrame:
+    """How many of a row's sorted points are not above its `_value`: a binary search, a column per step."""
+    df = df.withColumn(name, F.lit(0))
+    for step in reversed([1 << i for i in range(most.bit_length())]):
+        reached = F.get(points, F.col(name) + (step - 1)) <= F.col("_value")
+        df = df.withColumn(name, F.col(name) + F.when(reached, step).otherwise(0))
+    return df
+
+
 class OrderedGroups:
     """Rows grouped by keys and ordered inside each group.
 
@@ -222,6 +243,7 @@ class OrderedGroups:
         self.keys = list(keys)
         self.order = list(order)
         self.marks: list[str] = []
+        self.stretches = 0
         self.rows = df
         self._split(df, df if like is None else like, max_rows)
 
@@ -266,59 +288,68 @@ class OrderedGroups:
     def _cut(self, df: DataFrame, like: DataFrame, share: float, grid: int) -> DataFrame:
         """Mark each hot row with its stretch, one mark per order column used.
 
-        Every hot key gives its own cut points, and all keys are cut at all of them:
-        keys that follow one another in the order are then cut as well as keys that lie
-        over each other. A share of the rows is enough to find them; all rows are marked.
+        A hot key is cut at its own quantiles and nowhere else, so all keys together get
+        at most about twice the stretches that were asked for. A value that fills several
+        of them is a group of its own for the next column, with its own share of pieces.
+        A share of the rows is enough to find the cut points; all rows are marked.
         """
-        open_rows = F.col("_hot").isNotNull()
-        for name in self.order:
+        for place, name in enumerate(self.order):
             kind = df.schema[name].dataType
-            value = order_number(name, kind)
-            if value is not None:
-                value = F.coalesce(value, F.lit(float("-inf")))
-            elif isinstance(kind, T.StringType):
-                value = F.coalesce(F.col(name), F.lit(""))
-            else:
+            text = isinstance(kind, T.StringType)
+            value = F.col(name) if text else order_number(name, kind)
+            if value is None:
                 raise TypeError(f"rows of a large group cannot be cut by {name}: {kind.simpleString()} has no cut points")
-            probed = like if name in like.columns else df
+            value = F.coalesce(value, F.lit("" if text else float("-inf")))
+            both = set(self.order[: place + 1]) <= set(like.columns)
+            probed = like if both else df
             if share < 1:
                 probed = probed.sample(share, seed=1)
-            found = self._cut_points(probed.where(open_rows), value, isinstance(kind, T.StringType), grid)
-            cuts = sorted({x for own in found for x in own})
-            repeated = {a for own in found for a, b in zip(own, own[1:]) if a == b}
-            if isinstance(kind, T.StringType):
-                places = [value >= c for c in cuts] + [value > c for c in sorted(repeated)]
-                bucket = reduce(lambda a, b: a + b, [c.cast("long") for c in places], F.lit(0).cast("long"))
-                split = bool(cuts)
-            else:
-                repeated = {x for x in repeated if abs(x) < 2**53}
-                splits = sorted({*cuts, *(math.nextafter(x, math.inf) for x in repeated)})
-                split = bool(splits)
-            if not split:
+            cuts, units = [], 0
+            for hot, own in self._cut_points(probed.where("_hot IS NOT NULL"), value, text, grid).items():
+                splits, filled = _splits(own, text)
+                cuts.append((hot, splits, list(filled), [n + 1 for n in filled.values()], units))
+                units += len(filled)
+            if not any(c[1] for c in cuts):
                 break
-            if not isinstance(kind, T.StringType):
-                to_mark = Bucketizer(
-                    splits=[-math.inf, *splits, math.inf],
-                    inputCol="_number",
-                    outputCol="_bucket",
-                    handleInvalid="keep",
-                )
-                df = to_mark.transform(df.withColumn("_number", value))
-                bucket = F.col("_bucket").cast("long")
-            if not self.marks:
-                # one number for key and stretch, null for all other keys
-                number_of = F.when(open_rows, F.col("_hot") * F.lit(2**32) + bucket)
-            else:
-                number_of = F.when(open_rows, bucket).otherwise(-1)
-            mark = f"_stretch{len(self.marks)}"
-            df = df.withColumn(mark, number_of).drop("_number", "_bucket")
-            self.marks.append(mark)
-            if not repeated:
+            self.stretches += sum(len(c[1]) + 1 for c in cuts)
+            df = self._marked(df, value, cuts, text)
+            if both:
+                like = self._marked(like, value, cuts, text)
+            self.marks.append(f"_stretch{place}")
+            if not units:
                 break
-            open_rows = open_rows & value.isin(sorted(repeated))
         return df
 
-    def _cut_points(self, hot: DataFrame, value: Column, text: bool, grid: int) -> list[list]:
+    def _marked(self, df: DataFrame, value: Column, cuts: list[tuple], text: bool) -> DataFrame:
+        """Rows with the stretch of their own key's cuts; `_hot` and `_pieces` become those of the next column.
+
+        The table of cuts comes from the driver: one row per hot key, fewer than two cuts per piece.
+        """
+        kind = "string" if text else "double"
+        table = df.sparkSession.createDataFrame(
+            cuts, f"_of int, _splits array<{kind}>, _filled array<{kind}>, _into array<int>, _first int"
+        )
+        df = df.withColumn("_value", value).join(F.broadcast(table), F.col("_hot") == F.col("_of"), "left")
+        df = _ranked(df, "_bucket", "_splits", max(len(c[1]) for c in cuts))
+        df = _ranked(df, "_unit", "_filled", max(len(c[2]) for c in cuts))
+        bucket = F.col("_bucket").cast("long")
+        if not self.marks:
+            # one number for key and stretch, null for all other keys
+            number = F.when(F.col("_hot").isNotNull(), F.col("_hot") * F.lit(2**32) + bucket)
+        else:
+            number = F.when(F.col("_hot").isNotNull(), bucket).otherwise(-1)
+        at = F.col("_unit") - 1
+        fills = F.get("_filled", at) == F.col("_value")
+        marked = df.withColumns(
+            {
+                f"_stretch{len(self.marks)}": number,
+                "_hot": F.when(fills, F.col("_first") + at),
+                "_pieces": F.when(fills, F.get("_into", at)),
+            }
+        )
+        return marked.drop("_value", "_bucket", "_unit", *table.columns)
+
+    def _cut_points(self, hot: DataFrame, value: Column, text: bool, grid: int) -> dict[int, list]:
         """The quantiles of each hot key: one less than its pieces."""
         if text:
             found = hot.groupBy("_hot", "_pieces").agg(F.sort_array(F.collect_list(value)).alias("every"))
@@ -330,10 +361,10 @@ class OrderedGroups:
             F.filter(F.sequence(F.lit(0), k - 1), lambda i: i > 0),
             lambda i: F.get("every", F.least(F.floor(i * n / k).cast("int"), n - 1)),
         )
-        return [
-            sorted(x for x in r["cuts"] if x is not None and (text or math.isfinite(x)))
-            for r in found.select(picked.alias("cuts")).collect()
-        ]
+        return {
+            r["_hot"]: sorted(x for x in r["cuts"] if x is not None and (text or math.isfinite(x)))
+            for r in found.select("_hot", picked.alias("cuts")).collect()
+        }
 
     def scan(self, df: DataFrame, **values: Running | Tail) -> DataFrame:
         """Add one column per running value."""
@@ -347,7 +378,8 @@ class OrderedGroups:
                 columns[f"_own_{name}"] = value.local(spread)
         result = df.select("*", *[c.alias(n) for n, c in columns.items()])
         if self.marks:
-            result = self._join_carried(result, self._carried(df, values))
+            width = sum(v.n if isinstance(v, Tail) else 1 for v in values.values())
+            result = self._join_carried(result, self._carried(df, values), width)
         kept = [c for c in df.columns if c not in values]
         return result.select(*kept, *[self._result(n, v).alias(n) for n, v in values.items()])
 
@@ -404,10 +436,19 @@ class OrderedGroups:
             F.transform("_rows_end", lambda r: r["_box"]).alias(f"_part_{name}"),
         )
 
-    def _join_carried(self, df: DataFrame, carried: DataFrame) -> DataFrame:
+    def _join_carried(self, df: DataFrame, carried: DataFrame, width: int) -> DataFrame:
+        """Add to each row what its stretch takes over; `width` is the number of values in that.
+
+        There is one row per stretch, and their number is known. Beyond the bound the hot
+        rows are joined by shuffle on their stretch and the others pass by.
+        """
         match = _all(F.col(m) == F.col(f"_to_{m}") for m in self.marks)
-        # a row for each stretch of a hot key
-        return df.join(F.broadcast(carried), match, "left").drop(*[f"_to_{g}" for g in self.keys + self.marks])
+        to = [f"_to_{g}" for g in self.keys + self.marks]
+        if self.stretches * width <= BROADCAST_VALUES:
+            return df.join(F.broadcast(carried), match, "left").drop(*to)
+        hot = F.col(self.marks[0]).isNotNull()
+        joined = df.where(hot).join(carried, match, "left").drop(*to)
+        return joined.unionByName(df.where(~hot), allowMissingColumns=True) if self.keys else joined
 
     def settle(self, df: DataFrame) -> DataFrame:
         """Between two scans of split groups: write the rows instead of computing them twice."""
