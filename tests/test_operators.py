@@ -358,6 +358,21 @@ def test_async_lookup_fails_loudly(spark):
         joins.async_lookup(spark.createDataFrame([("u1",)], "k string"), "k", broken).collect()
 
 
+def test_categories_that_are_not_declared(spark):
+    rows = [(i % 7, i, f"c{i % 300}" if i % 5 else None, i % 4) for i in range(1500)]
+    df = spark.createDataFrame(rows, "userId int, seq int, category string, amount int")
+    with pytest.raises(ValueError, match="more than 200 values"):
+        keyed.spend_summary(df, "userId", "seq", "category", "amount")
+    spent, times, want = {}, {}, {}
+    for user, seq, category, amount in rows:
+        spent[user] = spent.get(user, 0) + amount
+        times[user, category] = times.get((user, category), 0) + 1
+        want[seq] = (spent[user], times[user, category])
+    for max_rows in (None, 40):
+        got = keyed.category_counts(df, "userId", "seq", "category", "amount", max_rows).collect()
+        assert {r["seq"]: (r["spend"], r["category_count"]) for r in got} == want
+
+
 def test_partitioning(spark):
     prices = spark.createDataFrame(list(enumerate(fx.PRICES)), "i int, price double")
     got = prices.withColumn("b", partitioning.price_bucket("price")).orderBy("i").collect()

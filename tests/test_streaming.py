@@ -593,6 +593,20 @@ def test_readers_move_when_both_versions_agree(spark, tmp_path):
     assert not cut().check(spark, 4) and cut().read(spark).first()["v"] == 9
 
 
+def test_the_sink_folds_its_changes(spark, tmp_path):
+    table = sinks.KeyedTable(str(tmp_path / "t"), ["k"], fold_after=3)
+    write = table.writer()
+    for batch in range(7):
+        write(spark.createDataFrame([("all", batch), (f"b{batch}", batch)], "k string, v int"), batch)
+    assert table._versions(spark, "base") == [2, 5]
+    want = {"all": 6, **{f"b{b}": b for b in range(7)}}
+    assert {r["k"]: r["v"] for r in table.read(spark).collect()} == want
+    # a batch that the base holds already may be written again
+    write(spark.createDataFrame([("all", 5), ("b5", 5)], "k string, v int"), 5)
+    assert {r["k"]: r["v"] for r in table.read(spark).collect()} == want
+    assert {r["k"]: r["v"] for r in table.read(spark, before=5).collect()} == {"all": 4, **{f"b{b}": b for b in range(5)}}
+
+
 def test_upsert_and_restart(spark, feed, tmp_path):
     source = feed(fx.ORDERS_SCHEMA).add(*[fx.ORDERS[i : i + 2] for i in (0, 2, 4)])
     totals = source.stream().groupBy("category").agg(F.sum("amount").alias("total"))

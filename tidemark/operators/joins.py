@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import threading
 import time
 from collections import OrderedDict, deque
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from datetime import timedelta
 from functools import reduce
 from typing import Any
@@ -191,79 +191,43 @@ def compare_outputs(
 
 
 class _Calls:
-    """A fixed pool of `capacity` calls; each has `timeout` seconds from its start.
+    """At most `capacity` calls at once; each has `timeout` seconds from its start.
 
-    A call that is given up keeps its place in the pool until it ends, so no more than
-    `capacity` are ever alive. If all places are held by such calls for another
-    `timeout`, what still waits is given up, too.
+    A call that is given up keeps its place until it ends, so no more than `capacity` are
+    ever alive. If all places are held by such calls for another `timeout`, what still
+    waits is given up, too.
     """
 
     def __init__(self, fn: Callable, capacity: int, timeout: float):
         self.fn, self.capacity, self.timeout = fn, capacity, timeout
-        self.changed = threading.Condition()
-        self.waiting: deque = deque()
-        self.started: dict = {}
-        self.results: dict = {}
-        self.workers = 0
-
-    def _work(self) -> None:
-        while True:
-            with self.changed:
-                while not self.waiting:
-                    self.changed.wait()
-                key = self.waiting.popleft()
-                if key is None:
-                    return
-                ticket = object()
-                self.started[key[0]] = (ticket, time.monotonic() + self.timeout)
-                self.changed.notify_all()
-            try:
-                outcome = (True, self.fn(key[0]))
-            except Exception as error:  # handed to the caller below
-                outcome = (False, error)
-            with self.changed:
-                # a late answer to a call that was given up is ignored
-                if self.started.get(key[0], (None,))[0] is ticket:
-                    del self.started[key[0]]
-                    self.results[key[0]] = outcome
-                self.changed.notify_all()
+        self.pool = ThreadPoolExecutor(capacity)
+        self.given_up: set[Future] = set()
 
     def run(self, keys: Sequence, default: str, timed_out: str) -> dict:
-        with self.changed:
-            self.results = {}
-            self.waiting.extend((k,) for k in keys)
-            while self.workers < min(self.capacity, len(keys)):
-                threading.Thread(target=self._work, daemon=True).start()
-                self.workers += 1
-            self.changed.notify_all()
-            stuck = None
-            while len(self.results) < len(keys):
-                now = time.monotonic()
-                for key in [k for k, (_, deadline) in self.started.items() if deadline <= now]:
-                    del self.started[key]
-                    self.results[key] = (True, timed_out)
-                if self.started or not self.waiting:
-                    stuck = None
-                    deadlines = [d for _, d in self.started.values()]
-                else:
-                    stuck = stuck or now + self.timeout
-                    deadlines = [stuck]
-                    if stuck <= now:
-                        self.results.update((k, (True, timed_out)) for (k,) in self.waiting)
-                        self.waiting.clear()
-                if len(self.results) < len(keys):
-                    self.changed.wait(max(0.001, min(deadlines, default=now + self.timeout) - now))
-            results = self.results
-        for good, value in results.values():
-            if not good:
-                raise value
-        return {k: default if v is None else v for k, (_, v) in results.items()}
+        answers, waiting, asked, stuck = {}, deque(keys), {}, None
+        while waiting or asked:
+            self.given_up = {call for call in self.given_up if not call.done()}
+            while waiting and len(asked) + len(self.given_up) < self.capacity:
+                key = waiting.popleft()
+                asked[self.pool.submit(self.fn, key)] = (key, time.monotonic() + self.timeout)
+            now = time.monotonic()
+            stuck = None if asked else stuck or now + self.timeout
+            until = min((deadline for _, deadline in asked.values()), default=stuck)
+            done, _ = wait([*asked, *self.given_up], max(0.0, until - now), FIRST_COMPLETED)
+            for call in done & asked.keys():
+                value = call.result()  # an error of the service ends the task
+                answers[asked.pop(call)[0]] = default if value is None else value
+            now = time.monotonic()
+            for call in [c for c, (_, deadline) in asked.items() if deadline <= now]:
+                answers[asked.pop(call)[0]] = timed_out
+                self.given_up.add(call)
+            if stuck and stuck <= now and not done:
+                answers.update(dict.fromkeys(waiting, timed_out))
+                waiting.clear()
+        return answers
 
     def close(self) -> None:
-        with self.changed:
-            self.waiting.clear()
-            self.waiting.extend([None] * self.workers)
-            self.changed.notify_all()
+        self.pool.shutdown(wait=False, cancel_futures=True)
 
 
 def async_lookup(

@@ -34,9 +34,28 @@ def click_history(
     )
 
 
-def distinct_values(df: DataFrame, column: str) -> list:
-    """The values of a category column, sorted. Meant for columns that become map keys or columns."""
-    return [r[0] for r in df.select(column).distinct().where(F.col(column).isNotNull()).orderBy(column).collect()]
+#: most values of a column that may become map keys or columns without being declared
+MOST_CATEGORIES = 200
+
+
+def distinct_values(df: DataFrame, column: str, most: int = MOST_CATEGORIES) -> list:
+    """The values of a category column, sorted; more than `most` are an error."""
+    known = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    if len(known) > most:
+        raise ValueError(f"{column} has more than {most} values: declare those wanted, or use category_counts")
+    return sorted(r[0] for r in known)
+
+
+def category_counts(
+    events: DataFrame, user: str, seq: str, category: str, amount: str, max_rows: int | None = None
+) -> DataFrame:
+    """Per event: the user's spend so far, and as `category_count` how often its own category came so far.
+
+    The summary for any number of categories: the counts are rows, so nothing is looked up
+    first and nothing grows with the number of categories.
+    """
+    spent = scan(events, [user], [seq], max_rows, settled=True, spend=running_sum(amount))
+    return scan(spent, [user, category], [seq], max_rows, category_count=running_count())
 
 
 def spend_summary(
@@ -52,8 +71,8 @@ def spend_summary(
 
     Each output row carries every category of its user, so the result is rows
     times categories by definition; the counts are one running count each. Without
-    `categories` their values are looked up first; a value that is not among the given
-    ones is an error.
+    `categories` their values are looked up first, up to MOST_CATEGORIES; a value that is
+    not among the given ones is an error. `category_counts` takes any number.
     """
     if categories is not None:
         strange = F.raise_error(F.concat(F.lit("not a declared category: "), F.col(category).cast("string")))

@@ -165,6 +165,18 @@ def spend_summary(spark, folder, max_rows):
     return as_doubles(seen.select("event_id", "user_id", "spend", *counts), "spend")
 
 
+@both(
+    "category_counts",
+    f"""SELECT event_id, user_id, event_type, CAST(SUM(amount) {BY_USER} AS DOUBLE) AS spend,
+        ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS category_count FROM {EVENTS_SQL}""",
+)
+def category_counts(spark, folder, max_rows):
+    seen = keyed.category_counts(
+        events(spark, folder, bool(max_rows)), "user_id", "event_id", "event_type", "amount", max_rows
+    )
+    return as_doubles(seen.select("event_id", "user_id", "event_type", "spend", "category_count"), "spend")
+
+
 def _session_sql(hours, same="<"):
     return f"""(SELECT *, SUM(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session
         FROM (SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) {same} INTERVAL {hours} HOURS

@@ -13,12 +13,13 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.scalars import money
+from tidemark.operators.joins import compare_outputs
 from tidemark.operators.ordered import running_max, scan
 from tidemark.plans.inputs import EVENTS_SQL, as_doubles
 from tidemark.plans.registry import query
 from tidemark.plans.running import TYPES, _session_sql
 from tidemark.session import prepare_streaming, scratch_path
-from tidemark.sources.streams import file_stream
+from tidemark.sources.streams import file_stream, table_input, with_file_time
 from tidemark.sources.tables import event_table, load_table, with_zone, without_zone
 from tidemark.streaming import operators as s
 from tidemark.streaming import staged, state
@@ -594,3 +595,41 @@ def event_time_bridge(spark, folder):
     rows = with_zone(load_table(spark, folder, "events")).withColumn("millis", F.unix_millis("ts"))
     event_table(rows.drop("ts"), "event_time_bridge", "millis")
     return without_zone(spark.sql("SELECT event_id, user_id, event_type, event_time FROM event_time_bridge"))
+
+
+@query(
+    "table_as_stream",
+    """SELECT event_type, COUNT(*) AS table_rows, COUNT(*) AS stream_rows, 'same' AS difference
+    FROM events GROUP BY 1""",
+)
+def table_as_stream(spark, folder):
+    """One input function gives the files as a table and as a stream; both count the same rows."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "switch")
+    schema = load_table(spark, folder, "events").schema
+
+    def counted(bounded: bool) -> DataFrame:
+        # as a pattern, the path may be a file, too
+        rows = table_input(spark, f"{folder}/{{events.parquet}}", schema, bounded)
+        return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+
+    kept = KeyedTable(f"{path}/table", ["event_type"])
+    run_to_end(upsert(counted(bounded=False), kept, f"{path}/checkpoint"))
+    both = compare_outputs(counted(bounded=True), kept.read(spark), ["event_type"], ["rows"])
+    return both.withColumnsRenamed({"old_rows": "table_rows", "new_rows": "stream_rows"})
+
+
+@query(
+    "stream_file_time",
+    "SELECT event_type, COUNT(*) AS n, COUNT(*) AS timed FROM events GROUP BY 1",
+)
+def stream_file_time(spark, folder):
+    """Rows take the time at which their file was written as event time; it is known for all and never ahead."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "file-time")
+    schema = load_table(spark, folder, "events").schema
+    timed = with_file_time(file_stream(spark, f"{folder}/{{events.parquet}}", schema), "written")
+    run_to_end(append_only(timed.select("event_type", "written"), f"{path}/out", f"{path}/checkpoint"))
+    rows = spark.read.parquet(f"{path}/out")
+    known = F.col("written") <= F.current_timestamp()
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(known).alias("timed"))

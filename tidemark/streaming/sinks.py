@@ -60,12 +60,13 @@ class KeyedTable:
 
     Every batch adds only its own changes, under its batch id, so a repeated
     batch replaces itself. Readers take the last change per key, combined before
-    the shuffle. `compact` folds changes into a new base. Nothing is kept in the
-    driver: the folders tell which base and which changes count.
+    the shuffle. `compact` folds changes into a new base, which the sink does after
+    every `fold_after` batches, so readers never open more than that many. Nothing is
+    kept in the driver: the folders tell which base and which changes count.
     """
 
-    def __init__(self, path: str, keys: Sequence[str]):
-        self.path, self.keys = path.rstrip("/"), list(keys)
+    def __init__(self, path: str, keys: Sequence[str], fold_after: int = 50):
+        self.path, self.keys, self.fold_after = path.rstrip("/"), list(keys), fold_after
 
     def _versions(self, spark: SparkSession, kind: str) -> list[int]:
         """Finished folders of a kind, told by their success file."""
@@ -82,7 +83,11 @@ class KeyedTable:
         rows.write.mode("overwrite").parquet(f"{self.path}/changes/v={batch_id}")
 
     def writer(self, order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-        return lambda batch, batch_id: self.write(batch, batch_id, order)
+        def write(batch: DataFrame, batch_id: int) -> None:
+            self.write(batch, batch_id, order)
+            self.fold(batch.sparkSession)
+
+        return write
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The current rows, or those before a batch."""
@@ -103,6 +108,12 @@ class KeyedTable:
         # a base is never newer than the changes that count
         return latest_per_key(rows, self.keys, ["_version"], values)
 
+    def fold(self, spark: SparkSession) -> None:
+        """Compact once enough batches lie on the last base; a batch that is repeated after that is in it already."""
+        base = max(self._versions(spark, "base"), default=-1)
+        if sum(v > base for v in self._versions(spark, "changes")) >= self.fold_after:
+            self.compact(spark)
+
     def compact(self, spark: SparkSession) -> None:
         changes = self._versions(spark, "changes")
         if changes:
