@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.plain import EDGES, SPACED, shingles, similar_classes
 from tidemark.llm import minhash_dedup, paragraph_dedup
@@ -40,6 +41,45 @@ def test_families_of_near_copies(spark):
     assert minhash_dedup.dedup(docs).count() == len(set(got.values()))
 
 
+def _open(spark, texts, label):
+    """What is left between components that share a bucket, if that were all of these texts."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    shape = minhash_dedup.DOCUMENTS
+    signed = docs.select("id", minhash_dedup.signer(shape)("text").alias("s"))
+    sketch = signed.select("id", *[F.col("s.odd")[k].alias(w) for k, w in enumerate(minhash_dedup._WORDS)])
+    rare = minhash_dedup._rare_shingles(docs, docs.select("id"), shape).drop("common")
+    return rare.join(sketch, "id").withColumn("label", label)
+
+
+@pytest.mark.parametrize("labels", [200, 3])
+def test_the_rest_meets_all_similar_pairs(spark, labels):
+    rng = random.Random(labels)
+    texts = sorted({" ".join(t.split()[rng.randrange(6) :]) for seed in (1, 2) for t in _variants(seed, 90)})
+    label = F.least(F.col("id") % labels, F.lit(labels - 1)) if labels > 3 else F.greatest(F.col("id") % 12 - 9, F.lit(0))
+    left = _open(spark, texts, label)
+    named = dict(left.select("id", "label").distinct().collect())
+    sets = [shingles(t) for t in texts]
+    want = {
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a + 1, len(sets))
+        if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) and named.get(a) != named.get(b)
+    }
+    met = minhash_dedup._close(minhash_dedup._meeting(left, minhash_dedup.DOCUMENTS), minhash_dedup.DOCUMENTS)
+    assert want and want <= {tuple(r) for r in met.collect()}
+
+
+def test_a_long_template_just_below_the_threshold_lists_no_pairs(spark):
+    rng = random.Random(5)
+    template = [f"t{rng.randrange(10**9)}" for _ in range(270)]
+    texts = [" ".join(template + [f"own{k}x{i}" for i in range(27 + k % 3)]) for k in range(300)]
+    sets = [shingles(t) for t in texts[:2]]
+    assert 0.8 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.85
+    left = _open(spark, texts, F.col("id"))
+    assert left.count() > 300
+    assert minhash_dedup._meeting(left, minhash_dedup.DOCUMENTS).count() <= 300
+
+
 def test_edges(spark, edges):
     rows = minhash_dedup.classes(edges).collect()
     assert len(rows) == len(EDGES)
