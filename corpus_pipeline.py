@@ -79,7 +79,29 @@ def _after_the_other(stage: Stage) -> Stage:
     return begun
 
 
-STAGES = [(name, _after_the_other(stage)) for name, stage in STAGES]
+#: the columns that stages read
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _others_aside(stage: Stage) -> Stage:
+    """Other columns of documents pass a stage in one struct, so that none is taken for a column that the stage
+    makes on its way; one that has the name of a result of the last stage is replaced by it."""
+
+    @functools.wraps(stage)
+    def passed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in OWN]
+        if not others:
+            return stage(spark, docs, sf_dir)
+        packed = docs.select(*[c for c in docs.columns if c in OWN], F.struct(*others).alias("_others"))
+        out = stage(spark, packed, sf_dir)
+        new = [c for c in out.columns if c not in packed.columns]
+        back = [F.col(c) if c in OWN else F.col("_others")[c].alias(c) for c in docs.columns if c not in new]
+        return out.select(*back, *new)
+
+    return passed
+
+
+STAGES = [(name, _after_the_other(_others_aside(stage))) for name, stage in STAGES]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
