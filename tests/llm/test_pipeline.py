@@ -64,3 +64,41 @@ def test_tokens_decode_to_the_texts(outputs):
     for row in rows:
         assert row["text"] == before[row["doc_id"]] and row["n_tokens"] == len(row["tokens"])
         assert viterbi.encode([row["text"]])[0].tolist() == row["tokens"]
+
+
+def _through(spark, docs, data_dir):
+    for name, stage in corpus_pipeline.STAGES:
+        docs = write_and_read(stage(spark, docs, data_dir), name)
+    return docs
+
+
+def test_edges_pass_through_all_stages(spark, data_dir):
+    """Missing ids and texts, texts without words, repeated rows, ties, very long texts, columns named as the stages' own."""
+    word = lambda k: "".join("bcdfghklmn"[int(c)] + "aeiou"[(k + int(c)) % 5] for c in f"{k * 7919 % 100000:05d}")
+    prose = lambda first, n: " ".join(word(first + k) for k in range(n))
+    long = prose(5000, 20_000)
+    rows = [
+        (1, None), (2, ""), (3, " \n\t "), (4, "one"),
+        (10, prose(0, 120)), (11, prose(0, 120)),  # a copy: the first stays
+        (20, prose(300, 90)), (20, prose(300, 90)),  # one row twice: both stay
+        (30, long), (31, prose(600, 80) + "\n" + prose(5100, 60) + "\n" + prose(800, 70)),  # a passage of 30
+        (None, prose(900, 100)), (None, prose(900, 100)), (None, None),
+    ]
+    names = "id string, hits string, label string, n string, kept string, band string"
+    docs = spark.createDataFrame(
+        [(i, t, None, None, 1, "a", "b", "c", "d", "e", "f") for i, t in rows],
+        f"doc_id long, text string, lang string, source string, n_chars long, {names}",
+    )
+    out = _through(spark, docs, data_dir)
+    assert out.columns[: len(docs.columns)] == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    assert [i for i, _ in got] == [10, 20, 20, 30, 31, None, None]
+    texts = dict(got)
+    assert texts[10] == prose(0, 120) and texts[20] == prose(300, 90) and texts[30] == long
+    assert prose(600, 80) in texts[31] and prose(800, 70) in texts[31] and prose(5100, 60) not in texts[31]
+    assert out.select(*names.replace(" string", "").split(", ")).distinct().collect() == [tuple("abcdef")]
+
+
+def test_an_empty_table_passes_through_all_stages(spark, data_dir):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    assert _through(spark, docs, data_dir).count() == 0

@@ -87,6 +87,15 @@ def test_estimate_is_near_the_least_determinant(spark):
     assert np.linalg.slogdet(np.cov(x[near].T, bias=True))[1] < _plain_determinant(x) + 0.1
 
 
+def test_a_group_of_equal_rows(spark):
+    """Ties: every quartile and scatter is nought, so the floors decide; the equal rows stay."""
+    text = " ".join(f"wo{'abcdefghij'[k % 10]}rd{'xyz'[k // 10 % 3]}{k // 30 * 'e'}" for k in range(90))
+    rows = [(k, text, "en", "s") for k in range(300)] + [(1000, text.replace(" ", " ## "), "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs).collect()}
+    assert all(got[k] == (k < 1000) for k in got)
+
+
 def test_chi_squared():
     assert abs(quality_rules.chi2_quantile(0.95, 6) - 12.5916) < 1e-3
 

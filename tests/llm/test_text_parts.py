@@ -1,16 +1,20 @@
 """Licenses, main text, URL rules, quality classifier, suffix dedup and SentencePiece."""
 
 import hashlib
+import math
 import random
 import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from tests.llm.plain import ALNUM, EDGES, lower
+from tests.llm.plain import ALNUM, EDGES, SPACED, lower, word_counts
 from tests.oracle import connect, differences
 from tidemark.llm import licenses, main_text, quality_gam, sentencepiece_viterbi, suffix_dedup, url_filter
+from tidemark.llm.words import Hasher
 
 # licenses
 
@@ -174,6 +178,7 @@ def test_url_edges(spark):
     ]
     assert found[10:14] == [(None, "allow"), (None, "allow"), (None, "allow"), ("org/", "allow")]
     assert found[14] == found[15] == (None, "block") and found[16] == (None, "allow")
+    assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, rule string")).count() == 0
 
 
 @pytest.mark.parametrize("module", [licenses, url_filter])
@@ -203,6 +208,40 @@ def test_classifier_edges(spark, edges):
     assert quality_gam.classify(edges.where("false"), labels).count() == 0
 
 
+def _plain_features(text):
+    text = text or ""
+    n_words, chars, symbols, again, repeated = word_counts(text)
+    words = SPACED.findall(text)
+    lines = sum(bool(SPACED.search(line)) for line in text.split("\n"))
+    per_char, per_word = max(chars, 1), max(n_words, 1)  # without words: as if one of one character
+    return [
+        math.log1p(n_words),
+        per_char / per_word,
+        symbols / per_char,
+        again / max(lines, 1),
+        repeated / per_word,
+        sum("A" <= c <= "Z" for c in text) / per_char,
+        len(set(words)) / per_word,
+        sum("0" <= c <= "9" for c in text) / per_char,
+        sum(c in "!?.,;:" for c in text) / per_char,
+        math.log1p(len(text) / max(lines, 1)),
+        sum(c > "\x7f" for c in text) / per_char,
+    ]
+
+
+def test_features_agree_with_plain_ones(documents):
+    texts = [t for _, t in EDGES] + [t for _, t, *_ in documents]
+    got = quality_gam.text_features(pa.array(texts, pa.string()), Hasher())
+    assert np.allclose(got, [_plain_features(t) for t in texts], rtol=1e-12, atol=1e-12)
+
+
+def test_repeated_rows_score_alike(spark, data_dir):
+    """Every document twice: the scores are those of the model, the same for both rows."""
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    vectors = docs.union(docs).select("doc_id", quality_gam.features("text").alias("x"))
+    assert vectors.groupBy("doc_id").agg(F.count_distinct("x").alias("c"), F.count("*").alias("n")).where("c <> 1 OR n <> 2").count() == 0
+
+
 def test_model_finds_an_interaction():
     rng = np.random.default_rng(7)
     x = rng.random((4000, 3))
