@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.plain import EDGES, SPACED, shingles, similar_classes
+from tests.llm.plain import EDGES, SPACED, lower, shingles, similar_classes
 from tidemark.llm import minhash_dedup, paragraph_dedup
 from tidemark.llm.graph import components
 
@@ -41,6 +41,19 @@ def test_families_of_near_copies(spark):
     assert minhash_dedup.dedup(docs).count() == len(set(got.values()))
 
 
+def test_documents_are_compared_in_lower_case(spark, data_dir, documents):
+    sets = [shingles(lower(t or "")) for _, t, *_ in documents]
+    first = similar_classes(sets, 85)
+    got = {r["doc_id"]: r for r in minhash_dedup.query(spark, data_dir).collect()}
+    for place, (doc, *_) in enumerate(documents):
+        component = documents[first[place]][0] if sets[place] else doc
+        assert (got[doc]["n_shingles"], got[doc]["component_id"]) == (len(sets[place]), component)
+    said = " ".join(f"word{k} Ä" for k in range(20))
+    docs = spark.createDataFrame([(1, said), (2, said.upper()), (3, said.replace("Ä", "ä")), (4, "A b a B a b")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_dedup.classes(docs).collect()}
+    assert got == {1: (36, 1), 2: (36, 1), 3: (36, 3), 4: (2, 4)}
+
+
 def _open(spark, texts, label):
     """What is left between components that share a bucket, if that were all of these texts."""
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
