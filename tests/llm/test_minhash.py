@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.plain import EDGES, SPACED, lower, shingles, similar_classes
-from tidemark.llm import minhash_dedup, paragraph_dedup
+from tidemark.llm import minhash_dedup, paragraph_dedup, passages
 from tidemark.llm.graph import components
 
 
@@ -268,6 +268,46 @@ def test_passages_go_wherever_lines_break(spark):
     assert got[8] == ""
 
 
+def test_later_rounds_read_only_what_shares_a_fresh_passage(spark, monkeypatch):
+    def own(doc, n=60):
+        return [f"{doc}_{k}" for k in range(n)]
+
+    p, q = own("p"), own("q")
+    texts = {k: " ".join(own(k) + p + own(f"{k}x")) for k in range(1, 30)}
+    texts |= {k: " ".join(own(k)) for k in range(30, 40)}
+    # without p the words beside it are those of 50
+    texts |= {50: " ".join(own("a", 40) + own("b", 40) + q), 51: " ".join(own("a", 40) + p + own("b", 40))}
+    read, find = [], passages._found
+
+    def counted(asked, size):
+        read.append({r["doc"] for r in asked.select("doc").collect()})
+        return find(asked, size)
+
+    monkeypatch.setattr(passages, "_found", counted)
+    rows = paragraph_dedup.dedup(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == plain_dedup([*texts.items()])[0]
+    assert read[1:] == [{50, 51}, set()]
+
+
+def test_rounds_agree_with_plain_search(spark):
+    rng = random.Random(1)
+    said = [[f"{rng.choice('abc')}{rng.randrange(4)}" for _ in range(rng.randrange(4, 14))] for _ in range(12)]
+    rows = [(k, "\n".join(" ".join(line) for line in rng.choices(said, k=rng.randrange(12)))) for k in range(60)]
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id long, text string")
+    texts, removed = plain_dedup(rows, 8)
+    got = [(r["doc_id"], r["text"].split(), r["n_removed"]) for r in paragraph_dedup.dedup(docs, passage=8).collect()]
+    assert sorted(got) == sorted((k, texts[k].split(), removed[k]) for k, _ in rows + rows[:5])
+
+
+def test_rows_that_repeat_an_id_with_other_texts(spark):
+    p = " ".join(f"p{k}" for k in range(60))
+    rows = [(1, p), (2, f"{p} x"), (2, f"y {p}"), (2, "z")]
+    got = paragraph_dedup.dedup(spark.createDataFrame([(k, t.replace(" ", "\n")) for k, t in rows], "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["text"], r["n_removed"]) for r in got.collect()) == sorted(
+        [(1, p.replace(" ", "\n"), 0), (2, "x", 1), (2, "y", 1), (2, "z", 0)]
+    )
+
+
 def test_tuned_bands():
     shape = paragraph_dedup.tuned()
     assert (1 - 0.8**shape.rows) ** shape.bands + 0.2 ** paragraph_dedup.screening() <= 1e-6
