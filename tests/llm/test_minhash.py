@@ -308,6 +308,19 @@ def test_rows_that_repeat_an_id_with_other_texts(spark):
     )
 
 
+def test_long_lines_are_found_in_whole_texts(spark):
+    long = " ".join(f"w{k}" for k in range(15))
+    texts = ["", None, long, f"{long}\n", f"\n\n{long}\nshort\n{long} é", "\n", f"x{long}\r\n{long[:-4]}\n{long}", f" {long} \n\n"]
+    rows = spark.createDataFrame([*enumerate(texts)], "doc long, text string").coalesce(1)
+    got = rows.select("doc", paragraph_dedup.screener(5, 3, 15)("text").alias("s")).collect()
+    found = {r["doc"]: [(line["place"], line["n"], len(line["single"])) for line in r["s"]] for r in got}
+    for doc, text in enumerate(texts):
+        counts = [len(SPACED.findall(line)) for line in (text or "").split("\n")]
+        assert found[doc] == [(k, n - 4, 3) for k, n in enumerate(counts) if n >= 15]
+    keys = {line["key_a"] for r in got if r["doc"] in (2, 3, 7) for line in r["s"]}
+    assert len(keys) == 1
+
+
 def test_tuned_bands():
     shape = paragraph_dedup.tuned()
     assert (1 - 0.8**shape.rows) ** shape.bands + 0.2 ** paragraph_dedup.screening() <= 1e-6
