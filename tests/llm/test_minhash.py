@@ -1,12 +1,17 @@
+import math
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from tests.llm.plain import EDGES, SPACED, lower, shingles, similar_classes
 from tidemark.llm import minhash_dedup, paragraph_dedup, passages
 from tidemark.llm.graph import components
+from tidemark.llm.words import SPACED as SPACED_BYTES, Hasher, find_words, long_windows, utf8
+from tidemark.session import WRITING, settings, write_by_key
 
 
 def _variants(seed, n, length=60):
@@ -325,3 +330,92 @@ def test_tuned_bands():
     shape = paragraph_dedup.tuned()
     assert (1 - 0.8**shape.rows) ** shape.bands + 0.2 ** paragraph_dedup.screening() <= 1e-6
     assert shape.rows * shape.bands <= 160
+
+
+def test_tables_dealt_by_a_key_stay_where_they_are(spark):
+    texts = spark.createDataFrame([(k % 40, f"text {k}", None) for k in range(200)], "doc long, text string, x int")
+    found = spark.createDataFrame([(k, f"w{k}") for k in range(0, 80, 2)], "doc long, w string")
+    dealt = write_by_key(texts, "doc")
+    again = write_by_key(dealt.join(found.hint("shuffle_hash"), "doc"), "doc", dealt=True)
+    want = sorted(map(tuple, texts.join(found, "doc").collect()))
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, texts.collect()))
+    assert sorted(map(tuple, again.collect())) == want and len(want) == 100
+    with settings(spark, WRITING):
+        joined = again.join(found.withColumnRenamed("w", "v").hint("shuffle_hash"), "doc")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "ShuffledHashJoin" in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tidemark_")]
+
+
+def _moved(plan):
+    """What is read with its texts right under exchanges for joins by document; of a round's few texts a union is moved."""
+    scans = [x.partition("Scan ")[0:3:2] for x in re.split(r"Exchange hashpartitioning\(doc\w*#\d+L?, \d+\), ENSURE", plan)[1:]]
+    return [scan.split("\n")[0] for above, scan in scans if "text#" in scan.split("\n")[0] and "Union" not in above]
+
+
+def test_texts_are_dealt_once(spark, monkeypatch):
+    """Joins with found lines and passages move no text, at any size; one round or many."""
+    plans = []
+    for name in ("parquet", "saveAsTable"):
+
+        def written(self, *args, write=getattr(DataFrameWriter, name), **kwargs):
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+            return write(self, *args, **kwargs)
+
+        monkeypatch.setattr(DataFrameWriter, name, written)
+    rng = random.Random(1)
+    said = [[f"{rng.choice('abc')}{rng.randrange(4)}" for _ in range(rng.randrange(4, 14))] for _ in range(12)]
+    rows = [(k, "\n".join(" ".join(line) for line in rng.choices(said, k=rng.randrange(12)))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        got = {r["doc_id"]: r["text"].split() for r in paragraph_dedup.dedup(docs, passage=8).collect()}
+    assert got == {k: t.split() for k, t in plain_dedup(rows, 8)[0].items()}
+    assert len(plans) > 20 and any("ShuffledHashJoin" in plan for plan in plans)
+    # of the rounds only the table of the last few texts is not dealt
+    assert [x for plan in plans for x in _moved(plan) if "later-" not in x and "cut-" not in x] == []
+
+
+def test_a_pivot_is_not_set_against_its_bucket_again(spark, monkeypatch):
+    read, verified = [], minhash_dedup._verified
+
+    def counted(pairs, texts, shape):
+        read.append({tuple(r) for r in pairs.collect()})
+        return verified(pairs, texts, shape)
+
+    monkeypatch.setattr(minhash_dedup, "_verified", counted)
+    # each shares two thirds of its shingles with one other text: they meet in bands and are not alike
+    texts = [" ".join([f"p{k}_{j}" for j in range(60)] + [f"{side}{k}_{j}" for j in range(12)]) for k in range(40) for side in "xy"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.classes(docs).collect()}
+    assert got == {k: k for k in range(80)}
+    assert len(read[0]) > 5 and not set().union(*read[1:])
+
+
+def test_long_windows_tell_stretches_apart():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["a", "b"], rng.integers(0, 150))) for _ in range(40)]
+    data, offsets = utf8(pa.array(texts))
+    words = find_words(data, offsets, SPACED_BYTES)
+    hashes = Hasher().ranges(data, words.starts, words.ends)
+    for size in (1, 2, 7, 8, 20, 51):
+        runs, first = long_windows(words, hashes, size)
+        want = [(t, k) for t, text in enumerate(texts) for k in range(len(text.split()) - size + 1)]
+        assert len(runs) == len(first) == len(want)
+        assert [(words.text[f], f - words.bounds[words.text[f]]) for f in first] == want
+        said = [tuple(texts[t].split()[k : k + size]) for t, k in want]
+        assert len(set(runs.tolist())) == len(set(said)) == len(set(zip(runs.tolist(), said)))
+
+
+def test_one_coordinate_shared_by_chance_is_not_signed():
+    t, k = 0.8, paragraph_dedup.screening()
+    missed = sum(math.comb(k, x) * t**x * (1 - t) ** (k - x) for x in range(paragraph_dedup.MET))
+    shape = paragraph_dedup.tuned()
+    assert paragraph_dedup.MET > 1 and missed + (1 - t**shape.rows) ** shape.bands <= 1e-6
+
+
+def test_columns_without_a_type_stay(spark):
+    p = " ".join(f"p{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, p, 5), (2, f"{p} x", 6), (None, p, 7)], "doc_id long, text string, n_removed int")
+    got = paragraph_dedup.dedup(docs.selectExpr("null AS empty", "*", "struct(1 AS x) AS s")).collect()
+    assert got[0].asDict().keys() == {"empty", "doc_id", "text", "s", "n_paragraphs", "n_removed"}
+    assert {(r["doc_id"], r["text"], r["empty"], r["s"]["x"]) for r in got} == {(1, p, None, 1), (2, "", None, 1), (None, p, None, 1)}
