@@ -23,7 +23,7 @@ from tidemark.sources import streams
 from tidemark.sources.generators import datagen, order_fields, paced_datagen
 from tidemark.sources.tables import literal_rows
 from tidemark.streaming import operators as s
-from tidemark.streaming import sinks, staged, state
+from tidemark.streaming import processors, sinks, staged, state
 
 SECOND = timedelta(seconds=1)
 
@@ -524,6 +524,83 @@ def test_every_shard_sees_a_change_at_the_same_time(spark, feed, tmp_path):
         assert row["name"] == (name if row["country"] == "de" else None)
 
 
+class FakeState(dict):
+    """Map state, value state and timers in place of those of one key."""
+
+    def getMapState(self, name, *_):
+        return self.setdefault(name, FakeState())
+
+    getValueState = getMapState
+    getValue, removeKey, updateValue = dict.__getitem__, dict.__delitem__, dict.__setitem__
+
+    def exists(self):
+        return "value" in self
+
+    def get(self):
+        return self["value"]
+
+    def update(self, value):
+        self["value"] = value
+
+    def registerTimer(self, at):
+        self["timer"] = at
+
+    def deleteTimer(self, at):
+        assert self.pop("timer") == at
+
+    def getCurrentWatermarkInMs(self):
+        return self["now"]
+
+
+def test_packed_rows_wait_and_go_by_the_piece(monkeypatch):
+    """Most rows lie in one minute; neither what is written nor what is read or handed over is more than a piece."""
+    for name, value in {"WRITTEN": 8000, "WHOLE": 4000, "CUT": 1000, "HANDED_PACKED": 20}.items():
+        monkeypatch.setattr(processors, name, value)
+    handed, read = [], []
+
+    class Inner(processors._Packed):
+        def init(self, handle):
+            pass
+
+        def take(self, rows):
+            handed.append(rows["at"].to_pylist())
+            yield rows
+
+    class Holder(processors.PackedInTimeOrder):
+        def _in_order(self, tables):
+            read.append(sum(t.nbytes for t in tables))
+            return super()._in_order(tables)
+
+    rng = random.Random(3)
+    minute = 60_000_000
+    times = [1_700_000_000 * 10**6 + rng.randrange(minute if rng.random() < 0.8 else 3000 * minute) for _ in range(4000)]
+    times += times[:40]  # twice
+    rng.shuffle(times)
+    holder, state, now = Holder(Inner(), "at"), FakeState(), FakeState()
+    holder.row = lambda packed: processors.from_bytes(packed)
+    holder.init(state)
+    late, out = times[-1] - 1, []
+    for k in range(0, len(times), 505):
+        packs = [pa.table({"at": times[i : min(i + 50, k + 505)], "n": times[i : min(i + 50, k + 505)]}) for i in range(k, min(k + 505, len(times)), 50)]
+        assert list(holder.handleInputRows(("x",), iter([{"_rows": processors.to_bytes(t)} for t in packs]), now)) == []
+    stops = sorted(rng.sample(times, 12)) + [max(times) + minute]
+    for stop in stops:
+        now["now"] = stop // 1000
+        for table in holder.handleExpiredTimer(("x",), now, None):
+            out += table["at"].to_pylist()
+        upto = [t for t in times if t <= now["now"] * 1000]
+        assert out == sorted(upto)
+        if len(upto) < len(times):
+            assert now["now"] < state["timer"] <= -(-min(t for t in times if t > now["now"] * 1000) // 1000)
+    assert out == sorted(times) and len(out) == 4040
+    # a row that comes too late goes next
+    list(holder.handleInputRows(("x",), iter([{"_rows": processors.to_bytes(pa.table({"at": [late], "n": [0]}))}]), now))
+    assert [t["at"].to_pylist() for t in holder.handleExpiredTimer(("x",), now, None)] == [[late]]
+    # a piece and the chunk that fills it
+    assert max(map(len, handed)) <= 21 and max(read) <= 2 * 8000
+    assert not state["packed_rows"] and not state["packed_buckets"].exists()
+
+
 def test_clock_windows_close_by_themselves(feed, tmp_path):
     source = feed(fx.ORDERS_SCHEMA).add(fx.ORDERS[:6])
     windows = s.clock_windows(source.stream(), ["category"], 2 * SECOND, "amount")
@@ -784,6 +861,17 @@ def test_parts_in_several_batches(spark, parts, monkeypatch, name):
     assert differences(registry.queries()[name](spark, folder), con, registry.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", ["stream_late_windows"])
+def test_large_tables_are_passed_in_steps(spark, parts, monkeypatch, name):
+    """No micro-batch gives out more than a step's rows, and what the steps bring along changes nothing."""
+    monkeypatch.setattr(plans.streams, "PASSED", 150)
+    folder, con = parts
+    rows = registry.queries()[name](spark, folder)
+    assert differences(rows, con, registry.oracle_sql()[name]) is None
+    files = rows.groupBy(F.input_file_name().alias("file")).count()
+    assert files.agg(F.max("count")).first()[0] <= 150 and files.count() > 7
+
+
 @pytest.fixture(scope="module")
 def dealt(data_dir, tmp_path_factory):
     """The events dealt by hash to twelve parts (three batches) that all span the days; the first four are written at one time."""

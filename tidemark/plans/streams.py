@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import money
 from tidemark.operators.joins import compare_outputs
@@ -34,8 +34,11 @@ FILES_PER_BATCH = 4
 MOST_BATCHES = 100
 #: the least time that a row may come late; `_bound` finds what the table needs. event_id and ts tell its order
 BOUND = DAY
+#: rows of the table that a watermark may pass at a time where a few shards give them out
+PASSED = 4_000_000
 END = datetime(2999, 1, 1, tzinfo=timezone.utc)
 AFTER_END = datetime(3009, 1, 1, tzinfo=timezone.utc)
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 NOBODY = -1
 
 
@@ -69,25 +72,50 @@ def _bound(spark, folder) -> timedelta:
     return BOUND if late is None else max(BOUND, timedelta(microseconds=late) + timedelta(seconds=1))
 
 
+def _steps(spark, folder, passes: Column, bound: timedelta) -> tuple[timedelta, list[timedelta]]:
+    """The bound, and the times since the epoch (of `passes`, in microseconds) at which a watermark stops on its way
+    past a table of more than PASSED rows. Files would move the watermark as far as they reach, so such a table is
+    held whole by its bound, and passed from its first time on once all of it is there."""
+    rows = with_zone(_select(load_table(spark, folder, "events")))
+    us = F.unix_micros("ts")
+    n, first, last = rows.agg(F.count(us), F.min(us), F.max(us)).first()
+    parts = -(-n // PASSED)
+    if parts < 2:
+        return bound, []
+    cuts = rows.agg(F.percentile_approx(passes, [k / parts for k in range(1, parts)])).first()[0]
+    held = timedelta(microseconds=last - first) + timedelta(seconds=1)
+    return max(bound, held), [timedelta(microseconds=us) for us in sorted(set(cuts))]
+
+
 def _finished(
     spark, folder, build: Callable[[DataFrame, timedelta], DataFrame], label: str, ends: tuple[datetime, ...] = (END,),
-    kinds: tuple[str, ...] = ("purchase", "signup"),
+    kinds: tuple[str, ...] = ("purchase", "signup"), passes: Column | None = None, ahead: timedelta = timedelta(0),
 ) -> DataFrame:
-    """Run into files to the end of the table, then past it, and read the files back."""
+    """Run into files to the end of the table, then past it, and read the files back.
+
+    `passes`: the time of a row that the watermark must pass, in microseconds. Large tables are then passed in steps,
+    by rows that come one after another behind the table's last time. `ahead`: how far such a row's time is before the
+    watermark that it sets, besides the bound."""
     prepare_streaming(spark)
     path = scratch_path(spark, label)
     events = _events(spark, folder)
-    last = spark.createDataFrame(
-        [(NOBODY, end, NOBODY, kind) for end in ends for kind in kinds],
-        "event_id bigint, ts timestamp, user_id bigint, event_type string",
-    ).withColumn("amount", money(F.lit(0)))
+    bound, cuts = _bound(spark, folder), []
+    if passes is not None:
+        bound, cuts = _steps(spark, folder, passes, bound)
+
+    def nobody(times) -> DataFrame:
+        rows = [(NOBODY, at, NOBODY, kind) for at in times for kind in kinds]
+        made = spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string")
+        return made.withColumn("amount", money(F.lit(0))).coalesce(1)
+
+    last = nobody(ends)
     last.limit(0).write.parquet(f"{path}/end")
-    ended_by = spark.readStream.schema(last.schema).parquet(f"{path}/end")
-    stream = build(events.unionByName(ended_by), _bound(spark, folder))
-    for ended in (False, True):
-        if ended:
-            last.write.mode("append").parquet(f"{path}/end")
-        run_to_end(append_only(stream, f"{path}/out", f"{path}/checkpoint"))
+    ended_by = spark.readStream.schema(last.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/end")
+    stream = build(events.unionByName(ended_by), bound)
+    run_to_end(append_only(stream, f"{path}/out", f"{path}/checkpoint"))
+    for step in (*(nobody([EPOCH + cut + bound + ahead]) for cut in cuts), last):
+        step.write.mode("append").parquet(f"{path}/end")
+    run_to_end(append_only(stream, f"{path}/out", f"{path}/checkpoint"))
     rows = without_zone(spark.read.schema(stream.schema).parquet(f"{path}/out"))
     return rows.where(F.col("user_id") != NOBODY) if "user_id" in rows.columns else rows
 
@@ -326,9 +354,9 @@ def stream_salted_windows(spark, folder):
 
 def _late_windows(spark, folder, label: str, **options) -> DataFrame:
     """Events that arrive up to eight hours after their time; event time moves by the minute of arrival."""
+    minutes = F.floor(F.unix_micros("ts") / 60_000_000) + F.pmod(F.col("event_id") * 7919, F.lit(480))
 
     def build(events, bound):
-        minutes = F.floor(F.unix_micros("ts") / 60_000_000) + F.pmod(F.col("event_id") * 7919, F.lit(480))
         arriving = events.withColumn("arrival", F.timestamp_micros(minutes * 60_000_000))
         arriving = arriving.withColumn("source", F.pmod("user_id", F.lit(4)))
         return s.windows_with_lateness(
@@ -336,7 +364,9 @@ def _late_windows(spark, folder, label: str, **options) -> DataFrame:
             disorder=bound + 8 * HOUR, bound=HOUR, lateness=2 * HOUR, **options,
         )
 
-    fired = _finished(spark, folder, build, label, ends=(END, AFTER_END)).where(F.col("event_id") != NOBODY)
+    ahead = 8 * HOUR - timedelta(minutes=NOBODY * 7919 % 480)
+    fired = _finished(spark, folder, build, label, ends=(END, AFTER_END), passes=minutes * 60_000_000, ahead=ahead)
+    fired = fired.where(F.col("event_id") != NOBODY)
     return as_doubles(fired, "total")
 
 

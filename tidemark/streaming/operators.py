@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from tidemark.functions.scalars import duration
-from tidemark.session import prepare_streaming
+from tidemark.session import prepare_packed, prepare_streaming
 from tidemark.streaming import processors as p
 
 
@@ -55,6 +57,57 @@ def _stateful(
     )
 
 
+#: bytes of rows that are dealt to shards at a time
+DEALT = 4 << 20
+PACKED = T.StructType([T.StructField("_rows", T.BinaryType())])
+
+
+def _packed(df: DataFrame, shard: str | None = None) -> DataFrame:
+    """The rows as Arrow tables (`_rows`), each of one shard where a column tells it."""
+    schema = T.StructType([*([] if shard is None else [T.StructField(shard, T.IntegerType())]), *PACKED])
+
+    def dealt(rows: pa.Table) -> pa.RecordBatch:
+        if shard is None:
+            return pa.record_batch({"_rows": pa.array([p.to_bytes(rows)], pa.binary())})
+        by, rest = rows[shard], rows.drop_columns([shard])
+        shards = by.unique().to_pylist()
+        packs = [p.to_bytes(rest.filter(pc.equal(by, s))) for s in shards]
+        return pa.record_batch({shard: pa.array(shards, pa.int32()), "_rows": pa.array(packs, pa.binary())})
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                fresh.append(batch)
+                size += batch.nbytes
+            if size >= (DEALT if shard else 1):
+                yield dealt(pa.Table.from_batches(fresh))
+                fresh, size = [], 0
+        if fresh:
+            yield dealt(pa.Table.from_batches(fresh))
+
+    return df.mapInArrow(pack, schema)
+
+
+def _stateful_packed(packed: DataFrame, processor: p.StatefulProcessor, schema: T.StructType, at: str) -> DataFrame:
+    """As `_stateful` with a time, for shards with any number of rows: `_shard`, and the rows as `_packed` makes them.
+    `at`: the column with their time in microseconds."""
+    prepare_packed(packed.sparkSession)
+    processor = p.PackedInTimeOrder(processor, at)
+    processor.row = Row(*PACKED.names)
+    out = packed.groupBy("_shard").transformWithState(
+        statefulProcessor=processor, outputStructType=PACKED, outputMode="Append", timeMode="EventTime"
+    )
+    names = schema.names
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed_rows in batch.column(0):
+                yield from p.from_bytes(packed_rows.as_py()).select(names).to_batches()
+
+    return out.mapInArrow(unpack, schema)
+
+
 def with_watermark(df: DataFrame, at: str, bound: timedelta = timedelta(0)) -> DataFrame:
     """Event time may run `bound` behind the latest row. A silent partition does not hold it up."""
     return df.withWatermark(at, duration(bound))
@@ -437,7 +490,8 @@ def windows_with_lateness(
     processor = p.LateWindows(
         key_fields, seq_field, amount, kind.simpleString(), _micros(bound), _micros(lateness), None if idle is None else _micros(idle)
     )
-    fired = _stateful(both, ["_shard"], processor, schema, at="_due")
+    both = both.where(F.col("_due").isNotNull()).withColumn("_due", F.unix_micros("_due"))
+    fired = _stateful_packed(_packed(both, "_shard"), processor, schema, "_due")
     return fired.select(*keys, seq, F.timestamp_micros("_end").alias("window_end"), "total", "firing")
 
 

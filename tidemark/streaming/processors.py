@@ -5,7 +5,7 @@ plays no part. A micro-batch hands over a key's rows in no particular order.
 `InTimeOrder` holds them in state until the watermark has passed them, so a
 processor sees a key's rows in order across micro-batches too, and at a time only
 those between two watermarks. Without it rows are in order within a micro-batch
-alone.
+alone. `PackedInTimeOrder` does the same for keys with more rows than a task has memory for.
 """
 
 from __future__ import annotations
@@ -13,14 +13,23 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator, Sequence
 from decimal import Decimal
+from itertools import pairwise
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 MILLI = 1000  # microseconds
 HANDED = 10_000  # rows of whole buckets that are handed over at a time
 
+# packed rows: bytes of them that are sorted and written at a time, bytes of a bucket that are read at a time, of one
+# that a watermark cuts, and rows that are handed over at a time
+WRITTEN, WHOLE, CUT, HANDED_PACKED = 8 << 20, 16 << 20, 1 << 20, 50_000
+BUCKET_BITS, FINER_BITS, SPLIT = 34, 5, -1  # buckets of 2^34 us, 4.8 hours; large ones are split in 32
+
 
 def in_order(rows: Iterator[Row], *columns: str) -> list[Row]:
     return sorted(rows, key=lambda r: tuple(r[c] for c in columns))
@@ -147,6 +156,160 @@ class InTimeOrder(_Keyed):
             self.timer.at(wanted)
 
 
+def to_bytes(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+        writer.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def from_bytes(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pa.py_buffer(packed)).read_all()
+
+
+class _Packed(_Keyed):
+    """Takes tables of rows in time order (`take`) and gives tables of output rows."""
+
+    def take(self, rows: pa.Table) -> Iterator[pa.Table]:
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows, timerValues):
+        for row in rows:
+            for out in self.take(from_bytes(row["_rows"])):
+                if out.num_rows:
+                    yield self.row(to_bytes(out))
+
+
+class PackedInTimeOrder(_Keyed):
+    """`InTimeOrder` for keys with any number of rows: rows come, wait and go as Arrow tables (column `_rows`).
+
+    What comes is sorted and written by the piece, each to the buckets of its rows' times; nothing that waits is read
+    again before its time. A bucket that is large when it is due, or that a watermark cuts, is split into smaller ones
+    first. So a task holds WHOLE bytes of rows about, or those of one microsecond. They are handed over in order,
+    HANDED_PACKED rows at a time, those of one time together: the inner processor's `take` gets a table of them and
+    gives tables of output rows. What is given out between two watermarks is still in memory at once, packed.
+    """
+
+    def __init__(self, inner: _Packed, at: str):
+        self.inner, self.time = inner, at
+
+    def init(self, handle):
+        self.waiting = handle.getMapState("packed_rows", "bits int, bucket bigint, chunk int", "held binary")
+        self.index = handle.getValueState(
+            "packed_buckets", "buckets array<struct<bits: int, bucket: bigint, chunks: int, size: bigint>>"
+        )
+        self.timer = _OneTimer(handle)
+        self.inner.init(handle)
+
+    def _load(self) -> None:
+        """By bits and number of a bucket: its chunks and bytes. A bucket that was split has SPLIT for chunks."""
+        held = self.index.get()[0] if self.index.exists() else []
+        self.buckets = {(bits, bucket): (chunks, size) for bits, bucket, chunks, size in map(tuple, held)}
+
+    def _save(self) -> None:
+        if self.buckets:
+            self.index.update(([(*place, *held) for place, held in sorted(self.buckets.items())],))
+        else:
+            self.index.clear()
+
+    def _times(self, rows: pa.Table) -> np.ndarray:
+        return rows[self.time].to_numpy()
+
+    def _in_order(self, tables: list[pa.Table]) -> pa.Table:
+        rows = pa.concat_tables(tables, promote_options="default").combine_chunks()
+        return rows.take(pc.sort_indices(rows[self.time]))
+
+    def _put(self, rows: pa.Table, bits: int = BUCKET_BITS) -> None:
+        """Rows in order of their time, to the buckets of so many bits, or smaller ones where those are split."""
+        buckets = self._times(rows) >> bits
+        for start, stop in pairwise([0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist(), len(buckets)]):
+            place, part = (bits, int(buckets[start])), rows.slice(start, stop - start)
+            chunks, size = self.buckets.get(place, (0, 0))
+            if chunks == SPLIT:
+                self._put(part, max(0, bits - FINER_BITS))
+            else:
+                self.waiting.updateValue((*place, chunks), (to_bytes(part),))
+                self.buckets[place] = (chunks + 1, size + part.nbytes)
+
+    def _put_all(self, tables: Iterator[pa.Table], bits: int = BUCKET_BITS) -> int | None:
+        """By the piece; gives the least time."""
+        firsts, fresh, size = [], [], 0
+
+        def put():
+            rows = self._in_order(fresh)
+            self._put(rows, bits)
+            firsts.append(rows[self.time][0].as_py())
+
+        for rows in tables:
+            if rows.num_rows:
+                fresh.append(rows)
+                size += rows.nbytes
+            if size >= WRITTEN:
+                put()
+                fresh, size = [], 0
+        if fresh:
+            put()
+        return min(firsts, default=None)
+
+    def _chunks(self, place: tuple[int, int], n: int) -> Iterator[pa.Table]:
+        """The rows of a bucket, which are no longer in state afterwards."""
+        for chunk in range(n):
+            packed = self.waiting.getValue((*place, chunk))[0]
+            self.waiting.removeKey((*place, chunk))
+            yield from_bytes(packed)
+
+    def _next(self) -> tuple[int, tuple[int, int]] | None:
+        """The first bucket that has rows, and where it begins."""
+        return min(((b << bits, (bits, b)) for (bits, b), held in self.buckets.items() if held[0] != SPLIT), default=None)
+
+    def handleInputRows(self, key, rows, timerValues):
+        self._load()
+        first = self._put_all(from_bytes(row["_rows"]) for row in rows)
+        if first is not None:
+            self._save()
+            self.timer.at(first)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.timer.fired()
+        upto = timerValues.getCurrentWatermarkInMs() * MILLI
+        self._load()
+        ahead = None
+        while (found := self._next()) is not None and ahead is None:
+            begin, place = found
+            bits = place[0]
+            if begin > upto:
+                ahead = begin
+                continue
+            whole = begin + (1 << bits) <= upto + 1
+            if bits and self.buckets[place][1] > (WHOLE if whole else CUT):
+                chunks, self.buckets[place] = self._chunks(place, self.buckets[place][0]), (SPLIT, 0)
+                self._put_all(chunks, bits)
+                continue
+            rows = self._in_order(list(self._chunks(place, self.buckets.pop(place)[0])))
+            due = int(np.searchsorted(self._times(rows), upto, side="right"))
+            if due < rows.num_rows:
+                ahead = rows[self.time][due].as_py()
+                self._put(rows.slice(due), bits)
+            yield from self._hand(rows.slice(0, due))
+        for bits, bucket in [place for place, held in self.buckets.items() if held[0] == SPLIT]:
+            if (bucket + 1) << bits <= upto + 1:
+                del self.buckets[bits, bucket]
+        self._save()
+        if ahead is not None:
+            self.timer.at(ahead)
+
+    def _hand(self, rows: pa.Table) -> Iterator[Row]:
+        times, start = self._times(rows), 0
+        while start < len(times):
+            last = times[min(start + HANDED_PACKED, len(times)) - 1]
+            stop = int(np.searchsorted(times, last, side="right"))
+            for out in self.inner.take(rows.slice(start, stop - start)):
+                if out.num_rows:
+                    yield self.row(to_bytes(out))
+            start = stop
+
+
 class RunningTotals(_Keyed):
     """One row per input row: key columns, seq, total so far."""
 
@@ -439,6 +602,12 @@ def _by_time(rows: Iterator[Row], at: str, tie: str) -> list[Row]:
     return sorted(rows, key=lambda r: (r[at], r["_side"], r[tie] is not None, 0 if r[tie] is None else r[tie]))
 
 
+def _sorted(rows: pa.Table, *columns: str) -> pa.Table:
+    """Null first."""
+    keys = [(c, "ascending") for c in columns]
+    return rows.take(pc.sort_indices(rows, sort_keys=keys, null_placement="at_start"))
+
+
 class HeldFacts(_Keyed):
     """Facts with the last version before them; side 0 rows are versions. Needs rows in time order.
 
@@ -623,10 +792,10 @@ class LateTagger(_Keyed):
             yield self.row(*[row[c] for c in self.columns], end, tag)
 
 
-class LateWindows(_Keyed):
+class LateWindows(_Packed):
     """Windows that fire when event time has passed them, again for each late row, and refuse rows that are later still.
 
-    Keyed by shard; rows come in order of their arrival tick. Side 0 rows are facts (window end, key, seq, amount),
+    Keyed by shard; packed rows come in order of their arrival tick. Side 0 rows are facts (window end, key, seq, amount),
     side 1 rows tell every shard alike how far a source had got by the end of a tick. Event time is the least of the
     sources that are not idle, less the bound, and never goes back. So all shards see the same event time at the same
     tick, and a row is judged by what had arrived in earlier ticks.
@@ -665,7 +834,7 @@ class LateWindows(_Keyed):
     def _passed(self, end: int, later: int = 0) -> bool:
         return self.now is not None and self.now >= end - MILLI + later
 
-    def _advance(self, tick: int) -> Iterator[Row]:
+    def _advance(self, tick: int) -> Iterator[tuple]:
         active = [seen for seen, last in self.progress.values() if self.idle_us is None or tick - last <= self.idle_us]
         now = min(active) - self.bound_us - MILLI
         if self.now is not None and now <= self.now:
@@ -678,43 +847,50 @@ class LateWindows(_Keyed):
                 if not window[2]:
                     window[2] = True
                     if window[1] is not None:
-                        yield self.row(*key, window[1], end, window[0], "fire")
+                        yield *key, window[1], end, window[0], "fire"
             if self._passed(end, self.lateness_us):
                 self.cache[end] = {}
 
-    def _fact(self, row) -> Iterator[Row]:
-        end, key, amount = row["_end"], tuple(row[k] for k in self.keys), row[self.amount]
+    def _fact(self, key: tuple, seq, amount, end: int) -> Iterator[tuple]:
         if self._passed(end, self.lateness_us):
-            yield self.row(*key, row[self.seq], end, amount, "too_late")
+            yield *key, seq, end, amount, "too_late"
             return
         window = self._open(end).setdefault(key, [None, None, False])
         if amount is not None:
             window[0] = amount if window[0] is None else window[0] + amount
         if self._passed(end):
             window[2] = True
-            yield self.row(*key, row[self.seq], end, window[0], "update")
+            yield *key, seq, end, window[0], "update"
         else:
-            window[1] = row[self.seq]
+            window[1] = seq
 
-    def handleInputRows(self, key, rows, timerValues):
+    def take(self, rows: pa.Table) -> Iterator[pa.Table]:
+        out = list(self._taken(_sorted(rows, "_tick", "_side", self.seq)))
+        kinds = [rows.schema.field(c).type for c in (*self.keys, self.seq, "_end", self.amount)] + [pa.string()]
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*out), kinds, strict=True)] if out else []
+        yield pa.table(columns, names=[*self.keys, self.seq, "_end", "total", "firing"] if out else [])
+
+    def _taken(self, rows: pa.Table) -> Iterator[tuple]:
         self.cache: dict[int, dict[tuple, list]] = {}
         self.known = set(self.ends.get()[0]) if self.ends.exists() else set()
         self.now = self.event_time.get()[0] if self.event_time.exists() else None
         self.progress = {k[0]: tuple(v) for k, v in self.sources.iterator()} if self.sources.exists() else {}
-        marked = None
-        for row in sorted(rows, key=lambda r: (r["_tick"], r["_side"], 0 if r["_side"] else r[self.seq])):
-            if marked is not None and marked != row["_tick"]:
+        marked, heard = None, set()
+        columns = (*self.keys, self.seq, self.amount, "_end", "_tick", "_side", "_source", "_seen")
+        for *key, seq, amount, end, tick, side, source, seen in zip(*(rows[c].to_pylist() for c in columns), strict=True):
+            if marked is not None and marked != tick:
                 yield from self._advance(marked)
                 marked = None
-            if row["_side"]:
-                marked, source = row["_tick"], row["_source"]
-                seen = max(row["_seen"], self.progress.get(source, (row["_seen"],))[0])
-                self.progress[source] = (seen, marked)
-                self.sources.updateValue((source,), self.progress[source])
+            if side:
+                marked = tick
+                self.progress[source] = (max(seen, self.progress.get(source, (seen,))[0]), marked)
+                heard.add(source)
             else:
-                yield from self._fact(row)
+                yield from self._fact(tuple(key), seq, amount, end)
         if marked is not None:
             yield from self._advance(marked)
+        for source in heard:
+            self.sources.updateValue((source,), self.progress[source])
         self._keep()
 
     def _keep(self) -> None:
