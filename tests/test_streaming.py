@@ -861,7 +861,7 @@ def test_parts_in_several_batches(spark, parts, monkeypatch, name):
     assert differences(registry.queries()[name](spark, folder), con, registry.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", ["stream_late_windows", "stream_idle_sources"])
+@pytest.mark.parametrize("name", ["stream_late_windows", "stream_idle_sources", "stream_refreshed_dimension"])
 def test_large_tables_are_passed_in_steps(spark, parts, monkeypatch, name):
     """No micro-batch gives out more than a step's rows, and what the steps bring along changes nothing."""
     monkeypatch.setattr(plans.streams, "PASSED", 150)

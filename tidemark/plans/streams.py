@@ -472,7 +472,7 @@ def stream_refreshed_dimension(spark, folder):
         changes = events.where(F.col("event_type") == "signup").select("team", "ts", "event_id", rate)
         return s.refreshed_dimension(_timed(facts, bound), _timed(changes, bound), "team", "ts", "event_id", "rate")
 
-    return as_doubles(_finished(spark, folder, build, "dimension").drop("ts"), "rate")
+    return as_doubles(_finished(spark, folder, build, "dimension", passes=F.unix_micros("ts")).drop("ts"), "rate")
 
 
 @query(

@@ -346,12 +346,18 @@ def refreshed_dimension(
     """
     kept = [c for c in facts.columns if c != at]
     dealt = F.pmod(F.xxhash64(*kept), F.lit(shards)).cast("int").alias("_shard")
-    left = facts.select("*", F.unix_micros(at).alias("_us"), F.lit(1).alias("_side"), dealt)
-    right = changes.where(F.col(key).isNotNull()).select(
-        key, at, tie, value, F.unix_micros(at).alias("_us"), F.lit(0).alias("_side"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"),
+    left = facts.where(F.col(at).isNotNull()).select(*kept, F.unix_micros(at).alias("_us"), F.lit(1).alias("_side"))
+    right = changes.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(
+        key, tie, value, F.unix_micros(at).alias("_us"), F.lit(0).alias("_side")
     )
-    both = left.unionByName(right, allowMissingColumns=True)
+    both = left.unionByName(right, allowMissingColumns=True).schema
+
+    def alike(side: DataFrame) -> list:
+        return [(F.col(f.name) if f.name in side.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in both]
+
+    left = _packed(left.select(dealt, *alike(left)), "_shard")
+    # a change is packed once, then goes to every shard
+    right = _packed(right.select(*alike(right))).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"), "_rows")
     fields = [*_fields(facts, kept), T.StructField("_us", T.LongType())]
     found = changes.schema[value]
     processor = p.ReplicatedDimension(
@@ -359,7 +365,7 @@ def refreshed_dimension(
         (value, found.dataType.simpleString()),
     )
     schema = T.StructType([*fields, T.StructField(value, found.dataType)])
-    joined = _stateful(both, ["_shard"], processor, schema, at=at)
+    joined = _stateful_packed(left.unionByName(right), processor, schema, "_us")
     return joined.withColumn(at, F.timestamp_micros("_us")).select(*facts.columns, value)
 
 

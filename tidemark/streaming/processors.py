@@ -697,8 +697,8 @@ class HeldFacts(_Keyed):
         return self.buckets.get()[1] + self.hold_us if self.buckets.exists() else None
 
 
-class ReplicatedDimension(_Keyed):
-    """Facts of one shard with the dimension as it stood at their time. Needs rows in time order.
+class ReplicatedDimension(_Packed):
+    """Facts of one shard with the dimension as it stood at their time. Needs packed rows in time order.
 
     Every shard gets all changes (side 0), so all of them hold the same rows at the same time. A change without a
     value takes the key out.
@@ -712,23 +712,30 @@ class ReplicatedDimension(_Keyed):
     def init(self, handle):
         self.dimension = handle.getMapState("dimension", f"k {self.key_type}", f"value {self.value_type}")
 
-    def handleInputRows(self, key, rows, timerValues):
-        seen: dict = {}
-        changed = set()
-        for row in _by_time(rows, self.at, self.tie):
-            k = row[self.key]
-            if row["_side"] == 0:
-                seen[k] = row[self.value]
+    def take(self, rows: pa.Table) -> Iterator[pa.Table]:
+        rows = _sorted(rows, self.at, "_side", self.tie)
+        values, keys = rows[self.value], rows[self.key].to_pylist()
+        seen: dict = {}  # by key, the place of its value in this table, or after it where it was known before
+        changed, before, found = set(), [], []
+        for place, side in enumerate(rows["_side"].to_pylist()):
+            k = keys[place]
+            if side == 0:
+                seen[k] = place
                 changed.add(k)
                 continue
             if k is not None and k not in seen:
-                seen[k] = self.dimension.getValue((k,))[0] if self.dimension.containsKey((k,)) else None
-            yield self.row(*[row[n] for n in self.names], None if k is None else seen[k])
+                seen[k] = len(values) + len(before)
+                before.append(self.dimension.getValue((k,))[0] if self.dimension.containsKey((k,)) else None)
+            found.append(None if k is None else seen[k])
         for k in changed:
-            if seen[k] is not None:
-                self.dimension.updateValue((k,), (seen[k],))
+            value = values[seen[k]].as_py()
+            if value is not None:
+                self.dimension.updateValue((k,), (value,))
             elif self.dimension.containsKey((k,)):
                 self.dimension.removeKey((k,))
+        known = pa.chunked_array([*values.chunks, pa.array(before, values.type)])
+        facts = rows.filter(pc.equal(rows["_side"], 1)).select(self.names)
+        yield facts.append_column(self.value, known.take(pa.array(found, pa.int64())))
 
 
 class ClockWindows(_Keyed):
