@@ -84,7 +84,7 @@ def _steps(spark, folder, passes: Column, bound: timedelta) -> tuple[timedelta,
         return bound, []
     cuts = rows.agg(F.percentile_approx(passes, [k / parts for k in range(1, parts)])).first()[0]
     held = timedelta(microseconds=last - first) + timedelta(seconds=1)
-    return max(bound, held), [timedelta(microseconds=us) for us in sorted(set(cuts))]
+    return max(bound, held), [timedelta(microseconds=us) for us in sorted(set(cuts or []))]
 
 
 def _finished(
